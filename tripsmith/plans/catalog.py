@@ -147,3 +147,179 @@ def q_fallback(spark, sf):
 def q_five_metrics(spark, sf):
     m = M.five_metrics(lookup_scored(spark, sf), C.TARGET, "prediction", tiebreak="id")
     return m.select(F.lit("lookup_baseline").alias("model"), *m.columns)
+
+
+# -- F: point-in-time features -------------------------------------------------------------
+from ..operators import pit as PIT  # noqa: E402
+from ..operators import splits as SP  # noqa: E402
+from ..operators.ordering import exact_percentile  # noqa: E402
+
+_F1_SQL = ("cast(count(trip_duration) over (order by epoch_us(pickup_datetime)"
+           " range between 3600000000 preceding and 1 preceding) as bigint)")
+_F2_CTES = [
+    "daily as (select cast(pickup_datetime as date) as d, cast(hour(pickup_datetime) as int) as h,"
+    " avg(cast(trip_duration as double)) as m, count(*) as n from clean group by 1, 2)",
+    "lagged as (select d, h, avg(m) over (partition by h order by d rows between 7 preceding"
+    " and 1 preceding) as a from daily)",
+    "g as (select avg(cast(trip_duration as double)) as gm from clean)",
+    "f2 as (select c.*, coalesce(l.a, g.gm) as avg_duration_same_hour_last7days from clean c"
+    " left join lagged l on cast(c.pickup_datetime as date) = l.d and hour(c.pickup_datetime) = l.h"
+    " cross join g)",
+]
+
+
+@query("rolling_count_1h", O.ctes() + f"select id, {_F1_SQL} as trip_count_last_1h from clean")
+def q_rolling_count(spark, sf):
+    return PIT.rolling_count(processed_full(spark, sf)).select("id", "trip_count_last_1h")
+
+
+@query("rolling_count_1h_halo", O.ctes() + f"select id, {_F1_SQL} as trip_count_last_1h from clean")
+def q_rolling_count_halo(spark, sf):
+    return PIT.rolling_count(processed_full(spark, sf), method="halo").select(
+        "id", "trip_count_last_1h")
+
+
+@query("daily_hour_mean", O.ctes(_F2_CTES[0]) +
+       f"select strftime(d, '%Y-%m-%d') as date, h as hour, {rnd_sql('m', 6)} as daily_hour_mean,"
+       " n as rows from daily")
+def q_daily_hour_mean(spark, sf):
+    d = PIT.daily_hour_mean(processed_full(spark, sf))
+    return d.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "hour",
+                    rnd("daily_hour_mean", 6).alias("daily_hour_mean"), "rows")
+
+
+@query("avg_same_hour_7d", O.ctes(*_F2_CTES) +
+       f"select id, {rnd_sql('avg_duration_same_hour_last7days', 6)} as avg_duration_same_hour_last7days"
+       " from f2")
+def q_avg_same_hour(spark, sf):
+    return PIT.avg_same_hour(processed_full(spark, sf)).select(
+        "id", rnd("avg_duration_same_hour_last7days", 6).alias("avg_duration_same_hour_last7days"))
+
+
+@query("pit_features", O.ctes(*_F2_CTES, f"pit as (select *, {_F1_SQL} as trip_count_last_1h from f2)") +
+       f"select {rnd_sql('avg(trip_count_last_1h)', 4)} as mean_trip_count_last_1h,"
+       " max(trip_count_last_1h) as max_trip_count_last_1h,"
+       f" {rnd_sql('avg(avg_duration_same_hour_last7days)', 4)} as mean_avg_duration_7d,"
+       f" {rnd_sql('max(avg_duration_same_hour_last7days)', 4)} as max_avg_duration_7d from pit")
+def q_pit_features(spark, sf):
+    return PIT.feature_profile(PIT.point_in_time_features(processed_full(spark, sf)))
+
+
+@query("pit_violations", O.ctes() + "select count(*) as rows_checked, cast(0 as bigint) as violations"
+       " from clean")
+def q_pit_violations(spark, sf):
+    return PIT.pit_violations(processed_full(spark, sf))
+
+
+# -- F4 / I: ordering and splits -------------------------------------------------------------
+@query("time_rank", O.ctes(profile="model") +
+       "select id, row_number() over (order by pickup_datetime, id) - 1 as time_rank from clean")
+def q_time_rank(spark, sf):
+    m = CL.engineer_features(CL.clean(trips(spark, sf), "model"))
+    return SP.time_rank(m).select("id", "time_rank")
+
+
+@query("temporal_split", O.ctes(
+    "r as (select id, row_number() over (order by pickup_datetime, id) - 1 as rk,"
+    " count(*) over () as n from clean)", profile="model") +
+    "select id, case when rk < floor(n * 0.75e0) then 'train' when rk < floor(n * 0.8e0) then 'gap'"
+    " else 'val' end as split from r")
+def q_temporal_split(spark, sf):
+    m = CL.engineer_features(CL.clean(trips(spark, sf), "model"))
+    return SP.temporal_split(m).select("id", "split")
+
+
+@query("date_split", O.ctes(SPLIT_CTE) + "select id, split from split")
+def q_date_split(spark, sf):
+    return split_full(spark, sf).select("id", "split")
+
+
+@query("split_profile", O.ctes(SPLIT_CTE) +
+       "select split, count(*) as rows, strftime(min(pickup_datetime), '%Y-%m-%d %H:%M:%S') as min_ts,"
+       " strftime(max(pickup_datetime), '%Y-%m-%d %H:%M:%S') as max_ts from split group by split")
+def q_split_profile(spark, sf):
+    return M.split_profile(split_full(spark, sf))
+
+
+_FOLDS_SQL = "folds(fold, train_end, gap_end, val_end) as (values " + ", ".join(
+    f"('{f.name}', timestamp '{f.train_end}', timestamp '{f.gap_end}', timestamp '{f.val_end}')"
+    for f in FOLDS) + ")"
+_ASSIGN_SQL = ("assigned as (select c.*, f.fold, case when c.pickup_datetime <= f.train_end then 'train'"
+               " else 'val' end as role from clean c join folds f on c.pickup_datetime <= f.train_end"
+               " or (c.pickup_datetime > f.gap_end and c.pickup_datetime <= f.val_end))")
+
+
+@query("fold_assignment", O.ctes(_FOLDS_SQL, _ASSIGN_SQL) +
+       "select fold, role, count(*) as rows, strftime(min(pickup_datetime), '%Y-%m-%d %H:%M:%S') as min_ts,"
+       " strftime(max(pickup_datetime), '%Y-%m-%d %H:%M:%S') as max_ts from assigned group by fold, role")
+def q_fold_assignment(spark, sf):
+    a = SP.assign_folds(processed_full(spark, sf), FOLDS)
+    return a.groupBy("fold", "role").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.date_format(F.min("pickup_datetime"), "yyyy-MM-dd HH:mm:ss").alias("min_ts"),
+        F.date_format(F.max("pickup_datetime"), "yyyy-MM-dd HH:mm:ss").alias("max_ts"))
+
+
+def _leak_sql(src: str, pairs, group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    parts = []
+    for a, b in pairs:
+        on = f" using ({group})" if group else " on true"
+        parts.append(
+            f"select {('x.' + group + ', ') if group else ''}'{a}<{b}' as \"check\","
+            " strftime(x.mx, '%Y-%m-%d %H:%M:%S') as earlier_max,"
+            " strftime(y.mn, '%Y-%m-%d %H:%M:%S') as later_min,"
+            " coalesce(not (y.mn > x.mx), true) as violated"
+            f" from (select {g}max(pickup_datetime) as mx from {src} where split = '{a}'"
+            f"{' group by ' + group if group else ''}) x"
+            f" full join (select {g}min(pickup_datetime) as mn from {src} where split = '{b}'"
+            f"{' group by ' + group if group else ''}) y{on}")
+    return " union all ".join(parts)
+
+
+@query("leakage_check", O.ctes(SPLIT_CTE) + _leak_sql("split", [("train", "val"), ("val", "test")], None))
+def q_leakage_check(spark, sf):
+    return SP.leakage_check(split_full(spark, sf))
+
+
+@query("fold_leakage", O.ctes(_FOLDS_SQL, _ASSIGN_SQL,
+                              "fa as (select *, role as split from assigned)") +
+       _leak_sql("fa", [("train", "val")], "fold"))
+def q_fold_leakage(spark, sf):
+    a = SP.assign_folds(processed_full(spark, sf), FOLDS)
+    return SP.leakage_check(a, group="fold", split_col="role", order=("train", "val"))
+
+
+# -- J10 / E8: walk-forward with the lookup model (one job for all folds) ----------------------
+_WF_CTES = [
+    _FOLDS_SQL, _ASSIGN_SQL,
+    "wl as (select fold, hour, day_of_week,"
+    f" {rnd_sql('avg(cast(trip_duration as double))', 2)} as predicted_duration"
+    " from assigned where role = 'train' group by fold, hour, day_of_week)",
+    "wg as (select fold, avg(cast(trip_duration as double)) as global_mean from assigned"
+    " where role = 'train' group by fold)",
+    "wscored as (select a.*, coalesce(l.predicted_duration, g.global_mean) as prediction"
+    " from assigned a left join wl l on a.fold = l.fold and a.hour = l.hour"
+    " and a.day_of_week = l.day_of_week join wg g on a.fold = g.fold where a.role = 'val')",
+    "wcounts as (select fold, count(*) filter (where role = 'train') as train_rows,"
+    " count(*) filter (where role = 'val') as val_rows from assigned group by fold)",
+]
+_WF_SQL = ("wm as (" + O.five_metrics_sql("wscored", by="fold") + ")")
+
+
+@query("walk_forward_baseline", O.ctes(*_WF_CTES, _WF_SQL) +
+       "select wm.fold, rmse_seconds, mape_pct, mean_error_seconds, p95_error_seconds, r2,"
+       " train_rows, val_rows from wm join wcounts using (fold)")
+def q_walk_forward(spark, sf):
+    return MD.walk_forward_lookup(processed_full(spark, sf), FOLDS)
+
+
+@query("fold_summary", O.ctes(*_WF_CTES, _WF_SQL) +
+       f"select count(*) as folds, {rnd_sql('avg(rmse_seconds)', 2)} as mean_rmse,"
+       f" {rnd_sql('stddev_samp(rmse_seconds)', 2)} as std_rmse, {rnd_sql('min(rmse_seconds)', 2)} as min_rmse,"
+       f" {rnd_sql('max(rmse_seconds)', 2)} as max_rmse,"
+       f" {rnd_sql('stddev_samp(rmse_seconds) / avg(rmse_seconds)', 4)} as cv,"
+       f" {__import__('tripsmith.functions.bands', fromlist=['band_sql']).band_sql(rnd_sql('stddev_samp(rmse_seconds) / avg(rmse_seconds)', 4), *C.STABILITY_BANDS)}"
+       " as stability from wm")
+def q_fold_summary(spark, sf):
+    return M.fold_summary(MD.walk_forward_lookup(processed_full(spark, sf), FOLDS))
