@@ -323,3 +323,147 @@ def q_walk_forward(spark, sf):
        " as stability from wm")
 def q_fold_summary(spark, sf):
     return M.fold_summary(MD.walk_forward_lookup(processed_full(spark, sf), FOLDS))
+
+
+# -- E5-E10, E21, E22, J6: metric family ----------------------------------------------------
+from ..functions.bands import band_sql  # noqa: E402
+from ..operators import calibration as CA  # noqa: E402
+
+
+def train_val(spark, sf):
+    s = split_full(spark, sf)
+    return s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
+
+
+def spike_thr(train):
+    return M.spike_threshold(train, tiebreak="id")
+
+
+THR_CTE = "thr as (select quantile_cont(trip_duration, 0.95) as spike_threshold from split where split = 'train')"
+TSCORED_CTE = ("tscored as (select s.*, coalesce(l.predicted_duration, gm.global_mean) as prediction"
+               " from split s left join lookup l on s.hour = l.hour and s.day_of_week = l.day_of_week"
+               " cross join gm where s.split = 'train')")
+LIN_CTES = [
+    "coef as (select regr_slope(cast(trip_duration as double), distance_km) as slope,"
+    " regr_intercept(cast(trip_duration as double), distance_km) as intercept from split where split = 'train')",
+    "lscored as (select s.*, greatest(intercept + slope * distance_km, 60e0) as prediction"
+    " from split s cross join coef where s.split = 'val')",
+]
+
+
+@query("spike_threshold", O.ctes(SPLIT_CTE, THR_CTE) +
+       f"select {rnd_sql('spike_threshold', 6)} as spike_threshold from thr")
+def q_spike_threshold(spark, sf):
+    tr, _ = train_val(spark, sf)
+    return spike_thr(tr).select(rnd("spike_threshold", 6).alias("spike_threshold"))
+
+
+@query("weight_share", O.ctes(SPLIT_CTE, THR_CTE) +
+       "select count(*) filter (where trip_duration > spike_threshold) as spike_rows,"
+       " count(*) filter (where trip_duration <= spike_threshold) as normal_rows,"
+       " sum(case when trip_duration > spike_threshold then 5.0e0 else 1.0e0 end) as total_weight,"
+       f" {rnd_sql('(count(*) filter (where trip_duration > spike_threshold)) * 5.0e0 / ((count(*) filter (where trip_duration <= spike_threshold)) + (count(*) filter (where trip_duration > spike_threshold)) * 5.0e0)', 4)}"
+       " as spike_weight_share from split cross join thr where split = 'train'")
+def q_weight_share(spark, sf):
+    tr, _ = train_val(spark, sf)
+    return M.weight_share(M.sample_weights(tr, spike_thr(tr)))
+
+
+def _slice_sql(src):
+    e = "(cast(trip_duration as double) - prediction)"
+    sl = "case when trip_duration > spike_threshold then 'spike' else 'normal' end"
+    return (
+        f"sl as (select {sl} as slice, count(*) as rows, {rnd_sql(f'sqrt(avg({e}*{e}))', 1)} as rmse_seconds,"
+        f" {rnd_sql(f'avg({e})', 1)} as bias_seconds, {rnd_sql(f'quantile_cont(abs({e}), 0.95)', 1)} as p95_seconds"
+        f" from {src} cross join thr group by 1)",
+        "rt as (select " + rnd_sql("max(rmse_seconds) filter (where slice = 'spike') / "
+                                   "max(rmse_seconds) filter (where slice = 'normal')", 2) + " as ratio from sl)")
+
+
+@query("slice_metrics", O.ctes(*LOOKUP_CTES, THR_CTE, *_slice_sql("scored")) +
+       "select slice, rows, rmse_seconds, bias_seconds, p95_seconds, ratio, "
+       + band_sql("ratio", *C.SLICE_RATIO_BANDS) + " as verdict from sl cross join rt")
+def q_slice_metrics(spark, sf):
+    tr, va = train_val(spark, sf)
+    return M.slice_metrics(MD.lookup_baseline(tr, va), C.TARGET, "prediction", spike_thr(tr),
+                           tiebreak="id")
+
+
+@query("overfit_gap", O.ctes(*LOOKUP_CTES, TSCORED_CTE,
+                             "bothm as (select 'train' as split, * from (" + O.five_metrics_sql("tscored") +
+                             ") union all select 'val', * from (" + O.five_metrics_sql("scored") + "))") +
+       "select max(rmse_seconds) filter (where split = 'train') as train_rmse_seconds,"
+       " max(rmse_seconds) filter (where split = 'val') as val_rmse_seconds,"
+       f" {rnd_sql(chr(40) + 'max(rmse_seconds) filter (where split = ' + chr(39) + 'val' + chr(39) + ') - max(rmse_seconds) filter (where split = ' + chr(39) + 'train' + chr(39) + ')) * 100.0e0 / max(rmse_seconds) filter (where split = ' + chr(39) + 'train' + chr(39) + ')', 1)} as overfit_gap_pct,"
+       " " + band_sql(rnd_sql("(max(rmse_seconds) filter (where split = 'val') - max(rmse_seconds) filter (where split = 'train')) * 100.0e0 / max(rmse_seconds) filter (where split = 'train')", 1), *C.OVERFIT_BANDS) +
+       " as verdict from bothm")
+def q_overfit_gap(spark, sf):
+    tr, va = train_val(spark, sf)
+    both = (MD.lookup_baseline(tr, tr).withColumn("split", F.lit("train"))
+            .unionByName(MD.lookup_baseline(tr, va).withColumn("split", F.lit("val"))))
+    return M.overfit_gap(M.five_metrics(both, C.TARGET, "prediction", by=["split"], tiebreak="id"))
+
+
+def _two_models(spark, sf):
+    """Lookup baseline and one-feature OLS, scored on the same validation rows
+    and evaluated in one grouped pass."""
+    tr, va = train_val(spark, sf)
+    look = MD.lookup_baseline(tr, va).select("id", C.TARGET, "prediction")
+    lin = MD.predict_linear_1d(va, MD.fit_linear_1d(tr)).select("id", C.TARGET, "prediction")
+    both = (look.withColumn("model", F.lit("lookup_baseline"))
+            .unionByName(lin.withColumn("model", F.lit("linear_1d"))))
+    return M.five_metrics(both, C.TARGET, "prediction", by=["model"], tiebreak="id")
+
+
+_TWO_MODELS_CTES = [*LOOKUP_CTES, *LIN_CTES,
+                    "allm as (select 'lookup_baseline' as model, trip_duration, prediction from scored"
+                    " union all select 'linear_1d', trip_duration, prediction from lscored)",
+                    "mm as (" + O.five_metrics_sql("allm", by="model") + ")"]
+
+
+@query("linear_1d", O.ctes(*LOOKUP_CTES, *LIN_CTES, "mm as (" + O.five_metrics_sql("lscored") + ")") +
+       f"select {rnd_sql('slope', 6)} as slope, {rnd_sql('intercept', 4)} as intercept, mm.* from coef cross join mm")
+def q_linear_1d(spark, sf):
+    tr, va = train_val(spark, sf)
+    coef = MD.fit_linear_1d(tr)
+    m = M.five_metrics(MD.predict_linear_1d(va, coef), C.TARGET, "prediction", tiebreak="id")
+    return coef.select(rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept")) \
+        .crossJoin(m)
+
+
+@query("model_comparison", O.ctes(*_TWO_MODELS_CTES) +
+       "select m.*, " + rnd_sql("(b.rmse_seconds - m.rmse_seconds) * 100.0e0 / b.rmse_seconds", 2) +
+       " as improvement_vs_baseline_pct, case when abs(m.mean_error_seconds) < 10.0e0 then 'well-calibrated'"
+       " when m.mean_error_seconds > 0 then 'under-predicts' else 'over-predicts' end as bias_reading, "
+       + rnd_sql("m.p95_error_seconds / 60.0e0", 1) + " as p95_minutes, "
+       + band_sql(rnd_sql("(b.rmse_seconds - m.rmse_seconds) * 100.0e0 / b.rmse_seconds", 2),
+                  *C.IMPROVEMENT_VS_BASELINE_BANDS) +
+       " as verdict_vs_baseline from mm m cross join (select rmse_seconds from mm where model = 'lookup_baseline') b")
+def q_model_comparison(spark, sf):
+    return M.model_comparison(_two_models(spark, sf), "lookup_baseline")
+
+
+_METRIC_LIST = ["rmse_seconds", "mape_pct", "mean_error_seconds", "p95_error_seconds", "r2"]
+
+
+@query("metric_deltas", O.ctes(*_TWO_MODELS_CTES,
+                               "lng as (" + " union all ".join(
+                                   f"select model, '{m}' as metric, cast({m} as double) as value from mm"
+                                   for m in _METRIC_LIST) + ")") +
+       "select a.metric, a.value as value_a, b.value as value_b, " + rnd_sql("b.value - a.value", 4) +
+       " as delta, case when (case when a.metric = 'r2' then b.value > a.value"
+       " when a.metric = 'mean_error_seconds' then abs(b.value) < abs(a.value) else b.value < a.value end)"
+       " then 'better' when a.value = b.value then 'same' else 'worse' end as direction"
+       " from lng a join lng b on a.metric = b.metric and a.model = 'lookup_baseline' and b.model = 'linear_1d'")
+def q_metric_deltas(spark, sf):
+    return M.metric_deltas(_two_models(spark, sf), "lookup_baseline", "linear_1d")
+
+
+@query("promotion_check", O.ctes(*_TWO_MODELS_CTES) +
+       "select a.rmse_seconds as current_rmse, b.rmse_seconds as candidate_rmse,"
+       " b.rmse_seconds <= a.rmse_seconds * 1.0e0 as promote from mm a, mm b"
+       " where a.model = 'lookup_baseline' and b.model = 'linear_1d'")
+def q_promotion_check(spark, sf):
+    m = _two_models(spark, sf)
+    return M.promotion_check(m.where(F.col("model") == "lookup_baseline"),
+                             m.where(F.col("model") == "linear_1d"))
