@@ -467,3 +467,155 @@ def q_promotion_check(spark, sf):
     m = _two_models(spark, sf)
     return M.promotion_check(m.where(F.col("model") == "lookup_baseline"),
                              m.where(F.col("model") == "linear_1d"))
+
+
+# -- E11-E15, D5, J9, J12, J13: calibration -----------------------------------------------------
+def calib_frames(spark, sf):
+    tr, va = train_val(spark, sf)
+    thr = spike_thr(tr)
+    tr_sc = CA.with_spike_label(MD.lookup_baseline(tr, tr), thr)
+    va_sc = CA.with_spike_label(MD.lookup_baseline(tr, va), thr)
+    return tr_sc, va_sc, thr
+
+
+_REL_IDX = " + ".join(f"cast({repr(i * 0.1)}e0 < {{p}} as int)".replace("e0e0", "e0")
+                      for i in range(1, 10))
+_CAL_CTES = [
+    *LOOKUP_CTES, THR_CTE, TSCORED_CTE,
+    "tl as (select t.*, cast(trip_duration > spike_threshold as int) as spike from tscored t cross join thr)",
+    "vl as (select v.*, cast(trip_duration > spike_threshold as int) as spike from scored v cross join thr)",
+    "mnmx as (select min(prediction) as mn, max(prediction) as mx from tl)",
+    "bins as (select cast(b as int) as bin, b * ((mx - mn) / 20e0) + mn as low,"
+    " case when b = 19 then mx else (b + 1) * ((mx - mn) / 20e0) + mn end as high"
+    " from mnmx cross join range(0, 20) r(b))",
+    "bstats as (select bin, count(*) as n, avg(cast(spike as double)) as p from tl join bins"
+    " on prediction >= low and prediction < high group by bin)",
+    "sb as (select b.bin, low, high, coalesce(n, 0) as train_rows, coalesce(p, 0e0) as spike_probability"
+    " from bins b left join bstats s on b.bin = s.bin)",
+    "vprob as (select v.*, coalesce(w.spike_probability, 0e0) as spike_prob from vl v left join"
+    " (select bin, low, case when bin = 19 then high + 1 else high end as high, spike_probability from sb) w"
+    " on v.prediction >= w.low and v.prediction < w.high)",
+]
+
+
+def _iso_ctes(src: str, prob: str) -> list[str]:
+    """Isotonic fit as SQL: on distinct x, fitted(i) = max_{j<=i} min_{k>=i} mean(y[j..k])."""
+    return [
+        f"pts as (select {prob} as x, sum(cast(spike as double)) as sy, count(*) as w from {src} group by 1)",
+        "cum as (select x, sy, w, row_number() over (order by x) as i,"
+        " sum(sy) over (order by x) as cs, sum(w) over (order by x) as cw from pts)",
+        "avgs as (select a.i as j, b.i as k, (b.cs - a.cs + a.sy) / (b.cw - a.cw + a.w) as v"
+        " from cum a join cum b on a.i <= b.i)",
+        "inner_min as (select c.i, a.j, min(a.v) as mn from cum c join avgs a on a.j <= c.i and a.k >= c.i"
+        " group by c.i, a.j)",
+        "iso as (select c.x, max(m.mn) as fitted from cum c join inner_min m on c.i = m.i group by c.x)",
+    ]
+
+
+def _iso_apply_sql(src: str, prob: str, out: str = "calibrated_prob") -> str:
+    return (f"cal as (select v.*, case when lo.x is null then hi.fitted when hi.x is null then lo.fitted"
+            f" when hi.x = lo.x then lo.fitted else lo.fitted + ({prob} - lo.x) * (hi.fitted - lo.fitted)"
+            f" / (hi.x - lo.x) end as {out} from {src} v asof left join iso lo on v.{prob} >= lo.x"
+            f" asof left join iso hi on v.{prob} <= hi.x)")
+
+
+@query("spike_bins", O.ctes(*_CAL_CTES) +
+       f"select bin, {rnd_sql('low', 6)} as low, {rnd_sql('high', 6)} as high, train_rows,"
+       f" {rnd_sql('spike_probability', 6)} as spike_probability from sb")
+def q_spike_bins(spark, sf):
+    tr, _, _ = calib_frames(spark, sf)
+    b = CA.spike_bins(tr)
+    return b.select("bin", rnd("low", 6).alias("low"), rnd("high", 6).alias("high"), "train_rows",
+                    rnd("spike_probability", 6).alias("spike_probability"))
+
+
+@query("spike_probability", O.ctes(*_CAL_CTES) +
+       f"select id, spike, {rnd_sql('spike_prob', 6)} as spike_prob from vprob")
+def q_spike_probability(spark, sf):
+    tr, va, _ = calib_frames(spark, sf)
+    vp = CA.spike_probability(va, CA.spike_bins(tr))
+    return vp.select("id", "spike", rnd("spike_prob", 6).alias("spike_prob"))
+
+
+@query("reliability_curve", O.ctes(*_CAL_CTES) +
+       f"select {_REL_IDX.format(p='spike_prob')} as bin, count(*) as rows,"
+       f" {rnd_sql('avg(spike_prob)', 4)} as mean_predicted_prob,"
+       f" {rnd_sql('avg(cast(spike as double))', 4)} as fraction_positive from vprob group by 1")
+def q_reliability(spark, sf):
+    tr, va, _ = calib_frames(spark, sf)
+    c = CA.reliability_curve(CA.spike_probability(va, CA.spike_bins(tr)))
+    return c.select("bin", "rows", rnd("mean_predicted_prob", 4).alias("mean_predicted_prob"),
+                    rnd("fraction_positive", 4).alias("fraction_positive"))
+
+
+def _stats_sql(src: str, prob: str) -> str:
+    idx = _REL_IDX.format(p=prob)
+    return (f"select {rnd_sql('avg(abs(mp - fp))', 4)} as ece,"
+            f" {rnd_sql('sum(abs(mp - fp) * n) / sum(n)', 4)} as ece_weighted, count(*) as non_empty_bins,"
+            f" (select {rnd_sql(f'avg(({prob} - spike) * ({prob} - spike))', 4)} from {src}) as brier_score,"
+            f" (select {rnd_sql('avg(cast(spike as double))', 4)} from {src}) as actual_spike_rate,"
+            f" (select {rnd_sql(f'avg({prob})', 4)} from {src}) as predicted_spike_rate"
+            f" from (select {idx} as b, count(*) as n, avg({prob}) as mp, avg(cast(spike as double)) as fp"
+            f" from {src} group by 1) r")
+
+
+def _stats_out(df):
+    return df.select(*[rnd(c, 4).alias(c) if c != "non_empty_bins" else F.col(c)
+                       for c in df.columns])
+
+
+@query("ece_brier", O.ctes(*_CAL_CTES) + _stats_sql("vprob", "spike_prob"))
+def q_ece_brier(spark, sf):
+    tr, va, _ = calib_frames(spark, sf)
+    return _stats_out(CA.calibration_stats(CA.spike_probability(va, CA.spike_bins(tr))))
+
+
+@query("isotonic", O.ctes(*_CAL_CTES, *_iso_ctes("vprob", "spike_prob"),
+                          _iso_apply_sql("vprob", "spike_prob")) +
+       f"select id, {rnd_sql('calibrated_prob', 4)} as calibrated_prob from cal")
+def q_isotonic(spark, sf):
+    tr, va, _ = calib_frames(spark, sf)
+    vp = CA.spike_probability(va, CA.spike_bins(tr))
+    cal = CA.apply_isotonic(CA.fit_isotonic(vp), vp)
+    return cal.select("id", rnd("calibrated_prob", 4).alias("calibrated_prob"))
+
+
+_OVERRIDE_SQL = (
+    "select 0.4e0 as override_threshold, count(*) filter (where calibrated_prob > 0.4e0) as override_count,"
+    f" {rnd_sql('(count(*) filter (where calibrated_prob > 0.4e0)) * 100.0e0 / count(*)', 2)} as override_pct,"
+    f" {rnd_sql('cast(sum(spike) filter (where calibrated_prob > 0.4e0) as double) / nullif(count(*) filter (where calibrated_prob > 0.4e0), 0)', 4)} as precision,"
+    f" {rnd_sql('case when sum(spike) > 0 then coalesce(sum(spike) filter (where calibrated_prob > 0.4e0), 0) / sum(spike) else 0e0 end', 4)} as recall,"
+    " cast(coalesce(sum(spike) filter (where calibrated_prob > 0.4e0), 0) as bigint) as spikes_caught,"
+    " cast(sum(spike) as bigint) as total_spikes,"
+    " case when count(*) filter (where calibrated_prob > 0.4e0) = 0 then null"
+    " when cast(sum(spike) filter (where calibrated_prob > 0.4e0) as double) / count(*) filter (where calibrated_prob > 0.4e0) > 0.3e0"
+    " then 'override useful' else 'override too noisy' end as verdict from cal")
+
+
+@query("override_analysis", O.ctes(*_CAL_CTES, *_iso_ctes("vprob", "spike_prob"),
+                                   _iso_apply_sql("vprob", "spike_prob")) + _OVERRIDE_SQL)
+def q_override(spark, sf):
+    tr, va, _ = calib_frames(spark, sf)
+    vp = CA.spike_probability(va, CA.spike_bins(tr))
+    return CA.override_analysis(CA.apply_isotonic(CA.fit_isotonic(vp), vp))
+
+
+@query("calibration_report", O.ctes(
+    *_CAL_CTES, *_iso_ctes("vprob", "spike_prob"), _iso_apply_sql("vprob", "spike_prob"),
+    "ub as (" + _stats_sql("vprob", "spike_prob") + ")",
+    "cb as (" + _stats_sql("cal", "calibrated_prob") + ")",
+    "ov as (" + _OVERRIDE_SQL + ")") +
+    f"select {rnd_sql('(select spike_threshold from thr)', 1)} as spike_threshold,"
+    f" {rnd_sql('(select avg(cast(trip_duration as double)) from tl)', 1)} as historical_mean,"
+    " ub.ece as uncal_ece, ub.ece_weighted as uncal_ece_weighted, ub.non_empty_bins as uncal_non_empty_bins,"
+    " ub.brier_score as uncal_brier_score, ub.actual_spike_rate as uncal_actual_spike_rate,"
+    " ub.predicted_spike_rate as uncal_predicted_spike_rate,"
+    " cb.ece as cal_ece, cb.ece_weighted as cal_ece_weighted, cb.non_empty_bins as cal_non_empty_bins,"
+    " cb.brier_score as cal_brier_score, cb.actual_spike_rate as cal_actual_spike_rate,"
+    " cb.predicted_spike_rate as cal_predicted_spike_rate, ov.*, 0.95e0 as spike_percentile,"
+    f" {rnd_sql('ub.ece - cb.ece', 4)} as ece_improvement,"
+    f" {rnd_sql('ub.brier_score - cb.brier_score', 4)} as brier_improvement, "
+    + band_sql("cb.ece", *C.CALIBRATION_BANDS) + " as calibration_verdict from ub, cb, ov")
+def q_calibration_report(spark, sf):
+    tr, va, thr = calib_frames(spark, sf)
+    return CA.calibration_report(tr.drop("spike"), va.drop("spike"), thr, fit_on="val")
