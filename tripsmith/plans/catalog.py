@@ -619,3 +619,269 @@ def q_override(spark, sf):
 def q_calibration_report(spark, sf):
     tr, va, thr = calib_frames(spark, sf)
     return CA.calibration_report(tr.drop("spike"), va.drop("spike"), thr, fit_on="val")
+
+
+# -- B / A: gates, verification, sinks ------------------------------------------------------------
+from ..operators import audit as AU  # noqa: E402
+from ..operators import gates as G  # noqa: E402
+from ..operators import store as ST  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+from ..sources.registry import registry_features  # noqa: E402
+
+
+def _gate_sql(rows_sql: list[tuple[str, str, float, str]], src: str) -> str:
+    parts = []
+    for gate, obs, limit, cmp in rows_sql:
+        op = ">" if cmp == "gt" else "<"
+        parts.append(f"select '{gate}' as gate, cast({obs} as double) as observed, {float(limit)!r}e0 as \"limit\","
+                     f" coalesce(cast({obs} as double) {op} {float(limit)!r}e0, false) as violated from {src}")
+    return " union all ".join(parts).replace("e0e0", "e0")
+
+
+_NULL_COLS = C.NULL_GATE_COLUMNS
+_QG = ([("row_count", "count(*)", C.MIN_ROW_COUNT, "lt"), ("non_empty", "count(*)", 1, "lt")]
+       + [(f"null_rate:{c}", f"count(*) filter (where {c} is null) / count(*)", C.MAX_NULL_RATE, "gt")
+          for c in _NULL_COLS]
+       + [(f"zero_rate:{c}", f"count(*) filter (where {c} = 0) / count(*)", C.MAX_ZERO_COORD_RATE, "gt")
+          for c in C.ZERO_GATE_COLUMNS]
+       + [("negative_target", "count(*) filter (where trip_duration < 0)", 0, "gt"),
+          ("future_timestamps", "count(*) filter (where pickup_datetime > now())", 0, "gt"),
+          ("bad_gps_rate", "count(*) filter (where pickup_latitude < 40.4e0 or pickup_latitude > 41.0e0)"
+           " / count(*)", C.MAX_BAD_GPS_RATE, "gt")])
+
+
+def _gates_out(df):
+    return df.select("gate", rnd("observed", 8).alias("observed"), "limit", "violated")
+
+
+@query("quality_gates", "select gate, " + rnd_sql("observed", 8) + " as observed, \"limit\", violated from ("
+       + O.ctes().replace("with ", "with ", 1) + _gate_sql(_QG, "trips") + ") q")
+def q_quality_gates(spark, sf):
+    return _gates_out(G.quality_gates(trips(spark, sf)))
+
+
+@query("null_rates", O.ctes() + " union all ".join(
+    f"select '{c}' as \"column\", count(*) filter (where {c} is null) / count(*) as null_rate from trips"
+    for c in C.RAW_COLUMNS))
+def q_null_rates(spark, sf):
+    return G.null_rates(trips(spark, sf), C.RAW_COLUMNS)
+
+
+_VERIFY = ([("row_count", "count(*)", C.VERIFY_MIN_ROWS, "lt"), ("missing_columns", "max(0)", 0, "gt")]
+           + [(f"nulls:{c}", f"count(*) filter (where {c} is null)", 0, "gt") for c in C.VERIFY_NOT_NULL]
+           + [("min_target", "min(trip_duration)", C.MIN_DURATION_S, "lt"),
+              ("max_target", "max(trip_duration)", C.MAX_DURATION_S, "gt"),
+              ("min_distance_km", "min(distance_km)", C.MIN_DISTANCE_KM, "lt")])
+
+
+@query("verify_output", "select gate, " + rnd_sql("observed", 8) + " as observed, \"limit\", violated from ("
+       + O.ctes() + _gate_sql(_VERIFY, "clean") + ") q")
+def q_verify_output(spark, sf):
+    return _gates_out(G.verify_output(processed_full(spark, sf)))
+
+
+@query("sample_gate", "select gate, " + rnd_sql("observed", 8) + " as observed, \"limit\", violated from ("
+       + O.ctes("smp as (select * from trips order by pickup_datetime, id limit 1000)")
+       + _gate_sql([("sample_rows", "count(*)", 1, "lt"),
+                    ("sample_bad_gps_rate", "count(*) filter (where pickup_latitude < 40.4e0 or"
+                     " pickup_latitude > 41.0e0) / count(*)", C.MAX_BAD_GPS_RATE, "gt")], "smp") + ") q")
+def q_sample_gate(spark, sf):
+    return _gates_out(G.sample_gate(trips(spark, sf)))
+
+
+@query("type_violations", O.ctes() + " union all ".join(
+    f"select '{c}' as \"column\", cast(0 as bigint) as bad_values from (select 1) t"
+    for c in ["vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count",
+              "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
+              "trip_duration"]))
+def q_type_violations(spark, sf):
+    # every raw column rendered as text (as a CSV export would), then checked
+    # against the declared types
+    t = trips(spark, sf)
+    text = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    return G.type_violations(text)
+
+
+@query("table_fingerprint")
+def q_fingerprint(spark, sf):
+    return SK.table_fingerprint(processed_full(spark, sf))
+
+
+@query("manifest")
+def q_manifest(spark, sf):
+    return SK.manifest(processed_full(spark, sf), f"{sf}/events.parquet", "processed",
+                       run_id="catalog", execution_date="2024-01-31").drop("processed_at")
+
+
+# -- K / E16 / D4: attribution and audit -------------------------------------------------------
+@query("linear_attribution", O.ctes(*LOOKUP_CTES, *LIN_CTES,
+                                    "mx as (select avg(distance_km) as m from split where split = 'train')") +
+       f"select id, 'distance_km' as feature, {rnd_sql('slope * (distance_km - m)', 4)} as phi,"
+       f" {rnd_sql('intercept + slope * m', 4)} as base_value from split cross join coef cross join mx"
+       " where split = 'val'")
+def q_linear_attribution(spark, sf):
+    tr, va = train_val(spark, sf)
+    c = MD.fit_linear_1d(tr).first()  # two scalars
+    a = AU.linear_attribution(va, {"distance_km": c.slope}, c.intercept, tr)
+    return a.select("id", "feature", rnd("phi", 4).alias("phi"), rnd("base_value", 4).alias("base_value"))
+
+
+@query("additivity_violations", O.ctes(SPLIT_CTE) +
+       "select count(*) as rows_checked, cast(0 as bigint) as violations from split where split = 'val'")
+def q_additivity(spark, sf):
+    tr, va = train_val(spark, sf)
+    c = MD.fit_linear_1d(tr).first()
+    a = AU.linear_attribution(va, {"distance_km": c.slope}, c.intercept, tr)
+    return AU.additivity_violations(a).select("rows_checked", "violations")
+
+
+_EMB_LONG = ("emb as (select vec_id, 'dim_' || lpad(cast(i - 1 as varchar), 2, '0') as feature,"
+             " cast(embedding[i] as double) as phi from embeddings, range(1, 65) r(i))")
+
+
+def _emb_long(spark, sf):
+    from ..sources.tables import table
+    e = table(spark, sf, "embeddings")
+    x = e.select("vec_id", F.posexplode("embedding").alias("i", "phi"))
+    return x.select("vec_id", F.concat(F.lit("dim_"), F.lpad(F.col("i").cast("string"), 2, "0"))
+                    .alias("feature"), F.col("phi").cast("double").alias("phi"))
+
+
+@query("attribution_power", "with " + _EMB_LONG + ", per as (select feature, avg(abs(phi)) as mabs from emb"
+       " group by feature), tot as (select sum(mabs) as t from per)"
+       f" select feature, {rnd_sql('mabs', 2)} as mean_abs_attribution, {rnd_sql('mabs / t', 4)} as fraction,"
+       " row_number() over (order by mabs desc, feature) as rank, mabs / t > 0.7e0 as dominant"
+       " from per cross join tot")
+def q_attribution_power(spark, sf):
+    return AU.attribution_power(_emb_long(spark, sf))
+
+
+def _linear_full(spark, sf):
+    """12 features + both demand features, fitted by MLlib; attributions over val."""
+    pit = PIT.point_in_time_features(processed_full(spark, sf))
+    s = date_split(pit, TRAIN_END, GAP_END, VAL_END)
+    tr, va = s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
+    feats = C.FEATURES + C.PIT_FEATURES
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    vec = VectorAssembler(inputCols=feats, outputCol="_x", handleInvalid="skip")
+    lr = LinearRegression(featuresCol="_x", labelCol=C.TARGET, solver="normal", regParam=0.0)
+    model = lr.fit(vec.transform(tr))
+    coefs = dict(zip(feats, map(float, model.coefficients.toArray())))
+    return AU.linear_attribution(va, coefs, float(model.intercept), tr)
+
+
+@query("attribution_power_linear")
+def q_attribution_power_linear(spark, sf):
+    return AU.attribution_power(_linear_full(spark, sf))
+
+
+@query("registry_audit")
+def q_registry_audit(spark, sf):
+    return AU.registry_audit(AU.attribution_power(_linear_full(spark, sf)), registry_features(spark))
+
+
+@query("leakage_audit")
+def q_leakage_audit(spark, sf):
+    a = AU.registry_audit(AU.attribution_power(_linear_full(spark, sf)), registry_features(spark))
+    return AU.leakage_verdict(a)
+
+
+# -- G4 / D8 / M ------------------------------------------------------------------------------
+@query("seeded_sample", O.ctes(SPLIT_CTE) + "select id, trip_duration from split where split = 'val'"
+       " order by (cast(id as bigint) * 2654435761 + 42) % 4294967296, id limit 5000")
+def q_seeded_sample(spark, sf):
+    _, va = train_val(spark, sf)
+    return AU.seeded_sample(va, 5000).select("id", "trip_duration")
+
+
+def _probe_scored(spark, sf):
+    tr, va = train_val(spark, sf)
+    sc = AU.scenario_rows(va)
+    return MD.predict_linear_1d(sc, MD.fit_linear_1d(tr))
+
+
+@query("scenario_rows", O.ctes(SPLIT_CTE) +
+       "select s.scenario, count(*) as rows from split cross join (values " + ", ".join(
+           f"('{s['scenario']}')" for s in AU.SCENARIOS) + ") s(scenario) where split = 'val' group by 1")
+def q_scenario_rows(spark, sf):
+    _, va = train_val(spark, sf)
+    return AU.scenario_rows(va).groupBy("scenario").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _probe_sql() -> str:
+    sc = AU.SCENARIOS
+    fields = ["vendor_id", "distance_km", "passenger_count", "pickup_latitude", "pickup_longitude",
+              "dropoff_latitude", "dropoff_longitude", "hour", "day_of_week", "is_weekend",
+              "is_rush_hour", "distance_delta"]
+
+    def v(s, f):
+        x = s.get(f)
+        return "null" if x is None else (f"{float(x)!r}e0".replace("e0e0", "e0") if isinstance(x, float) else str(x))
+    values = ", ".join("('" + s["scenario"] + "', " + ", ".join(v(s, f) for f in fields) + ")" for s in sc)
+    scen = f"scen(scenario, {', '.join('o_' + f for f in fields)}) as (values {values})"
+    x = ("px as (select id as base_id, scenario, greatest(intercept + slope * (coalesce(o_distance_km, distance_km)"
+         " + coalesce(o_distance_delta, 0e0)), 60e0) as p from split cross join scen cross join coef"
+         " where split = 'val')")
+    names = sorted({s["scenario"] for s in sc})
+    wide = "wide as (select base_id, " + ", ".join(
+        f"max(p) filter (where scenario = '{n}') as \"{n}\"" for n in names) + " from px group by base_id)"
+    mono = " and ".join(f'"dist_{b}" > "dist_{a}"' for a, b in zip((1, 2, 5, 10, 20), (2, 5, 10, 20, 30)))
+    pax = ", ".join(f'"pax_{n}"' for n in range(1, 7))
+    checks = [
+        ("vendor_invariance", 'abs("vendor_1" - "vendor_2")', 'abs("vendor_1" - "vendor_2") < 60e0'),
+        ("vendor_invariance_20km", 'abs("vendor_1_20km" - "vendor_2_20km")',
+         'abs("vendor_1_20km" - "vendor_2_20km") < 120e0'),
+        ("vendor_vs_distance", 'abs("vendor_1" - "vendor_2")',
+         'abs("vendor_1" - "vendor_2") < abs("vendor_1_plus_1km" - "vendor_1")'),
+        ("passenger_1_vs_4", 'abs("pax_1" - "pax_4")', 'abs("pax_1" - "pax_4") < 60e0'),
+        ("passenger_spread", f"greatest({pax}) - least({pax})", f"greatest({pax}) - least({pax}) < 60e0"),
+        ("direction_asymmetry", 'abs("forward" - "reverse") / nullif("forward", 0)',
+         'abs("forward" - "reverse") / nullif("forward", 0) < 0.2e0'),
+        ("distance_monotone", f"cast(({mono}) as double)", f"cast(({mono}) as double) = 1e0"),
+        ("distance_beats_rush", '"rush_8" - "base"', '"rush_8" - "base" < "dist_10" - "dist_5"'),
+        ("rush_beats_night", '"night_3"', '"night_3" < "rush_8"'),
+        ("weekday_beats_weekend", '"weekend"', '"weekend" < "weekday_rush"'),
+    ]
+    long = " union all ".join(f"select '{n}' as probe, cast({val} as double) as value,"
+                              f" coalesce({ok}, false) as passed from wide" for n, val, ok in checks)
+    return (O.ctes(SPLIT_CTE, LIN_CTES[0], scen, x, wide, f"lng as ({long})") +
+            f"select probe, count(*) as bases, count(*) filter (where passed) as passed,"
+            f" {rnd_sql('max(value)', 4)} as max_value from lng group by probe")
+
+
+@query("probe_results", _probe_sql())
+def q_probe_results(spark, sf):
+    return AU.probe_results(_probe_scored(spark, sf))
+
+
+# -- L: feature store ---------------------------------------------------------------------------
+@query("historical_features", O.ctes(*_F2_CTES, f"pit as (select *, {_F1_SQL} as trip_count_last_1h from f2)",
+                                     "r as (select *, row_number() over (order by pickup_datetime, id) - 1 as rk,"
+                                     " count(*) over () as n from pit)") +
+       "select case when rk < floor(n * 0.75e0) then 'train' when rk < floor(n * 0.8e0) then 'gap'"
+       " else 'val' end as split, count(*) as rows, sum(trip_count_last_1h) as sum_trip_count,"
+       f" {rnd_sql('avg(avg_duration_same_hour_last7days)', 4)} as mean_avg_7d from r group by 1")
+def q_historical_features(spark, sf):
+    df, _, _ = ST.get_historical_features(processed_full(spark, sf))
+    return df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
+                                   F.sum("trip_count_last_1h").alias("sum_trip_count"),
+                                   rnd(F.avg("avg_duration_same_hour_last7days"), 4).alias("mean_avg_7d"))
+
+
+@query("online_features", O.ctes() + "select id, hour, day_of_week, month, is_weekend, is_rush_hour,"
+       f" {rnd_sql('distance_km', 6)} as distance_km, passenger_count, vendor_id from"
+       " (select *, " + O.TIME_FEATURES_SQL + " from trips_d) t")
+def q_online_features(spark, sf):
+    req = trips(spark, sf).select("id", "pickup_datetime", "pickup_latitude", "pickup_longitude",
+                                  "dropoff_latitude", "dropoff_longitude", "passenger_count", "vendor_id")
+    o = ST.online_features(req)
+    return o.select("id", "hour", "day_of_week", "month", "is_weekend", "is_rush_hour",
+                    rnd("distance_km", 6).alias("distance_km"), "passenger_count", "vendor_id")
+
+
+@query("ttl_filter", O.ctes() + "select count(*) as rows from clean where pickup_datetime >="
+       " timestamp '2024-01-27' - interval 7 day and pickup_datetime <= timestamp '2024-01-27'")
+def q_ttl_filter(spark, sf):
+    return ST.ttl_filter(processed_full(spark, sf), "2024-01-27", 7).agg(
+        F.count(F.lit(1)).alias("rows"))

@@ -50,7 +50,8 @@ def ctes(*extra: str, profile: str = "full") -> str:
     if profile == "full":
         where += f" and {BOX_OK}"
     parts = [
-        f"trips as ({TRIP_VIEW_SQL})",
+        f"trips0 as ({TRIP_VIEW_SQL})",
+        "trips as (select *, pickup_datetime + to_seconds(trip_duration) as dropoff_datetime from trips0)",
         f"trips_d as (select *, {HAVERSINE_SQL} as distance_km from trips)",
         f"clean as (select {PROCESSED_COLS} from (select *, {TIME_FEATURES_SQL} from trips_d) t"
         f" where {where})",
