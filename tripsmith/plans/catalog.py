@@ -885,3 +885,36 @@ def q_online_features(spark, sf):
 def q_ttl_filter(spark, sf):
     return ST.ttl_filter(processed_full(spark, sf), "2024-01-27", 7).agg(
         F.count(F.lit(1)).alias("rows"))
+
+
+# -- N: streaming ------------------------------------------------------------------------------
+from ..streaming import trips as STR  # noqa: E402
+
+
+@query("stream_features", O.ctes() + f"select {_PROCESSED_OUT} from clean")
+def q_stream_features(spark, sf):
+    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
+    path = STR.run_to_table(s, "stream_features")
+    return _processed_out(spark.read.parquet(path))
+
+
+@query("stream_gates", O.ctes() + "select 'accepted' as outcome, count(*) as rows from clean")
+def q_stream_gates(spark, sf):
+    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
+    path = STR.run_to_table(s, "stream_gates", foreach_batch=STR.gate_batches(min_rows=1))
+    return spark.read.parquet(STR.os.path.join(path, "batches")).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@query("stream_demand_windows", O.ctes() +
+       "select strftime(ws, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as trips from"
+       " (select time_bucket(interval 5 minute, pickup_datetime) - interval (5 * k) minute as ws"
+       " from clean, range(0, 12) r(k)) t group by ws")
+def q_stream_demand(spark, sf):
+    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
+    w = STR.demand_windows(s)
+    path = STR.run_to_table(w, "stream_demand", output_mode="update",
+                            foreach_batch=STR.upsert_latest(["window_start"]))
+    latest = STR.latest_rows(path, ["window_start"], spark)
+    return latest.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                         F.col("trips").cast("long").alias("trips"))
