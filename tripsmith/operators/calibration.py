@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.bands import band
 from ..functions.numeric import rnd
+from ..session import checkpoint_dir
 
 
 def with_spike_label(df: DataFrame, threshold: DataFrame, actual: str = C.TARGET,
@@ -139,7 +140,10 @@ def calibration_report(train_scored: DataFrame, val_scored: DataFrame, threshold
     tr = with_spike_label(train_scored, threshold, actual)
     va = with_spike_label(val_scored, threshold, actual)
     bins = spike_bins(tr, pred)
-    vp = spike_probability(va, bins, pred)
+    # used by the isotonic fit, its scoring and two statistics passes: materialise
+    # once in the shared checkpoint folder (also cuts the lineage)
+    checkpoint_dir(val_scored.sparkSession)
+    vp = spike_probability(va, bins, pred).checkpoint(eager=True)
     fit_src = vp if fit_on == "val" else spike_probability(tr, bins, pred)
     iso = fit_isotonic(fit_src)
     cal = apply_isotonic(iso, vp)
