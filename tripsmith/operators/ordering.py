@@ -34,19 +34,17 @@ from ..session import checkpoint_dir
 _LOCAL_MASK = (1 << 33) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_sorted_checkpoint(df: DataFrame, order: Sequence[Column | str],
                             num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort + reliable checkpoint (see module docstring)."""
     checkpoint_dir(df.sparkSession)
-    n = _partitions(df, num_partitions)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    # Without an explicit count, AQE may coalesce the range partitions to its
+    # advisory size; it only merges *adjacent* ranges, so partition index order
+    # is still the global order, and the checkpoint pins the final layout.
+    part = (df.repartitionByRange(num_partitions, *cols) if num_partitions
+            else df.repartitionByRange(*cols))
+    return part.sortWithinPartitions(*cols).checkpoint(eager=True)
 
 
 def _partition_offsets(local: DataFrame, weight: Column | None = None) -> DataFrame:
