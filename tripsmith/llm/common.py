@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,16 @@ from tripsmith.session import checkpoint_dir
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package from any working folder.
+
+    On a cluster the package is installed or given with ``--py-files``, as usual.
+    """
+    sc = spark.sparkContext
+    if sc._jsc.sc().isLocal():
+        sc.addFile(str(Path(__file__).resolve().parents[1]), recursive=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
