@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripsmith.llm.common import ship_code, table
+from tripsmith.llm.common import scratch_path, ship_code, table
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,6 +13,27 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.warc import read_archives, write_archives
+    path = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.sharding import assign_shards
+    return assign_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.ann import nearest
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripsmith.llm.secret_scan import findings
     return findings(table(spark, sf_dir, "documents"))
@@ -41,5 +63,5 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (
-    op1_minhash, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe)}
+    op1_minhash, op2_warc, op3_sharding, op4_ann, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe)}
 ORACLES: dict[str, str] = {}
