@@ -34,6 +34,16 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.suffix_tree import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.repeats import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripsmith.llm.secret_scan import findings
     return findings(table(spark, sf_dir, "documents"))
@@ -63,5 +73,6 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (
-    op1_minhash, op2_warc, op3_sharding, op4_ann, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe)}
+    op1_minhash, op2_warc, op3_sharding, op4_ann, op5_suffix_tree,
+    op6_repeats, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe)}
 ORACLES: dict[str, str] = {}
