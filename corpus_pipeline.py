@@ -30,16 +30,20 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest doc_id of each group; of rows that share it, the first by text.
+    """The row with the smallest doc_id of each group; of rows that share it, the one with the smallest text.
 
-    Rows without doc_id stay unless their group has an id; rows without words always stay.
+    Rows without doc_id cannot be named as another's copy and stay; so do rows without words.
     """
     ship_code(spark)
-    groups = minhash.near_duplicates(docs, percent=PERCENT)
-    # doc_ids that go; a doc_id that stays may still be repeated
-    gone = materialise(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    return kept
+    groups = materialise(minhash.near_duplicates(docs, percent=PERCENT).where("doc_id is not null"), "groups")
+    gone = groups.where("not kept").select("doc_id").distinct()
+    repeated = materialise(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if not repeated.limit(1).count():
+        return kept
+    once = (kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).groupBy("doc_id")
+            .agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("_row")).select("_row.*"))
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripsmith.session import checkpoint_dir
 
@@ -45,6 +46,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that a broadcast may hold: some ten MB in memory.
+BROADCAST_ROWS = 250_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A materialised frame of a few numeric columns, marked for broadcast if its counted rows allow it.
+
+    Larger frames stay unmarked, so the join shuffles and adaptive execution splits hot keys.
+    """
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsmith.llm.common import LOWER_AZ, materialise, mix64
+from tripsmith.llm.common import LOWER_AZ, materialise, mix64, sized
 from tripsmith.llm.components import components
 
 WIDTH = 5
@@ -165,18 +165,18 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
     order = np.argsort(flat, kind="stable")
     flat, rows = flat[order], rows[order]
     cut = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1], [True])))
-    members = [rows[a:b] for a, b in zip(cut[:-1], cut[1:]) if b - a > 1]
-    near: list[set[int]] = [set() for _ in range(n)]
-    part = np.array(side)
-    for bucket in members:
-        for i in bucket.tolist():
-            near[i].update(bucket.tolist())
+    meet = np.zeros((n, n), bool)
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        if b - a > 1:
+            meet[np.ix_(rows[a:b], rows[a:b])] = True
+    root, part = np.array([joined.root(i) for i in range(n)]), np.array(side)
+    meet &= root[:, None] != root[None, :]
+    if two:
+        meet &= part[:, None] != part[None, :]
+    meet &= 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])
     out, candidates = [], []
     for i in range(n):
-        own = np.array([j for j in near[i] if j > i and (not two or part[j] != part[i])
-                        and joined.root(i) != joined.root(j)], np.int64)
-        if len(own):
-            own = own[100 * np.minimum(size[own], size[i]) >= percent * np.maximum(size[own], size[i])]
+        own = i + 1 + np.flatnonzero(meet[i, i + 1:])
         if len(own):
             guess = estimate(fine[i], fine[own], size[i], size[own])
             keep = guess >= percent / 100 - SLACK
@@ -209,12 +209,20 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """_id, _set (hashes as bytes), _rest of frames (_id, _text, _rest...)."""
+    """_id, _set (hashes as bytes) and the rest of frames (_id, _text, ...); rows that repeat come once a task."""
     rest = [f for f in docs.schema.fields if f.name not in ("_id", "_text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()
         for batch in batches:
-            held = [shingles(t, width).tobytes() for t in batch.column("_text").to_pylist()]
+            held, index = [], []
+            for k, (i, text) in enumerate(zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist())):
+                values = shingles(text, width).tobytes()
+                if (key := (i, xxhash.xxh3_128_digest(values))) not in seen:
+                    seen.add(key)
+                    held.append(values)
+                    index.append(k)
+            batch = batch.take(pa.array(index, pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(held, pa.binary()), *(batch.column(f.name) for f in rest)],
                 ["_id", "_set", *(f.name for f in rest)])
@@ -259,14 +267,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     keyed = classes.where("_rep is not null").select("_rep", F.explode("_bands").alias("_key"))
     hubs = keyed.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1")
     hubs = materialise(hubs.select("_key", "_hub"), "hubs")
-    candidates = keyed.join(hubs, "_key").where("_rep <> _hub").select(F.col("_rep").alias("a"), F.col("_hub").alias("b"))
+    candidates = keyed.join(sized(hubs), "_key").where("_rep <> _hub").select(F.col("_rep").alias("a"), F.col("_hub").alias("b"))
     families = components(candidates)
     sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     members = materialise(
         families.join(materialise(sizes, "sizes"), "component")
         .select(F.col("node").alias("_id"), F.col("component").alias("_family"), "_blocks",
                 F.pmod(F.xxhash64("node"), "_blocks").cast("int").alias("_i")), "members")
-    sets = materialise(_sets(own.join(members, "_id"), width).distinct(), "sets")
+    sets = materialise(_sets(own.join(sized(members), "_id"), width), "sets")
     links = materialise(_links(sets.withColumns({
         "_j": F.col("_i"), "_side": F.lit(0), "_label": F.xxhash64("_id")}), percent), "links")
 
