@@ -102,14 +102,14 @@ class LetterModels:
     def features(self, text: str | None) -> list[float]:
         words = _WORD.findall(text.lower()) if text else []
         if not words:
-            return [0.0] * (len(WINDOWS) + 2)
+            return [0.0] * (len(WINDOWS) + 1)
         score = np.concatenate(([0.0], np.cumsum([self.evidence(w) for w in words])))
         size = np.concatenate(([0.0], np.cumsum([len(w) + 1 for w in words])))
         out = [score[-1] / size[-1]]
         for w in WINDOWS:
             w = min(w, len(words))
             out.append(float(((score[w:] - score[:-w]) / (size[w:] - size[:-w])).max()))
-        return [*out, math.log(len(words))]
+        return out
 
 
 class Scorer:
@@ -128,7 +128,8 @@ class Scorer:
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 30):
     """Ridge-penalised logistic regression by Newton steps on standardised columns."""
-    mean, spread = x.mean(0), x.std(0) + 1e-9
+    mean, spread = x.mean(0), x.std(0)
+    spread = np.where(spread < 1e-6, 1.0, spread)
     z = np.c_[(x - mean) / spread, np.ones(len(x))]
     b = np.zeros(z.shape[1])
     for _ in range(steps):
