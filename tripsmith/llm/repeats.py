@@ -89,9 +89,9 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
     """_k, _t (row key), _lo, _m (starts), _a (anchor), _c (context digest) of every run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
+            for part in slices(batch, "_text", min(1 << 20, PIECE)):
                 x, offsets = utf8(part.column("_text"))
-                for base in range(0, max(1, len(x)), PIECE):  # more than one piece only of one long text
+                for base in range(0, len(x), PIECE):  # more than one piece only of one long text
                     piece = x[base:base + PIECE + length - 1]
                     cut = offsets if len(x) <= PIECE + length - 1 else np.array([0, len(piece)])
                     row, lo, m, a, at = runs(piece, cut, length)

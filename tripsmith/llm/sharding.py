@@ -10,7 +10,7 @@ How it scales
     are placed first, on the driver.  All others are dealt into slices of about ``SLICE``
     groups; each task packs its slice into shares of the residual capacities, which
     are in proportion to what the slice weighs.
-  * A group above ``SPLIT`` of a shard's capacity (a hot text) is cut into pieces by a hash
+  * A group above a shard's capacity (a hot text) is cut into pieces by a hash
     of doc_id; smaller groups stay whole.
   * Slots come from counts per (shard, bucket): no task numbers a whole shard.
 
@@ -32,7 +32,7 @@ from tripsmith.llm.common import materialise
 SHARDS = 40
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
-SPLIT, HEAVY = 1 / 2, 1 / 64
+SPLIT, HEAVY = 1, 1 / 64
 PIECES, SLICE, SLOT_BUCKET = 4096, 20_000, 2_000
 
 _MEASURES = ["_bytes", "_tokens", "_rows"]
