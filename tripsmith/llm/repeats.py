@@ -9,7 +9,9 @@ How it scales
     are dealt out by anchor.  Consecutive starts of one anchor form a run; the bytes that
     its strings cover are its context (``LENGTH`` to about 2 x ``LENGTH`` bytes).
   * Only anchors with two runs or more matter.  Equal contexts are aggregated and sent
-    once, with their number.
+    once, with their number.  Of a string and its anchor, either the (LENGTH - GRAM) / 2
+    bytes before the gram or those after it lie in the string; a context that occurs once and shares
+    neither with another context holds no repeated string and is not sent.
   * Contexts are dealt by anchor into shards of about ``SHARD_BYTES``.  A task builds a
     shard's suffix array by induced sorting and its permuted common prefixes; starts
     whose neighbours in the array share ``LENGTH`` bytes form a class, which repeats if its
@@ -42,6 +44,7 @@ HOT = 1000
 PIECE = 4 << 20
 
 _SYMBOL = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SPANS = pa.list_(pa.struct([("_from", pa.int32()), ("_to", pa.int32())]))
 _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -71,7 +74,7 @@ def anchors(x: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
 
 
 def runs(x: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """(row, start in its text, number of starts, anchor hash, start in x) of every run."""
+    """(row, start in its text, number of starts, anchor hash, start in x, anchor in x) of every run."""
     size = np.diff(offsets)
     at, h = anchors(x, length)
     row = np.repeat(np.arange(len(size)), size)[:len(at)]
@@ -82,11 +85,11 @@ def runs(x: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     count = np.diff(np.concatenate((first, [len(at)])))
     ok = valid[first]
     first, count = first[ok], count[ok]
-    return row[first], first - offsets[row[first]], count, h[at[first]].view(np.int64), first
+    return row[first], first - offsets[row[first]], count, h[at[first]].view(np.int64), first, at[first]
 
 
 def _occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """_k, _t (row key), _lo, _m (starts), _a (anchor), _c (context digest) of every run."""
+    """_k, _t (row key), _lo, _m (starts), _a (anchor), _c (context digest), _l and _r (digests beside the gram) of every run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", min(1 << 20, PIECE)):
@@ -94,17 +97,21 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
                 for base in range(0, len(x), PIECE):  # more than one piece only of one long text
                     piece = x[base:base + PIECE + length - 1]
                     cut = offsets if len(x) <= PIECE + length - 1 else np.array([0, len(piece)])
-                    row, lo, m, a, at = runs(piece, cut, length)
-                    raw = piece.tobytes()
-                    c = [xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip(at.tolist(), (at + m + length - 1).tolist())]
+                    row, lo, m, a, at, gram = runs(piece, cut, length)
+                    raw, half = piece.tobytes(), (length - GRAM) // 2
+                    ends = at + m + length - 1
+                    c = [xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip(at.tolist(), ends.tolist())]
+                    left = [xxhash.xxh32_intdigest(raw[p - half:p]) if p - half >= s else None for s, p in zip(at.tolist(), gram.tolist())]
+                    right = [xxhash.xxh32_intdigest(raw[p:p + GRAM + half]) if p + GRAM + half <= e else None
+                             for p, e in zip(gram.tolist(), ends.tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [part.column("_k").take(pa.array(row)), part.column("_t").take(pa.array(row)), pa.array(lo + base, pa.int64()),
-                         pa.array(m, pa.int32()), pa.array(a), pa.array(np.array(c, np.uint64).view(np.int64))],
-                        ["_k", "_t", "_lo", "_m", "_a", "_c"])
+                         pa.array(m, pa.int32()), pa.array(a), pa.array(np.array(c, np.uint64).view(np.int64)),
+                         pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["_k", "_t", "_lo", "_m", "_a", "_c", "_l", "_r"])
                     if len(x) <= PIECE + length - 1:
                         break
 
-    return docs.mapInArrow(run, "_k long, _t long, _lo long, _m int, _a long, _c long")
+    return docs.mapInArrow(run, "_k long, _t long, _lo long, _m int, _a long, _c long, _l long, _r long")
 
 
 def repeated(contexts: list[bytes], numbers: list[int], length: int = LENGTH) -> list[np.ndarray]:
@@ -177,7 +184,7 @@ def _sorted_shards(contexts: DataFrame, length: int) -> DataFrame:
                         found.append((row[0], row[1], [{"_from": a, "_to": b} for a, b in spans(starts, length)]))
             return pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
-                 pa.array([f[2] for f in found], pa.list_(pa.struct([("_from", pa.int32()), ("_to", pa.int32())])))], ["_a", "_c", "_spans"])
+                 pa.array([f[2] for f in found], _SPANS)], ["_a", "_c", "_spans"])
 
         shard, held = None, []
         for batch in batches:
@@ -192,6 +199,16 @@ def _sorted_shards(contexts: DataFrame, length: int) -> DataFrame:
             .mapInArrow(run, "_a long, _c long, _spans array<struct<_from:int,_to:int>>"))
 
 
+def _merged(starts: DataFrame, length: int) -> DataFrame:
+    """_a, _c, _spans of frames (_a, _c, _offs)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            merged = [[{"_from": a, "_to": b} for a, b in spans(np.sort(np.array(o, np.int64)), length)] for o in batch.column("_offs").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_c"), pa.array(merged, _SPANS)], ["_a", "_c", "_spans"])
+
+    return starts.mapInArrow(run, "_a long, _c long, _spans array<struct<_from:int,_to:int>>")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = False,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining bytes) of every row."""
@@ -202,7 +219,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     shared = materialise(all_runs.groupBy("_a").count().where("count > 1").select("_a"), "anchors")
     occurrences = materialise(all_runs.join(shared, "_a"), "occurrences")
     contexts = materialise(occurrences.groupBy("_a", "_c").agg(
-        F.count("*").alias("_n"), F.first("_m").alias("_m"), F.min(F.struct("_k", "_t", "_lo")).alias("_at")), "contexts")
+        F.count("*").alias("_n"), F.first("_m").alias("_m"), F.first("_l").alias("_l"), F.first("_r").alias("_r"),
+        F.min(F.struct("_k", "_t", "_lo")).alias("_at")), "contexts")
+    halves = contexts.select("_a", "_c", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("_l").alias("half")), F.struct(F.lit(1).alias("side"), F.col("_r").alias("half")))).alias("_x"))
+    halves = halves.select("_a", "_c", "_x.side", "_x.half").where("half is not null")
+    common = materialise(halves.groupBy("_a", "side", "half").count().where("count > 1").drop("count"), "halves")
+    alike = materialise(halves.join(common, ["_a", "side", "half"]).select("_a", "_c").distinct(), "alike")
+    contexts = materialise(contexts.where("_n > 1").unionByName(
+        contexts.where("_n = 1").join(alike, ["_a", "_c"], "left_semi").select(*contexts.columns)), "sortable")
     volume = contexts.agg(F.coalesce(F.sum(F.col("_m") + length), F.lit(0))).first()[0]
     shards = max(1, -(-volume // SHARD_BYTES))
     hot = materialise(contexts.groupBy("_a").count().where(F.col("count") > HOT).select("_a", F.lit(True).alias("_hot")), "hot")
@@ -217,8 +242,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     found = _sorted_shards(sent.where("_kind = 0"), length)
     strings = materialise(sent.where("_kind = 1").select("_a", "_c", "_n", "_off", "_d1", "_d2"), "strings")
     twice = materialise(strings.groupBy("_d1", "_d2").agg(F.sum("_n").alias("_s")).where("_s > 1").select("_d1", "_d2"), "twice")
-    frequent = (strings.join(twice, ["_d1", "_d2"]).groupBy("_a", "_c").agg(F.collect_list(
-        F.struct(F.col("_off").alias("_from"), (F.col("_off") + length).alias("_to"))).alias("_spans")))
+    frequent = _merged(strings.join(twice, ["_d1", "_d2"]).groupBy("_a", "_c").agg(F.collect_set("_off").alias("_offs")), length)
     found = materialise(found.unionAll(frequent), "found")
     removed = (occurrences.join(found, ["_a", "_c"]).select("_k", "_t", F.explode(F.transform("_spans", lambda s: F.struct(
         (s["_from"] + F.col("_lo")).alias("_from"), (s["_to"] + F.col("_lo")).alias("_to")))).alias("_s"))
