@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tripsmith.operators.ordering import exact_percentile, prefix_sum, with_global_position
+from tripsmith.operators.ordering import exact_percentile, prefix_sum, rows_at, with_global_position
 
 
 def test_global_position_is_a_total_order(spark):
@@ -19,7 +19,7 @@ def test_exact_percentile_matches_numpy_with_hot_value(spark):
                                "g string, v double, i long")
     whole = exact_percentile(df, "v", 0.95).first()[0]
     assert abs(whole - np.percentile(vals, 95)) < 1e-9
-    per = {r.g: r.v_q for r in exact_percentile(df, "v", 0.3, by=["g"], tiebreak="i").collect()}
+    per = {r.g: r.v_q for r in exact_percentile(df, "v", 0.3, by=["g"]).collect()}
     for g in ("a", "b"):
         assert abs(per[g] - np.percentile(vals[grp == g], 30)) < 1e-9
 
@@ -29,3 +29,39 @@ def test_prefix_sum_exclusive(spark):
     got = sorted((r.k, r.prefix) for r in prefix_sum(df, ["k"], "w").collect())
     ws = [w for _, w in sorted(zip(range(50, 0, -1), range(1, 51)))]
     assert [p for _, p in got] == list(np.cumsum([0] + ws[:-1]))
+
+
+def test_exact_percentile_of_mostly_one_value_without_moving_rows(spark):
+    rng = np.random.default_rng(2)
+    vals = np.concatenate([np.full(9000, 3.0), rng.normal(0, 1, 1000)])
+    rng.shuffle(vals)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for q in (0.0, 0.03, 0.05, 0.5, 0.97, 1.0):
+            out = exact_percentile(df, "v", q)
+            assert abs(out.first()[0] - np.percentile(vals, 100 * q)) < 1e-9
+        plan = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert exact_percentile(df.where("v > 1e9"), "v", 0.5).count() == 0
+
+
+def test_rows_at_cuts_through_ties(spark):
+    rows = [(k // 40, f"k{k:04d}") for k in range(1000)] + [(13, f"z{k:04d}") for k in range(600)]
+    df = spark.createDataFrame(rows, "t long, k string").repartition(5)
+    order = sorted(rows)
+    for fractions in ([0.75, 0.8], [0.0, 0.999], [0.4, 0.41], [0.5, 1.0]):
+        want = [order[int(len(rows) * f)] if int(len(rows) * f) < len(rows) else None for f in fractions]
+        assert rows_at(df, "t", "k", fractions) == want
+    assert rows_at(df.where("false"), "t", "k", [0.5]) == [None]
+
+
+def test_exact_percentile_of_few_rows(spark):
+    for n in (1, 2, 3, 5, 21, 101, 474, 475, 500):
+        vals = [float((k * 7919) % 1009) for k in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        for q in (0.05, 0.5, 0.95):
+            assert abs(exact_percentile(df, "v", q).first()[0] - np.percentile(vals, 100 * q)) < 1e-9

@@ -73,14 +73,17 @@ DOMINANCE_THRESHOLD = 0.70
 REGISTRY_SHARE_LIMIT = 0.05
 ADDITIVITY_TOLERANCE = 1.0
 
-# -- fixed values: verdict bands (cuts ascending, labels one longer) --------------
-OVERFIT_BANDS = ([15.0, 30.0], ["healthy", "moderate overfit", "severe overfit"])
-SLICE_RATIO_BANDS = ([2.0, 3.0, 4.0], ["acceptable", "moderate", "significant", "severe"])
-STABILITY_BANDS = ([0.05, 0.15], ["STABLE", "MODERATE", "VOLATILE"])
-CALIBRATION_BANDS = ([0.05, 0.10], ["well calibrated", "moderately calibrated", "poorly calibrated"])
-IMPROVEMENT_VS_BASELINE_BANDS = ([0.0, 10.0, 25.0], ["worse", "marginal", "meaningful", "strong"])
-IMPROVEMENT_VS_LINEAR_BANDS = ([5.0, 20.0], ["marginal", "meaningful", "strong"])
-TEST_GAP_BANDS = ([0.0, 50.0], ["better than validation", "slightly worse", "much worse"])
+# -- fixed values: verdict bands (cuts ascending, labels one longer, whether a cut is
+#    part of the label before it) ------------------------------------------------------
+OVERFIT_BANDS = ([15.0, 30.0], ["healthy", "mild overfit", "severe overfit"], True)
+SLICE_RATIO_BANDS = ([2.0, 3.0, 4.0], ["excellent", "good", "moderate", "poor"], False)
+STABILITY_BANDS = ([0.05, 0.15], ["STABLE", "MODERATE", "VOLATILE"], False)
+CALIBRATION_BANDS = ([0.05, 0.10], ["good", "moderate", "poor"], False)
+IMPROVEMENT_VS_BASELINE_BANDS = ([0.0, 10.0, 25.0], ["worse", "weak", "moderate", "strong"], False)
+IMPROVEMENT_VS_LINEAR_BANDS = ([5.0, 20.0], ["barely beats linear", "moderate non-linearity",
+                                             "strong non-linearity"], False)
+TEST_GAP_BANDS = ([0.0, 50.0], ["matches or beats validation", "slight degradation",
+                                "significant degradation"], True)
 BIAS_LIMIT_S = 10.0
 CALIBRATION_DIRECTION_LIMIT = 0.05
 OVERRIDE_PRECISION_LIMIT = 0.3

@@ -8,29 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def band(col, cuts: Sequence[float], labels: Sequence[str]) -> Column:
-    """Label by the first cut the value is strictly below; the last label is the rest.
+def band(col, cuts: Sequence[float], labels: Sequence[str], closed: bool = False) -> Column:
+    """Label by the first cut the value is below; the last label is the rest.
 
-    ``band(x, [15, 30], ["a", "b", "c"])`` -> a if x < 15, b if x < 30, else c.
-    NULL input gives NULL.
+    ``band(x, [15, 30], ["a", "b", "c"])`` -> a if x < 15, b if x < 30, else c.  With ``closed``
+    a cut itself belongs to the label before it (x <= 15).  Give the unrounded value: a rounded
+    one may cross a cut.  NULL input gives NULL.
     """
     if len(labels) != len(cuts) + 1:
         raise ValueError("labels must be one longer than cuts")
     c = F.col(col) if isinstance(col, str) else col
     expr = F.when(c.isNull(), F.lit(None).cast("string"))
     for cut, label in zip(cuts, labels):
-        expr = expr.when(c < F.lit(float(cut)), F.lit(label))
+        limit = F.lit(float(cut))
+        expr = expr.when(c <= limit if closed else c < limit, F.lit(label))
     return expr.otherwise(F.lit(labels[-1]))
-
-
-def _double_literal(x: float) -> str:
-    text = repr(float(x))
-    return text if "e" in text else text + "e0"
-
-
-def band_sql(expr: str, cuts: Sequence[float], labels: Sequence[str]) -> str:
-    """The same banding as portable SQL text (used by oracles)."""
-    parts = [f"when ({expr}) is null then null"]
-    for cut, label in zip(cuts, labels):
-        parts.append(f"when ({expr}) < {_double_literal(cut)} then '{label}'")
-    return "case " + " ".join(parts) + f" else '{labels[-1]}' end"

@@ -157,10 +157,11 @@ def calibration_report(train_scored: DataFrame, val_scored: DataFrame, threshold
                            else F.col(c).alias(f"{tag}_{c}") for c in df.columns])
     rep = (threshold.select(rnd("spike_threshold", 1).alias("spike_threshold"))
            .crossJoin(hist.select(rnd("_hm", 1).alias("historical_mean")))
-           .crossJoin(pre(before, "uncal")).crossJoin(pre(after, "cal")).crossJoin(over))
+           .crossJoin(pre(before, "uncal")).crossJoin(pre(after, "cal"))
+           .crossJoin(after.select(F.col("ece").alias("_raw_ece"))).crossJoin(over))
     return rep.withColumns({
         "spike_percentile": F.lit(C.SPIKE_PERCENTILE),
         "ece_improvement": rnd(F.col("uncal_ece") - F.col("cal_ece"), 4),
         "brier_improvement": rnd(F.col("uncal_brier_score") - F.col("cal_brier_score"), 4),
-        "calibration_verdict": band("cal_ece", *C.CALIBRATION_BANDS),
-    })
+        "calibration_verdict": band("_raw_ece", *C.CALIBRATION_BANDS),
+    }).drop("_raw_ece")

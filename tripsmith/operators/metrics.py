@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.bands import band
 from ..functions.numeric import rnd
-from .ordering import exact_percentile
+from ..session import checkpoint_dir
+from .ordering import bracket, exact_percentile
 
 METRIC_COLUMNS = ["rmse_seconds", "mape_pct", "mean_error_seconds", "p95_error_seconds", "r2"]
 
@@ -29,8 +30,7 @@ def with_errors(df: DataFrame, actual: str, pred: str) -> DataFrame:
 
 
 def five_metrics(df: DataFrame, actual: str, pred: str, by: Sequence[str] = (),
-                 digits: int = 2, r2_digits: int = 4, tiebreak: str | None = None,
-                 rounded: bool = True) -> DataFrame:
+                 digits: int = 2, r2_digits: int = 4, rounded: bool = True) -> DataFrame:
     """Rmse, mape %, signed mean error, p95 |error|, r2 (+ rows) per group.
 
     MAPE skips rows whose actual is 0 (``try_divide`` -> NULL) instead of
@@ -38,17 +38,18 @@ def five_metrics(df: DataFrame, actual: str, pred: str, by: Sequence[str] = (),
     """
     by = list(by)
     e = with_errors(df, actual, pred)
+    checkpoint_dir(df.sparkSession)
     agg = e.groupBy(*by).agg(
+        *bracket("_ae", C.SPIKE_PERCENTILE),
         F.count(F.lit(1)).alias("rows"),
         F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse_seconds"),
         (F.avg(F.try_divide(F.col("_ae"), F.col("_a"))) * 100.0).alias("mape_pct"),
         F.avg("_e").alias("mean_error_seconds"),
         (1.0 - F.try_divide(F.sum(F.col("_e") * F.col("_e")),
                             F.var_pop("_a") * F.count(F.lit(1)))).alias("r2"),
-    )
-    p95 = exact_percentile(e, "_ae", C.SPIKE_PERCENTILE, by=by, tiebreak=tiebreak,
-                           alias="p95_error_seconds")
-    out = agg.join(p95, by, "left") if by else agg.crossJoin(p95)  # 1 x 1 rows
+    ).checkpoint()  # one row per group
+    p95 = exact_percentile(e, "_ae", C.SPIKE_PERCENTILE, by=by, alias="p95_error_seconds", brackets=agg)
+    out = agg.join(p95, by, "left") if by else agg.join(p95, F.lit(True), "left")  # 1 x 1 rows
     cols = [*by, F.col("rows").cast("long").alias("rows")]
     for m in METRIC_COLUMNS:
         d = r2_digits if m == "r2" else digits
@@ -57,9 +58,9 @@ def five_metrics(df: DataFrame, actual: str, pred: str, by: Sequence[str] = (),
 
 
 def spike_threshold(df: DataFrame, actual: str = C.TARGET,
-                    q: float = C.SPIKE_PERCENTILE, tiebreak: str | None = None) -> DataFrame:
+                    q: float = C.SPIKE_PERCENTILE) -> DataFrame:
     """E5: exact linear percentile of the target (one row, ``spike_threshold``)."""
-    return exact_percentile(df, actual, q, tiebreak=tiebreak, alias="spike_threshold")
+    return exact_percentile(df, actual, q, alias="spike_threshold")
 
 
 def sample_weights(df: DataFrame, threshold: DataFrame, actual: str = C.TARGET,
@@ -82,7 +83,7 @@ def weight_share(weighted: DataFrame, weight: float = C.SPIKE_WEIGHT) -> DataFra
 
 
 def slice_metrics(df: DataFrame, actual: str, pred: str, threshold: DataFrame,
-                  digits: int = 1, tiebreak: str | None = None) -> DataFrame:
+                  digits: int = 1) -> DataFrame:
     """Rows / rmse / bias / p95 for ``actual <= t`` (normal) and ``> t`` (spike),
     plus the spike-to-normal RMSE ratio computed from the rounded values."""
     e = with_errors(df.crossJoin(F.broadcast(threshold)), actual, pred).withColumn(
@@ -92,16 +93,14 @@ def slice_metrics(df: DataFrame, actual: str, pred: str, threshold: DataFrame,
         F.count(F.lit(1)).alias("rows"),
         rnd(F.sqrt(F.avg(F.col("_e") * F.col("_e"))), digits).alias("rmse_seconds"),
         rnd(F.avg("_e"), digits).alias("bias_seconds"))
-    p95 = exact_percentile(e, "_ae", C.SPIKE_PERCENTILE, by=["slice"], tiebreak=tiebreak,
-                           alias="p95_seconds")
+    p95 = exact_percentile(e, "_ae", C.SPIKE_PERCENTILE, by=["slice"], alias="p95_seconds")
     out = agg.join(p95, "slice", "left").withColumn("p95_seconds", rnd("p95_seconds", digits))
     normal = F.max(F.when(F.col("slice") == "normal", F.col("rmse_seconds")))
-    ratio = out.agg(rnd(F.try_divide(F.max(F.when(F.col("slice") == "spike", F.col("rmse_seconds"))),
-                                     normal), 2).alias("ratio"))
-    return out.crossJoin(ratio).withColumn(
-        "verdict", band("ratio", *C.SLICE_RATIO_BANDS)).select(
+    ratio = out.agg(F.try_divide(F.max(F.when(F.col("slice") == "spike", F.col("rmse_seconds"))),
+                                 normal).alias("_ratio"))
+    return out.crossJoin(ratio).select(
         "slice", F.col("rows").cast("long").alias("rows"), "rmse_seconds", "bias_seconds",
-        "p95_seconds", "ratio", "verdict")
+        "p95_seconds", rnd("_ratio", 2).alias("ratio"), band("_ratio", *C.SLICE_RATIO_BANDS).alias("verdict"))
 
 
 def overfit_gap(metrics: DataFrame, split_col: str = "split", train: str = "train",
@@ -110,10 +109,9 @@ def overfit_gap(metrics: DataFrame, split_col: str = "split", train: str = "trai
     agg = metrics.agg(
         F.max(F.when(F.col(split_col) == train, F.col("rmse_seconds"))).alias("train_rmse_seconds"),
         F.max(F.when(F.col(split_col) == val, F.col("rmse_seconds"))).alias("val_rmse_seconds"))
-    gap = rnd(F.try_divide((F.col("val_rmse_seconds") - F.col("train_rmse_seconds")) * 100.0,
-                           F.col("train_rmse_seconds")), 1)
-    return agg.withColumn("overfit_gap_pct", gap).withColumn(
-        "verdict", band("overfit_gap_pct", *C.OVERFIT_BANDS))
+    gap = F.try_divide((F.col("val_rmse_seconds") - F.col("train_rmse_seconds")) * 100.0,
+                       F.col("train_rmse_seconds"))
+    return agg.withColumns({"overfit_gap_pct": rnd(gap, 1), "verdict": band(gap, *C.OVERFIT_BANDS)})
 
 
 def fold_summary(fold_metrics: DataFrame, value: str = "rmse_seconds") -> DataFrame:
@@ -127,33 +125,32 @@ def fold_summary(fold_metrics: DataFrame, value: str = "rmse_seconds") -> DataFr
         F.col("folds").cast("long").alias("folds"),
         rnd("mean_rmse", 2).alias("mean_rmse"), rnd("std_rmse", 2).alias("std_rmse"),
         rnd("min_rmse", 2).alias("min_rmse"), rnd("max_rmse", 2).alias("max_rmse"),
-        rnd("cv", 4).alias("cv"), band(rnd("cv", 4), *C.STABILITY_BANDS).alias("stability"))
+        rnd("cv", 4).alias("cv"), band("cv", *C.STABILITY_BANDS).alias("stability"))
 
 
 def model_comparison(metrics: DataFrame, baseline: str, reference: str | None = None,
                      model_col: str = "model") -> DataFrame:
-    """Per model, RMSE improvement % vs the baseline (and vs a reference
-    model), bias reading, P95 in minutes, and banded verdicts."""
-    base = metrics.where(F.col(model_col) == baseline).select(
-        F.col("rmse_seconds").alias("_base_rmse"))
+    """Per model, RMSE improvement % vs the baseline and vs a reference (linear) model,
+    bias reading, P95 in minutes, and banded verdicts.  One row per model is expected: pick a
+    run first (``sinks.one_run``) where the metrics table holds several."""
+    def improvement(other: str, to: str):
+        value = F.try_divide((F.col(to) - F.col("rmse_seconds")) * 100.0, F.col(to))
+        bands = C.IMPROVEMENT_VS_BASELINE_BANDS if other == "baseline" else C.IMPROVEMENT_VS_LINEAR_BANDS
+        return {f"improvement_vs_{other}_pct": rnd(value, 2), f"verdict_vs_{other}": band(value, *bands)}
+
+    base = metrics.where(F.col(model_col) == baseline).agg(F.max("rmse_seconds").alias("_base_rmse"))
     out = metrics.crossJoin(F.broadcast(base))  # one-row side
-    out = out.withColumn("improvement_vs_baseline_pct", rnd(F.try_divide(
-        (F.col("_base_rmse") - F.col("rmse_seconds")) * 100.0, F.col("_base_rmse")), 2))
+    extra = improvement("baseline", "_base_rmse")
     if reference is not None:
-        ref = metrics.where(F.col(model_col) == reference).select(
-            F.col("rmse_seconds").alias("_ref_rmse"))
-        out = out.crossJoin(F.broadcast(ref)).withColumn(
-            "improvement_vs_reference_pct", rnd(F.try_divide(
-                (F.col("_ref_rmse") - F.col("rmse_seconds")) * 100.0, F.col("_ref_rmse")), 2))
+        ref = metrics.where(F.col(model_col) == reference).agg(F.max("rmse_seconds").alias("_ref_rmse"))
+        out = out.crossJoin(F.broadcast(ref))
+        extra |= improvement("reference", "_ref_rmse")
     bias = F.col("mean_error_seconds")
-    out = out.withColumns({
+    return out.withColumns(extra | {
         "bias_reading": F.when(F.abs(bias) < C.BIAS_LIMIT_S, F.lit("well-calibrated"))
         .when(bias > 0, F.lit("under-predicts")).otherwise(F.lit("over-predicts")),
         "p95_minutes": rnd(F.col("p95_error_seconds") / 60.0, 1),
-        "verdict_vs_baseline": band("improvement_vs_baseline_pct",
-                                    *C.IMPROVEMENT_VS_BASELINE_BANDS),
-    })
-    return out.drop("_base_rmse", "_ref_rmse")
+    }).drop("_base_rmse", "_ref_rmse")
 
 
 def metric_deltas(metrics: DataFrame, model_a: str, model_b: str,
@@ -180,8 +177,8 @@ def metric_deltas(metrics: DataFrame, model_a: str, model_b: str,
 def promotion_check(contract: DataFrame, candidate: DataFrame, tolerance: float = 0.0) -> DataFrame:
     """Keep the stored model when the candidate's RMSE regresses beyond
     ``tolerance`` (relative).  Both inputs are one-row metric frames."""
-    c = contract.select(F.col("rmse_seconds").alias("current_rmse"))
-    n = candidate.select(F.col("rmse_seconds").alias("candidate_rmse"))
+    c = contract.agg(F.max("rmse_seconds").alias("current_rmse"))
+    n = candidate.agg(F.max("rmse_seconds").alias("candidate_rmse"))
     return c.crossJoin(n).withColumn(
         "promote", F.col("candidate_rmse") <= F.col("current_rmse") * (1.0 + tolerance))
 

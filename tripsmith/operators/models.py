@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.bands import band
 from ..functions.numeric import rnd
 from .metrics import five_metrics
 from .splits import Fold, assign_folds
@@ -64,8 +65,7 @@ def fallback_rate(scored: DataFrame) -> DataFrame:
         "fallback_rate", rnd(F.try_divide(F.col("fallback_rows"), F.col("rows")), 6))
 
 
-def walk_forward_lookup(df: DataFrame, folds: Sequence[Fold], target: str = C.TARGET,
-                        tiebreak: str | None = C.KEY_COL) -> DataFrame:
+def walk_forward_lookup(df: DataFrame, folds: Sequence[Fold], target: str = C.TARGET) -> DataFrame:
     """J10 for the lookup model: every fold fitted and scored in one job.
     Rows are expanded to (row, fold, role) inside the scan; per-fold tables are
     grouped aggregates; the metrics are one grouped pass over all folds."""
@@ -75,7 +75,7 @@ def walk_forward_lookup(df: DataFrame, folds: Sequence[Fold], target: str = C.TA
     lookup = fit_lookup(train, target, by=["fold"])
     gm = train.groupBy("fold").agg(F.avg(F.col(target).cast("double")).alias("global_mean"))
     scored = predict_lookup(val, lookup, gm, by=["fold"])
-    m = five_metrics(scored, target, "prediction", by=["fold"], tiebreak=tiebreak)
+    m = five_metrics(scored, target, "prediction", by=["fold"])
     counts = a.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("train_rows"),
                                    F.count_if(F.col("role") == "val").alias("val_rows"))
     return m.join(counts, "fold").drop("rows")
@@ -163,12 +163,11 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def final_test_evaluation(scored_test: DataFrame, validation_rmse: float,
-                          label: str = "model", target: str = C.TARGET) -> DataFrame:
-    """Test-set metrics plus the gap to a stored validation RMSE."""
-    from ..functions.bands import band
-    m = five_metrics(scored_test, target, "prediction").withColumn("model", F.lit(label))
-    return m.withColumns({
-        "test_rows": F.col("rows"),
-        "rmse_gap_vs_validation": rnd(F.col("rmse_seconds") - F.lit(float(validation_rmse)), 2),
-    }).withColumn("verdict", band("rmse_gap_vs_validation", *C.TEST_GAP_BANDS))
+def final_test_evaluation(scored: DataFrame, target: str = C.TARGET, split_col: str = "split") -> DataFrame:
+    """Metrics of the test rows of a scored frame, and their RMSE gap to its validation rows."""
+    m = five_metrics(scored, target, "prediction", by=[split_col])
+    v = m.where(F.col(split_col) == "val").agg(F.max("rmse_seconds").alias("_v"))  # one row
+    gap = F.col("rmse_seconds") - F.col("_v")
+    return m.where(F.col(split_col) == "test").drop(split_col).crossJoin(v).withColumns({
+        "test_rows": F.col("rows"), "rmse_gap_vs_validation": rnd(gap, 2), "verdict": band(gap, *C.TEST_GAP_BANDS),
+    }).drop("_v")

@@ -72,43 +72,113 @@ def with_global_position(df: DataFrame, order: Sequence[Column | str], pos_col:
     return out.drop("_pid", "_mid", "_off")
 
 
+#: Accuracy of the sketch that brackets a quantile, and how many of its errors each side allows.
+_SKETCH, _ERRORS = 50_000, 8
+#: Groups (one small row each) that a broadcast may hold.
+_MAX_BROADCAST_GROUPS = 100_000
+
+
+def bracket(value: str, q: float) -> list[Column]:
+    """Aggregates ``_lo`` and ``_hi``: a mergeable sketch's bounds around the quantile ``q``."""
+    margin = _ERRORS / _SKETCH
+    v = F.col(value).cast("double")
+    return [F.percentile_approx(v, max(q - margin, 0.0), _SKETCH).alias("_lo"),
+            F.percentile_approx(v, min(q + margin, 1.0), _SKETCH).alias("_hi")]
+
+
+def per_group(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Join a materialised table of one row per group to all rows without moving the rows.
+
+    Groups are few (models, slices, splits, folds); their number is checked.
+    """
+    if not by:
+        return rows.crossJoin(F.broadcast(groups))  # one row
+    few = groups.count() <= _MAX_BROADCAST_GROUPS
+    return rows.join(F.broadcast(groups) if few else groups, list(by))
+
+
 def exact_percentile(df: DataFrame, value: str, q: float, by: Sequence[str] = (),
-                     tiebreak: str | None = None, alias: str | None = None) -> DataFrame:
-    """Exact linearly-interpolated quantile per group (numpy default /
-    ``percentile`` / DuckDB ``quantile_cont``) without a per-group value map:
-    rows are globally ordered by (group, value, tiebreak), the two rows around
-    position ``q * (n - 1)`` of each group are picked, and interpolated.
-
-    Memory per task stays bounded however large a group is, including a
-    single group holding most rows.  Output: ``by`` columns + ``alias``.
+                     alias: str | None = None, brackets: DataFrame | None = None) -> DataFrame:
+    """Exact linearly-interpolated quantile per group (numpy default / ``percentile`` /
+    DuckDB ``quantile_cont``) from two map-side aggregations; rows are never moved or sorted.
+
+    1. A sketch per group brackets the quantile (``brackets``: computed by the caller together
+       with other aggregates, columns ``by``, ``_lo``, ``_hi``).
+    2. Rows below and above the bracket are counted, values inside are counted by value.  A
+       running count over the few distinct values inside (about ``2 * _ERRORS / _SKETCH`` of a
+       group at most) finds the two ranks around ``q * (n - 1)``.
+
+    One value or group may hold most rows: equal values collapse before the shuffle.  NULLs are
+    left out; a group without values has no row.  Output: ``by`` columns + ``alias``.
     """
     alias = alias or f"{value}_q"
     by = list(by)
-    whole = not by
-    if whole:  # one group: a constant key keeps every join an equi-join
-        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
-    tb = F.col(tiebreak) if tiebreak else F.xxhash64(F.rand(17))
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double")
-                                                     .alias("_v"), tb.alias("_tb"))
-    pos = with_global_position(base, [*by, "_v", "_tb"], pos_col="_pos")
-    groups = pos.groupBy(*by).agg(F.min("_pos").alias("_start"),
-                                  F.count(F.lit(1)).alias("_n"))
-    groups = groups.withColumn("_h", F.lit(float(q)) * (F.col("_n") - 1)).withColumns({
-        "_lo": F.col("_start") + F.floor("_h").cast("long"),
-        "_hi": F.col("_start") + F.ceil("_h").cast("long"),
-        "_frac": F.col("_h") - F.floor("_h"),
-    })
-    # group table has one row per group (callers use low-cardinality groups);
-    # leave the join strategy to AQE, which broadcasts it when it is small
-    picked = pos.join(groups, by, "inner") \
-        .where((F.col("_pos") == F.col("_lo")) | (F.col("_pos") == F.col("_hi")))
-    res = picked.groupBy(*by).agg(
-        F.max(F.when(F.col("_pos") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_pos") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    out = res.select(*by, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")))
-                     .alias(alias))
-    return out.drop("_g") if whole else out
+    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    if brackets is None:
+        agg = base.groupBy(*by).agg(*bracket("_v", q))
+        checkpoint_dir(df.sparkSession)
+        brackets = agg.checkpoint()
+    bounded = per_group(base, brackets.select(*by, "_lo", "_hi"), by)
+    side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
+    counted = bounded.select(*by, side.alias("_s"), F.when(side == 0, F.col("_v")).alias("_v"), F.col("_v").alias("_w")) \
+        .groupBy(*by, "_s", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_w").alias("_mn"), F.max("_w").alias("_mx"))
+    keys = by or [F.lit(0)]
+    run = Window.partitionBy(*keys).orderBy("_s", "_v")
+    ranked = counted.withColumns({
+        "_end": F.sum("_c").over(run.rowsBetween(Window.unboundedPreceding, 0)),
+        "_h": F.lit(float(q)) * (F.sum("_c").over(Window.partitionBy(*keys)) - 1)})
+
+    def at(rank: Column) -> Column:
+        # a bracket of few rows may end one row short: the values next to it are known too
+        return F.max(F.when(rank == F.col("_end") - F.col("_c"), F.col("_mn")).when(rank == F.col("_end") - 1, F.col("_mx"))
+                     .when((F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end")), F.col("_v")))
+
+    res = ranked.groupBy(*by).agg(at(F.floor("_h")).alias("_vlo"), at(F.ceil("_h")).alias("_vhi"),
+                                  F.first("_h").alias("_h"))
+    frac = F.col("_h") - F.floor("_h")
+    out = res.select(*by, (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias(alias))
+    return out.where(F.col(alias).isNotNull()) if not by else out
+
+
+def rows_at(df: DataFrame, value: str, key: str, fractions: Sequence[float]) -> list[tuple | None]:
+    """(value, key) of the rows at positions ``floor(n * fraction)`` in (value, key) order, the value
+    as a long; None beyond the last row.  Rows are neither moved nor sorted.
+
+    As in ``exact_percentile``: sketches bracket the positions, values inside the brackets are
+    counted.  Only where several rows share the value at a position are their keys ordered.
+    """
+    margin = _ERRORS / _SKETCH
+    v = F.col(value).cast("long")
+    stats = df.agg(F.count(v).alias("n"), *(
+        F.percentile_approx(v, min(max(f + side * margin, 0.0), 1.0), _SKETCH).alias(f"{name}{i}")
+        for i, f in enumerate(fractions) for name, side in (("lo", -1), ("hi", 1)))).first()
+    n = stats["n"]
+    ranks = [int(n * f) for f in fractions]
+    if not n:
+        return [None for _ in ranks]
+    step, inside = F.lit(0), F.lit(False)
+    for i in range(len(fractions)):  # segments in ascending order of the value
+        step = step + (v >= stats[f"lo{i}"]).cast("int") + (v > stats[f"hi{i}"]).cast("int")
+        inside = inside | v.between(stats[f"lo{i}"], stats[f"hi{i}"])
+    counted = df.where(v.isNotNull()).select(step.alias("_s"), F.when(inside, v).alias("_v"), v.alias("_w")) \
+        .groupBy("_s", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_w").alias("_mn"), F.max("_w").alias("_mx"))
+    run = Window.orderBy("_s", "_v").rowsBetween(Window.unboundedPreceding, -1)  # few distinct values
+    before = counted.withColumn("_b", F.coalesce(F.sum("_c").over(run), F.lit(0)))
+    out = []
+    for rank in ranks:
+        hit = before.where((F.col("_b") <= rank) & (rank < F.col("_b") + F.col("_c"))).first() if rank < n else None
+        if hit is None:
+            out.append(None)
+            continue
+        at = hit["_v"]
+        if at is None:  # a bracket of few rows may end one row short: the values next to it are known too
+            at = hit["_mn"] if rank == hit["_b"] else hit["_mx"]
+        ties = df.where(v == at).select(F.col(key).alias("_k"))
+        below = df.where(v < at).count() if hit["_v"] is None else hit["_b"]
+        if hit["_c"] > 1:
+            ties = with_global_position(ties, ["_k"], "_p").where(F.col("_p") == rank - below)
+        out.append((at, ties.first()["_k"]))
+    return out
 
 
 def _local_exclusive_cumsum(key_col: str, weight_col: str):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .ordering import with_global_position
+from .ordering import rows_at, with_global_position
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ def date_split(df: DataFrame, train_end: str, gap_end: str, val_end: str,
 
     Date strings mean midnight (parity: the end day itself is excluded).
     ``end_inclusive=True`` moves every cut to the end of the named day.
-    Pure predicates, so a downstream ``where(split == 'val')`` prunes at the scan.
+    Pure predicates on the time column: no shuffle.
     """
     def cut(s):
         t = _ts(s)
@@ -45,26 +45,25 @@ def date_split(df: DataFrame, train_end: str, gap_end: str, val_end: str,
 
 def time_rank(df: DataFrame, ts: str = C.TIME_COL, key: str = C.KEY_COL,
               rank_col: str = "time_rank") -> DataFrame:
-    """0-based position in (time, key) order, computed with a range-partitioned
-    sort and per-partition offsets (no single-task global window)."""
-    return with_global_position(df, [ts, key], pos_col=rank_col)
+    """key, time and 0-based position in (time, key) order, computed with a range-partitioned
+    sort of these two columns and per-partition offsets (no single-task global window)."""
+    return with_global_position(df.select(key, ts), [ts, key], pos_col=rank_col)
 
 
 def temporal_split(df: DataFrame, train_frac: float = C.TRAIN_FRAC,
                    gap_frac: float = C.GAP_FRAC, ts: str = C.TIME_COL, key: str = C.KEY_COL,
-                   split_col: str = "split", keep_rank: bool = False) -> DataFrame:
-    """Positional split - first ``int(n*train_frac)`` rows in time order
-    are train, the next ``int(n*(train_frac+gap_frac))`` bound ends the gap, the
-    rest is val.  Ties in time are ordered by ``key``."""
-    ranked = time_rank(df, ts, key, "_rank")
-    n = ranked.agg(F.count(F.lit(1)).alias("_n"))  # one row
-    cut1 = F.floor(F.col("_n") * F.lit(float(train_frac)))
-    cut2 = F.floor(F.col("_n") * F.lit(float(train_frac + gap_frac)))
-    out = ranked.crossJoin(F.broadcast(n)).withColumn(
-        split_col, F.when(F.col("_rank") < cut1, "train").when(F.col("_rank") < cut2, "gap")
-        .otherwise("val"))
-    out = out.drop("_n")
-    return out.withColumnRenamed("_rank", "time_rank") if keep_rank else out.drop("_rank")
+                   split_col: str = "split") -> DataFrame:
+    """Positional split - the first ``int(n*train_frac)`` rows in (time, key) order are
+    train, those up to ``int(n*(train_frac+gap_frac))`` the gap, the rest is val.  Rows are labelled
+    by comparison with the two rows at the cuts: no rank, no shuffle of the table."""
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    cuts = rows_at(df.select(t.alias("_t"), key), "_t", key, [train_frac, train_frac + gap_frac])
+
+    def before(cut):
+        if cut is None:
+            return F.lit(True)
+        return (t < cut[0]) | ((t == cut[0]) & (F.col(key) < cut[1]))
+    return df.withColumn(split_col, F.when(before(cuts[0]), "train").when(before(cuts[1]), "gap").otherwise("val"))
 
 
 def assign_folds(df: DataFrame, folds: Sequence[Fold], ts: str = C.TIME_COL) -> DataFrame:

@@ -145,7 +145,7 @@ def q_fallback(spark, sf):
 @query("five_metrics", O.ctes(*LOOKUP_CTES) + O.five_metrics_sql("scored").replace(
     "select ", "select 'lookup_baseline' as model, ", 1))
 def q_five_metrics(spark, sf):
-    m = M.five_metrics(lookup_scored(spark, sf), C.TARGET, "prediction", tiebreak="id")
+    m = M.five_metrics(lookup_scored(spark, sf), C.TARGET, "prediction")
     return m.select(F.lit("lookup_baseline").alias("model"), *m.columns)
 
 
@@ -319,14 +319,14 @@ def q_walk_forward(spark, sf):
        f" {rnd_sql('stddev_samp(rmse_seconds)', 2)} as std_rmse, {rnd_sql('min(rmse_seconds)', 2)} as min_rmse,"
        f" {rnd_sql('max(rmse_seconds)', 2)} as max_rmse,"
        f" {rnd_sql('stddev_samp(rmse_seconds) / avg(rmse_seconds)', 4)} as cv,"
-       f" {__import__('tripsmith.functions.bands', fromlist=['band_sql']).band_sql(rnd_sql('stddev_samp(rmse_seconds) / avg(rmse_seconds)', 4), *C.STABILITY_BANDS)}"
+       " case when stddev_samp(rmse_seconds) / avg(rmse_seconds) < 0.05e0 then 'STABLE'"
+       " when stddev_samp(rmse_seconds) / avg(rmse_seconds) < 0.15e0 then 'MODERATE' else 'VOLATILE' end"
        " as stability from wm")
 def q_fold_summary(spark, sf):
     return M.fold_summary(MD.walk_forward_lookup(processed_full(spark, sf), FOLDS))
 
 
 # -- E5-E10, E21, E22, J6: metric family ----------------------------------------------------
-from ..functions.bands import band_sql  # noqa: E402
 from ..operators import calibration as CA  # noqa: E402
 
 
@@ -336,7 +336,7 @@ def train_val(spark, sf):
 
 
 def spike_thr(train):
-    return M.spike_threshold(train, tiebreak="id")
+    return M.spike_threshold(train)
 
 
 THR_CTE = "thr as (select quantile_cont(trip_duration, 0.95) as spike_threshold from split where split = 'train')"
@@ -376,17 +376,17 @@ def _slice_sql(src):
         f"sl as (select {sl} as slice, count(*) as rows, {rnd_sql(f'sqrt(avg({e}*{e}))', 1)} as rmse_seconds,"
         f" {rnd_sql(f'avg({e})', 1)} as bias_seconds, {rnd_sql(f'quantile_cont(abs({e}), 0.95)', 1)} as p95_seconds"
         f" from {src} cross join thr group by 1)",
-        "rt as (select " + rnd_sql("max(rmse_seconds) filter (where slice = 'spike') / "
-                                   "max(rmse_seconds) filter (where slice = 'normal')", 2) + " as ratio from sl)")
+        "rt as (select max(rmse_seconds) filter (where slice = 'spike')"
+        " / max(rmse_seconds) filter (where slice = 'normal') as x from sl)")
 
 
 @query("slice_metrics", O.ctes(*LOOKUP_CTES, THR_CTE, *_slice_sql("scored")) +
-       "select slice, rows, rmse_seconds, bias_seconds, p95_seconds, ratio, "
-       + band_sql("ratio", *C.SLICE_RATIO_BANDS) + " as verdict from sl cross join rt")
+       f"select slice, rows, rmse_seconds, bias_seconds, p95_seconds, {rnd_sql('x', 2)} as ratio,"
+       " case when x < 2e0 then 'excellent' when x < 3e0 then 'good' when x < 4e0 then 'moderate'"
+       " else 'poor' end as verdict from sl cross join rt")
 def q_slice_metrics(spark, sf):
     tr, va = train_val(spark, sf)
-    return M.slice_metrics(MD.lookup_baseline(tr, va), C.TARGET, "prediction", spike_thr(tr),
-                           tiebreak="id")
+    return M.slice_metrics(MD.lookup_baseline(tr, va), C.TARGET, "prediction", spike_thr(tr))
 
 
 @query("overfit_gap", O.ctes(*LOOKUP_CTES, TSCORED_CTE,
@@ -395,13 +395,15 @@ def q_slice_metrics(spark, sf):
        "select max(rmse_seconds) filter (where split = 'train') as train_rmse_seconds,"
        " max(rmse_seconds) filter (where split = 'val') as val_rmse_seconds,"
        f" {rnd_sql(chr(40) + 'max(rmse_seconds) filter (where split = ' + chr(39) + 'val' + chr(39) + ') - max(rmse_seconds) filter (where split = ' + chr(39) + 'train' + chr(39) + ')) * 100.0e0 / max(rmse_seconds) filter (where split = ' + chr(39) + 'train' + chr(39) + ')', 1)} as overfit_gap_pct,"
-       " " + band_sql(rnd_sql("(max(rmse_seconds) filter (where split = 'val') - max(rmse_seconds) filter (where split = 'train')) * 100.0e0 / max(rmse_seconds) filter (where split = 'train')", 1), *C.OVERFIT_BANDS) +
+       " case when (max(rmse_seconds) filter (where split = 'val') / max(rmse_seconds) filter (where split = 'train')"
+       " - 1) * 100e0 > 30e0 then 'severe overfit' when (max(rmse_seconds) filter (where split = 'val')"
+       " / max(rmse_seconds) filter (where split = 'train') - 1) * 100e0 > 15e0 then 'mild overfit' else 'healthy' end"
        " as verdict from bothm")
 def q_overfit_gap(spark, sf):
     tr, va = train_val(spark, sf)
     both = (MD.lookup_baseline(tr, tr).withColumn("split", F.lit("train"))
             .unionByName(MD.lookup_baseline(tr, va).withColumn("split", F.lit("val"))))
-    return M.overfit_gap(M.five_metrics(both, C.TARGET, "prediction", by=["split"], tiebreak="id"))
+    return M.overfit_gap(M.five_metrics(both, C.TARGET, "prediction", by=["split"]))
 
 
 def _two_models(spark, sf):
@@ -412,7 +414,7 @@ def _two_models(spark, sf):
     lin = MD.predict_linear_1d(va, MD.fit_linear_1d(tr)).select("id", C.TARGET, "prediction")
     both = (look.withColumn("model", F.lit("lookup_baseline"))
             .unionByName(lin.withColumn("model", F.lit("linear_1d"))))
-    return M.five_metrics(both, C.TARGET, "prediction", by=["model"], tiebreak="id")
+    return M.five_metrics(both, C.TARGET, "prediction", by=["model"])
 
 
 _TWO_MODELS_CTES = [*LOOKUP_CTES, *LIN_CTES,
@@ -426,21 +428,29 @@ _TWO_MODELS_CTES = [*LOOKUP_CTES, *LIN_CTES,
 def q_linear_1d(spark, sf):
     tr, va = train_val(spark, sf)
     coef = MD.fit_linear_1d(tr)
-    m = M.five_metrics(MD.predict_linear_1d(va, coef), C.TARGET, "prediction", tiebreak="id")
+    m = M.five_metrics(MD.predict_linear_1d(va, coef), C.TARGET, "prediction")
     return coef.select(rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept")) \
         .crossJoin(m)
 
 
+_IMPROVED = "(b.rmse_seconds - m.rmse_seconds) * 100.0e0 / b.rmse_seconds"
+_VS_LINEAR = "(l.rmse_seconds - m.rmse_seconds) * 100.0e0 / l.rmse_seconds"
+
+
 @query("model_comparison", O.ctes(*_TWO_MODELS_CTES) +
-       "select m.*, " + rnd_sql("(b.rmse_seconds - m.rmse_seconds) * 100.0e0 / b.rmse_seconds", 2) +
-       " as improvement_vs_baseline_pct, case when abs(m.mean_error_seconds) < 10.0e0 then 'well-calibrated'"
+       "select m.*, " + rnd_sql(_IMPROVED, 2) + " as improvement_vs_baseline_pct, "
+       + rnd_sql(_VS_LINEAR, 2) + " as improvement_vs_reference_pct,"
+       " case when abs(m.mean_error_seconds) < 10.0e0 then 'well-calibrated'"
        " when m.mean_error_seconds > 0 then 'under-predicts' else 'over-predicts' end as bias_reading, "
-       + rnd_sql("m.p95_error_seconds / 60.0e0", 1) + " as p95_minutes, "
-       + band_sql(rnd_sql("(b.rmse_seconds - m.rmse_seconds) * 100.0e0 / b.rmse_seconds", 2),
-                  *C.IMPROVEMENT_VS_BASELINE_BANDS) +
-       " as verdict_vs_baseline from mm m cross join (select rmse_seconds from mm where model = 'lookup_baseline') b")
+       + rnd_sql("m.p95_error_seconds / 60.0e0", 1) + " as p95_minutes,"
+       f" case when {_IMPROVED} < 0e0 then 'worse' when {_IMPROVED} < 10e0 then 'weak'"
+       f" when {_IMPROVED} < 25e0 then 'moderate' else 'strong' end as verdict_vs_baseline,"
+       f" case when {_VS_LINEAR} < 5e0 then 'barely beats linear' when {_VS_LINEAR} < 20e0"
+       " then 'moderate non-linearity' else 'strong non-linearity' end as verdict_vs_reference"
+       " from mm m cross join (select rmse_seconds from mm where model = 'lookup_baseline') b"
+       " cross join (select rmse_seconds from mm where model = 'linear_1d') l")
 def q_model_comparison(spark, sf):
-    return M.model_comparison(_two_models(spark, sf), "lookup_baseline")
+    return M.model_comparison(_two_models(spark, sf), "lookup_baseline", "linear_1d")
 
 
 _METRIC_LIST = ["rmse_seconds", "mape_pct", "mean_error_seconds", "p95_error_seconds", "r2"]
@@ -604,6 +614,8 @@ def q_override(spark, sf):
     *_CAL_CTES, *_iso_ctes("vprob", "spike_prob"), _iso_apply_sql("vprob", "spike_prob"),
     "ub as (" + _stats_sql("vprob", "spike_prob") + ")",
     "cb as (" + _stats_sql("cal", "calibrated_prob") + ")",
+    f"cr as (select avg(abs(mp - fp)) as raw_ece from (select {_REL_IDX.format(p='calibrated_prob')} as b,"
+    " avg(calibrated_prob) as mp, avg(cast(spike as double)) as fp from cal group by 1) r)",
     "ov as (" + _OVERRIDE_SQL + ")") +
     f"select {rnd_sql('(select spike_threshold from thr)', 1)} as spike_threshold,"
     f" {rnd_sql('(select avg(cast(trip_duration as double)) from tl)', 1)} as historical_mean,"
@@ -615,7 +627,8 @@ def q_override(spark, sf):
     " cb.predicted_spike_rate as cal_predicted_spike_rate, ov.*, 0.95e0 as spike_percentile,"
     f" {rnd_sql('ub.ece - cb.ece', 4)} as ece_improvement,"
     f" {rnd_sql('ub.brier_score - cb.brier_score', 4)} as brier_improvement, "
-    + band_sql("cb.ece", *C.CALIBRATION_BANDS) + " as calibration_verdict from ub, cb, ov")
+    " case when cr.raw_ece < 0.05e0 then 'good' when cr.raw_ece < 0.1e0 then 'moderate' else 'poor' end"
+    " as calibration_verdict from ub, cb, ov, cr")
 def q_calibration_report(spark, sf):
     tr, va, thr = calib_frames(spark, sf)
     return CA.calibration_report(tr.drop("spike"), va.drop("spike"), thr, fit_on="val")
@@ -972,21 +985,15 @@ def q_stream_delayed_labels(spark, sf):
                                      "tm as (" + O.five_metrics_sql("tscore") + ")",
                                      "vm as (" + O.five_metrics_sql("scored") + ")") +
        "select tm.*, tm.rows as test_rows, " + rnd_sql("tm.rmse_seconds - vm.rmse_seconds", 2) +
-       " as rmse_gap_vs_validation, " + band_sql(rnd_sql("tm.rmse_seconds - vm.rmse_seconds", 2),
-                                                 *C.TEST_GAP_BANDS) + " as verdict from tm cross join vm")
+       " as rmse_gap_vs_validation, case when tm.rmse_seconds - vm.rmse_seconds > 50e0 then 'significant degradation'"
+       " when tm.rmse_seconds - vm.rmse_seconds > 0e0 then 'slight degradation' else 'matches or beats validation' end"
+       " as verdict from tm cross join vm")
 def q_final_test(spark, sf):
     """The held-out test window scored once; gap to the validation RMSE of
     the same model (computed here instead of a hard-coded number)."""
     s = split_full(spark, sf)
     tr = s.where(F.col("split") == "train")
-    both = MD.lookup_baseline(tr, s.where(F.col("split").isin("val", "test")))
-    m = M.five_metrics(both, C.TARGET, "prediction", by=["split"], tiebreak="id")
-    v = m.where(F.col("split") == "val").select(F.col("rmse_seconds").alias("_v"))
-    t = m.where(F.col("split") == "test").drop("split")
-    gap = rnd(F.col("rmse_seconds") - F.col("_v"), 2)
-    return t.crossJoin(v).withColumns({"test_rows": F.col("rows"), "rmse_gap_vs_validation": gap}) \
-        .withColumn("verdict", __import__("tripsmith.functions.bands", fromlist=["band"]).band(
-            "rmse_gap_vs_validation", *C.TEST_GAP_BANDS)).drop("_v")
+    return MD.final_test_evaluation(MD.lookup_baseline(tr, s.where(F.col("split").isin("val", "test"))))
 
 
 @query("metrics_missing", O.ctes(*_TWO_MODELS_CTES) +
