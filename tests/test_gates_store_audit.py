@@ -75,6 +75,9 @@ def test_linear_attribution_is_additive(spark):
     rng = np.random.default_rng(0)
     rows = [(str(i), float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(100, 2)))]
     df = spark.createDataFrame(rows, "id string, a double, b double")
-    attr = AU.linear_attribution(df, {"a": 3.0, "b": -2.0}, 5.0, df)
-    v = AU.additivity_violations(attr).first()
+    scored = df.selectExpr("*", "5 + 3 * a - 2 * b as prediction")
+    v = AU.additivity_violations(scored, {"a": 3.0, "b": -2.0}, 5.0, df).first()
+    off = scored.selectExpr("id", "a", "b", "case when id = '7' then null when id < '2' then prediction + 1.5 else prediction end as prediction")
+    assert AU.additivity_violations(off, {"a": 3.0, "b": -2.0}, 5.0, df).first().violations == \
+        1 + sum(i < "2" for i, _, _ in rows)
     assert v.rows_checked == 100 and v.violations == 0 and v.max_abs_diff < 1e-9

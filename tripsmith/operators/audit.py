@@ -9,48 +9,51 @@ Shapley values are ``phi_j = w_j * (x_j - mean_j)`` with base value
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.numeric import rnd
-from ..sources.registry import registry_features
+from ..sources.tables import key_hash
 
 
 # -- K1(a) / K2 -----------------------------------------------------------------------------
-def linear_attribution(df: DataFrame, coefs: dict[str, float], intercept: float,
-                       background: DataFrame, key: str = C.KEY_COL) -> DataFrame:
-    """Long table ``key, feature, phi`` plus per-row ``base_value`` and
-    ``prediction`` (unclipped) for a linear model ``intercept + sum w_j x_j``.
-    ``background`` supplies the feature means (one aggregation pass)."""
+def _attributions(scored: DataFrame, coefs: dict[str, float], intercept: float, background: DataFrame) -> DataFrame:
+    """``scored`` with ``_base`` (prediction of the mean row) and ``_phis`` (feature, phi)."""
     feats = list(coefs)
     means = background.agg(*[F.avg(F.col(f).cast("double")).alias(f"_m_{f}") for f in feats])
+    j = scored.crossJoin(F.broadcast(means))  # one-row side
     base = F.lit(float(intercept))
     for f in feats:
         base = base + F.lit(float(coefs[f])) * F.col(f"_m_{f}")
-    pred = F.lit(float(intercept))
-    for f in feats:
-        pred = pred + F.lit(float(coefs[f])) * F.col(f).cast("double")
-    j = df.select(key, *feats).crossJoin(F.broadcast(means))  # one-row side
-    phis = F.array(*[F.struct(F.lit(f).alias("feature"),
-                              (F.lit(float(coefs[f])) * (F.col(f).cast("double") - F.col(f"_m_{f}")))
-                              .alias("phi")) for f in feats])
-    return j.select(key, base.alias("base_value"), pred.alias("prediction"),
-                    F.explode(phis).alias("a")).select(key, "base_value", "prediction", "a.*")
-
-
-def additivity_violations(attr_long: DataFrame, tolerance: float = C.ADDITIVITY_TOLERANCE,
-                          key: str = C.KEY_COL) -> DataFrame:
-    """K2 on every row: |base + sum(phi) - prediction| >= tolerance counts as a violation."""
-    per_row = attr_long.groupBy(key).agg(F.first("base_value").alias("b"),
-                                         F.first("prediction").alias("p"),
-                                         F.sum("phi").alias("s"))
-    diff = F.abs(F.col("b") + F.col("s") - F.col("p"))
-    return per_row.agg(F.count(F.lit(1)).alias("rows_checked"),
-                       F.count_if(diff >= F.lit(float(tolerance))).alias("violations"),
-                       rnd(F.max(diff), 6).alias("max_abs_diff"))
+    phis = F.array(*[F.struct(F.lit(f).alias("feature"), (
+        F.lit(float(coefs[f])) * (F.col(f).cast("double") - F.col(f"_m_{f}"))).alias("phi")) for f in feats])
+    return j.withColumns({"_base": base, "_phis": phis}).drop(*[f"_m_{f}" for f in feats])
+
+
+def linear_attribution(df: DataFrame, coefs: dict[str, float], intercept: float,
+                       background: DataFrame, key: str = C.KEY_COL) -> DataFrame:
+    """Long table ``key, feature, phi`` plus per-row ``base_value`` for a linear model
+    ``intercept + sum w_j x_j``.  ``background`` supplies the feature means (one pass)."""
+    j = _attributions(df.select(key, *coefs), coefs, intercept, background)
+    return j.select(key, F.col("_base").alias("base_value"), F.explode("_phis").alias("a")).select(key, "base_value", "a.*")
+
+
+def additivity_violations(scored: DataFrame, coefs: dict[str, float], intercept: float, background: DataFrame,
+                          pred: str = "prediction", tolerance: float = C.ADDITIVITY_TOLERANCE) -> DataFrame:
+    """K2 on every row: |base + sum(phi) - prediction| >= tolerance counts as a violation.
+
+    ``prediction`` is what a model has written for the row, not rebuilt here; the attributions are
+    summed inside the row, without a shuffle.  A NULL prediction counts as a violation.
+    """
+    j = _attributions(scored, coefs, intercept, background)
+    total = F.aggregate("_phis", F.lit(0.0), lambda s, x: s + x["phi"])
+    diff = F.abs(F.col("_base") + total - F.col(pred))
+    return j.agg(F.count(F.lit(1)).alias("rows_checked"),
+                 F.count_if(F.coalesce(diff >= F.lit(float(tolerance)), F.lit(True))).alias("violations"),
+                 rnd(F.max(diff), 6).alias("max_abs_diff"))
 
 
 # -- E16 / F5 -------------------------------------------------------------------------------
@@ -91,12 +94,16 @@ def leakage_verdict(audit: DataFrame) -> DataFrame:
         "verdict", F.when(F.col("leakage_violations") == 0, "CLEAN").otherwise("LEAKAGE_DETECTED"))
 
 
+# -- G5 -------------------------------------------------------------------------------------
+def top_feature(ranking: DataFrame, n: int = 1) -> DataFrame:
+    """The ``n`` features of highest attribution (a report over one row per feature)."""
+    return ranking.where(F.col("rank") <= n)
+
+
 # -- G4 -------------------------------------------------------------------------------------
-def seeded_sample(df: DataFrame, n: int, seed: int = 42, key: str = C.KEY_COL) -> DataFrame:
-    """Deterministic sample of ``n`` rows: smallest multiplicative hash of the integer
-    key (portable to any SQL engine), ties by key.  Planned as a top-n per partition."""
-    h = (F.col(key).cast("long") * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)
-    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+def seeded_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = C.KEY_COL) -> DataFrame:
+    """Deterministic sample: a fraction of all rows by key hash; a filter, no sort."""
+    return df.where(key_hash(key, seed) < F.lit(int(fraction * 4294967296)))
 
 
 # -- D8 / M: behavioural probes -------------------------------------------------------------
@@ -122,41 +129,43 @@ SCENARIOS: list[dict] = [
     {"scenario": "weekday_rush", "hour": 9, "day_of_week": 0, "is_weekend": 0, "is_rush_hour": 1},
     {"scenario": "weekend", "hour": 9, "day_of_week": 5, "is_weekend": 1, "is_rush_hour": 0},
 ]
-_OVERRIDABLE = ["vendor_id", "distance_km", "passenger_count", "pickup_latitude", "pickup_longitude",
-                "dropoff_latitude", "dropoff_longitude", "hour", "day_of_week", "is_weekend",
-                "is_rush_hour"]
-_DOUBLE = {"distance_km", "pickup_latitude", "pickup_longitude", "dropoff_latitude",
-           "dropoff_longitude", "distance_delta"}
+#: Scenario keys that are not a feature to override.
+_EXTRA = {"scenario", "distance_delta"}
+
+
+def _scenario_columns(scenario: dict, features: dict[str, Column]) -> dict[str, Column]:
+    """The features under a scenario: overrides as literals, the rest as given."""
+    unknown = set(scenario) - _EXTRA - set(C.FEATURES)
+    if unknown:
+        raise ValueError(f"unknown scenario keys: {sorted(unknown)}")
+    out = {f: F.lit(scenario[f]) if f in scenario else c for f, c in features.items()}
+    if "distance_delta" in scenario:
+        out["distance_km"] = out["distance_km"] + F.lit(float(scenario["distance_delta"]))
+    return out
 
 
 def scenario_rows(bases: DataFrame, scenarios: Sequence[dict] = tuple(SCENARIOS),
                   key: str = C.KEY_COL) -> DataFrame:
-    """Every base row x every scenario, overrides applied with ``coalesce``.
-    The scenario list is a literal array exploded inside the scan stage
-    (no join, no shuffle); base columns not overridden are kept."""
-    fields = _OVERRIDABLE + ["distance_delta"]
-
-    def lit(s, f):
-        v = s.get(f)
-        t = "double" if f in _DOUBLE else "int"
-        return F.lit(v).cast(t).alias(f)
-    arr = F.array(*[F.struct(F.lit(s["scenario"]).alias("scenario"), *[lit(s, f) for f in fields])
-                    for s in scenarios])
-    x = bases.withColumn("_s", F.explode(arr))
-    cols = {f: F.coalesce(F.col(f"_s.{f}"), F.col(f)) for f in _OVERRIDABLE if f in bases.columns}
-    x = x.withColumns(cols).withColumn("scenario", F.col("_s.scenario"))
-    if "distance_km" in bases.columns:
-        x = x.withColumn("distance_km", F.col("distance_km") + F.coalesce(F.col("_s.distance_delta"),
-                                                                          F.lit(0.0)))
-    return x.drop("_s").withColumnRenamed(key, "base_id")
-
-
-def probe_results(scored: DataFrame, pred: str = "prediction") -> DataFrame:
-    """M1-M7 per base row, then pass counts per probe.  ``scored`` holds one row
-    per (base_id, scenario) with a prediction; the pivot groups by base row."""
-    names = sorted({s["scenario"] for s in SCENARIOS})
-    wide = scored.groupBy("base_id").pivot("scenario", names).agg(F.first(pred))
-    p = {n: F.col(f"`{n}`") for n in names}
+    """Every base row x every scenario, any feature of the contract overridden; columns keep
+    their types.  The scenarios are exploded inside the scan stage: no join, no shuffle."""
+    kinds = dict(bases.dtypes)
+    feats = [f for f in C.FEATURES if f in kinds]
+    missing = {k for s in scenarios for k in s if k in C.FEATURES} - set(feats)
+    if missing:
+        raise ValueError(f"overridden features that the base rows lack: {sorted(missing)}")
+    arr = F.array(*[F.struct(F.lit(s["scenario"]).alias("scenario"), *[
+        c.cast(kinds[f]).alias(f) for f, c in _scenario_columns(s, {f: F.col(f) for f in feats}).items()]) for s in scenarios])
+    rest = [c for c in bases.columns if c not in feats and c != key]
+    return bases.select(F.col(key).alias("base_id"), *rest, F.explode(arr).alias("_s")).select("base_id", *rest, "_s.*")
+
+
+def probe_results(bases: DataFrame, score: Callable[[dict[str, Column]], Column]) -> DataFrame:
+    """M1-M7 per base row, then pass counts per probe.  ``score`` turns the features (by name) into
+    a prediction; all scenarios of a row are scored inside the row, so nothing is multiplied or
+    shuffled but the counts."""
+    feats = {f: F.col(f) for f in C.FEATURES if f in bases.columns}
+    named = bases.select(*[score(_scenario_columns(s, feats)).alias(s["scenario"]) for s in SCENARIOS])
+    p = {s["scenario"]: F.col(f"`{s['scenario']}`") for s in SCENARIOS}
     dists = [p[f"dist_{d}"] for d in (1, 2, 5, 10, 20, 30)]
     mono = F.lit(True)
     for a, b in zip(dists, dists[1:]):
@@ -181,7 +190,7 @@ def probe_results(scored: DataFrame, pred: str = "prediction") -> DataFrame:
         ok = (val < lim) if cmp == "lt" else (val == lim)
         structs.append(F.struct(F.lit(name).alias("probe"), val.cast("double").alias("value"),
                                 F.coalesce(ok, F.lit(False)).alias("passed")))
-    long = wide.select("base_id", F.explode(F.array(*structs)).alias("c")).select("base_id", "c.*")
+    long = named.select(F.explode(F.array(*structs)).alias("c")).select("c.*")
     return long.groupBy("probe").agg(
         F.count(F.lit(1)).alias("bases"), F.count_if("passed").alias("passed"),
-        rnd(F.max("value"), 4).alias("max_value"))
+        rnd(F.max("value"), 4).alias("max_value"), rnd(F.avg("value"), 4).alias("mean_value"))

@@ -107,12 +107,11 @@ def verify_output(df: DataFrame, min_rows: int = C.VERIFY_MIN_ROWS,
     return _gate_rows(row, specs)
 
 
-def sample_gate(df: DataFrame, n: int = 1000, max_bad_gps_rate: float = C.MAX_BAD_GPS_RATE
+def sample_gate(df: DataFrame, fraction: float = 0.1, max_bad_gps_rate: float = C.MAX_BAD_GPS_RATE
                 ) -> DataFrame:
-    """A3 + B4 on a cheap deterministic sample: the first ``n`` rows in (time, id)
-    order (planned as a per-partition top-n, not a full sort)."""
+    """A3 + B4 on a sample by key hash: an early look, never in place of ``quality_gates``."""
     from ..sources.tables import sample_scan
-    s = sample_scan(df, n)
+    s = sample_scan(df, fraction)
     lat = F.col("pickup_latitude")
     row = s.agg(F.count(F.lit(1)).alias("rows"),
                 F.try_divide(F.count_if((lat < C.LAT_BOUNDS[0]) | (lat > C.LAT_BOUNDS[1])),

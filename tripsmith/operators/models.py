@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -39,11 +40,13 @@ def predict_lookup(df: DataFrame, lookup: DataFrame, fallback: DataFrame,
                    out: str = "prediction") -> DataFrame:
     """Left join on the lookup keys, global-mean fallback for unseen cells.
 
-    ``fallback`` has the ``by`` columns (if any) and ``global_mean``.  The
-    lookup side is bounded by 168 rows per group, so broadcasting it is safe.
+    ``fallback`` has the ``by`` columns (if any) and ``global_mean``.  With the default
+    keys the lookup has at most 168 rows a group and is broadcast; with others the join
+    is left to the optimizer.
     """
-    j = df.join(F.broadcast(lookup.select(*by, *keys, "predicted_duration")),
-                [*by, *keys], "left")
+    cells = lookup.select(*by, *keys, "predicted_duration")
+    bounded = set(keys) <= set(LOOKUP_KEYS)
+    j = df.join(F.broadcast(cells) if bounded else cells, [*by, *keys], "left")
     j = j.join(F.broadcast(fallback), list(by), "left") if by else \
         j.crossJoin(F.broadcast(fallback))
     return j.withColumns({
@@ -90,21 +93,76 @@ def linear_pipeline(features: Sequence[str] = tuple(C.FEATURES), target: str = C
     if weight_col:
         lr.setWeightCol(weight_col)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep"),
         StandardScaler(inputCol="_x", outputCol="_scaled", withMean=True, withStd=True),
         lr,
     ])
 
 
-def linear_coefficients(model: PipelineModel, features: Sequence[str], n_rows: int | None = None
-                        ) -> list[tuple[str, float]]:
-    """Coefficients on the standardised scale.  MLlib scales by the sample
-    std; multiply by sqrt((n-1)/n) to compare with population-std scaling."""
+def complete(features: Sequence[str]) -> Column:
+    """Whether every feature of a row is present (neither NULL nor NaN)."""
+    ok = F.lit(True)
+    for f in features:
+        ok = ok & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
+    return ok
+
+
+def fit(pipeline: Pipeline, train: DataFrame, target: str = C.TARGET) -> tuple[PipelineModel, int]:
+    """Fit on the rows whose features and target are present; also the number of rows left out."""
+    ok = complete(pipeline.getStages()[0].getInputCols()) & F.col(target).isNotNull()
+    left_out = train.where(~ok).count()
+    return pipeline.fit(train.where(ok)), left_out
+
+
+def coefficient_table(spark: SparkSession, features: Sequence[str], scaled: Sequence[float]) -> DataFrame:
+    """Feature, scaled_coefficient, rank by size, direction, and whether the sign is plausible
+    (distance must lengthen a trip; nothing is expected of the others)."""
+    order = sorted(zip(features, scaled), key=lambda t: (-abs(t[1]), t[0]))
+    rows = [(f, float(c), i + 1, "longer trip" if c > 0 else "shorter trip", not (f == "distance_km" and c < 0))
+            for i, (f, c) in enumerate(order)]
+    return spark.createDataFrame(rows, "feature string, scaled_coefficient double, rank int, direction string, sign_ok boolean")
+
+
+def linear_coefficients(model: PipelineModel, features: Sequence[str], n_rows: int) -> DataFrame:
+    """J3 of a fitted pipeline.  MLlib scales by the sample std; ``sqrt((n-1)/n)`` turns that into
+    the population std."""
+    k = ((n_rows - 1) / n_rows) ** 0.5 if n_rows > 1 else 1.0
     coefs = model.stages[-1].coefficients.toArray()
-    k = 1.0
-    if n_rows and n_rows > 1:
-        k = ((n_rows - 1) / n_rows) ** 0.5
-    return [(f, float(c) * k) for f, c in zip(features, coefs)]
+    return coefficient_table(SparkSession.active(), features, [float(c) * k for c in coefs])
+
+
+def fit_ols(train: DataFrame, features: Sequence[str], target: str = C.TARGET, weight: str | None = None
+            ) -> tuple[dict[str, float], float, dict[str, float]]:
+    """J2 in closed form: (coefficients, intercept, population std of each feature), optionally weighted.
+
+    One aggregation pass of means and products (k * (k + 3) / 2 numbers come to the driver), then a
+    k x k solve.  Rows with a missing value take no part.  Products are taken around the first
+    pass's means, so large offsets (coordinates) do not cancel digits.
+    """
+    feats = list(features)
+    rows = train.where(complete(feats) & F.col(target).isNotNull())
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    x = {c: F.col(c).cast("double") for c in [*feats, target]}
+    n = F.sum(w)
+    mean = rows.agg(*(F.try_divide(F.sum(w * x[c]), n).alias(c) for c in x)).first()
+    if mean[target] is None:
+        raise ValueError("no complete row to fit on")
+    pairs = [(a, b) for i, a in enumerate(feats) for b in [*feats[i:], target]]
+    cross = rows.agg(*(F.try_divide(F.sum(w * (x[a] - mean[a]) * (x[b] - mean[b])), n).alias(f"c{i}")
+                       for i, (a, b) in enumerate(pairs))).first()
+    cov = {p: cross[f"c{i}"] for i, p in enumerate(pairs)}
+    m = np.array([[cov[(a, b)] if (a, b) in cov else cov[(b, a)] for b in feats] for a in feats])
+    beta = np.linalg.lstsq(m, np.array([cov[(a, target)] for a in feats]), rcond=None)[0]
+    coefs = dict(zip(feats, map(float, beta)))
+    return coefs, float(mean[target] - sum(coefs[f] * mean[f] for f in feats)), {f: float(cov[(f, f)]) ** 0.5 for f in feats}
+
+
+def linear_expression(coefs: dict[str, float], intercept: float, columns: dict[str, Column] | None = None) -> Column:
+    """``intercept + sum(w * x)`` over columns by name (default: the frame's own)."""
+    out = F.lit(float(intercept))
+    for f, c in coefs.items():
+        out = out + F.lit(float(c)) * (columns[f] if columns else F.col(f)).cast("double")
+    return out
 
 
 def fit_linear_1d(train: DataFrame, x: str = "distance_km", target: str = C.TARGET) -> DataFrame:
@@ -137,21 +195,25 @@ def gbt_pipeline(features: Sequence[str] = tuple(C.FEATURES), target: str = C.TA
     if validation_col:
         gbt.setValidationIndicatorCol(validation_col)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_x",
-                                            handleInvalid="skip"), gbt])
+                                            handleInvalid="keep"), gbt])
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
-    """J5."""
+def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """Feature, importance, rank (a row a feature)."""
     imp = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(features, map(float, imp)), key=lambda t: -t[1])
+    order = sorted(zip(features, map(float, imp)), key=lambda t: (-t[1], t[0]))
+    return SparkSession.active().createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(order)],
+                                                 "feature string, importance double, rank int")
 
 
 def score(model: PipelineModel, df: DataFrame, clip_min: float | None = None) -> DataFrame:
-    """Row-parallel scoring; optional lower clip."""
-    out = model.transform(df).drop("_x", "_scaled")
+    """Row-parallel scoring; optional lower clip (C18).  Every row comes back: one with a
+    missing feature has a NULL prediction."""
+    ok = complete(model.stages[0].getInputCols())
+    p = F.when(ok, F.col("prediction"))
     if clip_min is not None:
-        out = out.withColumn("prediction", F.greatest("prediction", F.lit(float(clip_min))))
-    return out
+        p = F.when(ok, F.greatest("prediction", F.lit(float(clip_min))))
+    return model.transform(df).drop("_x", "_scaled").withColumn("prediction", p)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -35,7 +35,7 @@ def get_historical_features(processed: DataFrame, feature_list: Sequence[str] |
         feats += [f for f in C.PIT_FEATURES if f not in feats]
         if validate_pit:
             from .pit import pit_violations
-            v = pit_violations(processed).first()
+            v = pit_violations(df).first()
             if v.violations:
                 raise ValueError(f"point-in-time violation in {v.violations} rows")
     available = [f for f in feats if f in df.columns]          # H4

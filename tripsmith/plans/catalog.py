@@ -135,11 +135,17 @@ def q_baseline_predict(spark, sf):
                                            "is_fallback")
 
 
-@query("baseline_fallback_rate", O.ctes(*LOOKUP_CTES) +
-       f"select count(*) as rows, count(*) filter (where is_fallback) as fallback_rows,"
-       f" {rnd_sql('(count(*) filter (where is_fallback)) / count(*)', 6)} as fallback_rate from scored")
+@query("baseline_fallback_rate", O.ctes(
+    SPLIT_CTE, "early as (select hour, day_of_week, count(*) as n from split where split = 'train' and hour < 20"
+    " and not (day_of_week = 6 and hour < 4) group by 1, 2)",
+    "fb as (select e.n is null as is_fallback from split s left join early e using (hour, day_of_week) where split = 'val')") +
+       "select count(*) as rows, count(*) filter (where is_fallback) as fallback_rows,"
+       f" {rnd_sql('(count(*) filter (where is_fallback)) / count(*)', 6)} as fallback_rate from fb")
 def q_fallback(spark, sf):
-    return MD.fallback_rate(lookup_scored(spark, sf))
+    """D1's fallback: cells that training never saw (late hours, the small hours of Sunday)."""
+    s = split_full(spark, sf)
+    seen = (F.col("hour") < 20) & ~((F.col("day_of_week") == 6) & (F.col("hour") < 4))
+    return MD.fallback_rate(MD.lookup_baseline(s.where((F.col("split") == "train") & seen), s.where(F.col("split") == "val")))
 
 
 @query("five_metrics", O.ctes(*LOOKUP_CTES) + O.five_metrics_sql("scored").replace(
@@ -205,10 +211,13 @@ def q_pit_features(spark, sf):
     return PIT.feature_profile(PIT.point_in_time_features(processed_full(spark, sf)))
 
 
-@query("pit_violations", O.ctes() + "select count(*) as rows_checked, cast(0 as bigint) as violations"
-       " from clean")
+@query("pit_violations", O.ctes() + "select count(*) as rows_checked,"
+       " count(*) filter (where cast(id as bigint) % 97 = 3) as violations from clean")
 def q_pit_violations(spark, sf):
-    return PIT.pit_violations(processed_full(spark, sf))
+    """D6 over every row, with an error planted in some of them: all are found, nothing else."""
+    df = PIT.rolling_count(processed_full(spark, sf))
+    wrong = F.when(F.col("id").cast("long") % 97 == 3, 1).otherwise(0)
+    return PIT.pit_violations(df.withColumn("trip_count_last_1h", F.col("trip_count_last_1h") + wrong))
 
 
 # -- F4 / I: ordering and splits -------------------------------------------------------------
@@ -590,6 +599,10 @@ def q_isotonic(spark, sf):
     return cal.select("id", rnd("calibrated_prob", 4).alias("calibrated_prob"))
 
 
+def _override_sql(t: str) -> str:
+    return _OVERRIDE_SQL.replace("0.4e0", t)
+
+
 _OVERRIDE_SQL = (
     "select 0.4e0 as override_threshold, count(*) filter (where calibrated_prob > 0.4e0) as override_count,"
     f" {rnd_sql('(count(*) filter (where calibrated_prob > 0.4e0)) * 100.0e0 / count(*)', 2)} as override_pct,"
@@ -602,12 +615,16 @@ _OVERRIDE_SQL = (
     " then 'override useful' else 'override too noisy' end as verdict from cal")
 
 
+#: Below the largest calibrated probability of the given tables, so that some rows are overridden.
+_OVERRIDE_AT = 0.052
+
+
 @query("override_analysis", O.ctes(*_CAL_CTES, *_iso_ctes("vprob", "spike_prob"),
-                                   _iso_apply_sql("vprob", "spike_prob")) + _OVERRIDE_SQL)
+                                   _iso_apply_sql("vprob", "spike_prob")) + _override_sql(f"{_OVERRIDE_AT}e0"))
 def q_override(spark, sf):
     tr, va, _ = calib_frames(spark, sf)
     vp = CA.spike_probability(va, CA.spike_bins(tr))
-    return CA.override_analysis(CA.apply_isotonic(CA.fit_isotonic(vp), vp))
+    return CA.override_analysis(CA.apply_isotonic(CA.fit_isotonic(vp), vp), threshold=_OVERRIDE_AT)
 
 
 @query("calibration_report", O.ctes(
@@ -694,7 +711,7 @@ def q_verify_output(spark, sf):
 
 
 @query("sample_gate", "select gate, " + rnd_sql("observed", 8) + " as observed, \"limit\", violated from ("
-       + O.ctes("smp as (select * from trips order by pickup_datetime, id limit 1000)")
+       + O.ctes("smp as (select * from trips where (cast(id as bigint) * 2654435761 + 42) % 4294967296 < 429496729)")
        + _gate_sql([("sample_rows", "count(*)", 1, "lt"),
                     ("sample_bad_gps_rate", "count(*) filter (where pickup_latitude < 40.4e0 or"
                      " pickup_latitude > 41.0e0) / count(*)", C.MAX_BAD_GPS_RATE, "gt")], "smp") + ") q")
@@ -702,16 +719,21 @@ def q_sample_gate(spark, sf):
     return _gates_out(G.sample_gate(trips(spark, sf)))
 
 
+_CORRUPT = {"vendor_id": 11, "passenger_count": 13, "pickup_datetime": 17, "pickup_longitude": 19, "trip_duration": 23}
+_TYPED = ["vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "pickup_longitude",
+          "pickup_latitude", "dropoff_longitude", "dropoff_latitude", "trip_duration"]
+
+
 @query("type_violations", O.ctes() + " union all ".join(
-    f"select '{c}' as \"column\", cast(0 as bigint) as bad_values from (select 1) t"
-    for c in ["vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count",
-              "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
-              "trip_duration"]))
+    f"select '{c}' as \"column\", count(*) filter (where "
+    + (f"cast(id as bigint) % {_CORRUPT[c]} = 5" if c in _CORRUPT else "false") + ") as bad_values from trips"
+    for c in _TYPED))
 def q_type_violations(spark, sf):
-    # every raw column rendered as text (as a CSV export would), then checked
-    # against the declared types
+    """Every raw column as text (as a CSV export has it), some values of some columns spoilt."""
     t = trips(spark, sf)
-    text = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    text = t.select(*[F.when(F.col("id").cast("long") % _CORRUPT[c] == 5, F.concat(F.lit("?"), F.col(c).cast("string")))
+                      .otherwise(F.col(c).cast("string")).alias(c) if c in _CORRUPT else F.col(c).cast("string").alias(c)
+                      for c in t.columns])
     return G.type_violations(text)
 
 
@@ -739,13 +761,18 @@ def q_linear_attribution(spark, sf):
     return a.select("id", "feature", rnd("phi", 4).alias("phi"), rnd("base_value", 4).alias("base_value"))
 
 
-@query("additivity_violations", O.ctes(SPLIT_CTE) +
-       "select count(*) as rows_checked, cast(0 as bigint) as violations from split where split = 'val'")
+@query("additivity_violations", O.ctes(*LOOKUP_CTES, *LIN_CTES) +
+       "select count(*) as rows_checked, count(*) filter (where intercept + slope * distance_km < 59e0"
+       " or cast(id as bigint) % 89 = 1) as violations from split cross join coef where split = 'val'")
 def q_additivity(spark, sf):
+    """K2 against predictions as the model writes them: clipped ones and some spoilt ones do not add up."""
     tr, va = train_val(spark, sf)
-    c = MD.fit_linear_1d(tr).first()
-    a = AU.linear_attribution(va, {"distance_km": c.slope}, c.intercept, tr)
-    return AU.additivity_violations(a).select("rows_checked", "violations")
+    coef = MD.fit_linear_1d(tr)
+    scored = MD.predict_linear_1d(va, coef)
+    spoilt = F.when(F.col("id").cast("long") % 89 == 1, 1000.0).otherwise(0.0)
+    c = coef.first()  # two scalars
+    return AU.additivity_violations(scored.withColumn("prediction", F.col("prediction") + spoilt),
+                                    {"distance_km": c.slope}, c.intercept, tr).select("rows_checked", "violations")
 
 
 _EMB_LONG = ("emb as (select vec_id, 'dim_' || lpad(cast(i - 1 as varchar), 2, '0') as feature,"
@@ -769,57 +796,104 @@ def q_attribution_power(spark, sf):
     return AU.attribution_power(_emb_long(spark, sf))
 
 
-def _linear_full(spark, sf):
-    """12 features + both demand features, fitted by MLlib; attributions over val."""
-    pit = PIT.point_in_time_features(processed_full(spark, sf))
-    s = date_split(pit, TRAIN_END, GAP_END, VAL_END)
-    tr, va = s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
-    feats = C.FEATURES + C.PIT_FEATURES
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    vec = VectorAssembler(inputCols=feats, outputCol="_x", handleInvalid="skip")
-    lr = LinearRegression(featuresCol="_x", labelCol=C.TARGET, solver="normal", regParam=0.0)
-    model = lr.fit(vec.transform(tr))
-    coefs = dict(zip(feats, map(float, model.coefficients.toArray())))
-    return AU.linear_attribution(va, coefs, float(model.intercept), tr)
+# Ordinary least squares on two features in SQL: the normal equations of centred columns.
+_OLS_FEATURES = ["distance_km", "trip_count_last_1h"]
+_PIT_CTE = f"pit as (select *, {_F1_SQL} as trip_count_last_1h from clean)"
+_OLS_CTES = [
+    _PIT_CTE, O.date_split_sql("pit", TRAIN_END, GAP_END, VAL_END, "psplit"),
+    "otr as (select *, cast(trip_duration as double) as y, distance_km as x1,"
+    " cast(trip_count_last_1h as double) as x2 from psplit where split = 'train')",
+    "om as (select covar_pop(x1, x1) as s11, covar_pop(x2, x2) as s22, covar_pop(x1, x2) as s12,"
+    " covar_pop(x1, y) as s1y, covar_pop(x2, y) as s2y, avg(x1) as m1, avg(x2) as m2, avg(y) as my from otr)",
+    "ols as (select (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) as b1,"
+    " (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) as b2, sqrt(s11) as sd1, sqrt(s22) as sd2, m1, m2, my from om)",
+]
+_OLS_PHI = ("phis as (select id, 'distance_km' as feature, b1 * (distance_km - m1) as phi from psplit cross join ols"
+            " where split = 'val' union all select id, 'trip_count_last_1h', b2 * (trip_count_last_1h - m2)"
+            " from psplit cross join ols where split = 'val')")
+_OLS_POWER = ("per as (select feature, avg(abs(phi)) as mabs from phis group by feature),"
+              " tot as (select sum(mabs) as t from per),"
+              f" pw as (select feature, {rnd_sql('mabs', 2)} as mean_abs_attribution, {rnd_sql('mabs / t', 4)} as fraction,"
+              " row_number() over (order by mabs desc, feature) as rank, mabs / t > 0.7e0 as dominant from per cross join tot)")
+
+
+def ols_frames(spark, sf):
+    """Train and validation rows with the demand count attached."""
+    s = date_split(PIT.rolling_count(processed_full(spark, sf)), TRAIN_END, GAP_END, VAL_END)
+    return s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
 
 
-@query("attribution_power_linear")
+def _ols_power(spark, sf):
+    tr, va = ols_frames(spark, sf)
+    coefs, intercept, _ = MD.fit_ols(tr, _OLS_FEATURES)
+    return AU.attribution_power(AU.linear_attribution(va, coefs, intercept, tr))
+
+
+@query("attribution_power_linear", O.ctes(*_OLS_CTES, _OLS_PHI, _OLS_POWER) + "select * from pw")
 def q_attribution_power_linear(spark, sf):
-    return AU.attribution_power(_linear_full(spark, sf))
+    return _ols_power(spark, sf)
+
 
+@query("top_feature", O.ctes(*_OLS_CTES, _OLS_PHI, _OLS_POWER) + "select * from pw where rank = 1")
+def q_top_feature(spark, sf):
+    return AU.top_feature(_ols_power(spark, sf))
 
-@query("registry_audit")
+
+# the registry says: the count is not available at inference, the distance is without risk
+_AUDIT_CTE = ("au as (select *, case when feature = 'distance_km' then 'true' else 'false' end as available_at_inference,"
+              " case when feature = 'distance_km' then 'none' else 'HIGH if computed globally - must use point-in-time join' end as leakage_risk,"
+              " case when feature <> 'distance_km' and fraction > 0.05e0 then 'LEAKAGE' else 'OK' end as status from pw)")
+
+
+@query("registry_audit", O.ctes(*_OLS_CTES, _OLS_PHI, _OLS_POWER, _AUDIT_CTE) + "select * from au")
 def q_registry_audit(spark, sf):
-    return AU.registry_audit(AU.attribution_power(_linear_full(spark, sf)), registry_features(spark))
+    return AU.registry_audit(_ols_power(spark, sf), registry_features(spark))
 
 
-@query("leakage_audit")
+@query("leakage_audit", O.ctes(*_OLS_CTES, _OLS_PHI, _OLS_POWER, _AUDIT_CTE) +
+       "select count(*) filter (where status = 'LEAKAGE') as leakage_violations,"
+       " count(*) filter (where status = 'WARNING') as warnings, count(*) filter (where dominant) as dominant_features,"
+       " case when count(*) filter (where status = 'LEAKAGE') = 0 then 'CLEAN' else 'LEAKAGE_DETECTED' end as verdict from au")
 def q_leakage_audit(spark, sf):
-    a = AU.registry_audit(AU.attribution_power(_linear_full(spark, sf)), registry_features(spark))
-    return AU.leakage_verdict(a)
+    return AU.leakage_verdict(AU.registry_audit(_ols_power(spark, sf), registry_features(spark)))
 
 
 # -- G4 / D8 / M ------------------------------------------------------------------------------
 @query("seeded_sample", O.ctes(SPLIT_CTE) + "select id, trip_duration from split where split = 'val'"
-       " order by (cast(id as bigint) * 2654435761 + 42) % 4294967296, id limit 5000")
+       " and (cast(id as bigint) * 2654435761 + 42) % 4294967296 < 1288490188")
 def q_seeded_sample(spark, sf):
     _, va = train_val(spark, sf)
-    return AU.seeded_sample(va, 5000).select("id", "trip_duration")
+    return AU.seeded_sample(va, 0.3).select("id", "trip_duration")
 
 
-def _probe_scored(spark, sf):
-    tr, va = train_val(spark, sf)
-    sc = AU.scenario_rows(va)
-    return MD.predict_linear_1d(sc, MD.fit_linear_1d(tr))
+_SCENARIO_FIELDS = ["vendor_id", "distance_km", "passenger_count", "pickup_latitude", "dropoff_longitude", "hour",
+                    "day_of_week", "month", "is_weekend", "is_rush_hour"]
+#: The probes' scenarios and two that override other features of the contract.
+_SCENARIOS = [*AU.SCENARIOS, {"scenario": "june", "month": 6}, {"scenario": "evening", "hour": 22, "pickup_latitude": 40.7}]
 
 
-@query("scenario_rows", O.ctes(SPLIT_CTE) +
-       "select s.scenario, count(*) as rows from split cross join (values " + ", ".join(
-           f"('{s['scenario']}')" for s in AU.SCENARIOS) + ") s(scenario) where split = 'val' group by 1")
+def _scenario_values() -> str:
+    def v(s, f):
+        x = s.get(f)
+        return "null" if x is None else (f"{x!r}e0" if isinstance(x, float) else str(x))
+    fields = [*_SCENARIO_FIELDS, "distance_delta"]
+    rows = ", ".join("('" + s["scenario"] + "', " + ", ".join(v(s, f) for f in fields) + ")" for s in _SCENARIOS)
+    return f"scen(scenario, {', '.join('o_' + f for f in fields)}) as (values {rows})"
+
+
+@query("scenario_rows", O.ctes(SPLIT_CTE, _scenario_values()) +
+       "select scenario, count(*) as rows, " + ", ".join(
+           rnd_sql(f"avg(coalesce(o_{f}, {f})" + (" + coalesce(o_distance_delta, 0)" if f == "distance_km" else "") + ")", 4)
+           + f" as {f}" for f in _SCENARIO_FIELDS) + " from split cross join scen where split = 'val' group by 1")
 def q_scenario_rows(spark, sf):
     _, va = train_val(spark, sf)
-    return AU.scenario_rows(va).groupBy("scenario").agg(F.count(F.lit(1)).alias("rows"))
+    return AU.scenario_rows(va, _SCENARIOS).groupBy("scenario").agg(
+        F.count(F.lit(1)).alias("rows"), *[rnd(F.avg(f), 4).alias(f) for f in _SCENARIO_FIELDS])
+
+
+#: A scorer that reacts to every probed feature: the fitted distance effect plus fixed effects (seconds).
+_EFFECTS = {"vendor_id": 70.0, "passenger_count": 13.0, "is_rush_hour": 90.0, "is_weekend": -35.0,
+            "pickup_latitude": 1500.0, "dropoff_longitude": -700.0}
 
 
 def _probe_sql() -> str:
@@ -833,8 +907,9 @@ def _probe_sql() -> str:
         return "null" if x is None else (f"{float(x)!r}e0".replace("e0e0", "e0") if isinstance(x, float) else str(x))
     values = ", ".join("('" + s["scenario"] + "', " + ", ".join(v(s, f) for f in fields) + ")" for s in sc)
     scen = f"scen(scenario, {', '.join('o_' + f for f in fields)}) as (values {values})"
+    effects = "".join(f" + {w!r}e0 * coalesce(o_{f}, {f})" for f, w in _EFFECTS.items())
     x = ("px as (select id as base_id, scenario, greatest(intercept + slope * (coalesce(o_distance_km, distance_km)"
-         " + coalesce(o_distance_delta, 0e0)), 60e0) as p from split cross join scen cross join coef"
+         f" + coalesce(o_distance_delta, 0e0)){effects} - 112000e0, 60e0) as p from split cross join scen cross join coef"
          " where split = 'val')")
     names = sorted({s["scenario"] for s in sc})
     wide = "wide as (select base_id, " + ", ".join(
@@ -860,12 +935,18 @@ def _probe_sql() -> str:
                               f" coalesce({ok}, false) as passed from wide" for n, val, ok in checks)
     return (O.ctes(SPLIT_CTE, LIN_CTES[0], scen, x, wide, f"lng as ({long})") +
             f"select probe, count(*) as bases, count(*) filter (where passed) as passed,"
-            f" {rnd_sql('max(value)', 4)} as max_value from lng group by probe")
+            f" {rnd_sql('max(value)', 4)} as max_value, {rnd_sql('avg(value)', 4)} as mean_value from lng group by probe")
 
 
 @query("probe_results", _probe_sql())
 def q_probe_results(spark, sf):
-    return AU.probe_results(_probe_scored(spark, sf))
+    tr, va = train_val(spark, sf)
+    c = MD.fit_linear_1d(tr).first()  # two scalars
+    effects = {"distance_km": c.slope, **_EFFECTS}
+
+    def score(columns):
+        return F.greatest(MD.linear_expression(effects, c.intercept - 112000.0, columns), F.lit(60.0))
+    return AU.probe_results(va, score)
 
 
 # -- L: feature store ---------------------------------------------------------------------------

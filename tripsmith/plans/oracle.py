@@ -18,7 +18,9 @@ select cast(event_id as string) as id,
   40.6e0 + (event_id * 37 % 1000) * 3 / 1e4
     + case when event_id % 101 = 3 then 0e0 else value / 3e3 end as dropoff_latitude,
   case when event_id % 50 = 0 then 'Y' else 'N' end as store_and_fwd_flag,
-  cast(floor(value * 20) as int) as trip_duration
+  cast(floor(value * 20 * (0.75e0 + (event_id * 7919 % 1000) / 2e3)
+    + case when hour(ts) in (7, 8, 9, 17, 18, 19) then 90 else 0 end
+    + (user_id % 2) * 12 + (user_id % 7) * 3) as int) as trip_duration
 from events
 """
 

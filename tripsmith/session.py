@@ -25,32 +25,35 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TRIPSMITH_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_checkpoints(spark)
     checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder.
-
-    Reads ``spark.checkpoint.dir`` (or an already-set SparkContext folder).  Only
-    when neither exists *and* the master is local (tests, laptops) does it
-    create a scratch folder; on a cluster it refuses instead of falling back to
-    a machine-local path.
-    """
+    """The cluster's shared checkpoint folder: what is set already, else ``spark.checkpoint.dir``."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if not conf_dir:
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS)")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir()
+
+
+def use_local_checkpoints(spark: SparkSession) -> None:
+    """For tests, the bench and local runs: a scratch folder where none is set.
+
+    Only in a session whose executor is the driver itself; a cluster must name a shared folder.
+    """
+    sc = spark.sparkContext
+    unset = not sc.getCheckpointDir() and not sc.getConf().get("spark.checkpoint.dir", None)
+    if unset and sc._jsc.sc().isLocal():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripsmith-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS)")

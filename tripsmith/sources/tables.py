@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,9 @@ TRIP_VIEW_EXPRS = [
     "40.6e0 + (event_id * 37 % 1000) * 3 / 1e4"
     " + case when event_id % 101 = 3 then 0e0 else value / 3e3 end as dropoff_latitude",
     "case when event_id % 50 = 0 then 'Y' else 'N' end as store_and_fwd_flag",
-    "cast(floor(value * 20) as int) as trip_duration",
+    "cast(floor(value * 20 * (0.75e0 + (event_id * 7919 % 1000) / 2e3)"
+    " + case when hour(ts) in (7, 8, 9, 17, 18, 19) then 90 else 0 end"
+    " + (user_id % 2) * 12 + (user_id % 7) * 3) as int) as trip_duration",
 ]
 
 
@@ -103,8 +105,11 @@ def read_raw_csv(spark: SparkSession, path: str, timestamp_format: str | None =
     return text.select(*cols)
 
 
-def sample_scan(df: DataFrame, n: int = 1000, order=(TIME_COL, KEY_COL)) -> DataFrame:
-    """A3: deterministic cheap sample - the first ``n`` rows in (time, id) order.
-    Spark plans this as TakeOrderedAndProject (per-partition top-n, no full sort)."""
-    cols = [c for c in order if c in df.columns]
-    return df.orderBy(*cols).limit(n) if cols else df.limit(n)
+def key_hash(key: str = KEY_COL, seed: int = 42) -> Column:
+    """A multiplicative hash of an integer key in [0, 2**32), the same in any SQL engine."""
+    return (F.col(key).cast("long") * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)
+
+
+def sample_scan(df: DataFrame, fraction: float = 0.1, key: str = KEY_COL) -> DataFrame:
+    """Deterministic sample - a fraction of all rows by key hash; a filter, no sort."""
+    return df.where(key_hash(key) < F.lit(int(fraction * 4294967296)))
