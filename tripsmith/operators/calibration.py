@@ -96,11 +96,12 @@ def calibration_stats(df: DataFrame, prob: str = "spike_prob", label: str = "spi
 
 def fit_isotonic(fit_df: DataFrame, prob: str = "spike_prob", label: str = "spike"):
     """Isotonic (non-decreasing) fit with MLlib; out-of-range inputs are clipped
-    to the end values and inputs between knots are interpolated linearly."""
-    return IsotonicRegression(featuresCol=prob, labelCol=label, predictionCol="_iso",
-                              isotonic=True).fit(
-        fit_df.select(F.col(prob).cast("double").alias(prob),
-                      F.col(label).cast("double").alias(label)))
+    to the end values and inputs between knots are interpolated linearly.  Rows are reduced to
+    (probability, mean label, count) first - the same fit, from at most one row per bin."""
+    points = fit_df.groupBy(F.col(prob).cast("double").alias(prob)).agg(
+        F.avg(F.col(label).cast("double")).alias(label), F.count(F.lit(1)).cast("double").alias("_w"))
+    return IsotonicRegression(featuresCol=prob, labelCol=label, weightCol="_w", predictionCol="_iso",
+                              isotonic=True).fit(points)
 
 
 def apply_isotonic(model, df: DataFrame, prob: str = "spike_prob",

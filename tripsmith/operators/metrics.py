@@ -34,14 +34,14 @@ def five_metrics(df: DataFrame, actual: str, pred: str, by: Sequence[str] = (),
     """Rmse, mape %, signed mean error, p95 |error|, r2 (+ rows) per group.
 
     MAPE skips rows whose actual is 0 (``try_divide`` -> NULL) instead of
-    producing infinity.  R2 = 1 - SSres / (n * var_pop(actual)).
+    producing infinity; ``zero_actuals`` counts them.  R2 = 1 - SSres / (n * var_pop(actual)).
     """
     by = list(by)
     e = with_errors(df, actual, pred)
     checkpoint_dir(df.sparkSession)
     agg = e.groupBy(*by).agg(
         *bracket("_ae", C.SPIKE_PERCENTILE),
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_a") == 0).alias("zero_actuals"),
         F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse_seconds"),
         (F.avg(F.try_divide(F.col("_ae"), F.col("_a"))) * 100.0).alias("mape_pct"),
         F.avg("_e").alias("mean_error_seconds"),
@@ -50,7 +50,7 @@ def five_metrics(df: DataFrame, actual: str, pred: str, by: Sequence[str] = (),
     ).checkpoint()  # one row per group
     p95 = exact_percentile(e, "_ae", C.SPIKE_PERCENTILE, by=by, alias="p95_error_seconds", brackets=agg)
     out = agg.join(p95, by, "left") if by else agg.join(p95, F.lit(True), "left")  # 1 x 1 rows
-    cols = [*by, F.col("rows").cast("long").alias("rows")]
+    cols = [*by, F.col("rows").cast("long").alias("rows"), F.col("zero_actuals").cast("long").alias("zero_actuals")]
     for m in METRIC_COLUMNS:
         d = r2_digits if m == "r2" else digits
         cols.append((rnd(m, d) if rounded else F.col(m)).alias(m))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.numeric import rnd
 from ..functions.time import epoch_micros
+from ..session import checkpoint_dir
 from .ordering import prefix_sum
 
 HOUR_US = 3_600_000_000
@@ -35,7 +36,7 @@ def rolling_count(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
         raise ValueError(method)
     with_t = df.withColumn("_t", epoch_micros(ts))
     data = (with_t.groupBy("_t")
-            .agg(F.count(value).alias("_w")))          # partial agg: hot instants collapse
+            .agg(F.count(value).alias("_w"), F.count(F.lit(1)).alias("_rows")))  # hot instants collapse
     points = data.select(F.col("_t").alias("_k"), F.lit(1).alias("_role"), "_w",
                          F.col("_t").alias("_origin")).unionByName(
         data.select((F.col("_t") - F.lit(lookback_us)).alias("_k"), F.lit(0).alias("_role"),
@@ -44,7 +45,25 @@ def rolling_count(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
     counts = pre.groupBy(F.col("_origin").alias("_t")).agg(
         (F.sum(F.when(F.col("_role") == 1, F.col("_pre")).otherwise(-F.col("_pre"))))
         .cast("long").alias(out))
-    return with_t.join(counts, "_t", "left").drop("_t")
+    return _by_instant(with_t, data, counts, out).drop("_t")
+
+
+#: Rows at one instant from which its count travels to the rows instead of the rows to it.
+HOT_ROWS = 50_000
+_MAX_BROADCAST = 100_000
+
+
+def _by_instant(with_t: DataFrame, data: DataFrame, counts: DataFrame, out: str) -> DataFrame:
+    """Attach each instant's count.  Counts of hot instants (few: at most rows / HOT_ROWS) are
+    broadcast, so their rows stay where they are; all other rows are joined by instant."""
+    checkpoint_dir(with_t.sparkSession)
+    hot = data.where(F.col("_rows") >= HOT_ROWS).select("_t").join(counts, "_t").checkpoint()
+    n = hot.count()
+    if not 0 < n <= _MAX_BROADCAST:
+        return with_t.join(counts, "_t", "left")
+    marked = with_t.join(F.broadcast(hot.select("_t", F.col(out).alias("_hot"))), "_t", "left")
+    rest = marked.where("_hot is null").drop("_hot").join(counts, "_t", "left")
+    return rest.unionByName(marked.where("_hot is not null").withColumnRenamed("_hot", out))
 
 
 def _rolling_count_halo(df, ts, value, lookback_us, out):
@@ -73,9 +92,10 @@ def avg_same_hour(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
 
     ``frame="rows"`` (parity) uses the previous 7 *observed* days of that hour;
     ``frame="days"`` uses calendar days ``[d-7, d-1]``.  Missing history falls
-    back to the whole-table mean (``fallback="global"``, parity) or stays NULL
-    (``fallback="none"``).  The (date, hour) table is tiny (days x 24), so its
-    window is cheap and AQE broadcasts it for the join back.
+    back to the whole-table mean (``fallback="global"``, parity: it looks ahead), to the
+    mean of all earlier days (``fallback="past"``, NULL on the first day) or stays NULL
+    (``fallback="none"``).  The (date, hour) table grows with the calendar only (days x
+    24); it is counted, then broadcast.
     """
     daily = daily_hour_mean(df, ts, value)
     if frame == "rows":
@@ -88,11 +108,18 @@ def avg_same_hour(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
     lag = daily.select(F.col("date").alias("_date"), F.col("hour").alias("_hour"),
                        F.avg("daily_hour_mean").over(w).alias("_avg"))
     keyed = df.withColumns({"_date": F.to_date(ts), "_hour": F.hour(ts).cast("int")})
-    j = keyed.join(lag, ["_date", "_hour"], "left")
+    if fallback == "past":
+        by_day = daily.groupBy("date").agg(F.sum(F.col("daily_hour_mean") * F.col("rows")).alias("_s"), F.sum("rows").alias("_n"))
+        before = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)  # a row per day
+        past = by_day.select(F.col("date").alias("_date"), F.try_divide(F.sum("_s").over(before), F.sum("_n").over(before)).alias("_p"))
+        lag = lag.join(past, "_date").withColumn("_avg", F.coalesce("_avg", "_p")).drop("_p")
+    checkpoint_dir(df.sparkSession)
+    lag = lag.checkpoint()
+    j = keyed.join(F.broadcast(lag) if lag.count() <= _MAX_BROADCAST else lag, ["_date", "_hour"], "left")
     if fallback == "global":
         g = df.agg(F.avg(F.col(value).cast("double")).alias("_g"))  # one row
         j = j.crossJoin(F.broadcast(g)).withColumn(out, F.coalesce("_avg", "_g")).drop("_g")
-    elif fallback == "none":
+    elif fallback in ("none", "past"):
         j = j.withColumn(out, F.col("_avg"))
     else:
         raise ValueError(fallback)

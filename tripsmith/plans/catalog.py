@@ -18,6 +18,7 @@ from ..operators import clean as CL
 from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators.splits import Fold, date_split
+from ..session import checkpoint_dir
 from ..sources.tables import trips
 from . import oracle as O
 
@@ -317,7 +318,7 @@ _WF_SQL = ("wm as (" + O.five_metrics_sql("wscored", by="fold") + ")")
 
 
 @query("walk_forward_baseline", O.ctes(*_WF_CTES, _WF_SQL) +
-       "select wm.fold, rmse_seconds, mape_pct, mean_error_seconds, p95_error_seconds, r2,"
+       "select wm.fold, zero_actuals, rmse_seconds, mape_pct, mean_error_seconds, p95_error_seconds, r2,"
        " train_rows, val_rows from wm join wcounts using (fold)")
 def q_walk_forward(spark, sf):
     return MD.walk_forward_lookup(processed_full(spark, sf), FOLDS)
@@ -490,11 +491,14 @@ def q_promotion_check(spark, sf):
 
 # -- E11-E15, D5, J9, J12, J13: calibration -----------------------------------------------------
 def calib_frames(spark, sf):
-    tr, va = train_val(spark, sf)
-    thr = spike_thr(tr)
-    tr_sc = CA.with_spike_label(MD.lookup_baseline(tr, tr), thr)
-    va_sc = CA.with_spike_label(MD.lookup_baseline(tr, va), thr)
-    return tr_sc, va_sc, thr
+    """Scored train and validation rows (narrow, written once: the lookup is fitted once) and the threshold."""
+    s = split_full(spark, sf).where(F.col("split").isin("train", "val"))
+    scored = MD.lookup_baseline(s.where(F.col("split") == "train"), s).select("id", "split", C.TARGET, "prediction")
+    checkpoint_dir(spark)
+    scored = scored.checkpoint()
+    tr, va = scored.where(F.col("split") == "train"), scored.where(F.col("split") == "val")
+    thr = spike_thr(tr).checkpoint()  # one row
+    return CA.with_spike_label(tr, thr), CA.with_spike_label(va, thr), thr
 
 
 _REL_IDX = " + ".join(f"cast({repr(i * 0.1)}e0 < {{p}} as int)".replace("e0e0", "e0")
@@ -657,6 +661,7 @@ from ..operators import gates as G  # noqa: E402
 from ..operators import store as ST  # noqa: E402
 from ..sources import sinks as SK  # noqa: E402
 from ..sources.registry import registry_features  # noqa: E402
+from ..streaming.trips import scratch_path as scratch  # noqa: E402
 
 
 def _gate_sql(rows_sql: list[tuple[str, str, float, str]], src: str) -> str:
@@ -737,15 +742,64 @@ def q_type_violations(spark, sf):
     return G.type_violations(text)
 
 
-@query("table_fingerprint")
+_FP_ROW = " || '|' || ".join(
+    f"coalesce({t}, 'N')" for t in (
+        ["length(id) || ':' || id"] + [f"cast({c} as varchar)" for c in ("hour", "day_of_week", "month", "is_weekend", "is_rush_hour")]
+        + ["cast(cast(floor(distance_km * 1e6 + 0.5) as bigint) as varchar)", "cast(passenger_count as varchar)"]
+        + [f"cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar)"
+           for c in ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")]
+        + ["cast(vendor_id as varchar)", "cast(trip_duration as varchar)", "cast(epoch_us(pickup_datetime) as varchar)"]))
+_FP_CTE = ("fp as (select count(*) as rows, cast(coalesce(sum(cast('0x' || substr(md5(" + _FP_ROW +
+           "), 1, 15) as bigint)), 0) as varchar) as fingerprint from clean)")
+
+
+def _fingerprinted(spark, sf):
+    return processed_full(spark, sf).select(
+        "id", "hour", "day_of_week", "month", "is_weekend", "is_rush_hour", "distance_km", "passenger_count", "pickup_latitude",
+        "pickup_longitude", "dropoff_latitude", "dropoff_longitude", "vendor_id", "trip_duration", "pickup_datetime")
+
+
+@query("table_fingerprint", O.ctes(_FP_CTE) + "select * from fp")
 def q_fingerprint(spark, sf):
-    return SK.table_fingerprint(processed_full(spark, sf))
+    return SK.table_fingerprint(_fingerprinted(spark, sf))
 
 
-@query("manifest")
+@query("manifest", O.ctes(_FP_CTE) + "select 'events' as raw_source, 'processed' as processed_output, rows as rows_after_cleaning,"
+       " fingerprint as processed_hash, 60 as min_duration_seconds, 7200 as max_duration_seconds, 0.1e0 as min_distance_km,"
+       " 'catalog' as run_id, '2024-01-31' as execution_date from fp")
 def q_manifest(spark, sf):
-    return SK.manifest(processed_full(spark, sf), f"{sf}/events.parquet", "processed",
-                       run_id="catalog", execution_date="2024-01-31").drop("processed_at")
+    m = SK.manifest(_fingerprinted(spark, sf), "events", "processed", run_id="catalog", execution_date="2024-01-31")
+    return m.select("raw_source", "processed_output", "rows_after_cleaning", "processed_hash",
+                    "cleaning_rules.min_duration_seconds", "cleaning_rules.max_duration_seconds",
+                    "cleaning_rules.min_distance_km", "run_id", "execution_date")
+
+
+@query("row_handshake", O.ctes() + "select count(*) as rows_written, count(*) as rows_read, true as matches from clean")
+def q_handshake(spark, sf):
+    """Rows counted inside the write job against rows read back."""
+    path = scratch(spark, "handshake")
+    written, _ = SK.write_counted(processed_full(spark, sf), path)
+    return SK.handshake(spark, path, written)
+
+
+@query("lineage_trace", O.ctes(*_TWO_MODELS_CTES, _FP_CTE) +
+       "select m.model, m.rmse_seconds, r.run_id, r.n as rows_after_cleaning, r.n as current_rows, r.run_id = 'run_2' as hash_matches"
+       " from mm m cross join (select 'run_1' as run_id, rows - (select count(*) from clean where vendor_id = 2) as n0, rows as n from fp"
+       " union all select 'run_2', rows, rows from fp) r where r.run_id = 'run_2' union all"
+       " select m.model, m.rmse_seconds, 'run_1', (select count(*) from clean where vendor_id = 1), fp.rows, false from mm m cross join fp")
+def q_lineage_trace(spark, sf):
+    """Two runs append their metrics; the first was made before the table changed."""
+    data = _fingerprinted(spark, sf)
+    metrics = _two_models(spark, sf).select("model", "rmse_seconds")
+    table = scratch(spark, "metrics")
+    for run, frame in (("run_1", data.where("vendor_id = 1")), ("run_2", data)):
+        SK.append_metrics(metrics, table, run)
+    SK.append_metrics(metrics, table, "run_2")  # a repeated run replaces its rows
+    manifests = SK.manifest(data.where("vendor_id = 1"), "events", "processed", run_id="run_1").unionByName(
+        SK.manifest(data, "events", "processed", run_id="run_2"))
+    now = SK.table_fingerprint(data).withColumn("processed_output", F.lit("processed"))
+    return SK.lineage_trace(spark.read.parquet(table), manifests, now).select(
+        "model", "rmse_seconds", "run_id", "rows_after_cleaning", "current_rows", "hash_matches")
 
 
 # -- K / E16 / D4: attribution and audit -------------------------------------------------------

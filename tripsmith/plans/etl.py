@@ -1,8 +1,8 @@
 """End-to-end plans: raw -> processed (Q1) and
 processed -> labelled training frame (Q2).
 
-Q1 is one application with three actions: the gate pass, the Parquet write,
-and the verification pass over the written files.  Gate limits are
+Q1 is one application with four actions: the gate pass, the Parquet write (which counts
+its rows), the count of what is read back, and the verification pass over the files.  Gate limits are
 parameters (the reference's 100,000-row floor is the default).
 """
 
@@ -25,6 +25,7 @@ class EtlResult:
     verify: DataFrame
     manifest: DataFrame
     funnel: DataFrame
+    handshake: DataFrame
     output_path: str
     size_mb: int
 
@@ -39,13 +40,16 @@ def run_etl(raw: DataFrame, output_path: str, raw_source: str, *, min_rows: int
     if fail:
         G.raise_on_violation(gates)                      # action 1
     processed = CL.processed(raw, "full")
-    size = SK.write_parquet(processed, output_path, partition_by)   # action 2
+    rows, size = SK.write_counted(processed, output_path, partition_by)   # action 2
+    shake = SK.handshake(raw.sparkSession, output_path, rows)
+    if fail and not shake.first()["matches"]:
+        raise ValueError(f"{output_path}: rows read back differ from the {rows} written")
     written = raw.sparkSession.read.parquet(output_path)
     verify = G.verify_output(written, min_rows=verify_min_rows)
     if fail:
         G.raise_on_violation(verify)                     # action 3
     man = SK.manifest(written, raw_source, output_path, size, run_id, execution_date)
-    return EtlResult(gates, verify, man, CL.clean_funnel(raw), output_path, size)
+    return EtlResult(gates, verify, man, CL.clean_funnel(raw), shake, output_path, size)
 
 
 def training_frame(processed: DataFrame, feature_list=None):

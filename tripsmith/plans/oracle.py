@@ -75,6 +75,7 @@ def five_metrics_sql(src: str, actual: str = "trip_duration", pred: str = "predi
     e = f"(cast({actual} as double) - {pred})"
     sel = [
         f"count(*) as rows",
+        f"count(*) filter (where {actual} = 0) as zero_actuals",
         f"{rnd_sql(f'sqrt(avg({e}*{e}))', digits)} as rmse_seconds",
         f"{rnd_sql(f'avg(abs({e}) / nullif(cast({actual} as double), 0)) * 100', digits)} as mape_pct",
         f"{rnd_sql(f'avg({e})', digits)} as mean_error_seconds",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,11 +35,43 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return path_size_bytes(df.sparkSession, path) // (1024 * 1024)
 
 
+def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[int, int]:
+    """A5 + B13: write a Parquet dataset to a new folder; (rows that went into the write, size in MB).
+
+    The rows are counted by the write job itself, so they can be compared with what is read back.
+    """
+    seen = Observation("written")
+    size = write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    return int(seen.get["rows"]), size
+
+
+def handshake(spark: SparkSession, path: str, written: int) -> DataFrame:
+    """rows_written, rows_read, matches - the count taken while writing against the files."""
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read")).select(
+        F.lit(written).cast("long").alias("rows_written"), "rows_read",
+        (F.col("rows_read") == F.lit(written)).alias("matches"))
+
+
+def _canonical(name: str, kind: str) -> Column:
+    """A value as text that any SQL engine writes alike; NULL is ``N``, text carries its length."""
+    c = F.col(f"`{name}`")
+    if kind in ("double", "float"):
+        text = F.floor(c.cast("double") * 1e6 + 0.5).cast("long").cast("string")
+    elif kind == "timestamp":
+        text = F.unix_micros(c).cast("string")
+    elif kind == "string":
+        text = F.concat(F.length(c).cast("string"), F.lit(":"), c)
+    else:
+        text = c.cast("string")
+    return F.coalesce(text, F.lit("N"))
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """``rows`` and an order-insensitive ``fingerprint`` (sum of per-row 64-bit
-    hashes as an exact decimal).  Same table content -> same value, whatever the
-    partitioning or file layout."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    """``rows`` and an order-insensitive ``fingerprint``: the exact sum of a 60-bit hash of each
+    row's canonical text (doubles to 6 decimals).  NULLs and the place of values count.  Same
+    content -> same value, whatever the partitioning or file layout."""
+    row = F.concat_ws("|", *[_canonical(n, k) for n, k in df.dtypes])
+    h = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string")
                   .alias("fingerprint"))
@@ -91,9 +123,16 @@ def manifest(processed: DataFrame, raw_source: str, processed_output: str,
         F.lit(execution_date).cast("string").alias("execution_date"))
 
 
-def append_metrics(metrics: DataFrame, path: str, partition_by: Sequence[str] = ("model",)) -> None:
-    """Append metric rows to a metrics table partitioned by model."""
-    metrics.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """Add a run's metric rows to a metrics table, partitioned by run and model.  Writing a run
+    again replaces its rows."""
+    (metrics.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "model").parquet(path))
+
+
+def one_run(metrics: DataFrame, run_id: str) -> DataFrame:
+    """The metric rows of one run: comparisons expect one row per model."""
+    return metrics.where(F.col("run_id") == run_id)
 
 
 def load_metrics(metrics: DataFrame, expected: Sequence[str], model_col: str = "model",
@@ -110,11 +149,11 @@ def load_metrics(metrics: DataFrame, expected: Sequence[str], model_col: str = "
 
 
 def lineage_trace(metrics: DataFrame, manifests: DataFrame, fingerprints: DataFrame) -> DataFrame:
-    """Model metrics -> processed table (by run id) -> fingerprint of the
-    table actually read now; ``hash_matches`` shows whether the data changed."""
+    """Model metrics -> manifest (by run id) -> fingerprint of the table read now (by its path,
+    ``processed_output``); ``hash_matches`` shows whether the data changed, NULL if it is gone."""
     m = manifests.select("run_id", "raw_source", "processed_output", "rows_after_cleaning",
                          "processed_hash")
-    j = metrics.join(m, "run_id", "left").join(
-        fingerprints.select(F.col("rows").alias("current_rows"),
-                            F.col("fingerprint").alias("current_hash")), how="cross")
+    now = fingerprints.select("processed_output", F.col("rows").alias("current_rows"),
+                              F.col("fingerprint").alias("current_hash"))
+    j = metrics.join(m, "run_id", "left").join(now, "processed_output", "left")
     return j.withColumn("hash_matches", F.col("processed_hash") == F.col("current_hash"))
