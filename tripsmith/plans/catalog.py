@@ -1039,49 +1039,101 @@ def q_ttl_filter(spark, sf):
 from ..streaming import trips as STR  # noqa: E402
 
 
+def _feed(spark, sf, name, **kw):
+    """A feed of six files with late rows, and a folder for the query's sink and checkpoint."""
+    from ..sources.tables import table
+    base = scratch(spark, name)
+    STR.write_feed(table(spark, sf, "events"), f"{base}/feed", **kw)
+    return base, f"{base}/feed"
+
+
+_ARRIVAL = ("case when cast(id as bigint) % 50 = 7 and pickup_datetime < timestamp '2024-01-08' then 5 else "
+            + " + ".join(f"cast(pickup_datetime >= timestamp '{c}' as int)" for c in STR.FEED_CUTS) + " end")
+
+
 @query("stream_features", O.ctes() + f"select {_PROCESSED_OUT} from clean")
 def q_stream_features(spark, sf):
-    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
-    path = STR.run_to_table(s, "stream_features")
+    """N1, replayed in two goes: half of the feed, a stop, then the rest from the same checkpoint."""
+    from ..sources.tables import table
+    base, feed = _feed(spark, sf, "stream_features", parts=[0, 1, 2])
+    for parts in ([], [3, 4, 5]):
+        STR.write_feed(table(spark, sf, "events"), feed, parts=parts)
+        path = STR.run_to_table(STR.stream_features(STR.trip_stream(STR.events_stream(spark, feed))), base)
     return _processed_out(spark.read.parquet(path))
 
 
-@query("stream_gates", O.ctes() + "select 'accepted' as outcome, count(*) as rows from clean")
+#: Spoils rows of the third file, whose batch is to be quarantined.
+_SPOIL = "ts >= timestamp '2024-01-15' and ts < timestamp '2024-01-22' and event_id % 1000 = 11"
+
+
+@query("stream_gates", O.ctes(f"arr as (select *, {_ARRIVAL} as part from trips)") +
+       "select case when part = 2 then 'quarantine' else 'accepted' end as outcome, count(*) as rows,"
+       " count(distinct part) as batches from arr group by 1")
 def q_stream_gates(spark, sf):
-    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
-    path = STR.run_to_table(s, "stream_gates", foreach_batch=STR.gate_batches(min_rows=1))
-    return spark.read.parquet(STR.os.path.join(path, "batches")).groupBy("outcome").agg(
-        F.count(F.lit(1)).alias("rows"))
+    base, feed = _feed(spark, sf, "stream_gates", spoil=_SPOIL)
+    path = STR.run_to_table(STR.trip_stream(STR.events_stream(spark, feed)), base,
+                            foreach_batch=STR.gate_batches(min_rows=1))
+    return spark.read.parquet(f"{path}/batches").groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("batch_id").alias("batches"))
 
 
-@query("stream_demand_windows", O.ctes() +
+@query("stream_demand_windows", O.ctes(f"arr as (select *, {_ARRIVAL} as part from clean)") +
        "select strftime(ws, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as trips from"
        " (select time_bucket(interval 5 minute, pickup_datetime) - interval (5 * k) minute as ws"
-       " from clean, range(0, 12) r(k)) t group by ws")
+       " from arr, range(0, 12) r(k) where not (part = 5 and pickup_datetime < timestamp '2024-01-08')) t group by ws")
 def q_stream_demand(spark, sf):
-    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
-    w = STR.demand_windows(s)
-    path = STR.run_to_table(w, "stream_demand", output_mode="update",
-                            foreach_batch=STR.upsert_latest(["window_start"]))
-    latest = STR.latest_rows(path, ["window_start"], spark)
-    return latest.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                         F.col("trips").cast("long").alias("trips"))
+    """Rows three weeks late come after the watermark and are left out; windows that are
+    updated by several batches keep their last count."""
+    base, feed = _feed(spark, sf, "stream_demand")
+    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, feed)))
+    path = STR.run_to_table(STR.demand_windows(s), base, output_mode="update", foreach_batch=STR.upsert_latest())
+    STR.compact_latest(spark, path, ["window_start"], f"{base}/latest")
+    return spark.read.parquet(f"{base}/latest").select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), F.col("trips").cast("long").alias("trips"))
+
+
+def _saved_model(spark, sf, base):
+    """Lookup, mean and spike bins of the training window, written once: a micro-batch reads these files."""
+    tr, _, _ = calib_frames(spark, sf)
+    full, _ = train_val(spark, sf)
+    saved = {"lookup": MD.fit_lookup(full), "mean": full.agg(F.avg(F.col(C.TARGET).cast("double")).alias("global_mean")),
+             "bins": CA.spike_bins(tr)}
+    for name, df in saved.items():
+        df.write.mode("overwrite").parquet(f"{base}/model/{name}")
+    return [spark.read.parquet(f"{base}/model/{name}") for name in saved]
 
 
-@query("stream_scoring", O.ctes(*LOOKUP_CTES) +
-       f"select id, {rnd_sql('prediction', 4)} as prediction, is_fallback from scored")
+def _val_stream(spark, feed):
+    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, feed)))
+    return date_split(s, TRAIN_END, GAP_END, VAL_END).where(F.col("split") == "val")
+
+
+@query("stream_scoring", O.ctes(*_CAL_CTES) +
+       f"select id, {rnd_sql('prediction', 4)} as prediction, {rnd_sql('spike_prob', 6)} as spike_prob,"
+       f" spike_prob > {_OVERRIDE_AT}e0 as overridden, {rnd_sql(f'case when spike_prob > {_OVERRIDE_AT}e0 then global_mean else prediction end', 4)}"
+       " as served_prediction from vprob cross join gm")
 def q_stream_scoring(spark, sf):
-    """Validation-window trips arrive as a stream and are scored against the
-    static lookup model fitted on the training window (stream-static join)."""
-    tr, _ = train_val(spark, sf)
-    lookup = MD.fit_lookup(tr)
-    gm = tr.agg(F.avg(F.col(C.TARGET).cast("double")).alias("global_mean"))
-    s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
-    s = date_split(s, TRAIN_END, GAP_END, VAL_END).where(F.col("split") == "val")
-    scored = STR.score_stream(s, lookup, gm).select("id", "prediction", "is_fallback")
-    path = STR.run_to_table(scored, "stream_scoring")
-    return spark.read.parquet(path).select("id", rnd("prediction", 4).alias("prediction"),
-                                           "is_fallback")
+    """Validation-window trips arrive as a stream and are scored against the saved model
+    (stream-static join); rows that are likely spikes get the historical mean instead."""
+    base, feed = _feed(spark, sf, "stream_scoring")
+    lookup, mean, bins = _saved_model(spark, sf, base)
+    scored = STR.score_stream(_val_stream(spark, feed), lookup, mean, bins, threshold=_OVERRIDE_AT)
+    path = STR.run_to_table(scored.select("id", "prediction", "spike_prob", "served_prediction"), base)
+    return spark.read.parquet(path).select(
+        "id", rnd("prediction", 4).alias("prediction"), rnd("spike_prob", 6).alias("spike_prob"),
+        (F.col("spike_prob") > _OVERRIDE_AT).alias("overridden"), rnd("served_prediction", 4).alias("served_prediction"))
+
+
+def _delayed(spark, sf, name):
+    base, feed = _feed(spark, sf, name)
+    lookup, mean, _ = _saved_model(spark, sf, base)
+    preds = STR.score_stream(_val_stream(spark, feed), lookup, mean).select(
+        "id", "prediction", F.col("pickup_datetime").alias("pred_ts"))
+    outcomes = _val_stream(spark, feed).select(
+        "id", C.TARGET, (F.col("pickup_datetime") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), F.col(C.TARGET).cast("decimal(18,6)"))).alias("outcome_ts"))
+    return base, STR.delayed_label_join(preds, outcomes).select(
+        F.col("p.id").alias("id"), "prediction", "pred_ts", C.TARGET)
 
 
 @query("stream_delayed_labels", O.ctes(*LOOKUP_CTES) +
@@ -1090,29 +1142,30 @@ def q_stream_scoring(spark, sf):
        f" {rnd_sql('avg(trip_duration - prediction)', 2)} as mean_error_seconds from scored group by 1")
 def q_stream_delayed_labels(spark, sf):
     """Predictions are emitted at pickup, outcomes arrive at dropoff; a
-    watermarked stream-stream join pairs them, then daily error metrics."""
-    tr, _ = train_val(spark, sf)
-    lookup = MD.fit_lookup(tr)
-    gm = tr.agg(F.avg(F.col(C.TARGET).cast("double")).alias("global_mean"))
-
-    def val_stream():
-        s = STR.stream_features(STR.trip_stream(STR.events_stream(spark, sf)))
-        return date_split(s, TRAIN_END, GAP_END, VAL_END).where(F.col("split") == "val")
-    preds = STR.score_stream(val_stream(), lookup, gm).select(
-        "id", "prediction", F.col("pickup_datetime").alias("pred_ts"))
-    outcomes = val_stream().select(
-        "id", C.TARGET, (F.col("pickup_datetime") + F.make_dt_interval(
-            F.lit(0), F.lit(0), F.lit(0), F.col(C.TARGET).cast("decimal(18,6)"))).alias("outcome_ts"))
-    joined = STR.delayed_label_join(preds, outcomes).select(
-        F.col("p.id").alias("id"), "prediction", "pred_ts", C.TARGET)
-    path = STR.run_to_table(joined, "stream_delayed_labels")
-    j = spark.read.parquet(path)
+    watermarked stream-stream join pairs them, then daily error metrics of what it wrote."""
+    base, joined = _delayed(spark, sf, "stream_delayed_labels")
+    j = spark.read.parquet(STR.run_to_table(joined, base))
     e = F.col(C.TARGET).cast("double") - F.col("prediction")
     return j.groupBy(F.date_format(F.date_trunc("day", "pred_ts"), "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("rows"), rnd(F.sqrt(F.avg(e * e)), 2).alias("rmse_seconds"),
         rnd(F.avg(e), 2).alias("mean_error_seconds"))
 
 
+@query("stream_error_windows", O.ctes(*LOOKUP_CTES) +
+       "select strftime(date_trunc('day', pickup_datetime), '%Y-%m-%d') as day, count(*) as rows,"
+       f" {rnd_sql('sqrt(avg((trip_duration - prediction) * (trip_duration - prediction)))', 2)} as rmse_seconds,"
+       f" {rnd_sql('avg(trip_duration - prediction)', 2)} as mean_error_seconds from scored"
+       " where pickup_datetime < timestamp '2024-01-26' group by 1")
+def q_stream_error_windows(spark, sf):
+    """N5 on the stream: day windows behind the join, each written once when the watermark (three
+    hours behind the feed) has passed it; the last day is still open when the feed ends."""
+    base, joined = _delayed(spark, sf, "stream_error_windows")
+    w = STR.windowed_error_metrics(joined, C.TARGET, "prediction", "pred_ts")
+    j = spark.read.parquet(STR.run_to_table(w, base))
+    return j.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "rows",
+                    rnd("rmse_seconds", 2).alias("rmse_seconds"), rnd("mean_error_seconds", 2).alias("mean_error_seconds"))
+
+
 @query("final_test_baseline", O.ctes(*LOOKUP_CTES,
                                      "tscore as (select s.*, coalesce(l.predicted_duration, gm.global_mean)"
                                      " as prediction from split s left join lookup l on s.hour = l.hour and"

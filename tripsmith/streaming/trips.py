@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,14 +27,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def events_stream(spark: SparkSession, source_dir: str, file_glob: str = "events.parquet",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """File-stream source over the events Parquet files in ``source_dir``."""
-    schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+#: Cuts of the event feed, a file each, and the rows that arrive with the last file instead of theirs.
+FEED_CUTS = ["2024-01-08", "2024-01-15", "2024-01-22", "2024-01-24", "2024-01-26"]
+FEED_LATE = "event_id % 50 = 7 and ts < timestamp '2024-01-08'"
+
+
+def write_feed(events: DataFrame, path: str, spoil: str | None = None, parts: Sequence[int] | None = None) -> None:
+    """Write events as a feed of files in arrival order, one folder each, for replay as a stream.
+
+    Some rows arrive late and so out of order (``FEED_LATE``).  Rows that meet the SQL predicate
+    ``spoil`` get a negative outcome.  ``parts`` writes only some files, to go on later.
+    """
+    part = F.lit(0)
+    for cut in FEED_CUTS:
+        part = part + (F.col("ts") >= F.to_timestamp(F.lit(cut))).cast("int")
+    part = F.when(F.expr(FEED_LATE), len(FEED_CUTS)).otherwise(part)
+    if spoil:
+        events = events.withColumn("value", F.when(F.expr(spoil), F.lit(-1000.0)).otherwise(F.col("value")))
+    for k in range(len(FEED_CUTS) + 1) if parts is None else parts:
+        events.where(part == k).write.parquet(os.path.join(path, f"arrival={k:03d}"))
+
+
+def events_stream(spark: SparkSession, feed: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """File-stream source over a feed of event files; by default a micro-batch per file."""
+    r = spark.readStream.schema(spark.read.option("recursiveFileLookup", True).parquet(feed).schema) \
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(source_dir)
+    return r.parquet(feed)
 
 
 def trip_stream(events: DataFrame) -> DataFrame:
@@ -47,12 +67,13 @@ def stream_features(raw_trips: DataFrame, profile: str = "full") -> DataFrame:
     return CL.processed(raw_trips, profile)
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
+def run_to_table(df: DataFrame, base: str, output_mode: str = "append",
                  foreach_batch: Callable | None = None) -> str:
-    """Run a streaming query to completion over the data available now and
-    return the path of its Parquet sink."""
-    spark = df.sparkSession
-    base = scratch_path(spark, name)
+    """Run a streaming query to completion over the data available now; the path of its Parquet sink.
+
+    Sink and checkpoint live under ``base``.  Called again with the same ``base`` (after a
+    stop or a failure) the query goes on where it was: no file is read twice.
+    """
     out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
     w = df.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
     if foreach_batch is not None:
@@ -63,20 +84,24 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
     return out
 
 
+def _batch_path(out: str, kind: str, epoch: int) -> str:
+    """A folder per micro-batch: a batch that is tried again overwrites what it wrote."""
+    return os.path.join(out, kind, f"batch_id={epoch}")
+
+
 def gate_batches(min_rows: int = 1, **gate_kwargs) -> Callable:
-    """Per micro-batch, run the one-pass gates; write the gate rows to
-    ``<out>/gates`` and the batch to ``<out>/batches`` with ``outcome`` =
-    accepted / quarantine (a violated gate quarantines the whole batch)."""
+    """Per micro-batch, run the one-pass gates; write the gate rows to ``<out>/gates`` and
+    the batch to ``<out>/batches`` with ``outcome`` = accepted / quarantine (a violated
+    gate quarantines the whole batch)."""
     def run(batch: DataFrame, epoch: int, out: str) -> None:
-        gates = G.quality_gates(batch, min_rows=min_rows, **gate_kwargs).withColumn(
-            "batch_id", F.lit(epoch))
-        gates = gates.persist()
-        gates.write.mode("append").parquet(os.path.join(out, "gates"))
+        batch = batch.persist()
+        gates = G.quality_gates(batch, min_rows=min_rows, **gate_kwargs).persist()
+        gates.write.mode("overwrite").parquet(_batch_path(out, "gates", epoch))
         bad = gates.where("violated").limit(1).count() > 0
+        batch.withColumn("outcome", F.lit("quarantine" if bad else "accepted")).write.mode(
+            "overwrite").parquet(_batch_path(out, "batches", epoch))
         gates.unpersist()
-        batch.withColumns({"batch_id": F.lit(epoch),
-                           "outcome": F.lit("quarantine" if bad else "accepted")}).write.mode(
-            "append").parquet(os.path.join(out, "batches"))
+        batch.unpersist()
     return run
 
 
@@ -91,20 +116,24 @@ def demand_windows(processed: DataFrame, ts: str = C.TIME_COL, window: str = "60
                     "trips"))
 
 
-def upsert_latest(key_cols: list[str]) -> Callable:
-    """foreachBatch body for ``update`` mode: append every updated row with its
-    batch id; ``latest_rows`` keeps the last version per key."""
+def upsert_latest() -> Callable:
+    """foreachBatch body for ``update`` mode: the rows a micro-batch updates, a folder per batch;
+    ``latest_rows`` keeps the last version per key."""
     def run(batch: DataFrame, epoch: int, out: str) -> None:
-        batch.withColumn("_batch", F.lit(epoch)).write.mode("append").parquet(out)
-    run.key_cols = key_cols
+        batch.write.mode("overwrite").parquet(_batch_path(out, "versions", epoch))
     return run
 
 
-def latest_rows(path: str, key_cols: list[str], spark: SparkSession) -> DataFrame:
-    from pyspark.sql import Window
-    df = spark.read.parquet(path)
-    w = Window.partitionBy(*key_cols).orderBy(F.desc("_batch"))
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_batch")
+def latest_rows(spark: SparkSession, out: str, key_cols: Sequence[str]) -> DataFrame:
+    """The last version of each key: a map-side maximum, no window."""
+    df = spark.read.parquet(os.path.join(out, "versions"))
+    rest = [c for c in df.columns if c not in (*key_cols, "batch_id")]
+    return df.groupBy(*key_cols).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v")).select(*key_cols, "_v.*")
+
+
+def compact_latest(spark: SparkSession, out: str, key_cols: Sequence[str], path: str) -> None:
+    """Write only the last versions to a new folder, so that older ones can be dropped."""
+    latest_rows(spark, out, key_cols).write.mode("overwrite").parquet(path)
 
 
 def score_stream(stream: DataFrame, lookup: DataFrame, fallback_mean: DataFrame,
@@ -138,8 +167,8 @@ def delayed_label_join(predictions: DataFrame, outcomes: DataFrame, key: str = C
 
 def windowed_error_metrics(joined: DataFrame, actual: str, pred: str, ts: str,
                            window: str = "1 day") -> DataFrame:
-    """N5 (cont.): tumbling-window error metrics of the joined stream.  The p95
-    uses ``approx_percentile`` (a bounded sketch), as exact quantiles need a sort."""
+    """N5 (cont.): tumbling-window error metrics of the joined stream, each window once the
+    watermark has passed it.  The p95 uses ``approx_percentile`` (a bounded sketch)."""
     e = F.col(actual).cast("double") - F.col(pred).cast("double")
     return (joined.groupBy(F.window(ts, window).alias("w"))
             .agg(F.count(F.lit(1)).alias("rows"), F.sqrt(F.avg(e * e)).alias("rmse_seconds"),
