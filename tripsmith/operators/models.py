@@ -180,6 +180,18 @@ def predict_linear_1d(df: DataFrame, coef: DataFrame, x: str = "distance_km",
     return df.crossJoin(F.broadcast(coef)).withColumn(out, p).drop("slope", "intercept")
 
 
+def walk_forward_linear(df: DataFrame, folds: Sequence[Fold], x: str = "distance_km", target: str = C.TARGET) -> DataFrame:
+    """J10 for a fitted model: one-feature least squares per fold, all folds in one aggregation
+    (a row per fold), then one scoring and metrics pass over the validation rows."""
+    a = assign_folds(df, folds)
+    y = F.col(target).cast("double")
+    coef = a.where(F.col("role") == "train").groupBy("fold").agg(
+        F.regr_slope(y, F.col(x)).alias("slope"), F.regr_intercept(y, F.col(x)).alias("intercept"))
+    p = F.greatest(F.col("intercept") + F.col("slope") * F.col(x), F.lit(C.PRED_CLIP_MIN))
+    scored = a.where(F.col("role") == "val").join(F.broadcast(coef), "fold").withColumn("prediction", p)
+    return five_metrics(scored, target, "prediction", by=["fold"])
+
+
 # -- J4 / J7: boosted trees -----------------------------------------------------------
 def gbt_pipeline(features: Sequence[str] = tuple(C.FEATURES), target: str = C.TARGET,
                  max_iter: int = 300, weight_col: str | None = None,

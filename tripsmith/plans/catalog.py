@@ -912,6 +912,185 @@ def q_leakage_audit(spark, sf):
     return AU.leakage_verdict(AU.registry_audit(_ols_power(spark, sf), registry_features(spark)))
 
 
+# -- J2-J8, J10: fitted models ------------------------------------------------------------------
+@query("linear_coefficients", O.ctes(*_OLS_CTES, "co as (select 'distance_km' as feature, b1 * sd1 as c from ols"
+                                     " union all select 'trip_count_last_1h', b2 * sd2 from ols)") +
+       f"select feature, {rnd_sql('c', 4)} as scaled_coefficient, cast(row_number() over (order by abs(c) desc, feature) as int) as rank,"
+       " case when c > 0 then 'longer trip' else 'shorter trip' end as direction,"
+       " not (feature = 'distance_km' and c < 0) as sign_ok from co")
+def q_linear_coefficients(spark, sf):
+    tr, _ = ols_frames(spark, sf)
+    coefs, _, std = MD.fit_ols(tr, _OLS_FEATURES)
+    t = MD.coefficient_table(spark, _OLS_FEATURES, [coefs[f] * std[f] for f in _OLS_FEATURES])
+    return t.withColumn("scaled_coefficient", rnd("scaled_coefficient", 4))
+
+
+@query("linear_scored", O.ctes(*_OLS_CTES) +
+       "select id, case when cast(id as bigint) % 71 = 2 then null else "
+       + rnd_sql("greatest(my + b1 * (distance_km - m1) + b2 * (trip_count_last_1h - m2), 60e0)", 4)
+       + " end as prediction from psplit cross join ols where split = 'val'")
+def q_linear_scored(spark, sf):
+    """The estimator pipeline's scores; rows that lack a feature come back without a prediction."""
+    tr, va = ols_frames(spark, sf)
+    gone = F.col("id").cast("long") % 71 == 2
+    model, _ = MD.fit(MD.linear_pipeline(_OLS_FEATURES), tr)
+    va = va.withColumn("distance_km", F.when(~gone, F.col("distance_km")))
+    return MD.score(model, va, clip_min=60.0).select("id", rnd("prediction", 4).alias("prediction"))
+
+
+def _wols(w: str) -> str:
+    """Weighted one-feature least squares: slope and intercept."""
+    return (f"select sum({w}) as sw, sum({w} * distance_km) / sum({w}) as mx,"
+            f" sum({w} * trip_duration) / sum({w}) as my from split cross join thr where split = 'train'")
+
+
+def _wfit(name: str, w: str) -> list[str]:
+    return [f"{name}m as ({_wols(w)})",
+            f"{name} as (select sum({w} * (distance_km - mx) * (trip_duration - my)) / sum({w} * (distance_km - mx) * (distance_km - mx)) as b,"
+            f" any_value(mx) as mx, any_value(my) as my from split cross join thr cross join {name}m where split = 'train')"]
+
+
+_W5 = "case when trip_duration > spike_threshold then 5e0 else 1e0 end"
+
+
+@query("weighted_linear", O.ctes(SPLIT_CTE, THR_CTE, *_wfit("pf", "1e0"), *_wfit("wf", _W5)) + " union all ".join(
+    f"select '{label}' as model, " + ", ".join(
+        rnd_sql(f"sqrt(avg((trip_duration - (my + b * (distance_km - mx))) * (trip_duration - (my + b * (distance_km - mx)))) filter (where trip_duration {op} spike_threshold))", 3)
+        + f" as {col}" for op, col in ((">", "spike_rmse"), ("<=", "normal_rmse")))
+    + f" from split cross join thr cross join {name} where split = 'train'" for label, name in (("plain", "pf"), ("weighted", "wf"))))
+def q_weighted_linear(spark, sf):
+    """Weighting spikes lowers their error on the training rows and raises that of the others."""
+    tr, _ = train_val(spark, sf)
+    thr = spike_thr(tr)
+    w = M.sample_weights(tr, thr)
+    e2 = lambda c: F.pow(F.col(C.TARGET) - c, 2)
+    out = []
+    for label, weight in (("plain", None), ("weighted", "weight")):
+        coefs, intercept, _ = MD.fit_ols(w, ["distance_km"], weight=weight)
+        err = e2(MD.linear_expression(coefs, intercept))
+        out.append(w.agg(F.sqrt(F.avg(F.when(F.col("weight") > 1, err))).alias("s"), F.sqrt(F.avg(F.when(F.col("weight") <= 1, err))).alias("n"))
+                   .select(F.lit(label).alias("model"), rnd("s", 3).alias("spike_rmse"), rnd("n", 3).alias("normal_rmse")))
+    return out[0].unionByName(out[1])
+
+
+@query("boosted_importance")
+def q_boosted_importance(spark, sf):
+    """A few boosted trees on weighted rows; a row per feature.  No SQL can say this."""
+    tr, _ = train_val(spark, sf)
+    w = M.sample_weights(tr, spike_thr(tr))
+    model, _ = MD.fit(MD.gbt_pipeline(max_iter=5, weight_col="weight"), w)
+    return MD.feature_importance(model, C.FEATURES)
+
+
+@query("walk_forward_linear", O.ctes(
+    _FOLDS_SQL, _ASSIGN_SQL,
+    "lf as (select fold, regr_slope(cast(trip_duration as double), distance_km) as b,"
+    " regr_intercept(cast(trip_duration as double), distance_km) as a from assigned where role = 'train' group by fold)",
+    "ls as (select s.*, greatest(a + b * distance_km, 60e0) as prediction from assigned s join lf using (fold) where role = 'val')") +
+    O.five_metrics_sql("ls", by="fold"))
+def q_walk_forward_linear(spark, sf):
+    """J10 for a fitted model: all folds are fitted in one aggregation and scored in one pass."""
+    return MD.walk_forward_linear(processed_full(spark, sf), FOLDS)
+
+
+_GRID = {"overfit": ("x", C.OVERFIT_BANDS), "slice": ("x / 10", C.SLICE_RATIO_BANDS), "stability": ("x / 100", C.STABILITY_BANDS),
+         "calibration": ("x / 100", C.CALIBRATION_BANDS), "vs_baseline": ("x", C.IMPROVEMENT_VS_BASELINE_BANDS),
+         "vs_linear": ("x", C.IMPROVEMENT_VS_LINEAR_BANDS), "test_gap": ("x", C.TEST_GAP_BANDS)}
+_GRID_SQL = {
+    "overfit": "case when x > 30 then 'severe overfit' when x > 15 then 'mild overfit' else 'healthy' end",
+    "slice": "case when x / 10 < 2 then 'excellent' when x / 10 < 3 then 'good' when x / 10 < 4 then 'moderate' else 'poor' end",
+    "stability": "case when x / 100 < 0.05e0 then 'STABLE' when x / 100 < 0.15e0 then 'MODERATE' else 'VOLATILE' end",
+    "calibration": "case when x / 100 < 0.05e0 then 'good' when x / 100 < 0.1e0 then 'moderate' else 'poor' end",
+    "vs_baseline": "case when x < 0 then 'worse' when x < 10 then 'weak' when x < 25 then 'moderate' else 'strong' end",
+    "vs_linear": "case when x < 5 then 'barely beats linear' when x < 20 then 'moderate non-linearity' else 'strong non-linearity' end",
+    "test_gap": "case when x > 50 then 'significant degradation' when x > 0 then 'slight degradation' else 'matches or beats validation' end",
+}
+
+
+@query("verdicts", "with g as (select cast(event_id % 1400 - 100 as double) / 20e0 as x from events) " + " union all ".join(
+    f"select '{k}' as verdict, {case} as label, count(*) as rows from g group by 2" for k, case in _GRID_SQL.items()))
+def q_verdicts(spark, sf):
+    """Every verdict over a grid of values that holds each cut and its neighbours."""
+    from ..functions.bands import band
+    from ..sources.tables import table
+    g = table(spark, sf, "events").select(((F.col("event_id") % 1400 - 100).cast("double") / 20.0).alias("x"))
+    labels = F.array(*[F.struct(F.lit(k).alias("verdict"), band(F.expr(x), *bands).alias("label")) for k, (x, bands) in _GRID.items()])
+    return g.select(F.explode(labels).alias("v")).groupBy("v.verdict", "v.label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# -- L1, L5, K4: the registry against the table -----------------------------------------------------
+def _feature_rates(df, names):
+    row = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in names])
+    return row.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*names))).alias("feature", "null_rate"))
+
+
+_RATE_SQL = " union all ".join(
+    f"select '{c}' as feature, avg(cast({c} is null as double)) as null_rate, {'false' if c in C.PIT_FEATURES else 'true'} as available_at_inference from pit"
+    for c in [*C.FEATURES, *C.PIT_FEATURES])
+
+
+@query("registry_coverage", O.ctes(*_F2_CTES, f"pit as (select *, {_F1_SQL} as trip_count_last_1h from f2)") + _RATE_SQL)
+def q_registry_coverage(spark, sf):
+    """L1, K4: each registered feature with its availability and its null rate in the computed table."""
+    reg = registry_features(spark).select("feature", "available_at_inference")
+    names = [*C.FEATURES, *C.PIT_FEATURES]
+    rates = _feature_rates(PIT.point_in_time_features(processed_full(spark, sf)), names)
+    return reg.join(rates, "feature", "left").select("feature", "null_rate", "available_at_inference")
+
+
+@query("service_coverage", O.ctes() + " union all ".join(
+    f"select '{c}' as feature, avg(cast({c} is null as double)) as null_rate from clean" for c in C.FEATURES))
+def q_service_coverage(spark, sf):
+    """The features of the inference service, all of them computable from a request."""
+    from ..sources.registry import service_features
+    names = service_features(spark, "inference_features").select("feature")
+    return names.join(_feature_rates(processed_full(spark, sf), C.FEATURES), "feature", "left")
+
+
+# -- A1, A2: CSV contract round trip ------------------------------------------------------------------
+_RAW_ROW = " || '|' || ".join(f"coalesce({t}, 'N')" for t in (
+    ["length(id) || ':' || id", "cast(vendor_id as varchar)", "cast(epoch_us(pickup_datetime) as varchar)",
+     "cast(epoch_us(dropoff_datetime) as varchar)", "cast(passenger_count as varchar)"]
+    + [f"cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar)"
+       for c in ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")]
+    + ["length(store_and_fwd_flag) || ':' || store_and_fwd_flag", "cast(trip_duration as varchar)"]))
+
+
+@query("csv_round_trip", O.ctes() + "select count(*) as rows, cast(sum(cast('0x' || substr(md5(" + _RAW_ROW +
+       "), 1, 15) as bigint)) as varchar) as fingerprint from trips")
+def q_csv_round_trip(spark, sf):
+    """A1, A2: the raw table written as CSV and read under the raw schema is the same table."""
+    from ..sources.tables import read_raw_csv
+    path = scratch(spark, "csv")
+    trips(spark, sf).write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    return SK.table_fingerprint(read_raw_csv(spark, path))
+
+
+# -- F1, F2 on another event table, and without looking ahead ---------------------------------------------
+@query("rolling_count_shipdate", "with d as (select l_shipdate, count(*) as rows from lineitem group by 1)"
+       " select strftime(l_shipdate, '%Y-%m-%d') as ship_date, rows, cast(coalesce(sum(rows) over (order by l_shipdate"
+       " range between interval 7 day preceding and interval 1 day preceding), 0) as bigint) as rows_last_week from d")
+def q_rolling_count_shipdate(spark, sf):
+    """F1 on lineitem: many rows share each instant (a day)."""
+    from ..sources.tables import table
+    li = table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("t"), F.lit(1).alias("v"))
+    c = PIT.rolling_count(li, ts="t", value="v", lookback_us=7 * 24 * PIT.HOUR_US, out="n")
+    return c.groupBy(F.date_format("t", "yyyy-MM-dd").alias("ship_date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("n").alias("rows_last_week"))
+
+
+@query("avg_same_hour_past", O.ctes(
+    *_F2_CTES[:2], "days as (select d, sum(m * n) as s, sum(n) as n from daily group by d)",
+    "past as (select d, sum(s) over w / sum(n) over w as p from days window w as (order by d rows between unbounded preceding and 1 preceding))",
+    "f3 as (select c.id, coalesce(l.a, past.p) as v from clean c left join lagged l on cast(c.pickup_datetime as date) = l.d"
+    " and hour(c.pickup_datetime) = l.h left join past on cast(c.pickup_datetime as date) = past.d)") +
+    f"select id, {rnd_sql('v', 6)} as avg_duration_same_hour_last7days from f3")
+def q_avg_same_hour_past(spark, sf):
+    """F2 with the fallback that does not look ahead."""
+    return PIT.avg_same_hour(processed_full(spark, sf), fallback="past").select(
+        "id", rnd("avg_duration_same_hour_last7days", 6).alias("avg_duration_same_hour_last7days"))
+
+
 # -- G4 / D8 / M ------------------------------------------------------------------------------
 @query("seeded_sample", O.ctes(SPLIT_CTE) + "select id, trip_duration from split where split = 'val'"
        " and (cast(id as bigint) * 2654435761 + 42) % 4294967296 < 1288490188")
