@@ -56,6 +56,7 @@ def test_against_brute_force(make_docs, pairs, percent):
 
 def test_large_families_are_compared_across_blocks(make_docs, pairs, monkeypatch):
     monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "BUCKET", 20)
     assert result(M.near_duplicates(make_docs(pairs))) == brute(pairs)
 
 

@@ -11,13 +11,16 @@ the full shingle sets.
 How it scales
   * Equal sets form one class first (map-side aggregation), so exact copies of any
     number are one node.
-  * Band rows are aggregated to (band, smallest member); only buckets with two members
-    or more yield links to that member: no pair lists.
-  * Classes joined by buckets form families.  A family is cut into blocks of about
+  * Band rows are aggregated to (band, smallest member, count); only buckets with two
+    members or more go on.  A bucket of up to ``BUCKET`` members is cut into parts whose
+    members' registers come near each other (texts that share a few frequent shingles
+    also meet in buckets); a larger one stays whole.  Either way it yields links that
+    hold its parts together, fewer than members: no pair lists.
+  * Classes joined by such links form families.  A family is cut into blocks of about
     ``BLOCK`` classes; a task holds one block, or two for families of more blocks,
-    estimates and confirms its candidates there, and returns only links that join
-    parts not yet joined in that task.  A block whose classes are all joined with
-    another's is not compared again.
+    estimates and confirms its candidates there on sets and finer registers, and returns
+    only links that join parts not yet joined in that task.  A block whose classes are all
+    joined with another's is not compared again.
 
 Results: one row per input row: doc_id, n_shingles, component_id (smallest doc_id
 reachable), kept.  A null, empty or wordless text has 0 shingles and is linked with
@@ -42,9 +45,10 @@ from tripsmith.llm.components import components
 WIDTH = 5
 REGISTERS, MANTISSA = 512, 10
 BANDS, ROWS = 32, 4
-BLOCK = 384
-#: Estimates this far below the threshold are still confirmed: above four standard errors.
-SLACK = 0.10
+BLOCK, BUCKET = 384, 1024
+#: Estimates this far below the threshold still count: above four standard errors, of the
+#: finer registers and of those that make up bands.
+SLACK, COARSE_SLACK = 0.10, 0.15
 CACHE_WORDS = 400_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -92,9 +96,9 @@ def registers(values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def bands(values: np.ndarray) -> np.ndarray:
-    """One signed 64-bit key a band; empty bands (no shingle falls there) are left out."""
-    coarse = registers(values, BANDS * ROWS).reshape(BANDS, ROWS).astype(np.uint64)
+def bands(coarse: np.ndarray) -> np.ndarray:
+    """One signed 64-bit key a band of BANDS x ROWS registers; empty bands are left out."""
+    coarse = coarse.reshape(BANDS, ROWS).astype(np.uint64)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         key = mix64(key * _MULTIPLIER + coarse[:, k])
@@ -117,12 +121,30 @@ def chance(n: np.ndarray, m: np.ndarray, size: int = REGISTERS) -> np.ndarray:
     return size * total
 
 
-def estimate(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray) -> np.ndarray:
-    """Collision-corrected Jaccard estimates of one document against rows of ``many``."""
-    equal = ((many == one) & (one > 0)).sum(axis=1)
-    filled = ((many > 0) | (one > 0)).sum(axis=1)
-    luck = chance(np.float64(n), ns.astype(np.float64))
-    return np.clip((equal - luck) / np.maximum(filled - luck, 1e-9), 0, 1)
+def estimate(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray, least: float = 0.0) -> np.ndarray:
+    """Collision-corrected Jaccard estimates of one document against rows of ``many``.
+
+    The correction only lowers an estimate, so it is left out where that is below ``least`` already.
+    """
+    equal = ((many == one) & (one > 0)).sum(axis=1).astype(float)
+    filled = np.maximum(((many > 0) | (one > 0)).sum(axis=1), 1).astype(float)
+    out = equal / filled
+    high = np.flatnonzero(out >= least)
+    if len(high):
+        luck = chance(np.float64(n), ns[high].astype(np.float64), len(one))
+        out[high] = np.clip((equal[high] - luck) / np.maximum(filled[high] - luck, 1e-9), 0, 1)
+    return out
+
+
+def bucket_links(ids: list[int], n: np.ndarray, coarse: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that hold together the members of a bucket whose registers and sizes come near each other."""
+    joined, out, least = _Joined(len(ids)), [], percent / 100 - COARSE_SLACK
+    for i in range(len(ids) - 1):
+        rest = n[i + 1:]
+        near = np.flatnonzero(100 * np.minimum(rest, n[i]) >= percent * np.maximum(rest, n[i])) + i + 1
+        near = near[estimate(coarse[i], coarse[near], n[i], n[near], least) >= least] if len(near) else near
+        out += [(ids[i], ids[j]) for j in near.tolist() if joined.join(i, j)]
+    return out
 
 
 class _Joined:
@@ -160,7 +182,7 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
         return []
     size = np.array([len(s) for s in sets], np.int64)
     fine = np.stack([registers(s, REGISTERS) for s in sets])
-    keys = [bands(s) for s in sets]
+    keys = [bands(registers(s, BANDS * ROWS)) for s in sets]
     flat, rows = np.concatenate(keys), np.repeat(np.arange(n), [len(k) for k in keys])
     order = np.argsort(flat, kind="stable")
     flat, rows = flat[order], rows[order]
@@ -178,7 +200,7 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
     for i in range(n):
         own = i + 1 + np.flatnonzero(meet[i, i + 1:])
         if len(own):
-            guess = estimate(fine[i], fine[own], size[i], size[own])
+            guess = estimate(fine[i], fine[own], size[i], size[own], percent / 100 - SLACK)
             keep = guess >= percent / 100 - SLACK
             candidates += zip((-guess[keep]).tolist(), [i] * int(keep.sum()), own[keep].tolist())
     for _, i, j in sorted(candidates):
@@ -191,21 +213,59 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """_id, _n, _h1, _h2 (identity of the set), _bands of every row."""
+    """_id, _n, _h1, _h2 (identity of the set), _coarse (registers of its bands) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, h, keys = [], [], []
+            n, h, coarse = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, width)
                 n.append(len(s))
                 h.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
-                keys.append(bands(s) if len(s) else s.view(np.int64))
+                coarse.append(registers(s, BANDS * ROWS).tobytes())
             h = np.stack(h) if h else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["_id", "_n", "_h1", "_h2", "_bands"])
+                 pa.array(coarse, pa.binary())], ["_id", "_n", "_h1", "_h2", "_coarse"])
+
+    return docs.mapInArrow(run, "_id long, _n long, _h1 long, _h2 long, _coarse binary")
+
+
+def _keys(classes: DataFrame) -> DataFrame:
+    """_rep, _key: the band keys of each class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [bands(np.frombuffer(c, np.uint16)) for c in batch.column("_coarse").to_pylist()]
+            times = [len(f) for f in found]
+            reps = np.repeat(batch.column("_rep").to_numpy(), times)
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64())],
+                                             ["_rep", "_key"])
+
+    return classes.select("_rep", "_coarse").mapInArrow(run, "_rep long, _key long")
+
+
+def _bucket_parts(rows: DataFrame, percent: int) -> DataFrame:
+    """Links a, b of each bucket; rows: _key, _rep, _n, _coarse."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, out = None, [], []
+
+        def done():
+            if len(held) > 1:
+                out.extend(bucket_links([h[0] for h in held], np.array([h[1] for h in held]),
+                                        np.frombuffer(b"".join(h[2] for h in held), np.uint16).reshape(len(held), -1), percent))
+
+        for batch in batches:
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("_key", "_rep", "_n", "_coarse"))):
+                if k != key:
+                    done()
+                    key, held = k, []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+            out.clear()
+        done()
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return docs.mapInArrow(run, "_id long, _n long, _h1 long, _h2 long, _bands array<long>")
+    return (rows.select("_key", "_rep", "_n", "_coarse").repartition("_key").sortWithinPartitions("_key", "_rep")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -262,12 +322,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     meta = materialise(_profiles(own, width), "profiles")
     classes = materialise(
-        meta.where("_n > 0").groupBy("_h1", "_h2").agg(F.min("_id").alias("_rep"), F.first("_bands").alias("_bands")),
+        meta.where("_n > 0").groupBy("_h1", "_h2").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_coarse").alias("_coarse")),
         "classes")
-    keyed = classes.where("_rep is not null").select("_rep", F.explode("_bands").alias("_key"))
-    hubs = keyed.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1")
-    hubs = materialise(hubs.select("_key", "_hub"), "hubs")
-    candidates = keyed.join(sized(hubs), "_key").where("_rep <> _hub").select(F.col("_rep").alias("a"), F.col("_hub").alias("b"))
+    named = classes.where("_rep is not null")
+    hubs = _keys(named).groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1")
+    hubs = materialise(hubs, "hubs")
+    shared = materialise(_keys(named).join(sized(hubs), "_key"), "shared")
+    small = shared.where(F.col("_c") <= BUCKET).select("_key", "_rep").join(named.select("_rep", "_n", "_coarse"), "_rep")
+    whole = shared.where((F.col("_c") > BUCKET) & (F.col("_rep") != F.col("_hub")))
+    candidates = _bucket_parts(small, percent).unionAll(whole.select(F.col("_rep").alias("a"), F.col("_hub").alias("b")))
     families = components(candidates)
     sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     members = materialise(
