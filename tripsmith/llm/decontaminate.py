@@ -25,7 +25,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ERROR_RATE = 0.07
+ERROR_RATE = 0.08
 BLOCK_ITEMS = 10_000
 
 
