@@ -74,8 +74,8 @@ def test_funnel_matches_fixture_counts(spark):
     from tripsmith.sources.tables import trips
     r = CL.clean_funnel(trips(spark, "/root/testdata/sf0.001")).first()
     assert (r.raw_rows, r.after_duration, r.after_distance, r.after_passengers, r.after_box) == \
-        (1000, 944, 935, 725, 721)
-    assert abs(r.sum_km - 1538.1162) < 1e-6
+        (1000, 967, 953, 743, 739)
+    assert abs(r.sum_km - 1531.2183) < 1e-6
 
 
 def test_rnd_is_half_even_on_binary_value(spark):

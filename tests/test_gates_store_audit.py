@@ -81,3 +81,62 @@ def test_linear_attribution_is_additive(spark):
     assert AU.additivity_violations(off, {"a": 3.0, "b": -2.0}, 5.0, df).first().violations == \
         1 + sum(i < "2" for i, _, _ in rows)
     assert v.rows_checked == 100 and v.violations == 0 and v.max_abs_diff < 1e-9
+
+
+def test_scenarios_take_any_feature_and_reject_unknown_keys(spark):
+    df = spark.createDataFrame([("a", 3, 1, 2.5), ("b", 4, 2, 1.0)], "id string, hour int, month int, distance_km double")
+    got = {(r.base_id, r.scenario): (r.hour, r.month, r.distance_km) for r in AU.scenario_rows(
+        df, [{"scenario": "s", "month": 6}, {"scenario": "d", "distance_delta": 1.0}]).collect()}
+    assert got == {("a", "s"): (3, 6, 2.5), ("b", "s"): (4, 6, 1.0), ("a", "d"): (3, 1, 3.5), ("b", "d"): (4, 2, 2.0)}
+    with pytest.raises(ValueError):
+        AU.scenario_rows(df, [{"scenario": "s", "colour": 1}])
+    with pytest.raises(ValueError):
+        AU.scenario_rows(df, [{"scenario": "s", "vendor_id": 1}])
+
+
+def test_fingerprint_sees_nulls_places_and_content(spark):
+    from tripsmith.sources.sinks import table_fingerprint
+
+    def fp(rows):
+        return table_fingerprint(spark.createDataFrame(rows, "a string, b string, c double").repartition(3)).first().fingerprint
+    base = fp([(None, "1", 0.5), ("x", None, None)])
+    assert base == fp([("x", None, None), (None, "1", 0.5)])
+    others = [[("1", None, 0.5), ("x", None, None)], [(None, "1", 0.6), ("x", None, None)], [(None, "1", 0.5)],
+              [("N", "1", 0.5), ("x", None, None)], [(None, "1|", 0.5), ("x", None, None)]]
+    assert len({base, *map(fp, others)}) == len(others) + 1
+
+
+def test_metrics_runs_are_kept_apart_and_replaced(spark):
+    from tripsmith.operators import metrics as M
+    from tripsmith.sources import sinks as SK
+    from tripsmith.streaming.trips import scratch_path
+    path = scratch_path(spark, "runs")
+
+    def rows(x):
+        return spark.createDataFrame([("base", 10.0 + x, 1.0, 60.0), ("new", 5.0 + x, -20.0, 30.0)],
+                                     "model string, rmse_seconds double, mean_error_seconds double, p95_error_seconds double")
+    for run, x in (("r1", 0.0), ("r2", 1.0), ("r2", 2.0)):
+        SK.append_metrics(rows(x), path, run)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4
+    out = {r.model: r for r in M.model_comparison(SK.one_run(stored, "r2"), "base", "base").collect()}
+    assert len(out) == 2 and out["new"].improvement_vs_baseline_pct == 41.67 and out["new"].verdict_vs_baseline == "strong"
+
+
+def test_point_in_time_recount_finds_planted_errors_and_hot_instants(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tripsmith.operators import pit as P
+    monkeypatch.setattr(P, "HOT_ROWS", 50)
+    rows = [(str(k), 1_700_000_000 + (7 if k < 300 else (k * 977) % 20_000), 5 if k % 9 else None) for k in range(900)]
+    df = spark.createDataFrame(rows, "id string, s long, trip_duration int").select(
+        "id", F.col("s").cast("timestamp").alias("pickup_datetime"), "trip_duration").repartition(4)
+    a = P.rolling_count(df)
+    times = [(s, v) for _, s, v in rows]
+    want = {i: sum(1 for t, v in times if v is not None and s - 3600 <= t < s) for i, s, _ in rows}
+    assert {r.id: r.trip_count_last_1h for r in a.collect()} == want
+    assert {r.id: r.trip_count_last_1h for r in P.rolling_count(df, method="halo").collect()} == want
+    v = P.pit_violations(a).first()
+    assert (v.rows_checked, v.violations) == (900, 0)
+    bad = a.withColumn("trip_count_last_1h", F.col("trip_count_last_1h") + F.when(F.col("id").cast("long") % 100 == 1, 1).otherwise(0))
+    assert P.pit_violations(bad).first().violations == 9

@@ -80,3 +80,38 @@ def test_fold_summary_sample_std_and_band(spark):
     v = np.array([286.5, 304.5, 322.5, 352.9])
     assert abs(r.std_rmse - round(v.std(ddof=1), 2)) < 1e-9
     assert r.stability == "MODERATE"
+
+
+def test_bands_at_every_cut(spark):
+    from tripsmith import config as C
+    from tripsmith.functions.bands import band
+    cases = {"OVERFIT_BANDS": [(15.0, "healthy"), (15.0001, "mild overfit"), (30.0, "mild overfit"), (30.0001, "severe overfit")],
+             "SLICE_RATIO_BANDS": [(1.996, "excellent"), (2.0, "good"), (3.0, "moderate"), (4.0, "poor")],
+             "STABILITY_BANDS": [(0.0499, "STABLE"), (0.05, "MODERATE"), (0.15, "VOLATILE")],
+             "CALIBRATION_BANDS": [(0.0499, "good"), (0.05, "moderate"), (0.1, "poor")],
+             "IMPROVEMENT_VS_BASELINE_BANDS": [(-0.1, "worse"), (0.0, "weak"), (10.0, "moderate"), (25.0, "strong")],
+             "IMPROVEMENT_VS_LINEAR_BANDS": [(4.9, "barely beats linear"), (5.0, "moderate non-linearity"), (20.0, "strong non-linearity")],
+             "TEST_GAP_BANDS": [(0.0, "matches or beats validation"), (0.01, "slight degradation"), (50.0, "slight degradation"),
+                                (50.1, "significant degradation")]}
+    for name, rows in cases.items():
+        got = spark.createDataFrame([(x,) for x, _ in rows], "x double").select(band("x", *getattr(C, name)).alias("b")).collect()
+        assert [r.b for r in got] == [label for _, label in rows]
+
+
+def test_zero_actuals_are_counted(spark):
+    from tripsmith.operators import metrics as M
+    df = spark.createDataFrame([(0.0, 5.0), (10.0, 8.0), (20.0, 25.0)], "actual double, pred double")
+    r = M.five_metrics(df, "actual", "pred").first()
+    assert r.zero_actuals == 1 and r.mape_pct == 22.5
+
+
+def test_temporal_split_of_ties_and_empty_table(spark):
+    from pyspark.sql import functions as F
+
+    from tripsmith.operators.splits import temporal_split
+    rows = [(f"k{i:03d}", 1_700_000_000 + (i // 50 if i < 150 else 3)) for i in range(400)]  # 250 rows share the last instant
+    df = spark.createDataFrame(rows, "id string, s long").select("id", F.col("s").cast("timestamp").alias("pickup_datetime")).repartition(4)
+    got = {r.id: r.split for r in temporal_split(df).collect()}
+    order = [i for i, _ in sorted(rows, key=lambda r: (r[1], r[0]))]
+    assert [got[i] for i in order] == ["train"] * 300 + ["gap"] * 20 + ["val"] * 80
+    assert temporal_split(df.where("false")).count() == 0

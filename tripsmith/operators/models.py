@@ -87,9 +87,10 @@ def walk_forward_lookup(df: DataFrame, folds: Sequence[Fold], target: str = C.TA
 # -- J2 / J3: linear ---------------------------------------------------------------
 def linear_pipeline(features: Sequence[str] = tuple(C.FEATURES), target: str = C.TARGET,
                     weight_col: str | None = None) -> Pipeline:
-    """Standardise then ordinary least squares (no regularisation)."""
+    """Standardise then ordinary least squares.  The ridge is far too small to move a coefficient; it
+    keeps the normal equations solvable when a feature is constant (one month of data)."""
     lr = LinearRegression(featuresCol="_scaled", labelCol=target, predictionCol="prediction",
-                          solver="normal", regParam=0.0, elasticNetParam=0.0)
+                          solver="normal", regParam=1e-9, elasticNetParam=0.0)
     if weight_col:
         lr.setWeightCol(weight_col)
     return Pipeline(stages=[

@@ -16,7 +16,7 @@ select cast(event_id as string) as id,
   -74.02e0 + (event_id * 53 % 1000) / 1e4
     + case when event_id % 101 = 3 then 0e0 else (event_id * 17 % 100) / 1e4 end as dropoff_longitude,
   40.6e0 + (event_id * 37 % 1000) * 3 / 1e4
-    + case when event_id % 101 = 3 then 0e0 else value / 3e3 end as dropoff_latitude,
+    + case when event_id % 101 = 3 then 0e0 else (1 - 2 * (event_id % 2)) * value / 3e3 * (0.6e0 + (event_id * 104729 % 1000) / 1250e0) end as dropoff_latitude,
   case when event_id % 50 = 0 then 'Y' else 'N' end as store_and_fwd_flag,
   cast(floor(value * 20 * (0.75e0 + (event_id * 7919 % 1000) / 2e3)
     + case when hour(ts) in (7, 8, 9, 17, 18, 19) then 90 else 0 end
