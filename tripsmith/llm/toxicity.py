@@ -1,8 +1,10 @@
 """Operator 9: toxicity from class-conditional Kneser-Ney letter models.
 
 Two interpolated, absolutely discounted models of the letters of a word (orders 2 to
-``ORDER``), one of toxic and one of ordinary labelled texts, end in the same shared
-backoff counts, so expressions that neither class knows score alike.  A word's
+``ORDER``), one of toxic and one of ordinary labelled texts, share what they back off by:
+the mass that a context gives to lower orders, and the lowest order, come from the counts
+of both classes together.  Expressions that neither class knows score alike, however
+much text each class has.  A word's
 evidence is the difference of its two log-likelihoods.  A text is described by the
 length-normalised difference (per letter) over the whole text and over its strongest
 window of 1, 3, 10 and 30 words; a logistic fit on held-back labelled rows turns these
@@ -55,16 +57,17 @@ class LetterModels:
 
     def __init__(self, counts: dict[str, tuple[int, int]]):
         self.counts = counts
+        #: context -> total of ordinary and toxic, and how many different letters follow in either
         self.context: dict[str, list[int]] = {}
         total = kinds = 0
         for gram, pair in counts.items():
             if len(gram) == 1:
                 total, kinds = total + sum(pair), kinds + 1
                 continue
-            c = self.context.setdefault(gram[:-1], [0, 0, 0, 0])
-            for k in (0, 1):
-                c[k] += pair[k]
-                c[2 + k] += pair[k] > 0
+            c = self.context.setdefault(gram[:-1], [0, 0, 0])
+            c[0] += pair[0]
+            c[1] += pair[1]
+            c[2] += 1
         self.total, self.kinds = total, kinds + 1
         self.steps: dict[str, float] = {}
         self.words: dict[str, float] = {}
@@ -74,10 +77,11 @@ class LetterModels:
         p = (sum(self.counts.get(gram[-1], (0, 0))) + 0.5) / (self.total + 0.5 * self.kinds)
         for o in range(2, len(gram) + 1):
             seen = self.context.get(gram[-o:-1])
-            if not seen or not seen[k]:
+            if not seen:
                 break
-            c = self.counts.get(gram[-o:], (0, 0))[k]
-            p = max(c - DISCOUNT, 0) / seen[k] + DISCOUNT * seen[2 + k] / seen[k] * p
+            if seen[k]:  # else the class knows nothing here and keeps its lower order
+                shared = DISCOUNT * seen[2] / (seen[0] + seen[1])
+                p = (1 - shared) * self.counts.get(gram[-o:], (0, 0))[k] / seen[k] + shared * p
         return p
 
     def evidence(self, word: str) -> float:
