@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.bands import band
 from ..functions.numeric import rnd
+from ..session import checkpoint_dir
 from .metrics import five_metrics
 from .splits import Fold, assign_folds
 
@@ -69,19 +70,27 @@ def fallback_rate(scored: DataFrame) -> DataFrame:
 
 
 def walk_forward_lookup(df: DataFrame, folds: Sequence[Fold], target: str = C.TARGET) -> DataFrame:
-    """J10 for the lookup model: every fold fitted and scored in one job.
-    Rows are expanded to (row, fold, role) inside the scan; per-fold tables are
-    grouped aggregates; the metrics are one grouped pass over all folds."""
-    a = assign_folds(df, folds)
-    train = a.where(F.col("role") == "train")
-    val = a.where(F.col("role") == "val")
-    lookup = fit_lookup(train, target, by=["fold"])
-    gm = train.groupBy("fold").agg(F.avg(F.col(target).cast("double")).alias("global_mean"))
-    scored = predict_lookup(val, lookup, gm, by=["fold"])
-    m = five_metrics(scored, target, "prediction", by=["fold"])
-    counts = a.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("train_rows"),
-                                   F.count_if(F.col("role") == "val").alias("val_rows"))
-    return m.join(counts, "fold").drop("rows")
+    """J10 for the lookup model, all folds together.  Training windows are cumulative, so rows are
+    summed once per (interval between training ends, lookup cell) and the folds add up those
+    small sums; only validation rows are scored, in one grouped metrics pass."""
+    ends = sorted({f.train_end for f in folds})
+    t = F.col(C.TIME_COL)
+    after = F.lit(0)
+    for end in ends:
+        after = after + (t > F.to_timestamp(F.lit(end))).cast("int")
+    cells = df.where(after < len(ends)).groupBy(after.alias("_i"), *LOOKUP_KEYS).agg(
+        F.sum(F.col(target).cast("double")).alias("_s"), F.count(target).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    checkpoint_dir(df.sparkSession)
+    cells = cells.checkpoint()  # at most 168 rows per interval
+    uses = F.array(*[F.struct(F.lit(f.name).alias("fold"), F.lit(ends.index(f.train_end)).alias("last")) for f in folds])
+    mine = cells.withColumn("_f", F.explode(F.filter(uses, lambda f: F.col("_i") <= f["last"]))).select("_f.fold", *cells.columns)
+    lookup = mine.groupBy("fold", *LOOKUP_KEYS).agg(
+        rnd(F.try_divide(F.sum("_s"), F.sum("_n")), 2).alias("predicted_duration"))
+    gm = mine.groupBy("fold").agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias("global_mean"))
+    val = assign_folds(df, folds).where(F.col("role") == "val")
+    m = five_metrics(predict_lookup(val, lookup, gm, by=["fold"]), target, "prediction", by=["fold"])
+    trained = mine.groupBy("fold").agg(F.sum("_rows").alias("train_rows"))
+    return m.join(F.broadcast(trained), "fold").withColumnRenamed("rows", "val_rows")
 
 
 # -- J2 / J3: linear ---------------------------------------------------------------
