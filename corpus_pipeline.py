@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripsmith.llm import bpe, decontaminate, minhash, secret_scan, toxicity
-from tripsmith.llm.common import materialise, ship_code, table
+from tripsmith.llm.common import materialise, ship_code, sized, table
 
 PERCENT = 80
 
@@ -36,7 +36,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     ship_code(spark)
     groups = materialise(minhash.near_duplicates(docs, percent=PERCENT).where("doc_id is not null"), "groups")
-    gone = groups.where("not kept").select("doc_id").distinct()
+    gone = sized(materialise(groups.where("not kept").select("doc_id").distinct(), "gone"))
     repeated = materialise(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if not repeated.limit(1).count():

@@ -46,8 +46,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Rows of a few numbers that a broadcast may hold: some ten MB in memory.
-BROADCAST_ROWS = 250_000
+#: Rows of a few numbers that a broadcast may hold: a few ten MB in memory.
+BROADCAST_ROWS = 500_000
 
 
 def sized(df: DataFrame) -> DataFrame:

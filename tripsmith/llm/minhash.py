@@ -2,7 +2,7 @@
 
 A document is the set of its word shingles.  Each shingle is hashed once; the top bits
 choose one of ``REGISTERS`` buckets, and a bucket stores, for its smallest value, the
-count of leading zeros and ``MANTISSA`` bits after the leading one.  Neighbouring
+count of leading zeros and some mantissa bits after the leading one.  Neighbouring
 buckets merge into ``BANDS`` x ``ROWS`` coarser registers; documents that agree on all
 registers of a band are candidates.  Candidates are kept if the Jaccard estimate,
 corrected for equal registers by chance, comes near the threshold, and confirmed on
@@ -43,7 +43,10 @@ from tripsmith.llm.common import LOWER_AZ, materialise, mix64, sized
 from tripsmith.llm.components import components
 
 WIDTH = 5
-REGISTERS, MANTISSA = 512, 10
+REGISTERS = 512
+#: Bits after the leading one: of registers that are compared one by one, and of those that
+#: make up bands, where a band of a short text may rest on a single register.
+MANTISSA, BAND_MANTISSA = 10, 24
 BANDS, ROWS = 32, 4
 BLOCK, BUCKET = 384, 1024
 #: Estimates this far below the threshold still count: above four standard errors, of the
@@ -80,10 +83,10 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(mix64(rolled + np.uint64(span)))
 
 
-def registers(values: np.ndarray, size: int) -> np.ndarray:
-    """Compressed registers of a sorted hash set: (zeros + 1) << MANTISSA | mantissa; 0 if empty."""
+def registers(values: np.ndarray, size: int, kept: int = MANTISSA) -> np.ndarray:
+    """Compressed registers of a sorted hash set: (zeros + 1) << kept | mantissa; 0 if empty."""
     bits = size.bit_length() - 1
-    out = np.zeros(size, np.uint16)
+    out = np.zeros(size, np.uint16 if kept <= MANTISSA else np.uint32)
     if not len(values):
         return out
     bucket = (values >> np.uint64(64 - bits)).astype(np.int64)
@@ -91,14 +94,14 @@ def registers(values: np.ndarray, size: int) -> np.ndarray:
     rest = values[first] << np.uint64(bits)
     # 53 bits are exact as a float, whose exponent tells the leading zeros
     zeros = 53 - np.frexp((rest >> np.uint64(11)).astype(np.float64))[1]
-    mantissa = ((rest << zeros.astype(np.uint64)) << np.uint64(1)) >> np.uint64(64 - MANTISSA)
-    out[bucket[first]] = ((zeros + 1) << MANTISSA) | mantissa.astype(np.int64)
+    mantissa = ((rest << zeros.astype(np.uint64)) << np.uint64(1)) >> np.uint64(64 - kept)
+    out[bucket[first]] = ((zeros.astype(np.int64) + 1) << kept) | mantissa.astype(np.int64)
     return out
 
 
-def bands(coarse: np.ndarray) -> np.ndarray:
+def bands(values: np.ndarray) -> np.ndarray:
     """One signed 64-bit key a band of BANDS x ROWS registers; empty bands are left out."""
-    coarse = coarse.reshape(BANDS, ROWS).astype(np.uint64)
+    coarse = registers(values, BANDS * ROWS, BAND_MANTISSA).reshape(BANDS, ROWS).astype(np.uint64)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         key = mix64(key * _MULTIPLIER + coarse[:, k])
@@ -182,7 +185,7 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
         return []
     size = np.array([len(s) for s in sets], np.int64)
     fine = np.stack([registers(s, REGISTERS) for s in sets])
-    keys = [bands(registers(s, BANDS * ROWS)) for s in sets]
+    keys = [bands(s) for s in sets]
     flat, rows = np.concatenate(keys), np.repeat(np.arange(n), [len(k) for k in keys])
     order = np.argsort(flat, kind="stable")
     flat, rows = flat[order], rows[order]
@@ -213,34 +216,23 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """_id, _n, _h1, _h2 (identity of the set), _coarse (registers of its bands) of every row."""
+    """_id, _n, _h1, _h2 (identity of the set), _bands (keys), _coarse (registers) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, h, coarse = [], [], []
+            n, h, keys, coarse = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, width)
                 n.append(len(s))
                 h.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
+                keys.append(bands(s))
                 coarse.append(registers(s, BANDS * ROWS).tobytes())
             h = np.stack(h) if h else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()),
-                 pa.array(coarse, pa.binary())], ["_id", "_n", "_h1", "_h2", "_coarse"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(coarse, pa.binary())],
+                ["_id", "_n", "_h1", "_h2", "_bands", "_coarse"])
 
-    return docs.mapInArrow(run, "_id long, _n long, _h1 long, _h2 long, _coarse binary")
-
-
-def _keys(classes: DataFrame) -> DataFrame:
-    """_rep, _key: the band keys of each class."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [bands(np.frombuffer(c, np.uint16)) for c in batch.column("_coarse").to_pylist()]
-            times = [len(f) for f in found]
-            reps = np.repeat(batch.column("_rep").to_numpy(), times)
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64())],
-                                             ["_rep", "_key"])
-
-    return classes.select("_rep", "_coarse").mapInArrow(run, "_rep long, _key long")
+    return docs.mapInArrow(run, "_id long, _n long, _h1 long, _h2 long, _bands array<long>, _coarse binary")
 
 
 def _bucket_parts(rows: DataFrame, percent: int) -> DataFrame:
@@ -322,12 +314,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     meta = materialise(_profiles(own, width), "profiles")
     classes = materialise(
-        meta.where("_n > 0").groupBy("_h1", "_h2").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_coarse").alias("_coarse")),
-        "classes")
+        meta.where("_n > 0").groupBy("_h1", "_h2").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"),
+                                                 F.first("_bands").alias("_bands"), F.first("_coarse").alias("_coarse")), "classes")
     named = classes.where("_rep is not null")
-    hubs = _keys(named).groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1")
+    keyed = named.select("_rep", F.explode("_bands").alias("_key"))
+    hubs = keyed.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1")
     hubs = materialise(hubs, "hubs")
-    shared = materialise(_keys(named).join(sized(hubs), "_key"), "shared")
+    shared = materialise(keyed.join(sized(hubs), "_key"), "shared")
     small = shared.where(F.col("_c") <= BUCKET).select("_key", "_rep").join(named.select("_rep", "_n", "_coarse"), "_rep")
     whole = shared.where((F.col("_c") > BUCKET) & (F.col("_rep") != F.col("_hub")))
     candidates = _bucket_parts(small, percent).unionAll(whole.select(F.col("_rep").alias("a"), F.col("_hub").alias("b")))
