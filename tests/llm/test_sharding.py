@@ -55,3 +55,13 @@ def test_edges(make_docs):
 def test_pack_prefers_the_highest_dot_product():
     residual = np.array([[10.0, 0.1], [0.1, 10.0]])
     assert S.pack(np.array([[1.0, 0.0], [0.0, 1.0]]), residual).tolist() == [0, 1]
+
+
+def test_written_shards_hold_what_was_assigned(spark, make_docs):
+    from tripsmith.llm.common import scratch_path
+    docs = make_docs([(k, "some text " * (k % 9)) for k in range(200)])
+    assigned = S.assign_shards(docs, shards=4)
+    path = scratch_path(spark, "shards")
+    S.write_shards(docs, assigned, path)
+    back = {(r.doc_id, r["_shard"], r["_slot"]) for r in spark.read.parquet(path).collect()}
+    assert back == {(r.doc_id, r.shard, r.slot) for r in assigned.collect()}

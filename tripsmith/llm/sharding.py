@@ -116,7 +116,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
-    """Write ``docs`` as one folder per shard, by the doc_ids (unique, not null) of ``assigned``."""
-    (docs.join(assigned.select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")),
-               F.col("doc_id") == F.col("_id")).drop("_id")
+    """Write ``docs`` as one folder per shard (``_shard``), with ``_slot``, by the doc_ids (unique, not
+    null) of ``assigned``."""
+    homes = assigned.select(F.col("doc_id").alias("_home_of"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    (docs.join(homes, docs["doc_id"] == homes["_home_of"]).drop("_home_of")
      .repartition("_shard", F.floor(F.col("_slot") / 100_000)).write.partitionBy("_shard").parquet(path))
