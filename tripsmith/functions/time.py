@@ -53,7 +53,3 @@ def time_feature_columns(ts) -> dict[str, Column]:
         "is_weekend": is_weekend(dow),
         "is_rush_hour": is_rush_hour(hr),
     }
-
-
-def with_time_features(df, ts: str = "pickup_datetime"):
-    return df.withColumns(time_feature_columns(ts))

@@ -72,11 +72,15 @@ def reliability_bin(p, n_bins: int = C.RELIABILITY_BINS):
 
 def reliability_curve(df: DataFrame, prob: str = "spike_prob", label: str = "spike",
                       n_bins: int = C.RELIABILITY_BINS) -> DataFrame:
-    """Non-empty bins only: rows, mean predicted probability, positive fraction."""
-    return df.groupBy(reliability_bin(prob, n_bins).alias("bin")).agg(
+    """Non-empty bins only: rows, mean predicted probability, positive fraction, and whether the
+    bin is under-confident (more positives than predicted), over-confident or calibrated."""
+    curve = df.groupBy(reliability_bin(prob, n_bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg(F.col(prob).cast("double")).alias("mean_predicted_prob"),
         F.avg(F.col(label).cast("double")).alias("fraction_positive"))
+    gap = F.col("fraction_positive") - F.col("mean_predicted_prob")
+    return curve.withColumn("direction", F.when(gap > C.CALIBRATION_DIRECTION_LIMIT, "under-confident")
+                            .when(gap < -C.CALIBRATION_DIRECTION_LIMIT, "over-confident").otherwise("calibrated"))
 
 
 def calibration_stats(df: DataFrame, prob: str = "spike_prob", label: str = "spike",

@@ -119,7 +119,7 @@ def q_clean_full(spark, sf):
 
 @query("clean_model", O.ctes(profile="model") + f"select {_PROCESSED_OUT} from clean")
 def q_clean_model(spark, sf):
-    return _processed_out(CL.engineer_features(CL.clean(trips(spark, sf), "model")))
+    return _processed_out(CL.load_and_engineer(trips(spark, sf)))
 
 
 # -- E2 / D1 / E4: lookup baseline scored with five metrics (flagship) ------------------
@@ -225,7 +225,7 @@ def q_pit_violations(spark, sf):
 @query("time_rank", O.ctes(profile="model") +
        "select id, row_number() over (order by pickup_datetime, id) - 1 as time_rank from clean")
 def q_time_rank(spark, sf):
-    m = CL.engineer_features(CL.clean(trips(spark, sf), "model"))
+    m = CL.load_and_engineer(trips(spark, sf))
     return SP.time_rank(m).select("id", "time_rank")
 
 
@@ -235,7 +235,7 @@ def q_time_rank(spark, sf):
     "select id, case when rk < floor(n * 0.75e0) then 'train' when rk < floor(n * 0.8e0) then 'gap'"
     " else 'val' end as split from r")
 def q_temporal_split(spark, sf):
-    m = CL.engineer_features(CL.clean(trips(spark, sf), "model"))
+    m = CL.load_and_engineer(trips(spark, sf))
     return SP.temporal_split(m).select("id", "split")
 
 
@@ -563,12 +563,15 @@ def q_spike_probability(spark, sf):
 @query("reliability_curve", O.ctes(*_CAL_CTES) +
        f"select {_REL_IDX.format(p='spike_prob')} as bin, count(*) as rows,"
        f" {rnd_sql('avg(spike_prob)', 4)} as mean_predicted_prob,"
-       f" {rnd_sql('avg(cast(spike as double))', 4)} as fraction_positive from vprob group by 1")
+       f" {rnd_sql('avg(cast(spike as double))', 4)} as fraction_positive,"
+       " case when avg(cast(spike as double)) - avg(spike_prob) > 0.05e0 then 'under-confident'"
+       " when avg(cast(spike as double)) - avg(spike_prob) < -0.05e0 then 'over-confident' else 'calibrated' end as direction"
+       " from vprob group by 1")
 def q_reliability(spark, sf):
     tr, va, _ = calib_frames(spark, sf)
     c = CA.reliability_curve(CA.spike_probability(va, CA.spike_bins(tr)))
     return c.select("bin", "rows", rnd("mean_predicted_prob", 4).alias("mean_predicted_prob"),
-                    rnd("fraction_positive", 4).alias("fraction_positive"))
+                    rnd("fraction_positive", 4).alias("fraction_positive"), "direction")
 
 
 def _stats_sql(src: str, prob: str) -> str:
@@ -659,6 +662,7 @@ def q_calibration_report(spark, sf):
 from ..operators import audit as AU  # noqa: E402
 from ..operators import gates as G  # noqa: E402
 from ..operators import store as ST  # noqa: E402
+from .etl import training_frame  # noqa: E402
 from ..sources import sinks as SK  # noqa: E402
 from ..sources.registry import registry_features  # noqa: E402
 from ..streaming.trips import scratch_path as scratch  # noqa: E402
@@ -1190,7 +1194,7 @@ def q_probe_results(spark, sf):
        " else 'val' end as split, count(*) as rows, sum(trip_count_last_1h) as sum_trip_count,"
        f" {rnd_sql('avg(avg_duration_same_hour_last7days)', 4)} as mean_avg_7d from r group by 1")
 def q_historical_features(spark, sf):
-    df, _, _ = ST.get_historical_features(processed_full(spark, sf))
+    df, _, _ = training_frame(processed_full(spark, sf))
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
                                    F.sum("trip_count_last_1h").alias("sum_trip_count"),
                                    rnd(F.avg("avg_duration_same_hour_last7days"), 4).alias("mean_avg_7d"))
