@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsmith.llm.common import materialise
+from tripsmith.llm.common import materialise, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,10 +24,12 @@ def components(links: DataFrame) -> DataFrame:
                 .groupBy(F.col("_a").alias("node")).agg(F.min("_l").alias("_l")))
         near = materialise(labels.join(near, "node").select(
             "node", F.least("component", "_l").alias("component"), F.col("component").alias("_old")), "near")
+        release(labels)
         jump = near.select(F.col("node").alias("component"), F.col("component").alias("_far"))
         labels = materialise(near.join(jump, "component").select(
             "node", F.least("component", "_far").alias("component"),
             (F.least("component", "_far") < F.col("_old")).alias("_moved")), "labels")
+        release(near)
         if not labels.where("_moved").limit(1).count():
+            release(edges)
             return labels.select("node", "component")
-        labels = labels.select("node", "component")

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsmith.llm.common import LOWER_AZ, materialise, mix64, sized
+from tripsmith.llm.common import LOWER_AZ, materialise, mix64, release, sized
 from tripsmith.llm.components import components
 
 WIDTH = 5
@@ -325,6 +325,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     whole = shared.where((F.col("_c") > BUCKET) & (F.col("_rep") != F.col("_hub")))
     candidates = _bucket_parts(small, percent).unionAll(whole.select(F.col("_rep").alias("a"), F.col("_hub").alias("b")))
     families = components(candidates)
+    release(hubs, shared)
     sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     members = materialise(
         families.join(materialise(sizes, "sizes"), "component")
@@ -356,6 +357,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
         links = links.unionAll(materialise(_links(across, percent), "links"))
 
     found = components(links)
+    release(sets, members)
     placed = materialise(
         classes.select("_h1", "_h2", "_rep").join(found.withColumnRenamed("node", "_rep"), "_rep", "left")
         .select("_h1", "_h2", F.coalesce("component", "_rep").alias("_component")), "placed")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsmith.llm.common import materialise, mix64, slices, utf8
+from tripsmith.llm.common import materialise, mix64, release, slices, utf8
 from tripsmith.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 400, 32
@@ -218,6 +218,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     all_runs = materialise(_occurrences(own.where(F.octet_length("_text") >= length).select("_k", "_t", "_text"), length), "runs")
     shared = materialise(all_runs.groupBy("_a").count().where("count > 1").select("_a"), "anchors")
     occurrences = materialise(all_runs.join(shared, "_a"), "occurrences")
+    release(all_runs, shared)
     contexts = materialise(occurrences.groupBy("_a", "_c").agg(
         F.count("*").alias("_n"), F.first("_m").alias("_m"), F.first("_l").alias("_l"), F.first("_r").alias("_r"),
         F.min(F.struct("_k", "_t", "_lo")).alias("_at")), "contexts")
@@ -226,28 +227,33 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     halves = halves.select("_a", "_c", "_x.side", "_x.half").where("half is not null")
     common = materialise(halves.groupBy("_a", "side", "half").count().where("count > 1").drop("count"), "halves")
     alike = materialise(halves.join(common, ["_a", "side", "half"]).select("_a", "_c").distinct(), "alike")
-    contexts = materialise(contexts.where("_n > 1").unionByName(
+    sortable = materialise(contexts.where("_n > 1").unionByName(
         contexts.where("_n = 1").join(alike, ["_a", "_c"], "left_semi").select(*contexts.columns)), "sortable")
-    volume = contexts.agg(F.coalesce(F.sum(F.col("_m") + length), F.lit(0))).first()[0]
+    release(contexts, common, alike)
+    volume = sortable.agg(F.coalesce(F.sum(F.col("_m") + length), F.lit(0))).first()[0]
     shards = max(1, -(-volume // SHARD_BYTES))
-    hot = materialise(contexts.groupBy("_a").count().where(F.col("count") > HOT).select("_a", F.lit(True).alias("_hot")), "hot")
-    wanted = (contexts.join(hot, "_a", "left").select(
+    hot = materialise(sortable.groupBy("_a").count().where(F.col("count") > HOT).select("_a", F.lit(True).alias("_hot")), "hot")
+    wanted = (sortable.join(hot, "_a", "left").select(
         "_at._k", "_at._t", F.struct("_at._lo", "_m", "_a", "_c", "_n", F.coalesce("_hot", F.lit(False)).alias("_hot"),
                                      F.pmod(F.xxhash64("_a"), F.lit(shards)).alias("_shard")).alias("_w"))
               .groupBy("_k", "_t").agg(F.collect_list("_w").alias("_wanted")))  # at most a text's runs
     wanted = materialise(wanted, "wanted")
     # rows that repeat hold the same contexts; any of them serves
     sent = _send(own.select("_k", "_t", "_text").join(wanted, ["_k", "_t"]).select("_text", "_wanted"), length)
-    sent = materialise(sent, "sent").dropDuplicates(["_kind", "_a", "_c", "_off"])
-    found = _sorted_shards(sent.where("_kind = 0"), length)
-    strings = materialise(sent.where("_kind = 1").select("_a", "_c", "_n", "_off", "_d1", "_d2"), "strings")
+    sent = materialise(sent, "sent")
+    release(sortable, hot, wanted)
+    once = sent.dropDuplicates(["_kind", "_a", "_c", "_off"])
+    found = _sorted_shards(once.where("_kind = 0"), length)
+    strings = materialise(once.where("_kind = 1").select("_a", "_c", "_n", "_off", "_d1", "_d2"), "strings")
     twice = materialise(strings.groupBy("_d1", "_d2").agg(F.sum("_n").alias("_s")).where("_s > 1").select("_d1", "_d2"), "twice")
     frequent = _merged(strings.join(twice, ["_d1", "_d2"]).groupBy("_a", "_c").agg(F.collect_set("_off").alias("_offs")), length)
     found = materialise(found.unionAll(frequent), "found")
+    release(sent, strings, twice)
     removed = (occurrences.join(found, ["_a", "_c"]).select("_k", "_t", F.explode(F.transform("_spans", lambda s: F.struct(
         (s["_from"] + F.col("_lo")).alias("_from"), (s["_to"] + F.col("_lo")).alias("_to")))).alias("_s"))
                .groupBy("_k", "_t").agg(F.collect_set("_s").alias("_removed")))
     removed = materialise(removed, "removed")
+    release(occurrences, found)
 
     fields = [("_id", "long", pa.int64()), ("_b", "long", pa.int64()), ("_r", "long", pa.int64()), ("_s", "long", pa.int64()),
               ("_h", "string", pa.string()), *([("_kept", "binary", pa.binary())] if keep_text else [])]

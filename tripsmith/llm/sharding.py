@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tripsmith.llm.common import materialise
+from tripsmith.llm.common import materialise, release
 
 SHARDS = 40
 #: Bytes that a row takes besides its text.
@@ -101,6 +101,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
     placed = materialise(parts.select("_key", "_piece", "_unit").join(placed, ["_key", "_unit"])
                          .select("_key", "_piece", F.col("_shard").alias("shard")), "homes")
 
+    release(hot, pieces, units, parts)
+
     buckets = max(1, -(-total["_rows"] // (shards * SLOT_BUCKET)))
     out = materialise(
         rows.join(placed, ["_key", "_piece"])
