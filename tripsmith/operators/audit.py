@@ -1,5 +1,5 @@
 """Attribution and leakage audit, deterministic sampling, behavioural probes
-(K1-K4, D4, D8, E16, G4, M1-M7).
+(K1-K4, D4, D8, E16, G4, G5, M1-M7).
 
 Attribution is re-aimed as a job over all rows: for a linear model the exact
 Shapley values are ``phi_j = w_j * (x_j - mean_j)`` with base value
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.numeric import rnd
 from ..sources.tables import key_hash
+from .ordering import with_global_position
 
 
 # -- K1(a) / K2 -----------------------------------------------------------------------------
@@ -56,6 +57,35 @@ def additivity_violations(scored: DataFrame, coefs: dict[str, float], intercept:
                  rnd(F.max(diff), 6).alias("max_abs_diff"))
 
 
+# -- K1(b) ----------------------------------------------------------------------------------
+def permutation_importance(df: DataFrame, score: Callable[[dict[str, Column]], Column], features: Sequence[str],
+                           target: str = C.TARGET, key: str = C.KEY_COL, shift: int = 1) -> DataFrame:
+    """RMSE of a model when one feature at a time comes from another row, and how much it adds.
+
+    Rows are put in the order of a hash of the key; each row gets the features of the row ``shift``
+    places on (the last rows those of the first).  One global order, one join on the unique
+    position, and one aggregation serve all features: a feature's permuted score is computed
+    inside the row.  ``score`` turns the features (by name) into a prediction.
+    """
+    feats = list(features)
+    rows = df.select(key, key_hash(key).alias("_h"), F.col(target).cast("double").alias("_y"), *feats)
+    placed = with_global_position(rows, ["_h", key], "_pos")
+    n = placed.count()
+    if not n:
+        raise ValueError("no row to permute")
+    other = placed.select(F.pmod(F.col("_pos") - shift, F.lit(n)).alias("_pos"), F.struct(*feats).alias("_o"))
+    j = placed.join(other, "_pos")
+    own = {f: F.col(f) for f in feats}
+
+    def rmse(columns):
+        return F.sqrt(F.avg(F.pow(F.col("_y") - score(columns), 2)))
+    agg = j.agg(rmse(own).alias("_base"), *[rmse({**own, f: F.col(f"_o.{f}")}).alias(f) for f in feats])
+    long = agg.select("_base", F.explode(F.map_from_arrays(F.array(*[F.lit(f) for f in feats]), F.array(*feats))).alias("feature", "_r"))
+    order = Window.orderBy(F.desc(F.col("_r") - F.col("_base")), "feature")  # a row per feature
+    return long.select("feature", rnd("_base", 2).alias("rmse_base"), rnd("_r", 2).alias("rmse_permuted"),
+                       rnd(F.col("_r") - F.col("_base"), 2).alias("importance"), F.row_number().over(order).alias("rank"))
+
+
 # -- E16 / F5 -------------------------------------------------------------------------------
 def attribution_power(attr_long: DataFrame, feature: str = "feature", phi: str = "phi",
                       threshold: float = C.DOMINANCE_THRESHOLD) -> DataFrame:

@@ -1186,6 +1186,37 @@ def q_probe_results(spark, sf):
     return AU.probe_results(va, score)
 
 
+_PI_FEATURES = ["distance_km", *_EFFECTS]
+
+
+def _pi_sql() -> str:
+    def score(f):
+        x = lambda c: f"o.{c}" if c == f else f"r.{c}"
+        effects = "".join(f" + {w!r}e0 * {x(c)}" for c, w in _EFFECTS.items())
+        return f"greatest(intercept + slope * {x('distance_km')}{effects} - 112000e0, 60e0)"
+    rmse = lambda f: f"sqrt(avg((r.trip_duration - {score(f)}) * (r.trip_duration - {score(f)})))"
+    return O.ctes(SPLIT_CTE, LIN_CTES[0],
+                  "r as (select *, row_number() over (order by (cast(id as bigint) * 2654435761 + 42) % 4294967296, id) - 1 as pos,"
+                  " count(*) over () as n from split where split = 'val')",
+                  "m as (select " + rmse(None) + " as b, " + ", ".join(f"{rmse(f)} as \"{f}\"" for f in _PI_FEATURES)
+                  + " from r join r o on o.pos = (r.pos + 1) % r.n cross join coef)",
+                  "l as (" + " union all ".join(f"select '{f}' as feature, b, \"{f}\" as x from m" for f in _PI_FEATURES) + ")") + (
+        f"select feature, {rnd_sql('b', 2)} as rmse_base, {rnd_sql('x', 2)} as rmse_permuted, {rnd_sql('x - b', 2)} as importance,"
+        " cast(row_number() over (order by x - b desc, feature) as int) as rank from l")
+
+
+@query("permutation_importance", _pi_sql())
+def q_permutation_importance(spark, sf):
+    """K1(b) for the probes' scorer."""
+    tr, va = train_val(spark, sf)
+    c = MD.fit_linear_1d(tr).first()  # two scalars
+    effects = {"distance_km": c.slope, **_EFFECTS}
+
+    def score(columns):
+        return F.greatest(MD.linear_expression(effects, c.intercept - 112000.0, columns), F.lit(60.0))
+    return AU.permutation_importance(va, score, _PI_FEATURES)
+
+
 # -- L: feature store ---------------------------------------------------------------------------
 @query("historical_features", O.ctes(*_F2_CTES, f"pit as (select *, {_F1_SQL} as trip_count_last_1h from f2)",
                                      "r as (select *, row_number() over (order by pickup_datetime, id) - 1 as rk,"
