@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Pieces remembered by a task before it starts its cache anew; longer ones never are.
-CACHE_PIECES, CACHE_CHARS = 600_000, 64
+CACHE_PIECES, CACHE_CHARS = 300_000, 64
 
 
 def byte_letters() -> dict[int, str]:
