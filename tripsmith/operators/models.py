@@ -57,9 +57,16 @@ def predict_lookup(df: DataFrame, lookup: DataFrame, fallback: DataFrame,
 
 
 def lookup_baseline(train: DataFrame, score: DataFrame, target: str = C.TARGET) -> DataFrame:
-    """Fit on ``train``, score ``score``; adds ``prediction`` and ``is_fallback``."""
-    lookup = fit_lookup(train, target)
-    gm = train.agg(F.avg(F.col(target).cast("double")).alias("global_mean"))
+    """Fit on ``train``, score ``score``; adds ``prediction`` and ``is_fallback``.
+
+    One pass sums the training rows per cell (at most 168); the lookup and the global mean both
+    come from these sums, which are kept so that later passes over ``score`` do not fit again.
+    """
+    checkpoint_dir(train.sparkSession)
+    cells = train.groupBy(*LOOKUP_KEYS).agg(F.sum(F.col(target).cast("double")).alias("_s"),
+                                            F.count(target).alias("_n")).checkpoint()
+    lookup = cells.select(*LOOKUP_KEYS, rnd(F.try_divide("_s", "_n"), 2).alias("predicted_duration"))
+    gm = cells.agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias("global_mean"))
     return predict_lookup(score, lookup, gm)
 
 

@@ -160,17 +160,25 @@ def rows_at(df: DataFrame, value: str, key: str, fractions: Sequence[float]) ->
     for i in range(len(fractions)):  # segments in ascending order of the value
         step = step + (v >= stats[f"lo{i}"]).cast("int") + (v > stats[f"hi{i}"]).cast("int")
         inside = inside | v.between(stats[f"lo{i}"], stats[f"hi{i}"])
-    counted = df.where(v.isNotNull()).select(step.alias("_s"), F.when(inside, v).alias("_v"), v.alias("_w")) \
-        .groupBy("_s", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_w").alias("_mn"), F.max("_w").alias("_mx"))
+    counted = df.where(v.isNotNull()).select(step.alias("_s"), F.when(inside, v).alias("_v"), v.alias("_w"), F.col(key).alias("_key")) \
+        .groupBy("_s", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_w").alias("_mn"), F.max("_w").alias("_mx"),
+                                 F.min("_key").alias("_k"))
     run = Window.orderBy("_s", "_v").rowsBetween(Window.unboundedPreceding, -1)  # few distinct values
     before = counted.withColumn("_b", F.coalesce(F.sum("_c").over(run), F.lit(0)))
+    holds = F.lit(False)
+    for rank in ranks:
+        holds = holds | ((F.col("_b") <= rank) & (rank < F.col("_b") + F.col("_c")))
+    hits = before.where(holds).collect()  # a row per position at most
     out = []
     for rank in ranks:
-        hit = before.where((F.col("_b") <= rank) & (rank < F.col("_b") + F.col("_c"))).first() if rank < n else None
+        hit = next((h for h in hits if h["_b"] <= rank < h["_b"] + h["_c"]), None)
         if hit is None:
             out.append(None)
             continue
         at = hit["_v"]
+        if at is not None and hit["_c"] == 1:
+            out.append((at, hit["_k"]))
+            continue
         if at is None:  # a bracket of few rows may end one row short: the values next to it are known too
             at = hit["_mn"] if rank == hit["_b"] else hit["_mx"]
         ties = df.where(v == at).select(F.col(key).alias("_k"))

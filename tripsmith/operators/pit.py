@@ -57,10 +57,10 @@ def _by_instant(with_t: DataFrame, data: DataFrame, counts: DataFrame, out: str)
     """Attach each instant's count.  Counts of hot instants (few: at most rows / HOT_ROWS) are
     broadcast, so their rows stay where they are; all other rows are joined by instant."""
     checkpoint_dir(with_t.sparkSession)
-    hot = data.where(F.col("_rows") >= HOT_ROWS).select("_t").join(counts, "_t").checkpoint()
-    n = hot.count()
-    if not 0 < n <= _MAX_BROADCAST:
+    instants = data.where(F.col("_rows") >= HOT_ROWS).select("_t").checkpoint()
+    if not 0 < instants.count() <= _MAX_BROADCAST:
         return with_t.join(counts, "_t", "left")
+    hot = instants.join(counts, "_t").checkpoint()
     marked = with_t.join(F.broadcast(hot.select("_t", F.col(out).alias("_hot"))), "_t", "left")
     rest = marked.where("_hot is null").drop("_hot").join(counts, "_t", "left")
     return rest.unionByName(marked.where("_hot is not null").withColumnRenamed("_hot", out))
