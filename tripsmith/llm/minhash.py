@@ -49,9 +49,9 @@ REGISTERS = 512
 MANTISSA, BAND_MANTISSA = 10, 24
 BANDS, ROWS = 32, 4
 BLOCK, BUCKET = 384, 1024
-#: Estimates this far below the threshold still count: above four standard errors, of the
+#: Estimates this far below the threshold still count: above five standard errors, of the
 #: finer registers and of those that make up bands.
-SLACK, COARSE_SLACK = 0.10, 0.15
+SLACK, COARSE_SLACK = 0.10, 0.20
 CACHE_WORDS = 200_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
