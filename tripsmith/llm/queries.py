@@ -75,4 +75,49 @@ def _shipped(query):
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_minhash, op2_warc, op3_sharding, op4_ann, op5_suffix_tree,
     op6_repeats, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe)}
-ORACLES: dict[str, str] = {}
+
+#: Components over links of full shingle sets, by a recursive join.
+_OP1_SQL = r"""
+with recursive
+w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+p as (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) as i from w where len(words) > 0),
+s as (select distinct doc_id, array_to_string(words[i:i + 4], ' ') as g from p),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, e.b from reach r join edges e on r.b = e.a),
+comp as (select a as doc_id, min(b) as component_id from reach group by a)
+select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join n using (doc_id) join comp using (doc_id)"""
+
+#: Base32 of a digest: five bits a letter, four letters of each five hex digits.
+_OP2_SQL = """
+with d as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as x from pages),
+f as (select x, min(page_id) as first_id from d group by x),
+g as (select d.*, first_id, """ + ", ".join(
+    f"cast('0x' || substr(x, {5 * k + 1}, 5) as bigint) as v{k}" for k in range(8)) + """ from d join f using (x))
+select page_id, cast(payload_bytes as bigint) as payload_bytes, """ + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((v{k} >> {s}) & 31) + 1 as int), 1)" for k in range(8) for s in (15, 10, 5, 0)) + """
+  as payload_digest, case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to from g"""
+
+#: Every 400-byte window of the texts in hex, counted; what is left of a text is put together again.
+_OP6_SQL = """
+with h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+w as (select doc_id, k, hash(substr(x, 2 * k + 1, 800)) as m
+  from (select doc_id, x, unnest(range(0, len(x) // 2 - 399)) as k from h where len(x) >= 800) q),
+twice as (select m from w group by m having count(*) > 1),
+starts as (select doc_id, k, k - lag(k) over (partition by doc_id order by k) as gap from w semi join twice using (m)),
+runs as (select doc_id, k, sum(case when gap is null or gap > 400 then 1 else 0 end) over (partition by doc_id order by k) as r from starts),
+spans as (select doc_id, min(k) as a, max(k) + 400 as b from runs group by doc_id, r),
+cuts as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as p from spans),
+kept as (select c.doc_id, sum(b - a) as gone, count(*) as n, string_agg(substr(x, 2 * p + 1, 2 * (a - p)), '' order by a)
+  || substr(any_value(x), 2 * max(b) + 1) as rest from cuts c join h using (doc_id) group by c.doc_id)
+select h.doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(gone, 0) as bigint) as n_removed,
+  cast(coalesce(n, 0) as bigint) as n_spans, sha256(unhex(coalesce(rest, x))) as kept_sha256
+from h left join kept using (doc_id)"""
+
+#: SQL that says the same, for ids that are unique and not null.
+ORACLES: dict[str, str] = {"op1_minhash": _OP1_SQL, "op2_warc": _OP2_SQL, "op6_repeats": _OP6_SQL}
