@@ -51,7 +51,7 @@ def _put(sa, at, t, found, sign):
 def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, b: _Buckets) -> np.ndarray:
     """The array of all suffixes from LMS suffixes in order."""
     n = len(t)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32 if n < 1 << 31 else np.int64)
     held = np.bincount(t[lms], minlength=len(b.size))
     lms = lms[np.argsort(t[lms], kind="stable")]
     first = np.concatenate(([0], np.cumsum(held)[:-1]))
@@ -99,7 +99,9 @@ def _names(t: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:
     length = np.empty(len(lms), np.int64)
     length[:-1] = np.diff(lms) + 1
     length[-1] = n - lms[-1] + 1  # its last symbol is the end, which nothing equals
-    index = np.searchsorted(lms, order)
+    place = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
+    place[lms] = np.arange(len(lms))
+    index = place[order]
     size = length[index]
     same = size[1:] == size[:-1]
     same &= (order[1:] != lms[-1]) & (order[:-1] != lms[-1])
@@ -115,24 +117,37 @@ def _names(t: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:
     return name
 
 
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted keys: the first place of each one's group, and whether the group has more members."""
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.concatenate((head, [len(key)])))
+    return np.repeat(head, size), np.repeat(size > 1, size)
+
+
 def _double(t: np.ndarray) -> np.ndarray:
     """Suffix array by doubling ranks; only suffixes whose rank is shared are sorted again."""
-    n = len(t)
-    _, rank = np.unique(t, return_inverse=True)
-    rank = rank.ravel().astype(np.int64)
-    k = 1
-    sa = np.argsort(rank, kind="stable")
-    while True:
-        follow = np.zeros(n, np.int64)
-        follow[:n - k] = rank[k:] + 1
-        key = rank * (n + 1) + follow
-        sa = np.argsort(key, kind="stable")
-        ordered = key[sa]
-        fresh = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-        rank[sa] = fresh
+    n, base = len(t), int(t.max()) + 2
+    key, k = t.astype(np.int64) + 1, 1
+    while k < 4 and base ** (k + 1) < 1 << 62:  # several symbols in the first key
+        key *= base
+        key[:n - k] += t[k:].astype(np.int64) + 1
+        k += 1
+    sa = np.argsort(key)
+    first, shared = _groups(key[sa])
+    rank = np.empty(n, np.int64)
+    rank[sa] = first
+    place = np.flatnonzero(shared)  # of suffixes that are not alone at their rank
+    while len(place):
+        again = sa[place]
+        beyond = again + k
+        key = rank[again] * (n + 1) + np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
+        order = np.argsort(key)
+        sa[place] = again = again[order]
+        first, shared = _groups(key[order])
+        rank[again] = place[first]
+        place = place[shared]
         k *= 2
-        if fresh[-1] == n - 1 or k >= n:
-            return sa
+    return sa
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
@@ -140,7 +155,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     n = len(t)
     if n < 2:
         return np.arange(n)
-    t = t.astype(np.uint16) if t.max() < 1 << 16 else t
+    t = t.astype(np.uint8 if t.max() < 1 << 8 else np.uint16) if t.max() < 1 << 16 else t  # these are sorted by digits
     smaller = _smaller(t)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     b = _Buckets(t)
@@ -182,10 +197,13 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
         other = neighbour[alive]
         room = n - np.maximum(alive, other) - k
         delta = word[np.minimum(alive + k, n)] ^ word[np.minimum(other + k, n)]
-        bits = np.where(delta == 0, 64, np.log2((delta & (~delta + np.uint64(1))).astype(np.float64), where=delta != 0, out=np.zeros(len(delta)))).astype(np.int64)
-        here = np.minimum(bits >> 3, np.maximum(room, 0))
+        here = np.full(len(alive), 8)
+        differ = np.flatnonzero(delta)
+        lowest = delta[differ] & (~delta[differ] + np.uint64(1))  # a power of two, exact as a float
+        here[differ] = (np.log2(lowest.astype(np.float64)).astype(np.int64)) >> 3
+        here = np.minimum(here, np.maximum(room, 0))
         out[alive] += here
         k += 8
-        alive = alive[(here == 8)]
+        alive = alive[here == 8]
     last = np.maximum.accumulate(np.where(begin, position, 0))
     return np.maximum(out[last] - (position - last), 0)
