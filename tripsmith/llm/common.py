@@ -60,12 +60,14 @@ def release(*frames: DataFrame) -> None:
 BROADCAST_ROWS = 500_000
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """A materialised frame of a few numeric columns, marked for broadcast if its counted rows allow it.
+def sized(df: DataFrame, lists: str | None = None) -> DataFrame:
+    """A materialised frame of a few numeric columns, marked for broadcast if its counted rows allow it
+    (with ``lists``, a column of short lists: the entries of all lists and the rows).
 
     Larger frames stay unmarked, so the join shuffles and adaptive execution splits hot keys.
     """
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    entries = df.agg(F.coalesce(F.sum(F.size(lists) + 1), F.lit(0))).first()[0] if lists else df.count()
+    return F.broadcast(df) if entries <= BROADCAST_ROWS else df
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripsmith.llm.common import materialise, mix64, release, slices, utf8
+from tripsmith.llm.common import BROADCAST_ROWS, materialise, mix64, release, sized, slices, utf8
 from tripsmith.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 400, 32
@@ -239,9 +239,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
               .groupBy("_k", "_t").agg(F.collect_list("_w").alias("_wanted")))  # at most a text's runs
     wanted = materialise(wanted, "wanted")
     # rows that repeat hold the same contexts; any of them serves
-    sent = _send(own.select("_k", "_t", "_text").join(wanted, ["_k", "_t"]).select("_text", "_wanted"), length)
+    needed, keys = own.select("_k", "_t", "_text"), materialise(wanted.select("_k", "_t"), "keys")
+    if keys.count() <= BROADCAST_ROWS:  # so other texts need not move
+        needed = needed.join(F.broadcast(keys), ["_k", "_t"], "left_semi")
+    sent = _send(needed.join(wanted, ["_k", "_t"]).select("_text", "_wanted"), length)
     sent = materialise(sent, "sent")
-    release(sortable, hot, wanted)
+    release(sortable, hot, wanted, keys)
     once = sent.dropDuplicates(["_kind", "_a", "_c", "_off"])
     found = _sorted_shards(once.where("_kind = 0"), length)
     strings = materialise(once.where("_kind = 1").select("_a", "_c", "_n", "_off", "_d1", "_d2"), "strings")
@@ -275,7 +278,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
                 rows.append((i, len(raw), gone, n, hashlib.sha256(left).hexdigest(), left)[:len(fields)])
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f[2]) for k, f in enumerate(fields)], [f[0] for f in fields])
 
-    out = own.join(removed, ["_k", "_t"], "left").select("_id", "_text", "_removed").mapInArrow(
+    out = own.join(sized(removed, "_removed"), ["_k", "_t"], "left").select("_id", "_text", "_removed").mapInArrow(
         cut, ", ".join(f"{n} {t}" for n, t, _ in fields))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     return out.select(*(F.col(f[0]).alias(n) for f, n in zip(fields, names)))
