@@ -86,3 +86,9 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[k] == 1 for k in range(1, 61)) and all(got[100 + k] == 100 for k in range(50)) and got[201] == 200
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_without_broadcasts(make_docs, pairs, monkeypatch):
+    from tripsmith.llm import common
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    assert result(M.near_duplicates(make_docs(pairs))) == brute(pairs)

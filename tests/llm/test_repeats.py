@@ -73,3 +73,10 @@ def test_contract_length_empty_table_and_remaining_bytes(make_docs, pairs):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed for r in out.collect())
     assert got(out) == brute(pairs, 400)
     assert R.remove_repeats(make_docs([])).count() == 0
+
+
+def test_without_broadcasts(make_docs, pairs, monkeypatch):
+    from tripsmith.llm import common
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(R, "BROADCAST_ROWS", 0)
+    assert got(R.remove_repeats(make_docs(pairs), length=120)) == brute(pairs, 120)
