@@ -37,15 +37,15 @@ def rolling_count(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
     with_t = df.withColumn("_t", epoch_micros(ts))
     data = (with_t.groupBy("_t")
             .agg(F.count(value).alias("_w"), F.count(F.lit(1)).alias("_rows")))  # hot instants collapse
-    points = data.select(F.col("_t").alias("_k"), F.lit(1).alias("_role"), "_w",
+    points = data.select(F.col("_t").alias("_k"), F.lit(1).alias("_role"), "_w", "_rows",
                          F.col("_t").alias("_origin")).unionByName(
         data.select((F.col("_t") - F.lit(lookback_us)).alias("_k"), F.lit(0).alias("_role"),
-                    F.lit(0).cast("long").alias("_w"), F.col("_t").alias("_origin")))
+                    F.lit(0).cast("long").alias("_w"), F.lit(0).cast("long").alias("_rows"), F.col("_t").alias("_origin")))
     pre = prefix_sum(points, ["_k", "_role"], "_w", "_pre")
     counts = pre.groupBy(F.col("_origin").alias("_t")).agg(
         (F.sum(F.when(F.col("_role") == 1, F.col("_pre")).otherwise(-F.col("_pre"))))
-        .cast("long").alias(out))
-    return _by_instant(with_t, data, counts, out).drop("_t")
+        .cast("long").alias(out), F.max("_rows").alias("_rows"))
+    return _by_instant(with_t, counts, out).drop("_t")
 
 
 #: Rows at one instant from which its count travels to the rows instead of the rows to it.
@@ -53,15 +53,14 @@ HOT_ROWS = 50_000
 _MAX_BROADCAST = 100_000
 
 
-def _by_instant(with_t: DataFrame, data: DataFrame, counts: DataFrame, out: str) -> DataFrame:
+def _by_instant(with_t: DataFrame, counts: DataFrame, out: str) -> DataFrame:
     """Attach each instant's count.  Counts of hot instants (few: at most rows / HOT_ROWS) are
     broadcast, so their rows stay where they are; all other rows are joined by instant."""
-    checkpoint_dir(with_t.sparkSession)
-    instants = data.where(F.col("_rows") >= HOT_ROWS).select("_t").checkpoint()
-    if not 0 < instants.count() <= _MAX_BROADCAST:
+    hot = counts.where(F.col("_rows") >= HOT_ROWS).select("_t", F.col(out).alias("_hot")).checkpoint()
+    counts = counts.drop("_rows")
+    if not 0 < hot.count() <= _MAX_BROADCAST:
         return with_t.join(counts, "_t", "left")
-    hot = instants.join(counts, "_t").checkpoint()
-    marked = with_t.join(F.broadcast(hot.select("_t", F.col(out).alias("_hot"))), "_t", "left")
+    marked = with_t.join(F.broadcast(hot), "_t", "left")
     rest = marked.where("_hot is null").drop("_hot").join(counts, "_t", "left")
     return rest.unionByName(marked.where("_hot is not null").withColumnRenamed("_hot", out))
 
