@@ -81,9 +81,8 @@ _MAX_BROADCAST_GROUPS = 100_000
 def bracket(value: str, q: float) -> list[Column]:
     """Aggregates ``_lo`` and ``_hi``: a mergeable sketch's bounds around the quantile ``q``."""
     margin = _ERRORS / _SKETCH
-    v = F.col(value).cast("double")
-    return [F.percentile_approx(v, max(q - margin, 0.0), _SKETCH).alias("_lo"),
-            F.percentile_approx(v, min(q + margin, 1.0), _SKETCH).alias("_hi")]
+    both = F.percentile_approx(F.col(value).cast("double"), [max(q - margin, 0.0), min(q + margin, 1.0)], _SKETCH)
+    return [both[0].alias("_lo"), both[1].alias("_hi")]  # one sketch
 
 
 def per_group(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -149,17 +148,15 @@ def rows_at(df: DataFrame, value: str, key: str, fractions: Sequence[float]) ->
     """
     margin = _ERRORS / _SKETCH
     v = F.col(value).cast("long")
-    stats = df.agg(F.count(v).alias("n"), *(
-        F.percentile_approx(v, min(max(f + side * margin, 0.0), 1.0), _SKETCH).alias(f"{name}{i}")
-        for i, f in enumerate(fractions) for name, side in (("lo", -1), ("hi", 1)))).first()
-    n = stats["n"]
+    around = [min(max(f + side * margin, 0.0), 1.0) for f in fractions for side in (-1, 1)]
+    n, bounds = df.agg(F.count(v), F.percentile_approx(v, around, _SKETCH)).first()
     ranks = [int(n * f) for f in fractions]
     if not n:
         return [None for _ in ranks]
     step, inside = F.lit(0), F.lit(False)
     for i in range(len(fractions)):  # segments in ascending order of the value
-        step = step + (v >= stats[f"lo{i}"]).cast("int") + (v > stats[f"hi{i}"]).cast("int")
-        inside = inside | v.between(stats[f"lo{i}"], stats[f"hi{i}"])
+        step = step + (v >= bounds[2 * i]).cast("int") + (v > bounds[2 * i + 1]).cast("int")
+        inside = inside | v.between(bounds[2 * i], bounds[2 * i + 1])
     counted = df.where(v.isNotNull()).select(step.alias("_s"), F.when(inside, v).alias("_v"), v.alias("_w"), F.col(key).alias("_key")) \
         .groupBy("_s", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_w").alias("_mn"), F.max("_w").alias("_mx"),
                                  F.min("_key").alias("_k"))
