@@ -20,11 +20,18 @@ from tripsmith.llm import bpe, decontaminate, minhash, secret_scan, toxicity
 from tripsmith.llm.common import materialise, ship_code, sized, table
 
 PERCENT = 80
+#: Rows that a Python worker gets at a time.  Texts run to 100 kB, so Spark's 10,000 would hold hundreds of MB.
+BATCH_ROWS = 1000
+
+
+def _ready(spark: SparkSession) -> None:
+    ship_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score is below the threshold."""
-    ship_code(spark)
+    _ready(spark)
     scorer = spark.sparkContext.broadcast(toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return docs.where(toxicity.toxic_score(F.col("text"), scorer) < toxicity.THRESHOLD)
 
@@ -34,7 +41,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without doc_id cannot be named as another's copy and stay; so do rows without words.
     """
-    ship_code(spark)
+    _ready(spark)
     groups = materialise(minhash.near_duplicates(docs, percent=PERCENT).where("doc_id is not null"), "groups")
     gone = sized(materialise(groups.where("not kept").select("doc_id").distinct(), "gone"))
     repeated = materialise(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
@@ -48,7 +55,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item."""
-    ship_code(spark)
+    _ready(spark)
     for block in decontaminate.item_blocks(table(spark, sf_dir, "benchmark")):
         docs = docs.where(~decontaminate.contaminated(F.col("text"), block))
     return docs
@@ -56,14 +63,14 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with findings redacted in the text."""
-    ship_code(spark)
+    _ready(spark)
     text = secret_scan.redacted(F.col("text"))
     return docs.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers), n_tokens, decoded."""
-    ship_code(spark)
+    _ready(spark)
     coded = docs.select("doc_id", bpe.encoded(spark, F.col("text"), public_tokenizers.path("byte_bpe_50k.json")).alias("_r"))
     return coded.select("doc_id", "_r.ids", "_r.n_tokens", "_r.decoded")
 

@@ -52,7 +52,7 @@ BLOCK, BUCKET = 384, 1024
 #: Estimates this far below the threshold still count: above five standard errors, of the
 #: finer registers and of those that make up bands.
 SLACK, COARSE_SLACK = 0.10, 0.20
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 

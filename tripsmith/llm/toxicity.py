@@ -41,7 +41,7 @@ WINDOWS = (1, 3, 10, 30)
 THRESHOLD = 0.3
 #: One labelled row in so many is kept back from the counts for the logistic fit.
 CALIBRATION_FOLD = 3
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
