@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from tripsmith.llm.secret_scan import findings, redact, scan
+from tripsmith.llm.secret_scan import SENSITIVE, findings, may_name, redact, scan, sensitivity
 
 _PATTERNS = [("assign", r"((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
               r"|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+")]
@@ -53,3 +53,14 @@ def test_redaction():
     text = 'x token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" y'
     assert redact(text) == 'x [SECRET]" y' and redact(redact(text)) == 'x [SECRET]" y'
     assert redact(None) is None and redact("") == "" and redact("plain") == "plain"
+
+
+def test_separated_names_are_found_without_other_sensitive_words():
+    for name in ("x-api-key", "private-key", "access-key", "pass-word", "cloud.access.key", "X-Api-Key", "xApiKey", "pass.Phrase", "api--key", "to\u212aen"):
+        for text in (f'{name}: "Zx81kkqP0aB3"', f'{{"{name}": "Zx81kkqP0aB3"}}', f"{name}=Zx81kkqP0aB3"):
+            assert "Zx81kkqP0aB3" in literals(text), text
+            assert redact(text).count("[SECRET]") == 1 and "Zx81kkqP0aB3" not in redact(text)
+    assert literals('x-title: "Zx81kkqP0aB3"') == [] == literals("x-api-key")
+    for word in SENSITIVE:
+        for name in (word, word.replace("_", "-"), ".".join(word), word.upper()):
+            assert sensitivity(name) and may_name(f"{name}=")

@@ -47,7 +47,9 @@ LEAST_SCORE = 0.55
 LEAST_LITERAL = 6
 
 _NAMES = re.compile("|".join(sorted(SENSITIVE, key=len, reverse=True)))
-_SENSITIVE_ANY = re.compile("|".join(_either_case(w) for w in sorted(SENSITIVE, key=len, reverse=True)))
+#: The sensitive words without separators, less those that hold another.
+_JOINED = {w.replace("_", "") for w in SENSITIVE}
+_JOINED = sorted(w for w in _JOINED if not any(o in w for o in _JOINED - {w}))
 #: name, then = := : or =>, then an expression up to the end of a statement.
 _PAIR = re.compile(r"""(?:(?P<q>["'])(?P<quoted>[A-Za-z_][\w.\-]{0,99})(?P=q)|(?P<name>[A-Za-z_$][\w.\-$]{0,99}))"""
                    r"""[ \t]*(?P<op>:=|=>|\+=|=(?!=)|:(?!:|//))[ \t]*""")
@@ -64,6 +66,14 @@ def sensitivity(name: str) -> float:
     return max((SENSITIVE[m] for text in (flat, flat.replace("_", "")) for m in _NAMES.findall(text)), default=0.0)
 
 
+def may_name(text: str) -> bool:
+    """Whether a text may hold a name of some sensitivity: true wherever ``sensitivity`` of a part of it is not 0."""
+    if "=" not in text and ":" not in text:
+        return False
+    flat = text.lower().replace("-", "").replace(".", "").replace("_", "")
+    return any(word in flat for word in _JOINED)
+
+
 def literal_weight(value: str) -> float:
     """Score in 0..1 of how much a literal looks like a secret: length, entropy, mixed classes."""
     if len(value) < LEAST_LITERAL or _PLACEHOLDER.match(value) or any(c.isspace() for c in value):
@@ -76,7 +86,7 @@ def literal_weight(value: str) -> float:
 
 def lexed(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, directly or through constants."""
-    if not _SENSITIVE_ANY.search(text):
+    if not may_name(text):
         return []
     known: dict[str, list[tuple[int, int, str]]] = {}
     found: set[tuple[int, int]] = set()
