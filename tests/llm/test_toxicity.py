@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import SF01
 from tripsmith.llm.common import table
-from tripsmith.llm.toxicity import Scorer, fit, scores
+from tripsmith.llm.toxicity import LetterModels, Scorer, fit, grams, scores
 
 LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType()),
                        T.StructField("text", T.StringType())])
@@ -38,3 +38,27 @@ def test_edge_rows(spark, make_docs):
     assert {r.score for r in scores(make_docs(pairs), labels.where("toxic = 0")).collect()} == {0.0}
     assert scores(make_docs([]), labels).count() == 0
     assert isinstance(fit(make_docs([]), labels), Scorer)
+
+
+def test_kneser_ney_by_hand():
+    counts = {}
+    for k, words in ((0, ["ab"] * 3 + ["cb"]), (1, ["ad"] * 2)):
+        for word in words:
+            for gram in grams(word):
+                counts.setdefault(gram, [0, 0])[k] += 1
+    model = LetterModels({g: tuple(c) for g, c in counts.items()})
+    unigram = (2 + 0.5) / (7 + 0.5 * 6)  # b follows a and c; seven pairs, five letters and one unseen
+    bigram = (1 - 0.75) / 2 + 0.75 * 2 / 2 * unigram  # ab and ad each have one left context
+    assert abs(model.probability(0, "^ab") - ((3 - 0.75) / 3 + 0.75 * 1 / 3 * bigram)) < 1e-12
+    assert abs(model.probability(1, "^ab") - 0.75 * 1 / 2 * bigram) < 1e-12
+    assert model.probability(0, "^xb") == model.probability(1, "^xb") == unigram
+    for k in (0, 1):
+        assert abs(sum(model.probability(k, "^a" + w) for w in "abcd$?") - 1) < 1e-12
+
+
+def test_sequences_seen_once_are_kept(make_docs, spark):
+    pairs = [(k, "river stone" if k % 2 else "zonk head") for k in range(40)] + [(1000, "quixpy")]
+    marks = [(k, 1, int(k % 2 == 0), "t") for k in range(40)] + [(i, 1, 1, "t") for i in range(1000, 1040)]
+    pairs += [(i, f"quix{chr(97 + i % 26)}{i}") for i in range(1001, 1040)]
+    model = fit(make_docs(pairs), spark.createDataFrame(marks, LABELS)).models
+    assert any(sum(c) == 1 for g, c in model.counts.items() if len(g) > 1)
