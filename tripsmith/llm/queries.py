@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, each over its whole table, and SQL where it can say the same."""
+"""Registered queries of the operators, each over its whole table, and SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -65,6 +65,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.spelling import spelling_groups
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -74,7 +79,7 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_minhash, op2_warc, op3_sharding, op4_ann, op5_suffix_tree,
-    op6_repeats, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe)}
+    op6_repeats, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe, op11_spelling)}
 
 #: Components over links of full shingle sets, by a recursive join.
 _OP1_SQL = r"""
@@ -119,5 +124,29 @@ select h.doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(gone, 0)
   cast(coalesce(n, 0) as bigint) as n_spans, sha256(unhex(coalesce(rest, x))) as kept_sha256
 from h left join kept using (doc_id)"""
 
+#: crc32 byte by byte from its table; words that share all letters around a gap are near.
+_OP11_SQL = """
+with recursive
+t as (select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda x, _: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as crc),
+r as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[A-Za-z\u00C0-\u00FF]+')) as w from documents),
+d as (select doc_id, w, count(*) as n from r group by all),
+b as (select w, n, flatten(list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || w, ''),
+  lambda c: case when unicode(c) < 128 then [cast(unicode(c) as bigint)] else [195, cast(unicode(c) - 64 as bigint)] end)) as bytes from d),
+h as (select w, n, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+  lambda c, x: xor(c >> 8, crc[1 + (xor(c, x) & 255)]))) as h from b, t),
+s as (select case when h % 97 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from h),
+v as (select word, cast(sum(n) as bigint) as n from s group by word having sum(n) >= 3 and length(word) >= 5),
+g as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select *, unnest(range(length(word))) as i from v) q),
+e as (select a.word, a.n, b.word as other, b.n as m from g a join g b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select g.word, g.n, v.word, v.n from g join v on g.rest = v.word
+  union select v.word, v.n, g.word, g.n from g join v on g.rest = v.word),
+k as (select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by m desc, other) as place from e),
+f as (select word, n_near, case when m >= 2 * n then other end as form, case when m >= 2 * n then m end as form_n from k where place = 1),
+p as (select word, word as root from v union all select p.word, f.form from p join f on f.word = p.root where f.form is not null),
+l as (select p.word, p.root from p left join f on f.word = p.root where f.form is null)
+select v.word, form, root, v.n, cast(coalesce(n_near, 0) as bigint) as n_near, form_n from v join l using (word) left join f using (word)"""
+
 #: SQL that says the same, for ids that are unique and not null.
-ORACLES: dict[str, str] = {"op1_minhash": _OP1_SQL, "op2_warc": _OP2_SQL, "op6_repeats": _OP6_SQL}
+ORACLES: dict[str, str] = {"op1_minhash": _OP1_SQL, "op2_warc": _OP2_SQL, "op6_repeats": _OP6_SQL, "op11_spelling": _OP11_SQL}
