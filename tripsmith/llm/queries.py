@@ -70,6 +70,24 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_labels(rows: DataFrame) -> DataFrame:
+    """The label that the query mines with: moved on by one in every seventh row."""
+    return rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripsmith.llm.hard_negatives import hard_negatives
+    return hard_negatives(op12_labels(table(spark, sf_dir, "embeddings")))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tripsmith.llm.token_files import checksums, read_tokens, write_tokens
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return checksums(read_tokens(spark, path))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -79,7 +97,7 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_minhash, op2_warc, op3_sharding, op4_ann, op5_suffix_tree,
-    op6_repeats, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe, op11_spelling)}
+    op6_repeats, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_bpe, op11_spelling, op12_hard_negatives, op13_token_files)}
 
 #: Components over links of full shingle sets, by a recursive join.
 _OP1_SQL = r"""
@@ -148,5 +166,22 @@ p as (select word, word as root from v union all select p.word, f.form from p jo
 l as (select p.word, p.root from p left join f on f.word = p.root where f.form is null)
 select v.word, form, root, v.n, cast(coalesce(n_near, 0) as bigint) as n_near, form_n from v join l using (word) left join f using (word)"""
 
+#: Every anchor against every row.
+_OP12_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as c from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id, b.label = a.label as same, cast(list_inner_product(a.c, b.c) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.c) = len(b.c)),
+p as (select anchor_id, vec_id as positive_id, score as positive_score,
+  row_number() over (partition by anchor_id order by score desc, vec_id) as place from s where same),
+n as (select p.anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+  row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+  from p join s on s.anchor_id = p.anchor_id and not same and place <= 5
+  and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
 #: SQL that says the same, for ids that are unique and not null.
-ORACLES: dict[str, str] = {"op1_minhash": _OP1_SQL, "op2_warc": _OP2_SQL, "op6_repeats": _OP6_SQL, "op11_spelling": _OP11_SQL}
+ORACLES: dict[str, str] = {"op1_minhash": _OP1_SQL, "op2_warc": _OP2_SQL, "op6_repeats": _OP6_SQL, "op11_spelling": _OP11_SQL,
+                           "op12_hard_negatives": _OP12_SQL}
