@@ -121,3 +121,22 @@ def test_parts_are_read_alone(spark, written):
     meta = plan(K.read_tokens(spark, path).select("doc_id", "start", "n_tokens"))
     assert "ids:array" not in meta
     assert "In(doc_id" in plan(K.read_tokens(spark, path, asked)) and "GreaterThanOrEqual(shard" in plan(K.read_range(spark, path, 5, 50))
+
+
+def test_stretches_encode_as_the_whole_text():
+    rng = random.Random(4)
+    pool = [*map(chr, range(0, 0x250)), *" \u00a0\u0085\u1680\u2003\u2028\u2029\u202f\u205f\u3000\u200b\U0001f600一'", "'s", " the", "  ", "\n\n", " ", " ", " ", " a",
+            "<|endoftext|>", " <|endoftext|> ", "é ", " é", "\u2013 "]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    e = K.Encoder(PATH)
+    assert e.parted
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    for parted in (True, False):
+        e.parted = parted
+        ids, size = e.encode(raw, offs, 2)
+        cut = np.cumsum(size).tolist()
+        assert [ids[a:b].tolist() for a, b in zip([0, *cut], cut)] == library(texts)
+    assert len(K.stretches(raw, offs)[0]) > len(texts)
+    assert not K.parts_at_blanks({"pre_tokenizer": {"type": "ByteLevel", "use_regex": True, "add_prefix_space": True}})
+    assert not K.parts_at_blanks({"pre_tokenizer": {"type": "ByteLevel"}, "added_tokens": [{"content": "a b"}]})

@@ -19,6 +19,7 @@ often as they come.  A hot id is split over files.  Texts are encoded whole.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator, Sequence
@@ -31,31 +32,105 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripsmith.llm.bpe import share_vocabulary
-from tripsmith.llm.common import sized, slices
+from tripsmith.llm.common import sized, slices, utf8
 
 END_ID = 2
 #: Text bytes a file holds on average.
 FILE_BYTES = 128 << 20
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 64 << 10, 1_000
-#: Text bytes encoded at once; the tokenizer's own results take some thirty times as much.
-SLICE_BYTES = 1 << 20
+#: Text bytes encoded at once.
+SLICE_BYTES = 2 << 20
+#: Stretches a task remembers before it starts anew; longer ones it never does.
+KNOWN, KNOWN_BYTES = 200_000, 64
 
 TOKENS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shard", T.IntegerType(), False), T.StructField("at", T.LongType(), False),
                        T.StructField("n_tokens", T.LongType(), False), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 OFFSETS = "shard int, first_token long, n_tokens long, n_docs long"
 
-_TOKENIZERS: dict = {}
+_ENCODERS: dict = {}
 
 
-def _tokenizer(name: str):
-    """The task's tokenizer of a file that ``share_vocabulary`` has shipped, without truncation and padding."""
-    if name not in _TOKENIZERS:
+class Encoder:
+    """The tokenizers library over a vocabulary file, without truncation and padding."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         from tokenizers import Tokenizer
-        t = _TOKENIZERS[name] = Tokenizer.from_file(SparkFiles.get(name))
-        t.no_truncation()
-        t.no_padding()
-    return _TOKENIZERS[name]
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            self.parted = parts_at_blanks(json.load(f))
+        self.known: dict[str, np.ndarray] = {}
+
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def remembered(self, stretches: list[str]) -> list[np.ndarray]:
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        new = [s for s in stretches if s not in self.known]
+        fresh = dict(zip(new, self.each(new))) if new else {}
+        out = [fresh[s] if s in fresh else self.known[s] for s in stretches]
+        self.known.update((s, i) for s, i in fresh.items() if len(s) <= KNOWN_BYTES)
+        return out
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows one after the other, each row's ids and the end id; ids per row)."""
+        starts, rows = stretches(raw, offsets) if self.parted else (offsets[:-1][np.diff(offsets) > 0], np.flatnonzero(np.diff(offsets)))
+        names, kind = [], np.zeros(0, np.int64)
+        if len(starts):
+            bounds = pa.py_buffer(np.append(starts, len(raw)))
+            held = pa.LargeStringArray.from_buffers(len(starts), bounds, pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
+            names, kind = held.dictionary.to_pylist(), held.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = [*self.remembered(names), np.array([end_id], np.int32)]
+        # the stretches of each row, then the end
+        n = len(offsets) - 1
+        order = np.full(len(kind) + n, len(names))
+        order[np.arange(len(kind)) + rows] = kind
+        size = np.array([len(i) for i in ids])
+        begin, flat = np.cumsum(size) - size, np.concatenate(ids)
+        length = size[order]
+        ends = np.cumsum(length)
+        at = np.repeat(begin[order] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+        last = ends[np.cumsum(np.bincount(rows, minlength=n) + 1) - 1]
+        return flat[at], np.diff(last, prepend=0)
+
+
+def parts_at_blanks(spec: dict) -> bool:
+    """Whether a vocabulary file cuts text by the byte-level pattern alone, so that a single blank between
+    other characters always begins a piece."""
+    cut = spec.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not spec.get("normalizer")
+    return bool(plain) and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or any(c.isspace() for c in t["content"])
+                                   for t in spec.get("added_tokens") or [])
+
+
+#: Bytes of white space, and the bytes that white space beyond ASCII begins with and goes on with.
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+_LEAD2, _REST2 = np.arange(256) == 0xC2, np.isin(np.arange(256), [0x85, 0xA0])
+_LEAD3, _REST3 = np.isin(np.arange(256), [0xE1, 0xE2, 0xE3]), np.isin(np.arange(256), [0x80, 0x81, 0x9A])
+
+
+def stretches(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, row) of each stretch.  A row begins one, and so does a blank that neither follows nor precedes
+    white space; a few characters that only look like white space are left joined, which changes nothing."""
+    wide = np.concatenate([np.zeros(3, np.uint8), raw, np.zeros(3, np.uint8)])
+    at = np.flatnonzero(raw == 32)
+    back = [wide[at + 3 - k] for k in (1, 2, 3)]
+    ahead = [wide[at + 3 + k] for k in (1, 2)]
+    joined = (_BLANK[back[0]] | (_REST2[back[0]] & _LEAD2[back[1]]) | (_REST3[back[1]] & _LEAD3[back[2]])
+              | _BLANK[ahead[0]] | (_LEAD2[ahead[0]] & _REST2[ahead[1]]) | (_LEAD3[ahead[0]] & _REST3[ahead[1]]))
+    first = offsets[:-1][np.diff(offsets) > 0]
+    begins = np.union1d(at[~joined], first)
+    return begins, np.searchsorted(offsets, begins, side="right") - 1
+
+
+def _encoder(name: str) -> Encoder:
+    """The task's encoder of a file that ``share_vocabulary`` has shipped."""
+    if name not in _ENCODERS:
+        _ENCODERS[name] = Encoder(SparkFiles.get(name))
+    return _ENCODERS[name]
 
 
 def writer_options(encoding: str) -> dict[str, str]:
@@ -74,17 +149,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, encoding: str = "d
     name = share_vocabulary(spark, vocabulary)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, shard, at = _tokenizer(name), TaskContext.get().partitionId(), 0
+        encoder, shard, at = _encoder(name), TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                found = tokenizer.encode_batch_fast([t or "" for t in part.column("text").to_pylist()], add_special_tokens=False)
-                ids = [[*e.ids, end_id] for e in found]
-                ends = np.cumsum([len(i) for i in ids], dtype=np.int64)
-                size = np.diff(ends, prepend=0)
-                values = pa.array(np.concatenate([np.array(i, np.int32) for i in ids]))
+                ids, size = encoder.encode(*utf8(part.column("text")), end_id)
+                ends = np.cumsum(size)
                 yield pa.record_batch([
-                    part.column("doc_id"), pa.array(np.full(len(ids), shard, np.int32)), pa.array(at + ends - size), pa.array(size),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)], TOKENS.names)
+                    part.column("doc_id"), pa.array(np.full(len(size), shard, np.int32)), pa.array(at + ends - size), pa.array(size),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))], TOKENS.names)
                 at += int(ends[-1])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
