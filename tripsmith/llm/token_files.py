@@ -36,12 +36,12 @@ from tripsmith.llm.common import sized, slices, utf8
 
 END_ID = 2
 #: Text bytes a file holds on average.
-FILE_BYTES = 128 << 20
+FILE_BYTES = 64 << 20
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 64 << 10, 1_000
 #: Text bytes encoded at once.
-SLICE_BYTES = 2 << 20
-#: Stretches a task remembers before it starts anew; longer ones it never does.
-KNOWN, KNOWN_BYTES = 200_000, 64
+SLICE_BYTES = 4 << 20
+#: Distinct stretches (some tens of bytes each) that a task remembers before it starts anew.
+KNOWN = 1_000_000
 
 TOKENS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shard", T.IntegerType(), False), T.StructField("at", T.LongType(), False),
                        T.StructField("n_tokens", T.LongType(), False), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
@@ -60,36 +60,68 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as f:
-            self.parted = parts_at_blanks(json.load(f))
-        self.known: dict[str, np.ndarray] = {}
-
-    def each(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def remembered(self, stretches: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        new = [s for s in stretches if s not in self.known]
-        fresh = dict(zip(new, self.each(new))) if new else {}
-        out = [fresh[s] if s in fresh else self.known[s] for s in stretches]
-        self.known.update((s, i) for s, i in fresh.items() if len(s) <= KNOWN_BYTES)
-        return out
+            spec = json.load(f)
+        self.parted = parts_at_blanks(spec)
+        #: Bytes that each id stands for: a byte-level vocabulary writes a letter a byte.
+        vocab, special = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        self.width = np.zeros(max([*vocab.values(), *special.values()]) + 1, np.int64)
+        for word, i in vocab.items():
+            self.width[i] = len(word)
+        for word, i in special.items():
+            self.width[i] = len(word.encode())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.names = pa.array([], pa.large_string())
+        self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def fresh(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all names one after the other, ids per name).
+
+        Names that begin with a single blank and end without white space are encoded in one call, and
+        the ids dealt out again by the bytes they stand for; the others are encoded one by one.
+        """
+        plain = [n for n in names if n[0] == " " and len(n) > 1 and not n[1].isspace() and not n[-1].isspace()]
+        if self.parted and len(plain) > 1:
+            ids = np.array(self.each(["".join(plain)])[0], np.int32)
+            ends = np.cumsum([len(n.encode()) for n in plain])
+            reach = np.cumsum(self.width[ids])
+            at = np.searchsorted(reach, ends)
+            if len(reach) and reach[-1] == ends[-1] and np.array_equal(reach[at], ends):
+                cut = [0, *(at + 1).tolist()]
+                known = dict(zip(plain, zip(cut, cut[1:])))
+                rest = [n for n in names if n not in known]
+                known.update(zip(rest, [(len(names), np.array(x, np.int32)) for x in self.each(rest)]) if rest else ())
+                parts = [k[1] if isinstance(k[1], np.ndarray) else ids[k[0]:k[1]] for k in map(known.__getitem__, names)]
+                return np.concatenate(parts), np.array([len(x) for x in parts])
+        parts = self.each(names)
+        return np.array([i for x in parts for i in x], np.int32), np.array([len(x) for x in parts], np.int64)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, each row's ids and the end id; ids per row)."""
         starts, rows = stretches(raw, offsets) if self.parted else (offsets[:-1][np.diff(offsets) > 0], np.flatnonzero(np.diff(offsets)))
-        names, kind = [], np.zeros(0, np.int64)
+        n = len(offsets) - 1
+        order = np.full(len(starts) + n, -1)  # the stretches of each row, then the end
+        if len(self.names) > KNOWN or len(self.ids) > 8 * KNOWN:
+            self._forget()
         if len(starts):
             bounds = pa.py_buffer(np.append(starts, len(raw)))
             held = pa.LargeStringArray.from_buffers(len(starts), bounds, pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
-            names, kind = held.dictionary.to_pylist(), held.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = [*self.remembered(names), np.array([end_id], np.int32)]
-        # the stretches of each row, then the end
-        n = len(offsets) - 1
-        order = np.full(len(kind) + n, len(names))
-        order[np.arange(len(kind)) + rows] = kind
-        size = np.array([len(i) for i in ids])
-        begin, flat = np.cumsum(size) - size, np.concatenate(ids)
+            place = pa.compute.index_in(held.dictionary, value_set=self.names)
+            new = held.dictionary.filter(pa.compute.is_null(place))
+            if len(new):
+                ids, size = self.fresh(new.to_pylist())
+                self.names = pa.concat_arrays([self.names, new])
+                self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
+            where = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            where[where < 0] = np.arange(len(self.names) - len(new), len(self.names))
+            order[np.arange(len(starts)) + rows] = where[held.indices.to_numpy(zero_copy_only=False)]
+        # the end is the last of all stretches
+        size, flat = np.append(self.size, 1), np.append(self.ids, np.int32(end_id))
+        begin = np.cumsum(size) - size
         length = size[order]
         ends = np.cumsum(length)
         at = np.repeat(begin[order] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
@@ -122,7 +154,10 @@ def stretches(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     joined = (_BLANK[back[0]] | (_REST2[back[0]] & _LEAD2[back[1]]) | (_REST3[back[1]] & _LEAD3[back[2]])
               | _BLANK[ahead[0]] | (_LEAD2[ahead[0]] & _REST2[ahead[1]]) | (_LEAD3[ahead[0]] & _REST3[ahead[1]]))
     first = offsets[:-1][np.diff(offsets) > 0]
-    begins = np.union1d(at[~joined], first)
+    mark = np.zeros(len(raw), bool)
+    mark[at[~joined]] = True
+    mark[first] = True
+    begins = np.flatnonzero(mark)
     return begins, np.searchsorted(offsets, begins, side="right") - 1
 
 
