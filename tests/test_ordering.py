@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from tripsmith.operators import ordering as R
 from tripsmith.operators.ordering import exact_percentile, prefix_sum, rows_at, with_global_position
 
 
@@ -65,3 +66,36 @@ def test_exact_percentile_of_few_rows(spark):
         df = spark.createDataFrame([(v,) for v in vals], "v double")
         for q in (0.05, 0.5, 0.95):
             assert abs(exact_percentile(df, "v", q).first()[0] - np.percentile(vals, 100 * q)) < 1e-9
+
+
+def test_wide_brackets_are_narrowed_to_a_bounded_count(spark, monkeypatch):
+    """All-distinct values, and hot ones, with a lowered bound and a wide first bracket."""
+    rng = np.random.default_rng(5)
+    vals = {"a": rng.normal(0, 1, 30_000), "b": np.concatenate([np.full(9_000, 0.25), rng.normal(0, 1, 21_000)]), "c": np.arange(40.0)}
+    df = spark.createDataFrame([(g, float(v)) for g, x in vals.items() for v in x], "g string, v double").repartition(6)
+    whole = np.concatenate(list(vals.values()))
+    monkeypatch.setattr(R, "_SKETCH", 60)  # a coarse first bracket; the passes' steps are coarser still
+    monkeypatch.setattr(R, "_ERRORS", 6)
+    monkeypatch.setattr(R, "_STEPS", 3)
+    monkeypatch.setattr(R, "_GRID", [0.0, 1 / 3, 2 / 3, 1.0])
+    monkeypatch.setattr(R, "MAX_COUNTED", 500)
+    for q in (0.0, 0.31, 0.5, 0.95, 1.0):
+        per = {r.g: r.v_q for r in exact_percentile(df, "v", q, by=["g"]).collect()}
+        for g, x in vals.items():
+            assert abs(per[g] - np.percentile(x, 100 * q)) < 1e-9
+        assert abs(exact_percentile(df, "v", q).first()[0] - np.percentile(whole, 100 * q)) < 1e-9
+
+
+def test_narrowing_bounds_the_counted_values(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_COUNTED", 300)
+    monkeypatch.setattr(R, "_ERRORS", 2000)  # the first bracket holds 8 % of the rows
+    rng = np.random.default_rng(7)
+    x = rng.permutation(50_000).astype(float)
+    df = spark.createDataFrame([(float(v), f"k{int(v):05d}") for v in x], "v double, k string").repartition(5)
+    base = df.select(df.v.alias("_v"))
+    first = base.agg(*R.bracket("_v", 0.6))
+    lo, hi, _ = R.narrowed(base, first.checkpoint(), 0.6, []).first()
+    wide_lo, wide_hi, _ = first.first()
+    assert wide_hi - wide_lo > 3000 and hi - lo <= 330 and lo <= 0.6 * 49_999 <= hi
+    order = sorted((int(v), f"k{int(v):05d}") for v in x)
+    assert rows_at(df, "v", "k", [0.3, 0.75, 1.0]) == [order[15_000], order[37_500], None]

@@ -78,11 +78,63 @@ _SKETCH, _ERRORS = 50_000, 8
 _MAX_BROADCAST_GROUPS = 100_000
 
 
+#: Distinct values of a group that may be counted one by one (and ranked in one task); wider brackets are narrowed.
+MAX_COUNTED = 100_000
+#: Steps a narrowing pass cuts a bracket into.
+_STEPS = 500
+
+
 def bracket(value: str, q: float) -> list[Column]:
-    """Aggregates ``_lo`` and ``_hi``: a mergeable sketch's bounds around the quantile ``q``."""
+    """Aggregates ``_lo`` and ``_hi``, a mergeable sketch's bounds around the quantile ``q``, and ``_n``, the values."""
     margin = _ERRORS / _SKETCH
     both = F.percentile_approx(F.col(value).cast("double"), [max(q - margin, 0.0), min(q + margin, 1.0)], _SKETCH)
-    return [both[0].alias("_lo"), both[1].alias("_hi")]  # one sketch
+    return [both[0].alias("_lo"), both[1].alias("_hi"), F.count(value).alias("_n")]  # one sketch
+
+
+def _wide(n: int | None) -> bool:
+    """Whether a first bracket over ``n`` values may hold more distinct values than may be counted."""
+    return n is not None and n * 2 * (_ERRORS + 1) / _SKETCH > MAX_COUNTED
+
+
+def _tighter(lo, hi, grid: list, inside: int, first: int, last: int) -> tuple:
+    """Bounds of the positions ``first`` to ``last`` among ``inside`` values, from their quantiles in steps.
+
+    A step is 100 times the sketch's error, so one more step on each side is safe.
+    """
+    a, b = first * _STEPS // inside - 1, -(-(last + 1) * _STEPS // inside) + 1
+    return (grid[a] if a > 0 else lo), (grid[b] if b < _STEPS else hi)
+
+
+_GRID = [k / _STEPS for k in range(_STEPS + 1)]
+
+
+def narrowed(base: DataFrame, brackets: DataFrame, q: float, by: Sequence[str]) -> DataFrame:
+    """Brackets (``by``, ``_lo``, ``_hi``, ``_n``) that hold at most ``MAX_COUNTED`` distinct values of ``base`` (``by``, ``_v``).
+
+    Each pass is one map-side aggregation over the rows: it counts below each bracket, cuts the
+    values inside into ``_STEPS`` quantiles and keeps the few steps around the wanted ranks.  A
+    bracket of one (hot) value is narrow however many rows hold it.  Small inputs need no pass.
+    """
+    if not _wide(brackets.agg(F.max("_n")).first()[0]):
+        return brackets
+    while True:
+        v = F.col("_v")
+        inside = v.between(F.col("_lo"), F.col("_hi"))
+        seen = per_group(base, brackets.select(*by, "_lo", "_hi"), by).groupBy(*by).agg(
+            F.count_if(v < F.col("_lo")).alias("_below"), F.count_if(inside).alias("_in"),
+            F.approx_count_distinct(F.when(inside, v)).alias("_kinds"), F.percentile_approx(F.when(inside, v), _GRID, _SKETCH).alias("_g"))
+        joined = brackets.join(seen, list(by), "left") if by else brackets.crossJoin(seen)
+        h = F.lit(float(q)) * (F.col("_n") - 1)
+        step = F.lit(_STEPS) / F.col("_in")
+        a = (F.floor((F.floor(h) - F.col("_below")) * step) - 1).cast("int")
+        b = (F.ceil((F.ceil(h) - F.col("_below") + 1) * step) + 1).cast("int")
+        open_ = (F.col("_kinds") > MAX_COUNTED) & (F.col("_lo") < F.col("_hi"))
+        lo = F.when(open_ & (a > 0), F.get("_g", a)).otherwise(F.col("_lo"))
+        hi = F.when(open_ & (b < _STEPS), F.get("_g", b)).otherwise(F.col("_hi"))
+        after = joined.select(*by, lo.alias("_lo"), hi.alias("_hi"), "_n", ((lo > F.col("_lo")) | (hi < F.col("_hi"))).alias("_moved")).checkpoint()
+        brackets = after.drop("_moved")
+        if not after.where("_moved").limit(1).count():
+            return brackets
 
 
 def per_group(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -99,13 +151,14 @@ def per_group(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFram
 def exact_percentile(df: DataFrame, value: str, q: float, by: Sequence[str] = (),
                      alias: str | None = None, brackets: DataFrame | None = None) -> DataFrame:
     """Exact linearly-interpolated quantile per group (numpy default / ``percentile`` /
-    DuckDB ``quantile_cont``) from two map-side aggregations; rows are never moved or sorted.
+    DuckDB ``quantile_cont``) from map-side aggregations; rows are never moved or sorted.
 
     1. A sketch per group brackets the quantile (``brackets``: computed by the caller together
-       with other aggregates, columns ``by``, ``_lo``, ``_hi``).
-    2. Rows below and above the bracket are counted, values inside are counted by value.  A
-       running count over the few distinct values inside (about ``2 * _ERRORS / _SKETCH`` of a
-       group at most) finds the two ranks around ``q * (n - 1)``.
+       with other aggregates, columns ``by``, ``_lo``, ``_hi``, ``_n``).
+    2. Brackets that may hold more than ``MAX_COUNTED`` distinct values are narrowed (``narrowed``).
+    3. Rows below and above the bracket are counted, values inside are counted by value.  A
+       running count over the distinct values inside, of a bounded number whatever the rows,
+       finds the two ranks around ``q * (n - 1)``.
 
     One value or group may hold most rows: equal values collapse before the shuffle.  NULLs are
     left out; a group without values has no row.  Output: ``by`` columns + ``alias``.
@@ -117,6 +170,7 @@ def exact_percentile(df: DataFrame, value: str, q: float, by: Sequence[str] = ()
         agg = base.groupBy(*by).agg(*bracket("_v", q))
         checkpoint_dir(df.sparkSession)
         brackets = agg.checkpoint()
+    brackets = narrowed(base, brackets.select(*by, "_lo", "_hi", "_n"), q, by)
     bounded = per_group(base, brackets.select(*by, "_lo", "_hi"), by)
     side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
     counted = bounded.select(*by, side.alias("_s"), F.when(side == 0, F.col("_v")).alias("_v"), F.col("_v").alias("_w")) \
@@ -143,8 +197,8 @@ def rows_at(df: DataFrame, value: str, key: str, fractions: Sequence[float]) ->
     """(value, key) of the rows at positions ``floor(n * fraction)`` in (value, key) order, the value
     as a long; None beyond the last row.  Rows are neither moved nor sorted.
 
-    As in ``exact_percentile``: sketches bracket the positions, values inside the brackets are
-    counted.  Only where several rows share the value at a position are their keys ordered.
+    As in ``exact_percentile``: sketches bracket the positions, wide brackets are narrowed, and values
+    inside them are counted.  Only where several rows share the value at a position are their keys ordered.
     """
     margin = _ERRORS / _SKETCH
     v = F.col(value).cast("long")
@@ -153,6 +207,7 @@ def rows_at(df: DataFrame, value: str, key: str, fractions: Sequence[float]) ->
     ranks = [int(n * f) for f in fractions]
     if not n:
         return [None for _ in ranks]
+    bounds = _narrowed_cuts(df, v, n, ranks, list(bounds))
     step, inside = F.lit(0), F.lit(False)
     for i in range(len(fractions)):  # segments in ascending order of the value
         step = step + (v >= bounds[2 * i]).cast("int") + (v > bounds[2 * i + 1]).cast("int")
@@ -186,6 +241,25 @@ def rows_at(df: DataFrame, value: str, key: str, fractions: Sequence[float]) ->
     return out
 
 
+def _narrowed_cuts(df: DataFrame, v: Column, n: int, ranks: list[int], bounds: list) -> list:
+    """``bounds`` (low and high of each rank) with at most ``MAX_COUNTED`` distinct values between each pair."""
+    while _wide(n):
+        pairs = list(zip(bounds[::2], bounds[1::2]))
+        row = df.agg(*[x for i, (lo, hi) in enumerate(pairs) for x in (
+            F.count_if(v < lo).alias(f"_b{i}"), F.count_if(v.between(lo, hi)).alias(f"_i{i}"),
+            F.approx_count_distinct(F.when(v.between(lo, hi), v)).alias(f"_k{i}"),
+            F.percentile_approx(F.when(v.between(lo, hi), v), _GRID, _SKETCH).alias(f"_g{i}"))]).first()
+        after = list(bounds)
+        for i, ((lo, hi), rank) in enumerate(zip(pairs, ranks)):
+            if row[f"_k{i}"] > MAX_COUNTED and lo < hi and rank < n:
+                at = rank - row[f"_b{i}"]
+                after[2 * i:2 * i + 2] = _tighter(lo, hi, row[f"_g{i}"], row[f"_i{i}"], at, at)
+        if after == bounds:
+            break
+        bounds = after
+    return bounds
+
+
 def _local_exclusive_cumsum(key_col: str, weight_col: str):
     def run(batches):
         import pyspark

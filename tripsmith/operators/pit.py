@@ -86,7 +86,7 @@ def daily_hour_mean(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET)
 
 def avg_same_hour(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
                   days: int = 7, frame: str = "rows", fallback: str = "global",
-                  out: str = "avg_duration_same_hour_last7days") -> DataFrame:
+                  out: str = "avg_duration_same_hour_last7days", history: DataFrame | None = None) -> DataFrame:
     """mean of the previous ``days`` daily means of the same hour.
 
     ``frame="rows"`` (parity) uses the previous 7 *observed* days of that hour;
@@ -94,9 +94,11 @@ def avg_same_hour(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
     back to the whole-table mean (``fallback="global"``, parity: it looks ahead), to the
     mean of all earlier days (``fallback="past"``, NULL on the first day) or stays NULL
     (``fallback="none"``).  The (date, hour) table grows with the calendar only (days x
-    24); it is counted, then broadcast.
+    24); it is counted, then broadcast.  Means come from ``history`` (default: ``df``), so a frame
+    that other features were joined to is not computed again for them.
     """
-    daily = daily_hour_mean(df, ts, value)
+    history = df if history is None else history
+    daily = daily_hour_mean(history, ts, value)
     if frame == "rows":
         w = Window.partitionBy("hour").orderBy("date").rowsBetween(-days, -1)
     elif frame == "days":
@@ -116,7 +118,7 @@ def avg_same_hour(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
     lag = lag.checkpoint()
     j = keyed.join(F.broadcast(lag) if lag.count() <= _MAX_BROADCAST else lag, ["_date", "_hour"], "left")
     if fallback == "global":
-        g = df.agg(F.avg(F.col(value).cast("double")).alias("_g"))  # one row
+        g = history.agg(F.avg(F.col(value).cast("double")).alias("_g"))  # one row
         j = j.crossJoin(F.broadcast(g)).withColumn(out, F.coalesce("_avg", "_g")).drop("_g")
     elif fallback in ("none", "past"):
         j = j.withColumn(out, F.col("_avg"))
@@ -126,8 +128,9 @@ def avg_same_hour(df: DataFrame, ts: str = C.TIME_COL, value: str = C.TARGET,
 
 
 def point_in_time_features(df: DataFrame, method: str = "scan") -> DataFrame:
-    """both demand features attached to every row."""
-    return avg_same_hour(rolling_count(df, method=method))
+    """both demand features attached to every row.  The daily means come from ``df`` itself, so
+    the counts are joined once."""
+    return avg_same_hour(rolling_count(df, method=method), history=df)
 
 
 def feature_profile(df: DataFrame) -> DataFrame:
