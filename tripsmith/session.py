@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -32,9 +33,20 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     use_local_checkpoints(spark)
     checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package from any working folder.
+
+    On a cluster the package is installed or given with ``--py-files``, as usual.
+    """
+    sc = spark.sparkContext
+    if sc._jsc.sc().isLocal():
+        sc.addFile(str(Path(__file__).resolve().parent), recursive=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder: what is set already, else ``spark.checkpoint.dir``."""
     sc = spark.sparkContext

@@ -8,6 +8,7 @@ hash computed in one aggregation pass.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import checkpoint_dir
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads again."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def path_size_bytes(spark: SparkSession, path: str) -> int:
@@ -45,6 +58,12 @@ def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return int(seen.get["rows"]), size
 
 
+def quarantine(bad: DataFrame, path: str) -> DataFrame:
+    """Keep lines that did not fit apart, dealt by fault; (fault, lines) of what is now stored."""
+    bad.write.mode("overwrite").partitionBy("_fault").parquet(path)
+    return bad.sparkSession.read.schema(bad.schema).parquet(path).groupBy(F.col("_fault").alias("fault")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def handshake(spark: SparkSession, path: str, written: int) -> DataFrame:
     """rows_written, rows_read, matches - the count taken while writing against the files."""
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_read")).select(
