@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -59,3 +59,44 @@ def ttl_filter(df: DataFrame, as_of: str, ttl_days: int = 365, ts: str = C.TIME_
     """Rows no older than ``ttl_days`` before ``as_of`` and not after it."""
     t = F.to_timestamp(F.lit(as_of))
     return df.where((F.col(ts) >= t - F.make_dt_interval(F.lit(ttl_days))) & (F.col(ts) <= t))
+
+
+def as_of_features(requests: DataFrame, view: DataFrame, key: str, features: Sequence[str], request_ts: str, view_ts: str,
+                   ttl_seconds: int, bucket_seconds: int = 86_400, tie: str | None = None) -> DataFrame:
+    """For each request, the features of its entity as the view knew them at that time.
+
+    A request gets the latest view row of its key with ``view_ts <= request_ts``, unless it is older
+    than the time to live; then, and without such a row, the features are NULL.  Of view rows of one
+    key and time the one with the largest ``tie`` (else the largest features) counts.  Requests with
+    a NULL key or time, and view rows with one, match nothing; every request comes back once.
+
+    No range join: requests and view rows are merged by (key, time bucket) and the last view row is
+    carried forward inside a bucket.  What a bucket begins with comes from a table of each bucket's
+    last row, carried from bucket to bucket: a row per key and bucket, not per event.  A key with
+    most of the rows is thus dealt over its buckets.
+    """
+    def bucket(ts: Column) -> Column:
+        return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
+
+    feats = list(features)
+    held = F.struct(F.col(view_ts).cast("timestamp").alias("_ts"), F.col(tie if tie else feats[0]).alias("_tie"), *feats)
+    rows = view.where(F.col(key).isNotNull() & F.col(view_ts).isNotNull()).select(F.col(key).alias("_k"), bucket(F.col(view_ts)).alias("_b"), held.alias("_v"))
+    rest = [c for c in requests.columns if c not in feats]
+    asked = requests.select(F.col(key).alias("_k"), bucket(F.col(request_ts)).alias("_b"), F.col(request_ts).cast("timestamp").alias("_t"),
+                            F.struct(*rest).alias("_r"))
+    # within a bucket: at equal times view rows come first, the one that counts last
+    merged = rows.select("_k", "_b", F.col("_v._ts").alias("_t"), "_v", F.lit(None).cast(asked.schema["_r"].dataType).alias("_r")).unionByName(
+        asked.select("_k", "_b", "_t", F.lit(None).cast(rows.schema["_v"].dataType).alias("_v"), "_r"))
+    inside = Window.partitionBy("_k", "_b").orderBy(F.col("_t").asc(), F.col("_r").isNotNull(), F.col("_v").asc()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    found = merged.withColumn("_in", F.last("_v", ignorenulls=True).over(inside)).where("_r is not null")
+    # a row per (key, bucket): its last view row, and what the buckets before it leave
+    ends = rows.groupBy("_k", "_b").agg(F.max("_v").alias("_e")).unionByName(
+        asked.where("_k is not null").select("_k", "_b").distinct().withColumn("_e", F.lit(None).cast(rows.schema["_v"].dataType)))
+    ends = ends.groupBy("_k", "_b").agg(F.max("_e").alias("_e"))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_k", "_b", F.last("_e", ignorenulls=True).over(before).alias("_before"))
+    best = F.coalesce("_in", "_before")
+    old = F.unix_micros("_t") - F.unix_micros(best["_ts"]) > F.lit(ttl_seconds * 1_000_000)
+    joined = found.join(carried, ["_k", "_b"], "left").withColumn("_x", F.when(F.col("_k").isNotNull() & ~old, best))
+    return joined.select("_r.*", F.col("_x._ts").alias("feature_ts"), *[F.col(f"_x.{f}").alias(f) for f in feats])

@@ -36,11 +36,12 @@ def service_features(spark: SparkSession, service: str, path: str = REGISTRY_PAT
     return registry_features(spark, path).join(views, "view", "left_semi")
 
 
-def unknown_features(spark: SparkSession, requested: Sequence[str],
+def unknown_features(spark: SparkSession, requested: Sequence[str] | DataFrame,
                      path: str = REGISTRY_PATH) -> DataFrame:
-    """D3 / L2: requested names absent from the registry (anti join)."""
-    req = spark.createDataFrame([(r,) for r in requested], ["feature"])
-    return req.join(registry_features(spark, path).select("feature"), "feature", "left_anti")
+    """D3 / L2: requested names (a list, or rows with a ``feature`` column) absent from the registry (anti join)."""
+    req = requested if isinstance(requested, DataFrame) else spark.createDataFrame([(r,) for r in requested], "feature string")
+    known = registry_features(spark, path).select("feature").distinct()
+    return req.join(F.broadcast(known), "feature", "left_anti")  # the registry is a document, its features few
 
 
 def validate_feature_request(spark: SparkSession, requested: Sequence[str],

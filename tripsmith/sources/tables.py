@@ -91,6 +91,45 @@ def read_raw_csv(spark: SparkSession, path: str, timestamp_format: str | None =
     text = read_raw_csv_text(spark, path)
     if not typed:
         return text
+    return typed_rows(text, timestamp_format)
+
+
+#: Why a line does not fit the header.
+CSV_FAULTS = ("unclosed quote", "too few fields", "too many fields")
+
+
+def read_csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A1/A2: a CSV scan that loses no line: the header's columns as text, ``_line``, ``_file`` and ``_fault``.
+
+    ``_fault`` is NULL for a line that fits the header and else one of ``CSV_FAULTS``; the columns of
+    a faulty line hold what could be read.  Lines are parsed one by one, so a quote that is never
+    closed spoils its own line only.  The header is the first line, and any line equal to it (of
+    other files) is left out.  Blank lines are no rows.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file")).where("trim(_line) <> ''")
+    first = spark.read.text(path).limit(1).first()
+    if first is None:
+        return lines.withColumn("_fault", F.lit(None).cast("string"))
+    header = first[0]
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt_record"]])
+    parsed = F.from_csv("_line", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    commas = F.length(F.regexp_replace(F.regexp_replace("_line", '"[^"]*"', ""), "[^,]", ""))
+    fault = (F.when(F.length(F.regexp_replace("_line", '[^"]', "")) % 2 == 1, CSV_FAULTS[0]).when(commas < len(names) - 1, CSV_FAULTS[1])
+             .when(commas > len(names) - 1, CSV_FAULTS[2]).when(F.col("_p._corrupt_record").isNotNull(), CSV_FAULTS[1]))
+    read = lines.where(F.col("_line") != F.lit(header)).withColumn("_p", parsed)
+    return read.select(*[F.col(f"_p.`{n}`").alias(n) for n in names], "_line", "_file", fault.alias("_fault"))
+
+
+def split_corrupt(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of lines that fit the header, as text columns; _file, _line, _fault of the others)."""
+    good = lines.where("_fault is null").drop("_line", "_file", "_fault")
+    return good, lines.where("_fault is not null").select("_file", "_line", "_fault")
+
+
+def typed_rows(text: DataFrame, timestamp_format: str | None = None) -> DataFrame:
+    """Raw text columns under the fixed raw schema; a bad value becomes NULL."""
     cols = []
     for f in RAW_SCHEMA:
         if f.name not in text.columns:
