@@ -807,32 +807,6 @@ def q_lineage_trace(spark, sf):
 
 
 # -- K / E16 / D4: attribution and audit -------------------------------------------------------
-@query("linear_attribution", O.ctes(*LOOKUP_CTES, *LIN_CTES,
-                                    "mx as (select avg(distance_km) as m from split where split = 'train')") +
-       f"select id, 'distance_km' as feature, {rnd_sql('slope * (distance_km - m)', 4)} as phi,"
-       f" {rnd_sql('intercept + slope * m', 4)} as base_value from split cross join coef cross join mx"
-       " where split = 'val'")
-def q_linear_attribution(spark, sf):
-    tr, va = train_val(spark, sf)
-    c = MD.fit_linear_1d(tr).first()  # two scalars
-    a = AU.linear_attribution(va, {"distance_km": c.slope}, c.intercept, tr)
-    return a.select("id", "feature", rnd("phi", 4).alias("phi"), rnd("base_value", 4).alias("base_value"))
-
-
-@query("additivity_violations", O.ctes(*LOOKUP_CTES, *LIN_CTES) +
-       "select count(*) as rows_checked, count(*) filter (where intercept + slope * distance_km < 59e0"
-       " or cast(id as bigint) % 89 = 1) as violations from split cross join coef where split = 'val'")
-def q_additivity(spark, sf):
-    """K2 against predictions as the model writes them: clipped ones and some spoilt ones do not add up."""
-    tr, va = train_val(spark, sf)
-    coef = MD.fit_linear_1d(tr)
-    scored = MD.predict_linear_1d(va, coef)
-    spoilt = F.when(F.col("id").cast("long") % 89 == 1, 1000.0).otherwise(0.0)
-    c = coef.first()  # two scalars
-    return AU.additivity_violations(scored.withColumn("prediction", F.col("prediction") + spoilt),
-                                    {"distance_km": c.slope}, c.intercept, tr).select("rows_checked", "violations")
-
-
 _EMB_LONG = ("emb as (select vec_id, 'dim_' || lpad(cast(i - 1 as varchar), 2, '0') as feature,"
              " cast(embedding[i] as double) as phi from embeddings, range(1, 65) r(i))")
 
@@ -917,31 +891,6 @@ def q_leakage_audit(spark, sf):
 
 
 # -- J2-J8, J10: fitted models ------------------------------------------------------------------
-@query("linear_coefficients", O.ctes(*_OLS_CTES, "co as (select 'distance_km' as feature, b1 * sd1 as c from ols"
-                                     " union all select 'trip_count_last_1h', b2 * sd2 from ols)") +
-       f"select feature, {rnd_sql('c', 4)} as scaled_coefficient, cast(row_number() over (order by abs(c) desc, feature) as int) as rank,"
-       " case when c > 0 then 'longer trip' else 'shorter trip' end as direction,"
-       " not (feature = 'distance_km' and c < 0) as sign_ok from co")
-def q_linear_coefficients(spark, sf):
-    tr, _ = ols_frames(spark, sf)
-    coefs, _, std = MD.fit_ols(tr, _OLS_FEATURES)
-    t = MD.coefficient_table(spark, _OLS_FEATURES, [coefs[f] * std[f] for f in _OLS_FEATURES])
-    return t.withColumn("scaled_coefficient", rnd("scaled_coefficient", 4))
-
-
-@query("linear_scored", O.ctes(*_OLS_CTES) +
-       "select id, case when cast(id as bigint) % 71 = 2 then null else "
-       + rnd_sql("greatest(my + b1 * (distance_km - m1) + b2 * (trip_count_last_1h - m2), 60e0)", 4)
-       + " end as prediction from psplit cross join ols where split = 'val'")
-def q_linear_scored(spark, sf):
-    """The estimator pipeline's scores; rows that lack a feature come back without a prediction."""
-    tr, va = ols_frames(spark, sf)
-    gone = F.col("id").cast("long") % 71 == 2
-    model, _ = MD.fit(MD.linear_pipeline(_OLS_FEATURES), tr)
-    va = va.withColumn("distance_km", F.when(~gone, F.col("distance_km")))
-    return MD.score(model, va, clip_min=60.0).select("id", rnd("prediction", 4).alias("prediction"))
-
-
 def _wols(w: str) -> str:
     """Weighted one-feature least squares: slope and intercept."""
     return (f"select sum({w}) as sw, sum({w} * distance_km) / sum({w}) as mx,"
@@ -977,15 +926,6 @@ def q_weighted_linear(spark, sf):
     return out[0].unionByName(out[1])
 
 
-@query("boosted_importance")
-def q_boosted_importance(spark, sf):
-    """A few boosted trees on weighted rows; a row per feature.  No SQL can say this."""
-    tr, _ = train_val(spark, sf)
-    w = M.sample_weights(tr, spike_thr(tr))
-    model, _ = MD.fit(MD.gbt_pipeline(max_iter=5, weight_col="weight"), w)
-    return MD.feature_importance(model, C.FEATURES)
-
-
 @query("walk_forward_linear", O.ctes(
     _FOLDS_SQL, _ASSIGN_SQL,
     "lf as (select fold, regr_slope(cast(trip_duration as double), distance_km) as b,"
@@ -1128,95 +1068,6 @@ def q_scenario_rows(spark, sf):
         F.count(F.lit(1)).alias("rows"), *[rnd(F.avg(f), 4).alias(f) for f in _SCENARIO_FIELDS])
 
 
-#: A scorer that reacts to every probed feature: the fitted distance effect plus fixed effects (seconds).
-_EFFECTS = {"vendor_id": 70.0, "passenger_count": 13.0, "is_rush_hour": 90.0, "is_weekend": -35.0,
-            "pickup_latitude": 1500.0, "dropoff_longitude": -700.0}
-
-
-def _probe_sql() -> str:
-    sc = AU.SCENARIOS
-    fields = ["vendor_id", "distance_km", "passenger_count", "pickup_latitude", "pickup_longitude",
-              "dropoff_latitude", "dropoff_longitude", "hour", "day_of_week", "is_weekend",
-              "is_rush_hour", "distance_delta"]
-
-    def v(s, f):
-        x = s.get(f)
-        return "null" if x is None else (f"{float(x)!r}e0".replace("e0e0", "e0") if isinstance(x, float) else str(x))
-    values = ", ".join("('" + s["scenario"] + "', " + ", ".join(v(s, f) for f in fields) + ")" for s in sc)
-    scen = f"scen(scenario, {', '.join('o_' + f for f in fields)}) as (values {values})"
-    effects = "".join(f" + {w!r}e0 * coalesce(o_{f}, {f})" for f, w in _EFFECTS.items())
-    x = ("px as (select id as base_id, scenario, greatest(intercept + slope * (coalesce(o_distance_km, distance_km)"
-         f" + coalesce(o_distance_delta, 0e0)){effects} - 112000e0, 60e0) as p from split cross join scen cross join coef"
-         " where split = 'val')")
-    names = sorted({s["scenario"] for s in sc})
-    wide = "wide as (select base_id, " + ", ".join(
-        f"max(p) filter (where scenario = '{n}') as \"{n}\"" for n in names) + " from px group by base_id)"
-    mono = " and ".join(f'"dist_{b}" > "dist_{a}"' for a, b in zip((1, 2, 5, 10, 20), (2, 5, 10, 20, 30)))
-    pax = ", ".join(f'"pax_{n}"' for n in range(1, 7))
-    checks = [
-        ("vendor_invariance", 'abs("vendor_1" - "vendor_2")', 'abs("vendor_1" - "vendor_2") < 60e0'),
-        ("vendor_invariance_20km", 'abs("vendor_1_20km" - "vendor_2_20km")',
-         'abs("vendor_1_20km" - "vendor_2_20km") < 120e0'),
-        ("vendor_vs_distance", 'abs("vendor_1" - "vendor_2")',
-         'abs("vendor_1" - "vendor_2") < abs("vendor_1_plus_1km" - "vendor_1")'),
-        ("passenger_1_vs_4", 'abs("pax_1" - "pax_4")', 'abs("pax_1" - "pax_4") < 60e0'),
-        ("passenger_spread", f"greatest({pax}) - least({pax})", f"greatest({pax}) - least({pax}) < 60e0"),
-        ("direction_asymmetry", 'abs("forward" - "reverse") / nullif("forward", 0)',
-         'abs("forward" - "reverse") / nullif("forward", 0) < 0.2e0'),
-        ("distance_monotone", f"cast(({mono}) as double)", f"cast(({mono}) as double) = 1e0"),
-        ("distance_beats_rush", '"rush_8" - "base"', '"rush_8" - "base" < "dist_10" - "dist_5"'),
-        ("rush_beats_night", '"night_3"', '"night_3" < "rush_8"'),
-        ("weekday_beats_weekend", '"weekend"', '"weekend" < "weekday_rush"'),
-    ]
-    long = " union all ".join(f"select '{n}' as probe, cast({val} as double) as value,"
-                              f" coalesce({ok}, false) as passed from wide" for n, val, ok in checks)
-    return (O.ctes(SPLIT_CTE, LIN_CTES[0], scen, x, wide, f"lng as ({long})") +
-            f"select probe, count(*) as bases, count(*) filter (where passed) as passed,"
-            f" {rnd_sql('max(value)', 4)} as max_value, {rnd_sql('avg(value)', 4)} as mean_value from lng group by probe")
-
-
-@query("probe_results", _probe_sql())
-def q_probe_results(spark, sf):
-    tr, va = train_val(spark, sf)
-    c = MD.fit_linear_1d(tr).first()  # two scalars
-    effects = {"distance_km": c.slope, **_EFFECTS}
-
-    def score(columns):
-        return F.greatest(MD.linear_expression(effects, c.intercept - 112000.0, columns), F.lit(60.0))
-    return AU.probe_results(va, score)
-
-
-_PI_FEATURES = ["distance_km", *_EFFECTS]
-
-
-def _pi_sql() -> str:
-    def score(f):
-        x = lambda c: f"o.{c}" if c == f else f"r.{c}"
-        effects = "".join(f" + {w!r}e0 * {x(c)}" for c, w in _EFFECTS.items())
-        return f"greatest(intercept + slope * {x('distance_km')}{effects} - 112000e0, 60e0)"
-    rmse = lambda f: f"sqrt(avg((r.trip_duration - {score(f)}) * (r.trip_duration - {score(f)})))"
-    return O.ctes(SPLIT_CTE, LIN_CTES[0],
-                  "r as (select *, row_number() over (order by (cast(id as bigint) * 2654435761 + 42) % 4294967296, id) - 1 as pos,"
-                  " count(*) over () as n from split where split = 'val')",
-                  "m as (select " + rmse(None) + " as b, " + ", ".join(f"{rmse(f)} as \"{f}\"" for f in _PI_FEATURES)
-                  + " from r join r o on o.pos = (r.pos + 1) % r.n cross join coef)",
-                  "l as (" + " union all ".join(f"select '{f}' as feature, b, \"{f}\" as x from m" for f in _PI_FEATURES) + ")") + (
-        f"select feature, {rnd_sql('b', 2)} as rmse_base, {rnd_sql('x', 2)} as rmse_permuted, {rnd_sql('x - b', 2)} as importance,"
-        " cast(row_number() over (order by x - b desc, feature) as int) as rank from l")
-
-
-@query("permutation_importance", _pi_sql())
-def q_permutation_importance(spark, sf):
-    """K1(b) for the probes' scorer."""
-    tr, va = train_val(spark, sf)
-    c = MD.fit_linear_1d(tr).first()  # two scalars
-    effects = {"distance_km": c.slope, **_EFFECTS}
-
-    def score(columns):
-        return F.greatest(MD.linear_expression(effects, c.intercept - 112000.0, columns), F.lit(60.0))
-    return AU.permutation_importance(va, score, _PI_FEATURES)
-
-
 # -- L: feature store ---------------------------------------------------------------------------
 @query("historical_features", O.ctes(*_F2_CTES, f"pit as (select *, {_F1_SQL} as trip_count_last_1h from f2)",
                                      "r as (select *, row_number() over (order by pickup_datetime, id) - 1 as rk,"
@@ -1406,3 +1257,6 @@ def q_metrics_missing(spark, sf):
     from ..sources.sinks import load_metrics
     return load_metrics(_two_models(spark, sf).select("model", "rmse_seconds"),
                         ["lookup_baseline", "linear_1d", "boosted"]).select("model", "found", "rmse_seconds")
+
+
+from . import fitted, intake  # noqa: E402, F401 - register their queries
