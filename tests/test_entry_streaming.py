@@ -3,7 +3,7 @@ import __spark_entry__ as E
 from tripsmith.plans.catalog import ORACLES, QUERIES
 
 # queries without a SQL oracle (rows-only check) and why
-ROWS_ONLY = {"boosted_importance", "boosted_metrics", "attribution_power_boosted"}
+ROWS_ONLY = {"boosted_importance", "boosted_metrics", "attribution_power_boosted", "walk_forward_boosted"}
 
 
 def test_entry_smoke(spark):

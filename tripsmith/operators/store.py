@@ -17,17 +17,27 @@ from .splits import temporal_split
 
 def get_historical_features(processed: DataFrame, feature_list: Sequence[str] | None = None,
                             include_point_in_time: bool = True, validate_pit: bool = False,
-                            train_frac: float = C.TRAIN_FRAC, gap_frac: float = C.GAP_FRAC):
+                            train_frac: float = C.TRAIN_FRAC, gap_frac: float = C.GAP_FRAC,
+                            as_of: str | None = None, ttl_days: int | None = None):
     """L3: (labelled frame, available feature names, missing names).
 
     Demand features are computed before the split (as the reference).  The
     result is ONE frame with a ``split`` column (train / gap / val) instead of
     two positional copies; ``validate_pit=True`` runs the full D6 recount and
     raises on any mismatch.
+
+    ``as_of`` (a time) retrieves what was known then: later rows, and with ``ttl_days`` rows older
+    than the view's time to live, take no part - neither as rows nor in the demand features.
+    For features of other entities at each row's own time see ``as_of_features``.
     """
     spark = processed.sparkSession
     if feature_list:
         validate_feature_request(spark, feature_list)
+    if as_of is not None:
+        t = F.to_timestamp(F.lit(as_of))
+        processed = processed.where(F.col(C.TIME_COL) <= t) if ttl_days is None else ttl_filter(processed, as_of, ttl_days)
+    elif ttl_days is not None:
+        raise ValueError("ttl_days needs as_of")
     feats = list(feature_list or C.FEATURES)
     df = processed
     if include_point_in_time:

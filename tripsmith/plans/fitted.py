@@ -302,6 +302,12 @@ def q_boosted_metrics(spark, sf):
         {"trees": F.lit(len(model.trees)), "rounds": F.lit(len(model.history) - 1)})
 
 
+@query("walk_forward_boosted")
+def q_walk_forward_boosted(spark, sf):
+    """J10 for boosted trees: a fit per fold, two at a time.  Folds have no rows to stop by, so the number of trees is given."""
+    return E.walk_forward(processed_full(spark, sf), FOLDS, E.BoostedTrees(), {"settings": {"trees": 100, "patience": None}})
+
+
 @query("boosted_additivity", O.ctes(SPLIT_CTE) + "select count(*) as rows_checked, cast(0 as bigint) as violations, 0e0 as max_abs_diff"
        " from split where split = 'val'")
 def q_boosted_additivity(spark, sf):

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..operators import clean as CL
 from ..operators import gates as G
 from ..operators import store as ST
 from ..sources import sinks as SK
@@ -105,6 +106,18 @@ def q_as_of_features(spark, sf):
     return found.select("event_id", F.unix_micros(F.col("feature_ts").cast("timestamp")).alias("feature_us"), "value")
 
 
+@query("historical_as_of", O.ctes(
+    "known as (select * from clean where pickup_datetime <= timestamp '2024-01-22' and pickup_datetime >= timestamp '2024-01-22' - interval 14 day)",
+    "pit as (select *, cast(count(trip_duration) over (order by epoch_us(pickup_datetime) range between 3600000000 preceding and 1 preceding)"
+    " as bigint) as n1, row_number() over (order by pickup_datetime, id) - 1 as rk, count(*) over () as n from known)") +
+       "select case when rk < floor(n * 0.75e0) then 'train' when rk < floor(n * 0.8e0) then 'gap' else 'val' end as split,"
+       " count(*) as rows, cast(sum(n1) as bigint) as sum_trip_count from pit group by 1")
+def q_historical_as_of(spark, sf):
+    """The training frame as it was known at a time, without rows beyond the time to live."""
+    df, _, _ = ST.get_historical_features(CL.processed(TB.trips(spark, sf), "full"), as_of="2024-01-22", ttl_days=14)
+    return df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("trip_count_last_1h").alias("sum_trip_count"))
+
+
 # -- N3: exact per-row demand on a stream ---------------------------------------------------------------
 _ON_TIME = "not (part = 5 and pickup_datetime < timestamp '2024-01-08')"
 
