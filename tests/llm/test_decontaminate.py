@@ -67,3 +67,17 @@ def test_blocks_of_items_give_the_same(spark, make_docs, monkeypatch):
     one = sorted(D.matches(docs, items).collect())
     monkeypatch.setattr(D, "BLOCK_ITEMS", 2)
     assert sorted(D.matches(docs, items).collect()) == one and {(k, k) for k in range(9)} <= {(r.doc_id, r.item_id) for r in one}
+
+
+def test_items_without_id_and_blocks_by_bytes(spark, make_docs, monkeypatch):
+    """A passage without id is found as well, whether the items fit one block or need many."""
+    items = spark.createDataFrame([(None, "nameless passage of the benchmark", "x"), (None, "another one that has no number", "x"),
+                                   (1, "numbered passage of the benchmark", "x")], ITEMS)
+    docs = make_docs([(1, "a nameless passage of the benchmark."), (2, "Another one that has no number, and the nameless passage of the benchmark"),
+                      (3, "numbered passage of the benchmark"), (4, "clean")])
+    found = lambda: sorted(((r.doc_id, r.item_id, r.distance) for r in D.matches(docs, items).collect()), key=str)
+    want = [(1, None, 0), (2, None, 0), (3, 1, 0)]
+    got = found()
+    assert [g for g in got if g[2] == 0] == want
+    monkeypatch.setattr(D, "BLOCK_BYTES", 40)
+    assert len(list(D.item_blocks(items))) >= 3 and found() == got

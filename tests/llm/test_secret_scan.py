@@ -64,3 +64,34 @@ def test_separated_names_are_found_without_other_sensitive_words():
     for word in SENSITIVE:
         for name in (word, word.replace("_", "-"), ".".join(word), word.upper()):
             assert sensitivity(name) and may_name(f"{name}=")
+
+
+def test_syntaxes_of_pairs():
+    for text, want in [
+            ('passphrase = "correct horse battery staple 42"', ["correct horse battery staple 42"]),
+            ('password = "my pw 8xK!"', ["my pw 8xK!"]),
+            ('config["password"] = "Zx81kkqP0aB3"', ["Zx81kkqP0aB3"]),
+            ("config['db']['password'] = 'Zx81kkqP0aB3'", ["Zx81kkqP0aB3"]),
+            ('conf.set("secret", "Zx81kkqP0aB3")', ["Zx81kkqP0aB3"]),
+            ("password:\n  Zx81kkqP0aB3\nuser: me", ["Zx81kkqP0aB3"]),
+            ('password:\n    "Zx81 kkqP0aB3"\n', ["Zx81 kkqP0aB3"]),
+            ("private_key: |\n  MIIEowIBAAKCAQEA7\n  x9Kq2Lw8\nother: 1", ["MIIEowIBAAKCAQEA7\n  x9Kq2Lw8"]),
+            ('secret = """Zx81kk\nqP0aB3"""', ["Zx81kk\nqP0aB3"]),
+            ("<password>Zx81kkqP0aB3</password>", ["Zx81kkqP0aB3"]),
+            ('<add name="x"><db.password type="t">Zx81kkqP0aB3</db.password></add>', ["Zx81kkqP0aB3"]),
+            ('const k = ["Zx81kkqP0aB3"]; token: k', ["Zx81kkqP0aB3"]),
+            ('secrets = ["Zx81kkqP0aB3", "Yy92llrQ1bC4"]', ["Zx81kkqP0aB3", "Yy92llrQ1bC4"]),
+            ('db_url = "postgres://u:pw@h/db"', ["pw"]),
+            ('password = getenv("X") or "Zx81kkqP0aB3"', ["Zx81kkqP0aB3"]),
+            ("password = getenv('X') || 'Zx81kkqP0aB3'", ["Zx81kkqP0aB3"])]:
+        assert literals(text) == want, text
+        assert all(w not in redact(text) for w in want)
+
+
+def test_what_is_no_pair():
+    for text in ('password = getenv("X")', "password = load()", 'title["name"] = "Zx81kkqP0aB3"', 'conf.set("title", "Zx81kkqP0aB3")',
+                 "<title>Zx81kkqP0aB3</title>", "title:\n  Zx81kkqP0aB3", "password:\n\nNext paragraph here", "password:\n  user: someone9X",
+                 "see https://example.com:8080/a and http://u@host/", 'auth = "two words 9X here"'):
+        assert literals(text) == [], text
+    assert scan("<" * 50_000 + "password")[1] == [] == scan("(" * 50_000 + "password")[1]
+    assert literals("password: " + "a1B" * 20_000) == ["a1B" * 20_000]

@@ -6,12 +6,13 @@ finds all pieces in a text; around each hit Myers' bit-parallel recurrence compu
 the least edit distance of the item to any substring.
 
 Texts and items are compared in lower case with runs of white space as one space.
-Items are read in blocks of ``BLOCK_ITEMS``; each block passes over all texts.
+Items are read in blocks of about ``BLOCK_ITEMS`` and ``BLOCK_BYTES``; each block passes over all
+texts, and is collected, used and destroyed before the next one.
 
 Results: a row per (text row, item) within budget, so clean rows do not appear.  Null
 and empty texts or items match nothing; item rows repeated with the same id count
-once, equal items with different ids are all reported.  Texts of any length are
-searched whole.
+once, equal items with different ids are all reported.  Items without id are searched like others
+and reported as one, with a null item_id.  Texts of any length are searched whole.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripsmith.llm.common import materialise
+
 ERROR_RATE = 0.08
-BLOCK_ITEMS = 10_000
+BLOCK_ITEMS, BLOCK_BYTES = 10_000, 16 << 20
 
 
 def normal(text: str | None) -> str:
@@ -70,7 +73,7 @@ class Matcher:
     """Automaton and items of one block."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.items = [(i, n, int(rate * len(n))) for i, n in sorted({(i, normal(t)) for i, t in items}) if n]
+        self.items = [(i, n, int(rate * len(n))) for i, n in sorted({(i, normal(t)) for i, t in items}, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) if n]
         where: dict[str, list[tuple[int, int]]] = {}
         for k, (_, item, budget) in enumerate(self.items):
             for at, piece in pieces(item, budget):
@@ -109,7 +112,7 @@ class Matcher:
                         high = start + len(item) + budget
             if found[0] <= budget:
                 best[item_id] = min(found, best.get(item_id, found))
-        return [(i, *best[i]) for i in sorted(best)]
+        return [(i, *best[i]) for i in sorted(best, key=lambda i: (i is not None, i))]
 
 
 @lru_cache(maxsize=2)
@@ -122,14 +125,15 @@ def _matcher(block: Broadcast) -> Matcher:
     return _built(*block.value)
 
 
-def item_blocks(items: DataFrame, rate: float = ERROR_RATE) -> list[Broadcast]:
-    """Broadcasts of at most BLOCK_ITEMS items each."""
+def item_blocks(items: DataFrame, rate: float = ERROR_RATE) -> Iterator[Broadcast]:
+    """Broadcasts of about BLOCK_ITEMS items and BLOCK_BYTES of text each, collected one at a time."""
     spark = items.sparkSession
-    own = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and length(text) > 0")
-    blocks = -(-own.count() // BLOCK_ITEMS) or 1
+    own = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("length(text) > 0")
+    n, held = own.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    blocks = max(-(-n // BLOCK_ITEMS), -(-(held or 0) // BLOCK_BYTES), 1)
     own = own.withColumn("_b", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    return [spark.sparkContext.broadcast((tuple((r.item_id, r.text) for r in own.where(F.col("_b") == b).collect()), rate))
-            for b in range(blocks)]
+    for b in range(blocks):
+        yield spark.sparkContext.broadcast((tuple((r.item_id, r.text) for r in own.where(F.col("_b") == b).collect()), rate))
 
 
 def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
@@ -141,10 +145,22 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> Data
             for part in parts:
                 yield pd.Series([[{"item_id": i, "distance": d, "end_at": e} for i, d, e in match(t)] for t in part])
 
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(run(F.col("text"))).alias("_m"))
-
-    found = reduce(DataFrame.unionAll, map(block_matches, item_blocks(items, rate)))
-    return found.select("doc_id", "_m.item_id", "_m.distance", "_m.end_at")
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(run(F.col("text"))).alias("_m"))
+        return found.select("doc_id", "_m.item_id", "_m.distance", "_m.end_at")
+
+    blocks = item_blocks(items, rate)
+    block, after = next(blocks), next(blocks, None)
+    if after is None:
+        return block_matches(block)
+    out = []
+    while block is not None:  # what a block finds is written, so that it can go
+        out.append(materialise(block_matches(block), "matches"))
+        block.destroy()
+        block, after = after, next(blocks, None)
+    found = reduce(DataFrame.unionAll, out)
+    # items without id may come from several blocks
+    best = found.where("item_id is null").groupBy("doc_id").agg(F.min(F.struct("distance", "end_at")).alias("_m"))
+    return found.where("item_id is not null").unionAll(best.select("doc_id", F.lit(None).cast("long"), "_m.distance", "_m.end_at"))
 
 
 def contaminated(text: Column, block: Broadcast) -> Column:
