@@ -61,6 +61,27 @@ def test_recall_of_one_large_shard():
     assert hit / (5 * len(got)) >= 0.9
 
 
+def test_full_clustered_shards_score_a_tenth():
+    """Production parameters on two full shards of clustered vectors: recall over both, and the share that is scored."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((400, 64))
+    x = centres[rng.integers(0, 400, 2 * A.SHARD_ROWS)] + 0.5 * rng.standard_normal((2 * A.SHARD_ROWS, 64))
+    ids, asked = np.arange(len(x)), np.arange(0, len(x), 300)
+    near, scored = {}, 0
+    for part in (ids % 2 == 0, ids % 2 == 1):
+        f = A.Forest(ids[part], x[part], 5)
+        for q, i, s in f.search(asked, x[asked]):
+            near.setdefault(q, []).append((-s, i))
+        scored += f.scored
+    unit = x / np.sqrt((x ** 2).sum(axis=1))[:, None]
+    hit = 0
+    for q in asked.tolist():
+        score = unit @ unit[q]
+        score[q] = -2
+        hit += len({i for _, i in sorted(near[q])[:5]} & set(np.argsort(-score)[:5].tolist()))
+    assert hit >= 0.9 * 5 * len(asked) and scored <= 0.1 * len(x) * len(asked)
+
+
 def test_edges(spark):
     rng = random.Random(1)
     vec = lambda: [rng.uniform(-1, 1) for _ in range(4)]

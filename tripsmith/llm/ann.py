@@ -3,9 +3,14 @@
 Vectors are dealt into shards.  In a shard each tree is a sorted array of 64-bit hash
 strings (signs of random projections).  A query descends each tree to its longest
 matching prefix; then all trees ascend together, one bit at a time, until the entries
-that share the current prefix, counted over all trees, number ``CANDIDATES`` or more.  These are
+that share the current prefix, counted over all trees, are enough.  These are
 ranked by exact cosine in double precision, and the shards' best are merged.
 
+How many are enough is measured in each shard: ``PROBES`` of its own vectors, evenly spaced, are
+searched with ``CANDIDATES / 2^k`` entries and against all vectors, and the smallest number that
+finds ``TARGET`` of their neighbours is taken, at most ``CANDIDATES``.  Clustered shards thus score a few
+percent of their vectors; vectors without structure need most of them.
+
 Equal vectors are one entry that keeps its ``k + 1`` smallest ids, so a vector held
 by many rows crowds nothing out and its ties are exact.
 
@@ -32,7 +37,8 @@ from tripsmith.llm.common import materialise
 
 NEIGHBOURS = 5
 TREES, BITS = 24, 64
-CANDIDATES = 16_000
+CANDIDATES, HALVINGS = 16_000, 6
+PROBES, TARGET = 64, 0.97
 SHARD_ROWS, QUERY_BLOCK = 16_384, 2_048
 SEED = 20_240_101
 
@@ -56,6 +62,25 @@ class Forest:
         keys = self.keys(self.vectors)
         self.order = [np.argsort(keys[t], kind="stable") for t in range(TREES)]
         self.keys_sorted = [keys[t][self.order[t]] for t in range(TREES)]
+        #: Entries that a search asks for, and vectors that searches have scored.
+        self.enough, self.scored = CANDIDATES, 0
+        self._measure(keys)
+
+    def _measure(self, keys: np.ndarray) -> None:
+        """Set ``enough`` by the recall of a few of the shard's own vectors."""
+        n = len(self.vectors)
+        if n <= self.k + 1:
+            return
+        probes = np.unique(np.linspace(0, n - 1, PROBES).astype(int))
+        unit = self.vectors / self.norms[:, None]
+        near = unit[probes] @ unit.T
+        near[np.arange(len(probes)), probes] = -np.inf
+        best = np.argpartition(-near, self.k - 1, axis=1)[:, :self.k]
+        for enough in (CANDIDATES >> h for h in range(HALVINGS, 0, -1)):
+            found = self.candidates(keys[:, probes], enough)
+            if sum(np.isin(b, f).sum() for b, f in zip(best, found)) >= TARGET * best.size:
+                self.enough = enough
+                return
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
         unit = vectors / np.sqrt((vectors ** 2).sum(axis=1))[:, None]
@@ -71,20 +96,24 @@ class Forest:
         hi = np.stack([np.searchsorted(s, k | low, "right") for s, k in zip(self.keys_sorted, keys)])
         return lo, hi
 
-    def search(self, ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple[int, int, float]]:
-        """(query id, vec_id, cosine) of the best found."""
-        keys = self.keys(queries)
-        # the largest prefix length whose ranges hold enough entries, for all trees together
-        least, most = np.zeros(len(ids), np.int64), np.full(len(ids), BITS, np.int64)
+    def candidates(self, keys: np.ndarray, enough: int) -> Iterator[np.ndarray]:
+        """Per query, the entries under the longest prefix that holds enough of them, for all trees together."""
+        n = keys.shape[1]
+        least, most = np.zeros(n, np.int64), np.full(n, BITS, np.int64)
         while (least < most).any():
             middle = (least + most + 1) // 2
             lo, hi = self.ranges(keys, middle)
-            enough = (hi - lo).sum(axis=0) >= CANDIDATES
-            least, most = np.where(enough, middle, least), np.where(enough, most, middle - 1)
+            held = (hi - lo).sum(axis=0) >= enough
+            least, most = np.where(held, middle, least), np.where(held, most, middle - 1)
         lo, hi = self.ranges(keys, least)
+        for q in range(n):
+            yield np.unique(np.concatenate([self.order[t][lo[t, q]:hi[t, q]] for t in range(TREES)]))
+
+    def search(self, ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(query id, vec_id, cosine) of the best found."""
         norms = np.sqrt((queries ** 2).sum(axis=1))
-        for q, own in enumerate(ids.tolist()):
-            found = np.unique(np.concatenate([self.order[t][lo[t, q]:hi[t, q]] for t in range(TREES)]))
+        for q, (own, found) in enumerate(zip(ids.tolist(), self.candidates(self.keys(queries), self.enough))):
+            self.scored += len(found)
             near = (self.vectors[found] * queries[q]).sum(axis=1) / (self.norms[found] * norms[q])
             cut = np.sort(near)[max(0, len(near) - self.k - 1)]  # one entry may be only the query itself
             best = sorted((-s, i) for c, s in zip(found[near >= cut].tolist(), near[near >= cut].tolist())
