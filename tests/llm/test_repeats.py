@@ -15,7 +15,7 @@ def test_suffix_arrays_and_prefixes_by_sorting(monkeypatch):
         t = np.array([rng.randint(0, rng.choice([1, 2, 4, 250])) for _ in range(rng.randint(1, 40))], np.uint8)
         if trial % 3 == 0:
             t = np.tile(t[:rng.randint(1, 6)], rng.randint(1, 9))
-        monkeypatch.setattr(S, "SMALL_ALPHABET", rng.choice([0, 4096]))
+        monkeypatch.setattr(S, "VECTOR_ROWS", rng.choice([1, 100, 10**9]))
         sa, raw = S.suffix_array(t), t.tobytes()
         assert sa.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
         prefix = S.common_prefixes(t, sa)

@@ -2,18 +2,21 @@
 
 Suffixes are classified smaller-type (S) or larger-type (L) than their successor.  The
 leftmost S of each run (LMS) begin substrings that are sorted by one induction, named,
-and, while names repeat, sorted as suffixes of the shorter string of names: by the same
-method if its alphabet is small, else by doubling ranks.  A second induction from the
-sorted LMS suffixes then gives the array.  An induction scans buckets by first symbol;
-all suffixes of a bucket that are known at a time are handled in one vector step, so a
-bucket takes one step and one more for each repeat of its symbol in a row.
+and, while names repeat, sorted as suffixes of the shorter string of names by the same
+method.  A second induction from the sorted LMS suffixes then gives the array.
+
+An induction is linear.  Over few symbols it goes bucket by bucket: all suffixes of a bucket
+that are known at a time are handled in one vector step, so a bucket takes one step and one
+more for each repeat of its symbol in a row.  Strings of names have many symbols with few
+suffixes each; there it goes suffix by suffix.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-SMALL_ALPHABET = 4096
+#: Suffixes a symbol must have on average for vector steps to pay.
+VECTOR_ROWS = 100
 
 
 def _smaller(t: np.ndarray) -> np.ndarray:
@@ -51,6 +54,8 @@ def _put(sa, at, t, found, sign):
 def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, b: _Buckets) -> np.ndarray:
     """The array of all suffixes from LMS suffixes in order."""
     n = len(t)
+    if n < VECTOR_ROWS * len(b.used):
+        return _induce_singly(t, smaller, lms, b)
     sa = np.full(n, -1, np.int32 if n < 1 << 31 else np.int64)
     held = np.bincount(t[lms], minlength=len(b.size))
     lms = lms[np.argsort(t[lms], kind="stable")]
@@ -93,6 +98,34 @@ def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, b: _Buckets) ->
     return sa
 
 
+def _induce_singly(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, b: _Buckets) -> np.ndarray:
+    """``_induce`` suffix by suffix."""
+    n, symbol, rises = len(t), t.tolist(), smaller.tolist()
+    sa = [-1] * n
+    tail = (b.start + b.size).tolist()
+    for i in lms[::-1].tolist():
+        c = symbol[i]
+        tail[c] -= 1
+        sa[tail[c]] = i
+    head = b.start.tolist()
+    sa[head[symbol[-1]]] = n - 1  # induced by the empty suffix, smallest of all
+    head[symbol[-1]] += 1
+    for k in range(n):
+        i = sa[k] - 1
+        if i >= 0 and not rises[i]:
+            c = symbol[i]
+            sa[head[c]] = i
+            head[c] += 1
+    tail = (b.start + b.size).tolist()
+    for k in range(n - 1, -1, -1):
+        i = sa[k] - 1
+        if i >= 0 and rises[i]:
+            c = symbol[i]
+            tail[c] -= 1
+            sa[tail[c]] = i
+    return np.array(sa, np.int32 if n < 1 << 31 else np.int64)
+
+
 def _names(t: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Ranks (from 1, in order of position) of LMS substrings, which stand sorted in ``order``."""
     n = len(t)
@@ -117,39 +150,6 @@ def _names(t: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:
     return name
 
 
-def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of sorted keys: the first place of each one's group, and whether the group has more members."""
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.concatenate((head, [len(key)])))
-    return np.repeat(head, size), np.repeat(size > 1, size)
-
-
-def _double(t: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling ranks; only suffixes whose rank is shared are sorted again."""
-    n, base = len(t), int(t.max()) + 2
-    key, k = t.astype(np.int64) + 1, 1
-    while k < 4 and base ** (k + 1) < 1 << 62:  # several symbols in the first key
-        key *= base
-        key[:n - k] += t[k:].astype(np.int64) + 1
-        k += 1
-    sa = np.argsort(key)
-    first, shared = _groups(key[sa])
-    rank = np.empty(n, np.int64)
-    rank[sa] = first
-    place = np.flatnonzero(shared)  # of suffixes that are not alone at their rank
-    while len(place):
-        again = sa[place]
-        beyond = again + k
-        key = rank[again] * (n + 1) + np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
-        order = np.argsort(key)
-        sa[place] = again = again[order]
-        first, shared = _groups(key[order])
-        rank[again] = place[first]
-        place = place[shared]
-        k *= 2
-    return sa
-
-
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Order of the suffixes of non-negative integers; a suffix's prefix counts as smaller."""
     n = len(t)
@@ -169,7 +169,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         if most == len(lms):
             lms = order
         else:
-            lms = lms[suffix_array(name) if most <= SMALL_ALPHABET else _double(name)]
+            lms = lms[suffix_array(name)]
     return _induce(t, smaller, lms, b)
 
 
