@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -65,3 +66,12 @@ def test_written_shards_hold_what_was_assigned(spark, make_docs):
     S.write_shards(docs, assigned, path)
     back = {(r.doc_id, r["_shard"], r["_slot"]) for r in spark.read.parquet(path).collect()}
     assert back == {(r.doc_id, r.shard, r.slot) for r in assigned.collect()}
+
+
+def test_rows_without_id_of_a_hot_text_are_spread(make_docs):
+    """A third of the rows share a text and have no id: they fill every shard evenly, with gapless slots."""
+    rows = S.assign_shards(make_docs([(None, "hot text here")] * 900 + [(k, f"other text {k}") for k in range(300)]), 6).collect()
+    size = Counter(r.shard for r in rows)
+    hot = Counter(r.shard for r in rows if r.doc_id is None)
+    assert len(rows) == 1200 and len(size) == len(hot) == 6 and max(hot.values()) < 2 * min(hot.values())
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(n)) for s, n in size.items())

@@ -15,7 +15,8 @@ How it scales
   * Slots come from counts per (shard, bucket): no task numbers a whole shard.
 
 Results: one row per input row: doc_id, size, text_crc32, shard, slot.  Null texts count
-as empty (size ``ROW_BYTES``, checksum 0).  Rows without doc_id are placed like others;
+as empty (size ``ROW_BYTES``, checksum 0).  Rows without doc_id are placed like others, and those of
+a hot text dealt over its pieces by their place;
 equal rows that repeat get different slots.  Fewer groups than shards leave shards empty.
 """
 
@@ -53,11 +54,15 @@ def pack(items: np.ndarray, residual: np.ndarray) -> np.ndarray:
 
 def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # a row without id is dealt by its place, so that many of them do not stay together
+    docs = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("_text"), F.coalesce(
+        F.col(id_col).cast("long"), F.monotonically_increasing_id()).alias("_deal"))
+    text = F.col("_text")
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
+        F.col("_id").alias("doc_id"), "_deal", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("_t"), F.md5(text.cast("binary")).alias("_key"),
-        F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(PIECES)).cast("int").alias("_piece"))
+        F.pmod(F.xxhash64("_deal"), F.lit(PIECES)).cast("int").alias("_piece"))
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,7 +112,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
     out = materialise(
         rows.join(placed, ["_key", "_piece"])
         .select("doc_id", "size", "text_crc32", "shard",
-                F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)).alias("_bucket")), "sharded")
+                F.pmod(F.xxhash64("_deal", "text_crc32"), F.lit(buckets)).alias("_bucket")), "sharded")
     counts = out.groupBy("shard", "_bucket").count()
     before = W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = materialise(counts.select("shard", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_at")),
