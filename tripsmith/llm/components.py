@@ -14,6 +14,9 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the least label among a node's neighbours, then follows labels once
     (pointer jumping), so long chains shorten quickly.  Labels are written to the shared
     folder after each round; only a count returns to the driver.
+
+    Nodes that only link to themselves, and empty links, give no row: a node without another is its
+    own component, which callers add.  Repeated links count once; null ends match nothing.
     """
     pairs = links.select(F.col("a").alias("_a"), F.col("b").alias("_b")).where("_a <> _b")
     edges = materialise(pairs.unionAll(pairs.select(F.col("_b"), F.col("_a"))).distinct(), "edges")
