@@ -30,7 +30,10 @@ def _ready(spark: SparkSession) -> None:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose toxicity score is below the threshold."""
+    """Rows whose toxicity score is below the threshold.
+
+    Null and empty texts have the score of a text without evidence and stay; repeated rows fare alike.
+    """
     _ready(spark)
     scorer = spark.sparkContext.broadcast(toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return docs.where(toxicity.toxic_score(F.col("text"), scorer) < toxicity.THRESHOLD)
@@ -54,7 +57,10 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
+    """Rows that hold no benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows fare alike.  Items without id count as well.
+    """
     _ready(spark)
     for block in decontaminate.item_blocks(table(spark, sf_dir, "benchmark")):
         docs = docs.where(~decontaminate.contaminated(F.col("text"), block))
@@ -62,14 +68,17 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with findings redacted in the text."""
+    """All rows, with findings redacted in the text.  Null texts stay null, empty ones empty; repeated rows are redacted alike."""
     _ready(spark)
     text = secret_scan.redacted(F.col("text"))
     return docs.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids (little-endian unsigned 32-bit integers), n_tokens, decoded."""
+    """doc_id, ids (little-endian unsigned 32-bit integers), n_tokens, decoded, a row per row.
+
+    Null and empty texts have no ids and decode to the empty text; repeated rows give repeated results.
+    """
     _ready(spark)
     coded = docs.select("doc_id", bpe.encoded(spark, F.col("text"), public_tokenizers.path("byte_bpe_50k.json")).alias("_r"))
     return coded.select("doc_id", "_r.ids", "_r.n_tokens", "_r.decoded")
