@@ -93,4 +93,4 @@ def test_queries_are_registered():
     import __spark_entry__ as E
     from tripsmith.llm.queries import QUERIES
     assert {*QUERIES, "pipeline"} <= set(E.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
