@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -138,3 +139,36 @@ def test_edges(spark):
     gone = B.fit_boosted(df.withColumn("y", F.when(F.col("id") != "k3", F.col("y"))), FEATURES, "y", params=B.Params(trees=1, row_share=1.0, patience=None))
     assert gone.trees[0].cover[0] == 59
     assert df.where("false").select(gone.score()).count() == 0
+
+
+def test_more_trees_plan_no_more_queries(spark):
+    x, y, w = rows(300)
+    df = frame(spark, x, y, w)
+    planned = spark._jsparkSession.sharedState().statusStore().executionsCount
+    counts = []
+    for trees in (1, 4):
+        before = planned()
+        B.fit_boosted(df, FEATURES, "y", params=B.Params(trees=trees, depth=3, min_weight=3.0, patience=None))
+        counts.append(planned() - before)
+    assert counts[0] == counts[1]  # a level is a job over blocks of rows, not a query
+
+
+def test_reducers_add_up_what_the_driver_adds_up(spark, monkeypatch):
+    x, y, w = rows(900)
+    assert [B._tasks(n, 8) for n in (0, 60_000, 250_000, 4_000_000, 24_000_000)] == [1, 1, 3, 8, 24]
+    p = B.Params(trees=4, depth=3, min_weight=3.0, patience=None)
+    monkeypatch.setattr(B, "TASK_ROWS", 200)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 50)
+    fits = [B.fit_boosted(frame(spark, x, y, w), FEATURES, "y", weight="w", params=p)]
+    monkeypatch.setattr(B, "_FEW_TASKS", 1)
+    fits.append(B.fit_boosted(frame(spark, x, y, w), FEATURES, "y", weight="w", params=p))
+    assert np.allclose(fits[0].predict(x), fits[1].predict(x), atol=1e-9)
+
+
+def test_shapley_values_of_long_paths_add_up():
+    shares = [0.1 * (k + 1) for k in range(9)]
+    start = time.perf_counter()
+    table = B._shapley(3.0, shares)
+    assert time.perf_counter() - start < 1.0  # no loop over subsets
+    met = np.arange(2 ** 9)[:, None] >> np.arange(9) & 1
+    assert np.allclose(table.sum(axis=1), 3.0 * (met.all(axis=1) - np.prod(shares)))

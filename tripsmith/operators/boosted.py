@@ -1,11 +1,13 @@
 """Boosted regression trees and their exact attribution (J4, J5, J7, K1(c)).
 
 Features are binned once by the quantiles of a mergeable sketch; a row is then its bins (a byte a
-feature), its target, weight and current prediction.  Every level of every tree is one job over
-these rows: tasks walk their rows down the tree so far and add up gradients by (node, feature,
-bin), Spark sums the tasks' histograms in one ``groupBy``, and the driver picks each node's split
-from a table of at most ``nodes x features x 256`` rows, whatever the number of rows.  Rows do not
-move.  Predictions are written every ``WRITE_EVERY`` trees, so a pass applies only the trees since.
+feature), its target, weight and current prediction.  Rows are kept as blocks of arrays in a
+persisted RDD, since a fit is many short jobs.  Every level of every tree is one job over these
+blocks: tasks walk their rows down the tree so far and add up gradients by (node, feature, bin), and
+the driver picks each node's split from a table of at most ``nodes x features x 256`` rows, whatever
+the number of rows (many tasks' histograms are summed in a tree of reducers first).  Rows do not
+move.  The first level's job also adds the tree before to the predictions, which stay persisted; they
+are checkpointed every ``WRITE_EVERY`` trees, so a lost block is at most that many trees away.
 
 Squared error, second-order gains with an L2 term: a leaf's value is ``rate * G / (H + l2)``, G the
 summed weighted residuals and H the summed weights of its rows.  A split sends ``value <= cut``
@@ -17,24 +19,29 @@ stops when the validation RMSE has not improved for ``patience`` trees, and keep
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.numeric import rnd
+from ..session import checkpoint_dir
 from ..sources.sinks import remove_path, scratch_path
 
 #: Bins of a feature; the last code is a missing value.
 BINS, MISSING = 255, 255
-#: Trees whose predictions a pass recomputes before they are written.
+#: Trees after which the rows and their predictions are checkpointed.
 WRITE_EVERY = 10
-#: Rows of a task of the binned table.
-TASK_ROWS = 250_000
+#: Rows of a task: least (while cores are idle) and most; rows of a block.
+TASK_ROWS, MOST_TASK_ROWS, BLOCK_ROWS = 100_000, 1_000_000, 65_536
+#: Tasks whose histograms the driver adds up by itself.
+_FEW_TASKS = 32
 #: Rank error of the sketch that places the bins: one in so many rows.
 _SKETCH = 50_000
 
@@ -82,10 +89,16 @@ class Tree:
         return node
 
     def nodes_of_bins(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        def left(rows, feature, at):
-            code = bins[rows, feature]
-            return np.where(code == MISSING, self.missing_left[at], code <= self.bin[at])
-        return self.descend(left, len(bins), levels)
+        """``bins``: features x rows.  A step looks the next node up by (node, bin); a leaf's next is itself."""
+        n, code = len(self.feature), np.arange(256)
+        left = np.where(code == MISSING, self.missing_left[:, None], code <= self.bin[:, None])
+        here = np.arange(n)[:, None]
+        after = np.where(self.feature[:, None] >= 0, 2 * here + 2 - left, here).ravel()
+        row, start = np.arange(bins.shape[1]), np.maximum(self.feature, 0) * bins.shape[1]
+        node, flat = np.zeros(len(row), np.int64), bins.ravel()
+        for _ in range(levels):
+            node = after.take((node << 8) + flat.take(start.take(node) + row))
+        return node
 
     def nodes_of_values(self, values: np.ndarray, levels: int) -> np.ndarray:
         def left(rows, feature, at):
@@ -239,23 +252,23 @@ def _reached(tree: Tree) -> Iterator[int]:
 
 
 def _shapley(value: float, shares: Sequence[float]) -> np.ndarray:
-    """[pattern of features met, feature]: Shapley values of a leaf's game, by its definition over subsets."""
+    """[pattern of features met, feature]: Shapley values of a leaf's game.
+
+    By the definition, a subset of k other features weighs ``k! (n - k - 1)! / n!``.  The worth of all
+    subsets of k is a coefficient of the product of ``share + met * z`` over the others.
+    """
     n = len(shares)
-    fact = [1.0]
-    for k in range(1, n + 1):
-        fact.append(fact[-1] * k)
+    met = (np.arange(2 ** n)[:, None] >> np.arange(n) & 1).astype(float)
+    weight = [math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)]
     out = np.zeros((2 ** n, n))
-    for met in range(2 ** n):
-        for i in range(n):
-            rest = [j for j in range(n) if j != i]
-            total = 0.0
-            for subset in range(2 ** (n - 1)):
-                known = [j for b, j in enumerate(rest) if subset >> b & 1]
-                worth = 1.0
-                for j in rest:
-                    worth *= (met >> j & 1) if j in known else shares[j]
-                total += fact[len(known)] * fact[n - len(known) - 1] / fact[n] * worth
-            out[met, i] = value * ((met >> i & 1) - shares[i]) * total
+    for i in range(n):
+        worth = np.zeros((2 ** n, n))
+        worth[:, 0] = 1.0
+        for j in range(n):
+            if j != i:
+                worth[:, 1:] = worth[:, 1:] * shares[j] + worth[:, :-1] * met[:, j:j + 1]
+                worth[:, 0] *= shares[j]
+        out[:, i] = value * (met[:, i] - shares[i]) * (worth @ weight)
     return out
 
 
@@ -307,11 +320,45 @@ def _binned(df: DataFrame, features: Sequence[str], edges: list[list[float]], ta
     return rows.mapInArrow(code, "bins binary, y double, w double, h long, val boolean")
 
 
-def _read(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
-    bins = batch.column("bins")
-    offs = np.frombuffer(bins.buffers()[1], np.int32)[bins.offset:bins.offset + len(bins) + 1]
-    codes = np.frombuffer(bins.buffers()[2], np.uint8)[offs[0]:offs[-1]].reshape(len(bins), width)
-    return codes, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "h", "val", "p"))
+@dataclass
+class Block:
+    """Some rows: bins (features x rows), target, weight, key hash, validation flag, prediction."""
+    bins: np.ndarray
+    y: np.ndarray
+    w: np.ndarray
+    h: np.ndarray
+    val: np.ndarray
+    p: np.ndarray
+
+
+def _blocks(rows: DataFrame, width: int, base: float) -> RDD:
+    """The binned rows as blocks, predicted by ``base``; partitions stay."""
+    names = ("bins", "y", "w", "h", "val")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def block():
+            parts = [pa.concat_arrays([b.column(c) for b in held]) for c in names]
+            offs = np.frombuffer(parts[0].buffers()[1], np.int32)[parts[0].offset:parts[0].offset + n + 1]
+            codes = np.frombuffer(parts[0].buffers()[2], np.uint8)[offs[0]:offs[-1]].reshape(n, width)
+            rest = [np.ascontiguousarray(x.to_numpy(zero_copy_only=False)) for x in parts[1:]]
+            return pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (codes.T, *rest)], names)
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= BLOCK_ROWS:
+                yield block()
+                held, n = [], 0
+        if n:
+            yield block()
+
+    def unpack(r) -> Block:
+        y, w, h, val = (np.frombuffer(r[c], t) for c, t in (("y", float), ("w", float), ("h", np.int64), ("val", bool)))
+        return Block(np.frombuffer(r["bins"], np.uint8).reshape(width, len(y)), y, w, h, val, np.full(len(y), base))
+
+    packed = rows.select(*names).mapInArrow(pack, ", ".join(f"{c} binary" for c in names))
+    return packed.rdd.map(unpack)
 
 
 def _sampled(h: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
@@ -328,48 +375,47 @@ def _drawn(width: int, tree: int, share: float, seed: int) -> list[int]:
     return sorted(order[:keep].tolist())
 
 
-def _level(rows: DataFrame, pending: list[Tree], tree: Tree, level: int, number: int, columns: list[int], width: int, p: Params) -> dict:
+def _level(rows: RDD, tree: Tree, level: int, number: int, columns: list[int], width: int, p: Params) -> dict:
     """{node: [feature, bin, (G, H)] histogram}, and under -1 (summed squared error, weight) of the validation rows at level 0."""
     first, count = 2 ** level - 1, 2 ** level
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, h = np.zeros((len(columns), count * 256)), np.zeros((len(columns), count * 256))
-        error = weight = 0.0
-        for batch in batches:
-            codes, y, w, key, val, pred = _read(batch, width)
-            r = y - pred
-            for t in pending:
-                r = r - t.value[t.nodes_of_bins(codes, p.depth)]
-            if level == 0 and val.any():
-                error, weight = error + float((w[val] * r[val] ** 2).sum()), weight + float(w[val].sum())
-            take = _sampled(key, number, p.row_share, p.seed) & ~val
-            codes, r, w = codes[take], r[take], w[take]
-            node = tree.nodes_of_bins(codes, level) - first
-            live = node >= 0
-            codes, r, w, node = codes[live], r[live], w[live], node[live]
+    def add(blocks: Iterator[Block]) -> Iterator[tuple]:
+        sums = np.zeros((2, len(columns), count * 256))
+        error = np.zeros(2)
+        for b in blocks:
+            r, train = b.y - b.p, ~b.val
+            if level == 0 and b.val.any():
+                error += float((b.w[b.val] * r[b.val] ** 2).sum()), float(b.w[b.val].sum())
+            take = _sampled(b.h, number, p.row_share, p.seed) & train
+            node = tree.nodes_of_bins(b.bins, level) - first
+            take = np.flatnonzero(take & (node >= 0))
+            node, w = node[take] << 8, b.w[take]
+            wr = w * r[take]
             for k, j in enumerate(columns):
-                at = node * 256 + codes[:, j]
-                g[k] += np.bincount(at, w * r, count * 256)
-                h[k] += np.bincount(at, w, count * 256)
-        k, at = np.nonzero(h)
-        out = [np.append(first + at // 256, -1), np.append(np.array(columns)[k], 0), np.append(at % 256, 0),
-               np.append(g[k, at], error), np.append(h[k, at], weight)]
-        yield pa.record_batch([pa.array(a.astype(np.int32)) for a in out[:3]] + [pa.array(a) for a in out[3:]], ["node", "feature", "bin", "g", "h"])
-
-    parts = rows.mapInArrow(add, "node int, feature int, bin int, g double, h double")
-    if rows.rdd.getNumPartitions() > 1:  # one task's histogram is whole already
-        parts = parts.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    sums = parts.toArrow()
-    node, feature, code, g, h = (sums[c].to_numpy() for c in ("node", "feature", "bin", "g", "h"))
-    out = {-1: (0.0, 0.0)}
-    for n in np.unique(node).tolist():
-        mine = node == n
-        if n < 0:
-            out[n] = (float(g[mine].sum()), float(h[mine].sum()))
-            continue
+                at = node + b.bins[j].take(take)
+                sums[0, k] += np.bincount(at, wr, count * 256)
+                sums[1, k] += np.bincount(at, w, count * 256)
+        live = np.flatnonzero(sums[1].any(axis=0))  # cells that hold rows
+        yield live, sums[:, :, live], error
+
+    def merge(a: tuple, b: tuple) -> tuple:
+        live = np.union1d(a[0], b[0])
+        sums = np.zeros((2, len(columns), len(live)))
+        for cells, part, _ in (a, b):
+            sums[:, :, np.searchsorted(live, cells)] += part
+        return live, sums, a[2] + b[2]
+
+    parts, tasks = rows.mapPartitions(add), rows.getNumPartitions()
+    found = [parts.treeReduce(merge)] if tasks > _FEW_TASKS else parts.collect()  # a bounded table a task
+    sums, error = np.zeros((2, len(columns), count * 256)), np.zeros(2)
+    for live, part, e in found:
+        sums[:, :, live] += part
+        error += e
+    out = {-1: (float(error[0]), float(error[1]))}
+    for k in np.flatnonzero(sums[1].reshape(len(columns), count, 256).any(axis=(0, 2))).tolist():
         table = np.zeros((width, 256, 2))
-        table[feature[mine], code[mine]] = np.stack([g[mine], h[mine]], axis=1)
-        out[n] = table
+        table[columns] = sums[:, :, k * 256:(k + 1) * 256].transpose(1, 2, 0)
+        out[first + k] = table
     return out
 
 
@@ -395,12 +441,12 @@ def best_split(table: np.ndarray, columns: Sequence[int], edges: list[list[float
     return best
 
 
-def _grow(rows: DataFrame, pending: list[Tree], number: int, edges: list[list[float]], p: Params) -> tuple[Tree, tuple[float, float]]:
+def _grow(rows: RDD, number: int, edges: list[list[float]], p: Params) -> tuple[Tree, tuple[float, float]]:
     """A tree, and the validation error of the trees before it."""
     width, tree, error = len(edges), Tree.blank(p.depth), (0.0, 0.0)
     columns, live = _drawn(width, number, p.column_share, p.seed), {0}
     for level in range(p.depth):
-        found = _level(rows, pending, tree, level, number, columns, width, p)
+        found = _level(rows, tree, level, number, columns, width, p)
         if level == 0:
             error = found[-1]
         after = set()
@@ -443,22 +489,30 @@ def fit_boosted(train: DataFrame, features: Sequence[str] = tuple(C.FEATURES), t
                                  F.sum(F.when(~F.col("val"), F.col("w")))).first()
     if not weights:
         raise ValueError("no row to fit on")
-    base, tasks = total / weights, max(1, -(-n // TASK_ROWS))
-    rows = held.repartition(tasks, "h").withColumn("p", F.lit(float(base)))
-    model = BoostedModel(features, float(base), [], params)
-    best, pending, kept = (np.inf, 0), [], [path]
-    path = scratch_path(spark, "boosted")
-    rows.write.parquet(path)
-    kept.append(path)
-    rows = spark.read.schema(rows.schema).parquet(path).persist()
+    base, tasks = total / weights, _tasks(n, spark.sparkContext.defaultParallelism)
+    rows = _blocks(held.repartition(tasks, "h"), len(features), float(base)).persist(StorageLevel.MEMORY_AND_DISK)
+    model, kept = BoostedModel(features, float(base), [], params), None
+    best = (np.inf, 0)
     for number in range(params.trees + 1):
         last = number == params.trees
         if last and validation is None:
             break
+        before = rows
+        if number:
+            rows = _moved(rows, model.trees[-1], params.depth)
+        if number and number % WRITE_EVERY == 0:
+            checkpoint_dir(spark)
+            rows.checkpoint()
         if last:  # only the error of the last tree is still wanted
-            tree, error = None, _level(rows, pending, Tree.blank(0), 0, number, [0], len(features), params)[-1]
+            tree, error = None, _level(rows, Tree.blank(0), 0, number, [0], len(features), params)[-1]
         else:
-            tree, error = _grow(rows, pending, number, edges, params)
+            tree, error = _grow(rows, number, edges, params)
+        if before is not rows:  # the jobs above have made the new rows
+            before.unpersist()
+        if rows.isCheckpointed():
+            if kept:
+                remove_path(spark, kept)
+            kept = rows.getCheckpointFile()
         if error[1]:
             rmse = (error[0] / error[1]) ** 0.5
             model.history.append(rmse)
@@ -469,34 +523,23 @@ def fit_boosted(train: DataFrame, features: Sequence[str] = tuple(C.FEATURES), t
         if last:
             break
         model.trees.append(tree)
-        pending.append(tree)
-        if len(pending) == WRITE_EVERY:
-            rows, path = _written(rows, pending, len(features), params)
-            kept.append(path)
-            pending = []
     rows.unpersist()
-    for path in kept:
-        remove_path(spark, path)
+    for done in (path, kept):
+        if done:
+            remove_path(spark, done)
     if model.history:
         model.trees = model.trees[:best[1]]
     return model
 
 
-def _written(rows: DataFrame, pending: list[Tree], width: int, p: Params) -> tuple[DataFrame, str]:
-    """The rows with the predictions of all trees so far, written to the shared folder."""
-    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes, *_, pred = _read(batch, width)
-            pred = pred.copy()
-            for t in pending:
-                pred += t.value[t.nodes_of_bins(codes, p.depth)]
-            yield batch.set_column(batch.schema.get_field_index("p"), "p", pa.array(pred))
-
-    path = scratch_path(rows.sparkSession, "boosted")
-    rows.mapInArrow(move, rows.schema).write.parquet(path)
-    after = rows.sparkSession.read.schema(rows.schema).parquet(path).persist()
-    rows.unpersist()
-    return after, path
+def _tasks(n: int, cores: int) -> int:
+    """Tasks for ``n`` rows: one a core if each has enough to do, more if they would hold too many rows."""
+    return max(1, min(-(-n // TASK_ROWS), cores), -(-n // MOST_TASK_ROWS))
+
+
+def _moved(rows: RDD, tree: Tree, depth: int) -> RDD:
+    """The rows with ``tree`` added to their predictions."""
+    return rows.map(lambda b: replace(b, p=b.p + tree.value[tree.nodes_of_bins(b.bins, depth)])).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # -- K1(c) / K2 -------------------------------------------------------------------------------
