@@ -48,3 +48,13 @@ def test_avg_same_hour_rows_frame_and_fallback(spark):
     days = {r.id: r.avg_duration_same_hour_last7days
             for r in PIT.avg_same_hour(frame(spark, rows), frame="days", fallback="none").collect()}
     assert days["c"] == 150.0 and days["a"] is None
+
+
+def test_no_window_has_two_moving_ends(spark, capsys):
+    rows = [(str(i), dt.datetime(2024, 1, 1, 0, 0, i % 60), 100 if i % 7 else None) for i in range(200)] + [("n", None, 5), ("m", None, None)]
+    halo = PIT.rolling_count(frame(spark, rows), method="halo")
+    halo.explain()
+    plan = capsys.readouterr().out
+    assert "RangeFrame" in plan and f"-{PIT.HOUR_US}" not in plan  # such a window is summed anew for every row
+    timed = {r.id: r.trip_count_last_1h for r in PIT.rolling_count(frame(spark, rows)).collect() if r.id not in ("n", "m")}
+    assert {r.id: r.trip_count_last_1h for r in halo.collect()} == {**timed, "n": 2, "m": 2}
