@@ -99,3 +99,17 @@ def test_narrowing_bounds_the_counted_values(spark, monkeypatch):
     assert wide_hi - wide_lo > 3000 and hi - lo <= 330 and lo <= 0.6 * 49_999 <= hi
     order = sorted((int(v), f"k{int(v):05d}") for v in x)
     assert rows_at(df, "v", "k", [0.3, 0.75, 1.0]) == [order[15_000], order[37_500], None]
+
+
+def test_rows_at_shared_values_read_the_table_three_times(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(1000).selectExpr("id div 200 as v", "cast(id as string) as k").repartition(4)
+    want = sorted((r.v, r.k) for r in df.collect())
+    counted = df.mapInArrow(read, df.schema)
+    assert rows_at(counted, "v", "k", [0.25, 0.5, 0.7]) == [want[250], want[500], want[700]]
+    assert seen.value == 3000  # sketches, counts, rows of all shared values
