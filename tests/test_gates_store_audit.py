@@ -140,3 +140,13 @@ def test_point_in_time_recount_finds_planted_errors_and_hot_instants(spark, monk
     assert (v.rows_checked, v.violations) == (900, 0)
     bad = a.withColumn("trip_count_last_1h", F.col("trip_count_last_1h") + F.when(F.col("id").cast("long") % 100 == 1, 1).otherwise(0))
     assert P.pit_violations(bad).first().violations == 9
+
+
+def test_split_is_found_before_features_are_joined(spark, monkeypatch):
+    from tripsmith.operators import store as ST
+    from tripsmith.operators.splits import temporal_split
+    from tripsmith.plans.catalog import processed_full
+    given = []
+    monkeypatch.setattr(ST, "temporal_split", lambda df, *a: given.append(df.columns) or temporal_split(df, *a))
+    df, available, _ = ST.get_historical_features(processed_full(spark, "/root/testdata/sf0.001"))
+    assert "trip_count_last_1h" not in given[0] and "trip_count_last_1h" in df.columns and "split" not in available
