@@ -55,3 +55,18 @@ def test_etl_end_to_end(spark):
     res2 = run_etl(trips(spark, "/root/testdata/sf0.001"), out, "events", min_rows=100,
                    verify_min_rows=100, run_id="t2")
     assert res2.manifest.first().processed_hash == m.processed_hash
+
+
+def test_an_arrival_is_one_batch_however_many_files(spark):
+    import os
+
+    from tripsmith.operators import clean as CL
+    from tripsmith.sources.tables import table, trips
+    from tripsmith.streaming import trips as STR
+    sf = "/root/testdata/sf0.001"
+    base = STR.scratch_path(spark, "arrivals")
+    path = STR.replay(table(spark, sf, "events").repartition(3), base, lambda s: STR.stream_features(STR.trip_stream(s())))
+    base = base.removeprefix("file:")
+    feed = [f for d in os.listdir(f"{base}/feed") for f in os.listdir(f"{base}/feed/{d}") if f.endswith(".parquet")]
+    assert len(feed) > len(STR.FEED_CUTS) + 1 == len([f for f in os.listdir(f"{base}/checkpoint/commits") if f.isdigit()])
+    assert spark.read.parquet(path).count() == CL.processed(trips(spark, sf), "full").count()

@@ -105,13 +105,13 @@ def exact_demand(processed: DataFrame, keep: Sequence[str] = (C.KEY_COL,), ts: s
     return counted.select(*[F.col(p).alias(c) for p, c in plain.items()], F.timestamp_micros("at").alias(ts), F.col("n").alias(out))
 
 
-def run_exact(demand: DataFrame, base: str) -> str:
+def run_exact(demand: DataFrame, base: str, more: bool = False) -> str:
     """Run an exact demand query over the data available now; its sink's path.  The state store is set
     for this query only; called again with the same ``base`` it goes on where it was."""
     conf, name = demand.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(name)
     conf.set(name, STATE_STORE)
     try:
-        return run_to_table(demand, base)
+        return run_to_table(demand, base, more=more)
     finally:
         conf.set(name, before)

@@ -48,8 +48,23 @@ def write_feed(events: DataFrame, path: str, spoil: str | None = None, parts: Se
         events.where(part == k).write.parquet(os.path.join(path, f"arrival={k:03d}"))
 
 
+def replay(events: DataFrame, base: str, query: Callable[[Callable[[], DataFrame]], DataFrame], run: Callable[..., str] | None = None,
+           spoil: str | None = None) -> str:
+    """Write the feed under ``base`` arrival by arrival and run ``query`` on each from one checkpoint, by
+    ``run`` (default: ``run_to_table``); the sink's path.  ``query`` gets a function that opens the stream.
+
+    An arrival is one micro-batch however many files it has, so the number of batches does not grow
+    with the events.  Each run goes on where the one before stopped.
+    """
+    run, feed, last = run or run_to_table, os.path.join(base, "feed"), len(FEED_CUTS)
+    for part in range(last + 1):
+        write_feed(events, feed, spoil, [part])
+        path = run(query(lambda: events_stream(events.sparkSession, feed, None)), base, more=part < last)
+    return path
+
+
 def events_stream(spark: SparkSession, feed: str, max_files_per_trigger: int | None = 1) -> DataFrame:
-    """File-stream source over a feed of event files; by default a micro-batch per file."""
+    """File-stream source over a feed of event files; by default a micro-batch per file, with None one for all new files."""
     r = spark.readStream.schema(spark.read.option("recursiveFileLookup", True).parquet(feed).schema) \
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
@@ -68,18 +83,26 @@ def stream_features(raw_trips: DataFrame, profile: str = "full") -> DataFrame:
 
 
 def run_to_table(df: DataFrame, base: str, output_mode: str = "append",
-                 foreach_batch: Callable | None = None) -> str:
+                 foreach_batch: Callable | None = None, more: bool = False) -> str:
     """Run a streaming query to completion over the data available now; the path of its Parquet sink.
 
     Sink and checkpoint live under ``base``.  Called again with the same ``base`` (after a
-    stop or a failure) the query goes on where it was: no file is read twice.
+    stop or a failure) the query goes on where it was: no file is read twice.  With ``more`` to come
+    no batch without data follows the last one; the next run's first batch has its watermark.
     """
     out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
     w = df.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
-    if foreach_batch is not None:
-        q = w.foreachBatch(lambda b, epoch: foreach_batch(b, epoch, out)).outputMode(output_mode).start()
-    else:
-        q = w.format("parquet").outputMode(output_mode).start(out)
+    conf, name = df.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    if more:
+        conf.set(name, "false")
+    try:
+        if foreach_batch is not None:
+            q = w.foreachBatch(lambda b, epoch: foreach_batch(b, epoch, out)).outputMode(output_mode).start()
+        else:
+            q = w.format("parquet").outputMode(output_mode).start(out)
+    finally:
+        conf.set(name, before)
     q.awaitTermination()
     return out
 
