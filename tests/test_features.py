@@ -82,3 +82,11 @@ def test_rnd_is_half_even_on_binary_value(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (2.5,)], "x double")
     got = [r[0] for r in df.select(rnd("x", 2)).collect()] + [df.select(rnd(F.lit(2.5), 0)).first()[0]]
     assert got == [0.12, 0.38, 2.5, 2.0]
+
+
+def test_filters_read_computed_columns(spark, capsys):
+    from tripsmith.operators import clean as CL
+    from tripsmith.sources.tables import trips
+    CL.processed(trips(spark, "/root/testdata/sf0.001")).select("id").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("104729") == 1  # the latitude's expression, not a copy of it in each condition
