@@ -25,6 +25,33 @@ def test_suffix_arrays_and_prefixes_by_sorting(monkeypatch):
         assert prefix[sa[0]] == 0
 
 
+def test_blocks_of_buckets_by_sorting(monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(S, "VECTOR_ROWS", 10**9)
+    for _ in range(600):
+        for name, value in (("BLOCK_ROWS", rng.choice([1, 3, 20, 4096])), ("FEW", rng.choice([0, 2, 32])), ("DEEP", rng.choice([0, 1, 3, 1000]))):
+            monkeypatch.setattr(S, name, value)
+        t = [rng.randint(0, rng.choice([1, 3, 9, 70000])) for _ in range(rng.randint(2, 60))]
+        t += [rng.choice(t)] * rng.randint(0, 12) + t[:rng.randint(0, 20)] * rng.randint(0, 4)
+        assert S.suffix_array(np.array(t)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
+def test_strings_of_many_symbols_take_few_steps(monkeypatch):
+    """Induction went suffix by suffix over names; now a step handles a block of buckets."""
+    steps = []
+    put = S._put
+    monkeypatch.setattr(S, "_put", lambda *a: steps.append(1) or put(*a))
+    rng = np.random.default_rng(4)
+    t = np.tile(rng.integers(0, 30_000, 60_000), 2)
+    sa = S.suffix_array(t)
+    assert 0 < len(steps) < len(t) / 100
+    assert np.array_equal(np.sort(sa), np.arange(len(t)))
+    where = np.empty(len(t) + 1, np.int64)
+    where[sa], where[-1] = np.arange(len(t)), -1
+    first, second = t[sa], where[sa + 1]
+    assert (((first[1:] > first[:-1]) | ((first[1:] == first[:-1]) & (second[1:] > second[:-1])))).all()
+
+
 def brute(pairs, length):
     count = Counter()
     for _, t in pairs:
