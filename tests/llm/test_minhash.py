@@ -92,3 +92,45 @@ def test_without_broadcasts(make_docs, pairs, monkeypatch):
     from tripsmith.llm import common
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     assert result(M.near_duplicates(make_docs(pairs))) == brute(pairs)
+
+
+def compared(monkeypatch):
+    """Rows of sets that tasks get to compare, call by call."""
+    calls, links = [], M._links
+    monkeypatch.setattr(M, "_links", lambda blocks, percent: (calls.append(blocks.count()), links(blocks, percent))[1])
+    return calls
+
+
+def test_texts_with_a_common_line_are_no_family(make_docs, monkeypatch):
+    """Buckets that a frequent line fills stayed whole, so that all texts with it were compared, blocks squared."""
+    monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "BUCKET", 20)
+    rng = random.Random(3)
+    line = "one line that very many short texts of this table begin with"
+    texts = [f"{line} " + " ".join(f"w{rng.randrange(9999)}" for _ in range(rng.randint(30, 40))) for _ in range(300)]
+    texts += [t + " end" for t in texts[:20]] + [line, line + " x", None]
+    rows = list(enumerate(texts))
+    calls = compared(monkeypatch)
+    assert result(M.near_duplicates(make_docs(rows))) == brute(rows)
+    assert sum(calls) < 150
+
+
+def test_joined_blocks_are_not_compared_for_a_few_others(make_docs, monkeypatch):
+    """A family of near copies of which every block holds some texts of no component."""
+    monkeypatch.setattr(M, "BLOCK", 16)
+    monkeypatch.setattr(M, "BUCKET", 10)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+
+    def changed(n):
+        words = list(base)
+        for at in rng.sample(range(300), n):
+            words[at] = f"x{rng.randrange(99999)}"
+        return " ".join(words)
+
+    rows = list(enumerate([changed(1) for _ in range(400)] + [changed(13) for _ in range(24)]))
+    calls = compared(monkeypatch)
+    got = result(M.near_duplicates(make_docs(rows)))
+    assert got == brute(rows)
+    assert sum(k for _, _, _, k in got) > 10
+    assert sum(calls[1:]) < 424 * 10

@@ -14,13 +14,17 @@ How it scales
   * Band rows are aggregated to (band, smallest member, count); only buckets with two
     members or more go on.  A bucket of up to ``BUCKET`` members is cut into parts whose
     members' registers come near each other (texts that share a few frequent shingles
-    also meet in buckets); a larger one stays whole.  Either way it yields links that
-    hold its parts together, fewer than members: no pair lists.
+    also meet in buckets).  Members of larger ones meet again by their rarest registers:
+    near ones share one of these, texts with a frequent line in common do not.  Only if
+    more than ``BUCKET`` share a rare register too, they stay whole.  Either way a bucket
+    yields links that hold its parts together, fewer than members: no pair lists.
   * Classes joined by such links form families.  A family is cut into blocks of about
     ``BLOCK`` classes; a task holds one block, or two for families of more blocks,
     estimates and confirms its candidates there on sets and finer registers, and returns
-    only links that join parts not yet joined in that task.  A block whose classes are all
-    joined with another's is not compared again.
+    only links that join parts not yet joined in that task.  The first classes of the
+    components are dealt to blocks anew, while that joins many.  Then the family's largest
+    component and the other classes get blocks of their own, and all blocks are compared but
+    those whose classes are joined already: work grows with the classes that are not.
 
 Results: one row per input row: doc_id, n_shingles, component_id (smallest doc_id
 reachable), kept.  A null, empty or wordless text has 0 shingles and is linked with
@@ -49,6 +53,7 @@ REGISTERS = 512
 MANTISSA, BAND_MANTISSA = 10, 24
 BANDS, ROWS = 32, 4
 BLOCK, BUCKET = 384, 1024
+ROUNDS = 4
 #: Estimates this far below the threshold still count: above five standard errors, of the
 #: finer registers and of those that make up bands.
 SLACK, COARSE_SLACK = 0.10, 0.20
@@ -101,7 +106,12 @@ def registers(values: np.ndarray, size: int, kept: int = MANTISSA) -> np.ndarray
 
 def bands(values: np.ndarray) -> np.ndarray:
     """One signed 64-bit key a band of BANDS x ROWS registers; empty bands are left out."""
-    coarse = registers(values, BANDS * ROWS, BAND_MANTISSA).reshape(BANDS, ROWS).astype(np.uint64)
+    return band_keys(registers(values, BANDS * ROWS, BAND_MANTISSA))
+
+
+def band_keys(coarse: np.ndarray) -> np.ndarray:
+    """``bands`` of registers that keep BAND_MANTISSA bits."""
+    coarse = coarse.reshape(BANDS, ROWS).astype(np.uint64)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         key = mix64(key * _MULTIPLIER + coarse[:, k])
@@ -216,23 +226,66 @@ def block_links(ids: list[int], sets: list[np.ndarray], side: list[int], labels:
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """_id, _n, _h1, _h2 (identity of the set), _bands (keys), _coarse (registers) of every row."""
+    """_id, _n, _h1, _h2 (identity of the set), _bands (keys), _coarse (registers), _low (their further bits) of every row."""
+    further = BAND_MANTISSA - MANTISSA
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, h, keys, coarse = [], [], [], []
+            n, h, keys, coarse, low = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, width)
                 n.append(len(s))
                 h.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
-                keys.append(bands(s))
-                coarse.append(registers(s, BANDS * ROWS).tobytes())
+                own = registers(s, BANDS * ROWS, BAND_MANTISSA)
+                keys.append(band_keys(own))
+                coarse.append((own >> further).astype(np.uint16).tobytes())
+                low.append((own & ((1 << further) - 1)).astype(np.uint16).tobytes())
             h = np.stack(h) if h else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(coarse, pa.binary())],
-                ["_id", "_n", "_h1", "_h2", "_bands", "_coarse"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(coarse, pa.binary()), pa.array(low, pa.binary())],
+                ["_id", "_n", "_h1", "_h2", "_bands", "_coarse", "_low"])
+
+    return docs.mapInArrow(run, "_id long, _n long, _h1 long, _h2 long, _bands array<long>, _coarse binary, _low binary")
+
+
+def _shared(keyed: DataFrame) -> DataFrame:
+    """_key, _rep of keys that several rows have, with the smallest _rep and the count of each key: _hub, _c."""
+    hubs = materialise(keyed.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1"), "hubs")
+    out = materialise(keyed.join(sized(hubs), "_key"), "shared")
+    release(hubs)
+    return out
+
+
+def _rare(classes: DataFrame, percent: int) -> DataFrame:
+    """_key, _rep: the rarest registers of each class, so many that near classes have one of them in common.
 
-    return docs.mapInArrow(run, "_id long, _n long, _h1 long, _h2 long, _bands array<long>, _coarse binary")
+    Classes that come near each other (``bucket_links``) agree in a share of the registers of either.  In
+    whatever order, as long as it is the same for all, they then share one of the first of each: so many that
+    fewer than that share are left.  Rare ones come first, so what many texts have in common is seldom among them.
+    """
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coarse, low = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1).astype(np.int64)
+                           for c in ("_coarse", "_low"))
+            row, at = np.nonzero(coarse)
+            key = at << 32 | coarse[row, at] << (BAND_MANTISSA - MANTISSA) | low[row, at]
+            filled = np.bincount(row, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in ("_rep", "_h1", "_h2")), pa.array(key),
+                                              pa.array(filled[row])], ["_rep", "_h1", "_h2", "_key", "_filled"])
+
+    spelt = materialise(classes.select("_rep", "_h1", "_h2", "_coarse", "_low").mapInArrow(
+        spell, "_rep long, _h1 long, _h2 long, _key long, _filled long"), "registers")
+    often = materialise(spelt.groupBy("_key").agg(F.count("*").alias("_c")).where("_c > 1"), "often")
+    least = percent - round(100 * COARSE_SLACK)
+    first = F.col("_filled") - F.floor((least * F.col("_filled") + 99) / 100) + 1
+    held = spelt.join(sized(often), "_key").groupBy("_rep", "_h1", "_h2").agg(
+        F.first("_filled").alias("_filled"), F.sort_array(F.collect_list(F.struct("_c", "_key"))).alias("_keys"))
+    # registers that no other class has are the rarest, and lead to none
+    held = held.withColumn("_first", (first - (F.col("_filled") - F.size("_keys"))).cast("int")).where("_first > 0")
+    out = materialise(held.select("_rep", F.explode(F.slice("_keys", 1, F.col("_first"))).alias("_k")).select("_k._key", "_rep"), "rare")
+    release(spelt, often)
+    return out
 
 
 def _bucket_parts(rows: DataFrame, percent: int) -> DataFrame:
@@ -307,6 +360,38 @@ def _links(blocks: DataFrame, percent: int) -> DataFrame:
             .sortWithinPartitions(*keys, "_id").mapInArrow(run, "a long, b long"))
 
 
+def _labels(large: DataFrame, links: DataFrame) -> DataFrame:
+    """_id, _family, _label (component by ``links``) of the classes of ``large``."""
+    own = large.select("_id", "_family").distinct()
+    return materialise(own.join(components(links).withColumnRenamed("node", "_id"), "_id", "left").select(
+        "_id", "_family", F.coalesce("component", "_id").alias("_label")), "labels")
+
+
+def _firsts(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """``links`` and those between first classes of components of a family, which are dealt to blocks anew.
+
+    Blocks of near copies become one component so, in a few rounds of one class a component, as long as a round
+    joins one in twenty.  What they leave is compared all the same, so they only save work.
+    """
+    labels = _labels(large, links)
+    before = labels.where("_id = _label").count()
+    for salt in range(1, ROUNDS + 1):
+        firsts = labels.where("_id = _label").select("_id", "_family", "_label")
+        counts = materialise(firsts.groupBy("_family").agg(F.ceil(F.count("*") / BLOCK).alias("_n")), "counts")
+        dealt = materialise(firsts.join(sized(counts), "_family").select(
+            "_id", "_label", F.pmod(F.xxhash64("_id", F.lit(salt)), "_n").cast("int").alias("_i")), "firsts")
+        found = large.select("_id", "_set", "_family").join(sized(dealt), "_id").withColumns({"_j": F.col("_i"), "_side": F.lit(0)})
+        links = materialise(links.unionAll(_links(found, percent)), "links")
+        release(labels, counts, dealt)
+        labels = _labels(large, links)
+        now = labels.where("_id = _label").count()
+        if 100 * now > 95 * before:
+            break
+        before = now
+    release(labels)
+    return links
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: 100 x intersection >= percent x union links."""
@@ -314,18 +399,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     meta = materialise(_profiles(own, width), "profiles")
     classes = materialise(
-        meta.where("_n > 0").groupBy("_h1", "_h2").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"),
-                                                 F.first("_bands").alias("_bands"), F.first("_coarse").alias("_coarse")), "classes")
+        meta.where("_n > 0").groupBy("_h1", "_h2").agg(F.min("_id").alias("_rep"), *(F.first(c).alias(c) for c in ("_n", "_bands", "_coarse", "_low"))),
+        "classes")
     named = classes.where("_rep is not null")
-    keyed = named.select("_rep", F.explode("_bands").alias("_key"))
-    hubs = keyed.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_c")).where("_c > 1")
-    hubs = materialise(hubs, "hubs")
-    shared = materialise(keyed.join(sized(hubs), "_key"), "shared")
-    small = shared.where(F.col("_c") <= BUCKET).select("_key", "_rep").join(named.select("_rep", "_n", "_coarse"), "_rep")
-    whole = shared.where((F.col("_c") > BUCKET) & (F.col("_rep") != F.col("_hub")))
-    candidates = _bucket_parts(small, percent).unionAll(whole.select(F.col("_rep").alias("a"), F.col("_hub").alias("b")))
+    near = named.select("_rep", "_n", "_coarse")
+    shared = _shared(named.select("_rep", F.explode("_bands").alias("_key")))
+    candidates = _bucket_parts(shared.where(F.col("_c") <= BUCKET).select("_key", "_rep").join(near, "_rep"), percent)
+    held = [shared]
+    crowded = materialise(shared.where(F.col("_c") > BUCKET).select("_rep").distinct(), "crowded")
+    if crowded.limit(1).count():
+        rare = _rare(named.join(sized(crowded), "_rep", "left_semi"), percent)
+        again = _shared(rare)
+        whole = again.where((F.col("_c") > BUCKET) & (F.col("_rep") != F.col("_hub")))
+        candidates = candidates.unionAll(_bucket_parts(again.where(F.col("_c") <= BUCKET).select("_key", "_rep").join(near, "_rep"), percent)).unionAll(
+            whole.select(F.col("_rep").alias("a"), F.col("_hub").alias("b")))
+        held += [rare, again]
     families = components(candidates)
-    release(hubs, shared)
+    release(*held, crowded)
     sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     members = materialise(
         families.join(materialise(sizes, "sizes"), "component")
@@ -338,19 +428,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     # families of several blocks: compare blocks pairwise, but for pairs already one component
     large = sets.where("_blocks > 1")
     if large.limit(1).count():
-        labels = components(links)
-        large = large.join(labels.withColumnRenamed("node", "_id"), "_id", "left").withColumn(
-            "_label", F.coalesce("component", "_id")).drop("component")
-        large = materialise(large, "large")
+        links = _firsts(large, links, percent)
+        large = materialise(large.drop("_i", "_blocks").join(sized(_labels(large, links)).drop("_family"), "_id"), "large")
+        parts = large.groupBy("_family", "_label").agg(F.count("*").alias("_c"))
+        parts = parts.groupBy("_family").agg(F.max(F.struct("_c", "_label")).alias("_top"), F.sum("_c").alias("_all"))
+        parts = materialise(parts.select("_family", F.col("_top._label").alias("_most"), F.ceil(F.col("_top._c") / BLOCK).alias("_inside"),
+                                         F.ceil((F.col("_all") - F.col("_top._c")) / BLOCK).alias("_outside")), "parts")
+        of = F.xxhash64("_id")
+        large = large.join(sized(parts), "_family").withColumn("_i", F.when(
+            F.col("_label") == F.col("_most"), F.pmod(of, "_inside")).otherwise(F.col("_inside") + F.pmod(of, "_outside")).cast("int"))
         whole = large.groupBy("_family", "_i").agg(F.min("_label").alias("_lo"), F.max("_label").alias("_hi"))
+        whole = materialise(whole, "dealt")
         a, b = (whole.select("_family", *(F.col(c).alias(c + s) for c in ("_i", "_lo", "_hi"))) for s in ("a", "b"))
         todo = a.join(b, "_family").where(
-            (F.col("_ia") < F.col("_ib")) & ~((F.col("_loa") == F.col("_hib")) & (F.col("_hia") == F.col("_lob"))
-                                              & (F.col("_loa") == F.col("_hia"))))
+            (F.col("_ia") <= F.col("_ib")) & ~((F.col("_loa") == F.col("_hib")) & (F.col("_hia") == F.col("_lob"))
+                                               & (F.col("_loa") == F.col("_hia"))))
         todo = todo.select("_family", F.col("_ia").alias("_x"), F.col("_ib").alias("_y"))
-        sided = todo.select("_family", "_x", "_y", F.explode(F.array(
-            F.struct(F.col("_x").alias("_i"), F.lit(0).alias("_side")),
-            F.struct(F.col("_y").alias("_i"), F.lit(1).alias("_side")))).alias("_s"))
+        sides = F.array(F.struct(F.col("_x").alias("_i"), F.lit(0).alias("_side")), F.struct(F.col("_y").alias("_i"), F.lit(1).alias("_side")))
+        sided = todo.select("_family", "_x", "_y", F.explode(F.slice(sides, 1, F.when(F.col("_x") == F.col("_y"), 1).otherwise(2))).alias("_s"))
         sided = materialise(sided.select("_family", "_x", "_y", "_s._i", "_s._side"), "todo")
         across = large.join(sided, ["_family", "_i"]).select(
             "_family", F.col("_x").alias("_i"), F.col("_y").alias("_j"), "_id", "_set", "_side", "_label")
