@@ -5,6 +5,7 @@ from collections import Counter
 
 from tests.conftest import SF001
 from tripsmith.llm.common import LOWER_AZ, table
+from tripsmith.llm import spelling
 from tripsmith.llm.spelling import deal_cells, entries, near_words, runs, signed, spelling_groups
 
 
@@ -117,3 +118,15 @@ def test_runs_stop_at_rows():
     cut = np.concatenate([[0], ends])
     words = [letters[a:b].tobytes().decode() for a, b in zip(cut, cut[1:])]
     assert words == ["ab", "cdé", "x", "×y"] and rows.tolist() == [0, 1, 1, 3]
+
+
+def test_no_table_is_broadcast_because_spark_takes_it_to_be_small(make_docs, monkeypatch):
+    """Signatures, 21 a vector, were sized as the words' file and sent through the driver."""
+    plans, write = [], spelling.materialise
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(spelling, "materialise", lambda df, name: (plans.append(plan(df)), write(df, name))[1])
+    pairs = [(k, "colour colour colour color color color") for k in range(9)]
+    out = spelling_groups(make_docs(pairs))
+    assert result(out) == brute(pairs)
+    plans.append(plan(out))
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripsmith.llm.common import LOWER_AZ, materialise, release, slices, utf8
+from tripsmith.llm.common import LOWER_AZ, materialise, release, shuffled, slices, utf8
 
 LEAST_LETTERS, LEAST_COUNT, FORM_RATIO = 5, 3, 2
 #: One run in so many (by its hash) has a code point taken out.
@@ -186,7 +186,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     apart = F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high"))) + F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low")))
     near = ((F.col("a.signature") == F.col("b.signature")) & (F.col("a.letters") < F.col("b.letters"))
             & (F.abs(F.col("a.size") - F.col("b.size")) <= 1) & (apart <= DISTANCE))
-    return a.join(b, near).select(F.col("a.letters").alias("a"), F.col("b.letters").alias("b")).distinct()
+    return a.join(shuffled(b), near).select(F.col("a.letters").alias("a"), F.col("b.letters").alias("b")).distinct()
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -194,10 +194,10 @@ def near_words(words: DataFrame) -> DataFrame:
     held = words.select("word", "n", F.concat_ws("", F.array_sort(F.regexp_extract_all("word", F.lit("(?s)."), 0))).alias("letters"))
     held = materialise(held, "words")
     pairs = near_vectors(held.select("letters").distinct())
-    first = pairs.join(held.withColumnsRenamed({"letters": "a", "word": "_u", "n": "_un"}), "a").select("b", "_u", "_un")
+    first = pairs.join(shuffled(held.withColumnsRenamed({"letters": "a", "word": "_u", "n": "_un"})), "a").select("b", "_u", "_un")
     second = held.withColumnsRenamed({"letters": "b", "word": "_v", "n": "_vn"})
     one_edit = F.levenshtein("_u", "_v", 1) == 1
-    links = materialise(first.join(second, (first["b"] == second["b"]) & one_edit).select("_u", "_un", "_v", "_vn"), "near")
+    links = materialise(first.join(shuffled(second), (first["b"] == second["b"]) & one_edit).select("_u", "_un", "_v", "_vn"), "near")
     return (links.select(F.col("_u").alias("word"), F.col("_un").alias("n"), F.col("_v").alias("other"), F.col("_vn").alias("other_n"))
             .unionAll(links.select("_v", "_vn", "_u", "_un")))
 
@@ -207,7 +207,7 @@ def roots(forms: DataFrame) -> DataFrame:
     table = materialise(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = table.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        step = table.join(ahead, "root", "left")
+        step = table.join(shuffled(ahead), "root", "left")
         after = materialise(step.select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved")), "roots")
         moved = after.where("_moved").limit(1).count()
         release(table)
@@ -229,6 +229,6 @@ def spelling_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = materialise(best.select("word", "n_near", F.when(fits, F.col("_best.other")).alias("form"),
                                    F.when(fits, -F.col("_best._n")).alias("form_n")), "forms")
     last = roots(best.where("form is not null"))
-    return (words.join(best, "word", "left").join(last, "word", "left")
+    return (words.join(shuffled(best), "word", "left").join(shuffled(last), "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                     F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form_n"))
