@@ -21,8 +21,8 @@ How it scales
   * Classes joined by such links form families.  A family is cut into blocks of about
     ``BLOCK`` classes; a task holds one block, or two for families of more blocks,
     estimates and confirms its candidates there on sets and finer registers, and returns
-    only links that join parts not yet joined in that task.  The first classes of the
-    components are dealt to blocks anew, while that joins many.  Then the family's largest
+    only links that join parts not yet joined in that task.  In a family of many blocks the first
+    classes of the components are dealt to blocks anew, while that joins many.  Then the family's largest
     component and the other classes get blocks of their own, and all blocks are compared but
     those whose classes are joined already: work grows with the classes that are not.
 
@@ -53,7 +53,8 @@ REGISTERS = 512
 MANTISSA, BAND_MANTISSA = 10, 24
 BANDS, ROWS = 32, 4
 BLOCK, BUCKET = 384, 1024
-ROUNDS = 4
+#: Rounds that join first classes of components, for families of more than so many blocks.
+ROUNDS, SEVERAL = 4, 8
 #: Estimates this far below the threshold still count: above five standard errors, of the
 #: finer registers and of those that make up bands.
 SLACK, COARSE_SLACK = 0.10, 0.20
@@ -428,7 +429,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
     # families of several blocks: compare blocks pairwise, but for pairs already one component
     large = sets.where("_blocks > 1")
     if large.limit(1).count():
-        links = _firsts(large, links, percent)
+        several = large.where(F.col("_blocks") > SEVERAL)
+        if several.limit(1).count():
+            links = _firsts(several, links, percent)
         large = materialise(large.drop("_i", "_blocks").join(sized(_labels(large, links)).drop("_family"), "_id"), "large")
         parts = large.groupBy("_family", "_label").agg(F.count("*").alias("_c"))
         parts = parts.groupBy("_family").agg(F.max(F.struct("_c", "_label")).alias("_top"), F.sum("_c").alias("_all"))
