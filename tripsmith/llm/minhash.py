@@ -415,8 +415,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH,
         candidates = candidates.unionAll(_bucket_parts(again.where(F.col("_c") <= BUCKET).select("_key", "_rep").join(near, "_rep"), percent)).unionAll(
             whole.select(F.col("_rep").alias("a"), F.col("_hub").alias("b")))
         held += [rare, again]
+    candidates = materialise(candidates, "candidates")  # components reads its links twice
     families = components(candidates)
-    release(*held, crowded)
+    release(*held, crowded, candidates)
     sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     members = materialise(
         families.join(materialise(sizes, "sizes"), "component")
